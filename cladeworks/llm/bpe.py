@@ -84,14 +84,17 @@ class Memo(dict):
         super().__init__()
         self.make, self.old = make, {}
 
-    def __missing__(self, key: str):
+    def put(self, key: str, value) -> None:
         if len(self) >= MEMO_ENTRIES // 2:
             self.old = dict(self)
             self.clear()
+        self[key] = value
+
+    def __missing__(self, key: str):
         value = self.old.get(key, self)
         if value is self:
             value = self.make(key)
-        self[key] = value
+        self.put(key, value)
         return value
 
 
