@@ -7,6 +7,7 @@ from importlib import import_module
 #: name -> module of cladeworks.llm
 OPERATORS = {
     "op1_token_counts": "token_counts",
+    "op4_language_id": "langid",
     "op5_sharding": "sharding",
     "op6_packing": "packing",
     "op9_simhash": "simhash",
