@@ -12,6 +12,7 @@ OPERATORS = {
     "op5_sharding": "sharding",
     "op6_packing": "packing",
     "op9_simhash": "simhash",
+    "op10_decontamination": "decontamination",
 }
 
 
