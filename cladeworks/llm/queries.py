@@ -11,6 +11,7 @@ OPERATORS = {
     "op4_language_id": "langid",
     "op5_sharding": "sharding",
     "op6_packing": "packing",
+    "op7_line_dedup": "line_dedup",
     "op9_simhash": "simhash",
     "op10_decontamination": "decontamination",
 }
