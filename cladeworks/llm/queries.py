@@ -7,6 +7,7 @@ from importlib import import_module
 #: name -> module of cladeworks.llm
 OPERATORS = {
     "op1_token_counts": "token_counts",
+    "op2_substring_dedup": "substring_dedup",
     "op3_secrets": "secrets",
     "op4_language_id": "langid",
     "op5_sharding": "sharding",
