@@ -106,11 +106,13 @@ def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_
     texts, and all texts where no model could be trained, are ``und`` with score 0. A null id counts as
     the empty string for ``held_out``. Repeated rows are predicted alike; an empty table gives an empty one.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    sent = [*keep, *([] if id_col in keep else [id_col]), *([] if text_col in keep else [text_col])]
+    at_text = sent.index(text_col)
+    returned = [k for k, c in enumerate(sent) if c != text_col or c in keep]
 
     def run(batches):
         for batch in batches:
-            column, found, at = batch.column(batch.num_columns - 1), [], 0
+            column, found, at = batch.column(at_text), [], 0
             while at < batch.num_rows:
                 some, size = [], 0
                 while at + len(some) < batch.num_rows and size < TOGETHER:
@@ -120,13 +122,12 @@ def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_
                 at += len(some)
             lang, score, n, share = zip(*found, strict=True) if found else ((),) * 4
             columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(share, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], "lang_pred", "score", "n_positions", "position_share"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in returned), *columns], [*(f"c{k}" for k in returned), "lang_pred", "score", "n_positions", "position_share"])
 
-    carried = [docs[c].alias(f"keep_{k}") for k, c in enumerate(keep)]
-    fields = "".join(f"keep_{k} {docs.schema[c].dataType.simpleString()}, " for k, c in enumerate(keep))
-    slim = docs.select(*carried, docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    out = slim.mapInArrow(run, f"{fields}id {kind}, lang_pred string, score double, n_positions long, position_share double")
-    return out.select(*[F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)], F.col("id").alias(id_col), held_out("id").alias("held_out"), "lang_pred", "score", "n_positions", "position_share")
+    fields = "".join(f"c{k} {docs.schema[sent[k]].dataType.simpleString()}, " for k in returned)
+    slim = docs.select(*[docs[c].alias(f"c{k}") for k, c in enumerate(sent)])
+    out = slim.mapInArrow(run, f"{fields}lang_pred string, score double, n_positions long, position_share double")
+    return out.select(*[F.col(f"c{k}").alias(sent[k]) for k in returned], held_out(f"c{sent.index(id_col)}").alias("held_out"), "lang_pred", "score", "n_positions", "position_share")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,10 @@ from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, r
 RARITY_BITS = 16
 
 
-def lines_of(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, sig, words): lines of ``words`` or more lower-cased words; ``sig`` is of the word sequence."""
-    lines = docs.select(docs[id_col].alias("id"), F.posexplode(F.split(docs[text_col].cast("string"), "\n")).alias("line", "text"))
-    lines = lines.select("id", "line", F.array_remove(F.split(F.lower("text"), ASCII_SPACE), "").alias("words"))
+def lines_of(docs: DataFrame, words: int) -> DataFrame:
+    """(id, tie, line, sig, words): lines of ``words`` or more lower-cased words; ``sig`` is of the word sequence."""
+    lines = docs.select("id", "tie", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    lines = lines.select("id", "tie", "line", F.array_remove(F.split(F.lower("text"), ASCII_SPACE), "").alias("words"))
     return lines.where(F.size("words") >= words).withColumn("sig", F.xxhash64("words"))
 
 
@@ -38,8 +38,17 @@ def rarest_first(lines: DataFrame, words: int) -> Column:
     return F.sort_array(ranked)
 
 
+SMALLEST = -(1 << 63)
+
+
+def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """id (null: the smallest) and tie (a hash of the text, for rows that share an id)."""
+    return [F.coalesce(docs[id_col].cast("long"), F.lit(SMALLEST)).alias("id"), F.xxhash64(docs[text_col]).alias("tie")]
+
+
 def earlier(a: str, b: str) -> Column:
-    return (F.col(f"{a}.first_id") < F.col(f"{b}.first_id")) | ((F.col(f"{a}.first_id") == F.col(f"{b}.first_id")) & (F.col(f"{a}.first_line") < F.col(f"{b}.first_line")))
+    place = lambda t: F.struct(f"{t}.first_id", f"{t}.first_tie", f"{t}.first_line")
+    return place(a) < place(b)
 
 
 def length_filter(threshold: float) -> Column:
@@ -54,7 +63,7 @@ def position_filter(threshold: float) -> Column:
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, line): lines for which an earlier line is similar; earlier is by id, then line number.
+    """(id, tie, line): lines for which an earlier line is similar; earlier is by id, tie, then line number.
 
     A line's tokens are its word shingles (``words`` words, A-Z and others lower-cased); lines with fewer
     words are never compared. Similar: a Jaccard index of ``threshold`` or more. It does not matter
@@ -63,27 +72,28 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     different lines share. Each of these tokens has leaders, its earliest and its most copied line:
     comparing all with the leaders settles groups of near copies in proportion to their size; only
     lines that no leader settles are compared with all others of their tokens.
-    Null ids take the smallest place; null and empty texts have no lines; of repeated rows with one id
-    all count as the first; an empty table gives an empty one; other columns are ignored.
+    Null ids take the smallest place; tie is a hash of the text, for rows that share an id; repeated rows
+    share a place and are judged alike. Null and empty texts have no lines to compare; an empty table
+    gives an empty one; other columns are ignored.
     """
-    base = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))).alias("id"), docs[text_col].cast("string").alias("text"))
-    lines = lines_of(base, words, "id", "text")
+    base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
+    lines = lines_of(base, words)
     order = rarest_first(lines, words)
-    ranked = lines.select("id", "line", "sig", order.alias("tokens")).withColumn("n", F.size("tokens"))
+    ranked = lines.select("id", "tie", "line", "sig", order.alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-    kept = materialize(ranked.select("id", "line", "sig", "n", F.slice("tokens", 1, prefix).alias("prefix")), "lines")
+    kept = materialize(ranked.select("id", "tie", "line", "sig", "n", F.slice("tokens", 1, prefix).alias("prefix")), "lines")
 
-    firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("copies"))
-    firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "copies"), "firsts")
+    firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"))
+    firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies"), "firsts")
 
     index = kept.select("sig", "n", F.posexplode("prefix").alias("at", "token"))
     shared = materialize(index.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
     met = index.join(shared, "token").groupBy("token", "sig", "n", "at").agg(F.lit(1).alias("one")).drop("one")
     met = materialize(met.join(firsts, "sig"), "met")
 
-    leaders = met.groupBy("token").agg(F.min_by("sig", F.struct("first_id", "first_line")).alias("a"), F.max_by("sig", F.struct("copies", "sig")).alias("b"))
+    leaders = met.groupBy("token").agg(F.min_by("sig", F.struct("first_id", "first_tie", "first_line")).alias("a"), F.max_by("sig", F.struct("copies", "sig")).alias("b"))
     leaders = materialize(leaders.select("token", F.explode(F.array_distinct(F.array("a", "b"))).alias("leader")), "leaders")
-    led = materialize(met.join(leaders, ["token"]).where("sig = leader").select("token", "sig", "n", "at", "first_id", "first_line"), "led")
+    led = materialize(met.join(leaders, ["token"]).where("sig = leader").select("token", "sig", "n", "at", "first_id", "first_tie", "first_line"), "led")
 
     def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
         on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & length_filter(threshold) & position_filter(threshold)
@@ -93,8 +103,8 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
         """The x of pairs whose whole token sets are similar."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(firsts, "sig"), "needed")
         wanted = Bitmap(needed, "sig")
-        sets = lines.where(wanted.has(F.col("sig"))).select("id", "line", "sig", shingles(words).alias("set"))
-        same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.line") == F.col("f.first_line"))
+        sets = lines.where(wanted.has(F.col("sig"))).select("id", "tie", "line", "sig", shingles(words).alias("set"))
+        same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = materialize(sets.alias("l").join(needed.alias("f"), same).select("l.sig", "l.set").dropDuplicates(["sig"]), "sets")
         both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
         common = F.size(F.array_intersect("set_x", "set_y"))
@@ -106,23 +116,24 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
     settled = materialize(settled.unionAll(similar(more_pairs)).distinct(), "settled")
 
-    marked = firsts.join(settled, firsts["sig"] == settled["x"], "left").select("sig", "first_id", "first_line", "copies", F.col("x").isNotNull().alias("later"))
+    marked = firsts.join(settled, firsts["sig"] == settled["x"], "left").select("sig", "first_id", "first_tie", "first_line", "copies", F.col("x").isNotNull().alias("later"))
     marked = materialize(marked.where("later or copies > 1"), "marked")
-    again = F.col("later") | (F.col("id") != F.col("first_id")) | (F.col("line") != F.col("first_line"))
-    out = materialize(kept.select("id", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") == -(1 << 63), F.lit(None)).otherwise(F.col("id")).alias(id_col), "line"), "removed")
+    again = F.col("later") | (F.struct("id", "tie", "line") > F.struct("first_id", "first_tie", "first_line"))
+    out = materialize(kept.select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line"), "removed")
     drop_materialized(kept, firsts, shared, met, leaders, led, first_pairs, more_pairs, settled, marked)
     return out
 
 
 def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines in ``removed``; a document whose every line is removed goes with them."""
-    by_doc = removed.groupBy(F.coalesce(id_col, F.lit(-(1 << 63))).alias("removed_id")).agg(F.collect_set("line").alias("removed_lines"))
-    joined = docs.join(by_doc, F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))) == F.col("removed_id"), "left")
+    by_doc = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("removed_id"), F.col("tie").alias("removed_tie")).agg(F.collect_set("line").alias("removed_lines"))
+    at, tie = places(docs, id_col, text_col)
+    joined = docs.join(by_doc, (at == F.col("removed_id")) & (tie == F.col("removed_tie")), "left")
     kept = F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains("removed_lines", k))
     touched = F.col("removed_id").isNotNull()
     changed = joined.withColumn("kept_lines", F.when(touched, kept)).where(~touched | (F.size("kept_lines") > 0))
     text = F.when(touched, F.array_join("kept_lines", "\n")).otherwise(F.col(text_col))
-    return changed.withColumn(text_col, text).drop("removed_id", "removed_lines", "kept_lines")
+    return changed.withColumn(text_col, text).drop("removed_id", "removed_tie", "removed_lines", "kept_lines")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
