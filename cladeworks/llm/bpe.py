@@ -14,7 +14,7 @@ import regex
 # Fixed value: the published splitting pattern of byte-level BPE.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries a worker's memo may hold; a full memo is emptied, so memory stays bounded.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 1_200_000
 
 
 def byte_alphabet() -> list[str]:

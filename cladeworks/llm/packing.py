@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 from zlib import crc32
@@ -28,28 +29,41 @@ class IdEncoder:
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.memo = Memo(lambda chunk: None if irregular(chunk) else self.whole([" " + chunk])[0])
+        self.pieces = Memo(lambda piece: self.whole([" " + piece])[0])
+        self.marks = {mark: self.whole([mark])[0] for mark in ".,"}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Identifiers of new chunks. Letters are a piece of their own, whether a mark follows or not."""
+        memo, pieces, marks = self.memo, self.pieces, self.marks
+        word_of = {}
+        for c in chunks:
+            if len(c) <= 64 and not irregular(c):
+                word_of[c] = c if c.isalpha() else c[:-1] if c[-1] in marks and c[:-1].isalpha() else None
+        whole = [c for c, word in word_of.items() if word is None]
+        words = list({w for w in word_of.values() if w and w not in pieces and w not in pieces.old})
+        for part, held in ((words, pieces), (whole, memo)):
+            for at in range(0, len(part), 4096):
+                some = part[at : at + 4096]
+                for text, ids in zip(some, self.whole([" " + c for c in some]), strict=True):
+                    held.put(text, ids)
+        for c, word in word_of.items():
+            if word:
+                memo.put(c, pieces[word] if len(word) == len(c) else pieces[word] + marks[c[-1]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         memo = self.memo
         split = [t.split(" ") for t in texts]
-        fresh = list({c for chunks in split for c in chunks[1:] if c not in memo and c not in memo.old and not irregular(c)})
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for chunk, ids in zip(part, self.whole([" " + c for c in part]), strict=True):
-                if len(chunk) <= 64:
-                    memo.put(chunk, ids)
-        out = []
-        for text, (first, *rest) in zip(texts, split, strict=True):
+        self.learn({c for chunks in split for c in chunks[1:] if c not in memo and c not in memo.old})
+        out, heads = [], self.whole([chunks[0] for chunks in split])
+        for text, head, (first, *rest) in zip(texts, heads, split, strict=True):
             if not rest or irregular(first) or any(s in text for s in self.specials):
                 out += self.whole([text])
                 continue
             try:
-                out.append(self.whole([first])[0] + b"".join(map(memo.__getitem__, rest)))
+                out.append(head + b"".join(map(memo.__getitem__, rest)))
             except TypeError:  # a chunk that can't stand alone
                 out += self.whole([text])
         return out
