@@ -13,6 +13,7 @@ OPERATORS = {
     "op5_sharding": "sharding",
     "op6_packing": "packing",
     "op7_line_dedup": "line_dedup",
+    "op8_media": "media",
     "op9_simhash": "simhash",
     "op10_decontamination": "decontamination",
 }
