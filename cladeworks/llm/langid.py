@@ -27,10 +27,13 @@ def held_out(id_col: str = "doc_id"):
 def training_words(docs: DataFrame, docs_per_language: int, words_per_doc: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """(label, words): at most ``docs_per_language`` rows a language, and of each so many distinct words, both by hash order."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[label_col].alias("label")).where(~held_out() & F.col("label").isNotNull() & F.col("text").isNotNull())
-    first = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    some = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= docs_per_language)
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    # only hashes are ranked; the texts stay where they are
+    last = rows.select("label", "h").withColumn("k", F.row_number().over(W.partitionBy("label").orderBy("h"))).where(F.col("k") <= docs_per_language)
+    last = last.groupBy("label").agg(F.max("h").alias("last"))
     words = F.transform(F.array_distinct(F.split("text", ASCII_SPACE)), lambda w: F.struct(F.xxhash64(w).alias("h"), F.substring(w, 1, 64).alias("w")))
-    return some.select("label", F.slice(F.array_sort(words), 1, words_per_doc)["w"].alias("words"))
+    some = rows.join(last, "label").where("h <= last").select("label", F.slice(F.array_sort(words), 1, words_per_doc)["w"].alias("words"))
+    return some.distinct()  # equal rows share a hash
 
 
 def train_language_model(docs: DataFrame, docs_per_language: int = 300, words_per_doc: int = 80, epochs: int = 3, **columns) -> bytes | None:
