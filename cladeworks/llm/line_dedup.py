@@ -5,37 +5,65 @@ from __future__ import annotations
 from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cladeworks.llm.bitmaps import Bitmap, bucket_counts, literal_array
 from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, read_table
 
 RARITY_BITS = 16
+RARITY_MASK = (1 << RARITY_BITS) - 1
+#: How many of a token's most copied lines lead, beside its earliest.
+LEADERS = 3
 
 
 def lines_of(docs: DataFrame, words: int) -> DataFrame:
     """(id, tie, line, sig, words): lines of ``words`` or more lower-cased words; ``sig`` is of the word sequence."""
     lines = docs.select("id", "tie", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.select("id", "tie", "line", F.array_remove(F.split(F.lower("text"), ASCII_SPACE), "").alias("words"))
-    return lines.where(F.size("words") >= words).withColumn("sig", F.xxhash64("words"))
+    # exploding one array is a border over which no filter is moved, so that a line is split only once
+    split = F.explode(F.array(F.array_remove(F.split(F.lower("text"), ASCII_SPACE), "")))
+    return lines.select("id", "tie", "line", split.alias("words")).where(F.size("words") >= words).withColumn("sig", F.xxhash64("words"))
+
+
+def shingle(start: Column, words: int) -> Column:
+    return F.xxhash64(F.slice("words", start + 1, words))
 
 
 def shingles(words: int) -> Column:
     """The set of a line's tokens: hashes of its word n-grams."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("words") - (words - 1)), lambda i: F.xxhash64(F.slice("words", i, words))))
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - words), lambda i: shingle(i, words)))
+
+
+def rarity_classes(docs: DataFrame) -> Column:
+    """For each of 2^16 buckets of word hashes, the logarithm of how many words of all documents fall into it.
+
+    The size is fixed, whatever the data; any order that all lines share gives exact results.
+    """
+    words = docs.select(F.explode(F.split(F.lower("text"), ASCII_SPACE)).alias("word")).select(F.xxhash64("word").alias("h"))
+    counts = bucket_counts(words, "h", RARITY_BITS)
+    return literal_array([min(127, int(4 * log2(n + 1))) for n in counts], "bigint")
 
 
-def rarest_first(lines: DataFrame, words: int) -> Column:
-    """Orders a line's tokens by how many there are in its hash bucket, over all lines; ties by hash.
+def prefixes(lines: DataFrame, classes: Column, threshold: float, words: int) -> DataFrame:
+    """(id, tie, line, sig, n, marks0, marks1, prefix): a line's n tokens, 128 bits that they mark, and its rarest tokens.
 
-    Any order that all lines share gives exact results; this one takes 2^16 numbers, whatever the data.
-    The count's logarithm becomes the top byte of each token, so that plain sorting does the rest.
+    Tokens are ordered by the rarity of their first word, then by hash; the class of rarity is the top
+    byte, so that plain sorting does it.
     """
-    counts = bucket_counts(lines.select(F.explode(shingles(words)).alias("token")), "token", RARITY_BITS)
-    classes = literal_array([min(127, int(2 * log2(n + 1))) for n in counts], "bigint")
-    mask = (1 << RARITY_BITS) - 1
-    ranked = F.transform(shingles(words), lambda t: F.shiftleft(F.get(classes, t.bitwiseAND(F.lit(mask)).cast("int")), 56).bitwiseOR(t.bitwiseAND(F.lit((1 << 56) - 1))))
-    return F.sort_array(ranked)
+    low = (1 << 56) - 1
+
+    def token(i):
+        bucket = F.xxhash64(F.get("words", i)).bitwiseAND(F.lit(RARITY_MASK)).cast("int")
+        return F.shiftleft(F.get(classes, bucket), 56).bitwiseOR(shingle(i, words).bitwiseAND(F.lit(low)))
+
+    tokens = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - words), token)))
+    # a one-element array is exploded so that the tokens are made only once
+    rows = lines.select("id", "tie", "line", "sig", F.explode(F.array(tokens)).alias("tokens"))
+    n = F.size("tokens")
+    need = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    half = lambda k: F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.when(F.getbit(t, F.lit(6)) == k, bit(t)).otherwise(F.lit(0).cast("long"))))
+    return rows.select("id", "tie", "line", "sig", n.alias("n"), half(0).alias("marks0"), half(1).alias("marks1"), F.slice("tokens", F.lit(1), need).alias("prefix"))
 
 
 SMALLEST = -(1 << 63)
@@ -51,89 +79,91 @@ def earlier(a: str, b: str) -> Column:
     return place(a) < place(b)
 
 
-def length_filter(threshold: float) -> Column:
+def filters(threshold: float) -> Column:
+    """Length; position (counting from the first token that both have, what is left must suffice); and marks: bits that only one has stand for as many tokens that only one has."""
     n, m = F.col("x.n"), F.col("y.n")
-    return (F.least(n, m) >= F.greatest(n, m) * threshold)
-
-
-def position_filter(threshold: float) -> Column:
-    """Counting from the first token that both have: what is left must suffice."""
-    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    return rest >= (F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-9
+    length = F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9
+    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - 1e-9
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("marks0", "marks1")), F.lit(0))
+    return length & position & (apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9)
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tie, line): lines for which an earlier line is similar; earlier is by id, tie, then line number.
 
-    A line's tokens are its word shingles (``words`` words, A-Z and others lower-cased); lines with fewer
-    words are never compared. Similar: a Jaccard index of ``threshold`` or more. It does not matter
-    whether the earlier line is itself removed. Lines with equal words are merged first and stand for
-    each other. The join takes each line's rarest tokens (the prefix), and only those that several
-    different lines share. Each of these tokens has leaders, its earliest and its most copied line:
-    comparing all with the leaders settles groups of near copies in proportion to their size; only
-    lines that no leader settles are compared with all others of their tokens.
+    A line's tokens are its word shingles (``words`` words, lower-cased); lines with fewer words are
+    never compared. Similar: a Jaccard index of ``threshold`` or more. It does not matter whether the
+    earlier line is itself removed. Lines with equal words are merged first and stand for each other.
+    The join takes each line's rarest tokens (the prefix), and only those that several different lines
+    share. Each of these tokens has leaders, its earliest and its most copied lines: comparing all with
+    the leaders settles groups of near copies in proportion to their size; only lines that no leader
+    settles are compared with all others of their tokens.
     Null ids take the smallest place; tie is a hash of the text, for rows that share an id; repeated rows
     share a place and are judged alike. Null and empty texts have no lines to compare; an empty table
     gives an empty one; other columns are ignored.
     """
     base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
     lines = lines_of(base, words)
-    order = rarest_first(lines, words)
-    ranked = lines.select("id", "tie", "line", "sig", order.alias("tokens")).withColumn("n", F.size("tokens"))
-    prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-    kept = materialize(ranked.select("id", "tie", "line", "sig", "n", F.slice("tokens", 1, prefix).alias("prefix")), "lines")
+    kept = materialize(prefixes(lines, rarity_classes(base), threshold, words), "lines")
 
     firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"))
     firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies"), "firsts")
 
-    index = kept.select("sig", "n", F.posexplode("prefix").alias("at", "token"))
-    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
-    met = index.join(shared, "token").groupBy("token", "sig", "n", "at").agg(F.lit(1).alias("one")).drop("one")
+    index = kept.select("sig", "n", "marks0", "marks1", F.posexplode("prefix").alias("at", "token"))
+    shared = materialize(index.select("token", "sig").groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
+    met = index.join(shared, "token").groupBy("token", "sig", "n", "marks0", "marks1").agg(F.min("at").alias("at"))
     met = materialize(met.join(firsts, "sig"), "met")
 
-    leaders = met.groupBy("token").agg(F.min_by("sig", F.struct("first_id", "first_tie", "first_line")).alias("a"), F.max_by("sig", F.struct("copies", "sig")).alias("b"))
-    leaders = materialize(leaders.select("token", F.explode(F.array_distinct(F.array("a", "b"))).alias("leader")), "leaders")
-    led = materialize(met.join(leaders, ["token"]).where("sig = leader").select("token", "sig", "n", "at", "first_id", "first_tie", "first_line"), "led")
+    place = ["first_id", "first_tie", "first_line"]
+    top = W.partitionBy("token").orderBy(F.col("copies").desc(), *place)
+    copied = met.select("token", "sig", "copies", *place).withColumn("k", F.row_number().over(top)).where(F.col("k") <= LEADERS).select("token", "sig")
+    earliest = met.groupBy("token").agg(F.min_by("sig", F.struct(*place)).alias("sig"))
+    leaders = materialize(copied.unionByName(earliest).distinct(), "leaders")
+    led = materialize(met.join(leaders, ["token", "sig"]), "led")
 
     def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
-        on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & length_filter(threshold) & position_filter(threshold)
+        on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & filters(threshold)
         return x.alias("x").join(y.alias("y"), on).select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct()
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The x of pairs whose whole token sets are similar."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(firsts, "sig"), "needed")
-        wanted = Bitmap(needed, "sig")
-        sets = lines.where(wanted.has(F.col("sig"))).select("id", "tie", "line", "sig", shingles(words).alias("set"))
+        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig")
+        some = lines_of(base.where(in_doc.has(F.col("tie"))), words)
+        sets = some.where(wanted.has(F.col("sig"))).select("id", "tie", "line", "sig", shingles(words).alias("set"))
         same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = materialize(sets.alias("l").join(needed.alias("f"), same).select("l.sig", "l.set").dropDuplicates(["sig"]), "sets")
         both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
         common = F.size(F.array_intersect("set_x", "set_y"))
-        return both.where(common >= (F.size("set_x") + F.size("set_y") - common) * threshold - 1e-9).select("x").distinct()
+        out = materialize(both.where(common >= (F.size("set_x") + F.size("set_y") - common) * threshold - 1e-9).select("x").distinct(), "settled")
+        drop_materialized(needed, sets)
+        return out
 
     first_pairs = materialize(candidates(met, led), "pairs")
-    settled = materialize(similar(first_pairs), "settled")
+    settled = similar(first_pairs)
     left = met.join(settled, met["sig"] == settled["x"], "left_anti")
     more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
-    settled = materialize(settled.unionAll(similar(more_pairs)).distinct(), "settled")
+    more = similar(more_pairs)
 
-    marked = firsts.join(settled, firsts["sig"] == settled["x"], "left").select("sig", "first_id", "first_tie", "first_line", "copies", F.col("x").isNotNull().alias("later"))
+    later = settled.unionAll(more).distinct()
+    marked = firsts.join(later, firsts["sig"] == later["x"], "left").select("sig", *place, "copies", F.col("x").isNotNull().alias("later"))
     marked = materialize(marked.where("later or copies > 1"), "marked")
-    again = F.col("later") | (F.struct("id", "tie", "line") > F.struct("first_id", "first_tie", "first_line"))
+    again = F.col("later") | (F.struct("id", "tie", "line") > F.struct(*place))
     out = materialize(kept.select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line"), "removed")
-    drop_materialized(kept, firsts, shared, met, leaders, led, first_pairs, more_pairs, settled, marked)
+    drop_materialized(kept, firsts, shared, met, leaders, led, first_pairs, more_pairs, settled, more, marked)
     return out
 
 
 def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines in ``removed``; a document whose every line is removed goes with them."""
-    by_doc = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("removed_id"), F.col("tie").alias("removed_tie")).agg(F.collect_set("line").alias("removed_lines"))
-    at, tie = places(docs, id_col, text_col)
-    joined = docs.join(by_doc, (at == F.col("removed_id")) & (tie == F.col("removed_tie")), "left")
-    kept = F.filter(F.split(text_col, "\n"), lambda line, k: ~F.array_contains("removed_lines", k))
-    touched = F.col("removed_id").isNotNull()
-    changed = joined.withColumn("kept_lines", F.when(touched, kept)).where(~touched | (F.size("kept_lines") > 0))
-    text = F.when(touched, F.array_join("kept_lines", "\n")).otherwise(F.col(text_col))
-    return changed.withColumn(text_col, text).drop("removed_id", "removed_tie", "removed_lines", "kept_lines")
+    by_doc = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id"), "tie").agg(F.collect_set("line").alias("lines"))
+    # the document's own columns travel in a struct, so that none of their names can clash
+    rows = docs.select(*places(docs, id_col, text_col), F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"))
+    joined = rows.join(by_doc, ["id", "tie"], "left")
+    kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("lines", k))
+    changed = joined.select("row", "text", F.when(F.col("lines").isNotNull(), kept).alias("kept")).where("kept is null or size(kept) > 0")
+    text = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("text"))
+    return changed.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
