@@ -152,3 +152,31 @@ def window_counts(cells: DataFrame, length: int, step: int = 1) -> DataFrame:
     spread = flags.select(starts.alias("window_start"), "variable").where((F.col("window_start") - 1) % step == 0)
     sums = spread.groupBy("window_start").agg(F.sum("variable").alias("n_variable"))
     return sums.join(F.broadcast(last)).where(F.col("window_start") + length - 1 <= F.col("last")).select("window_start", "n_variable")
+
+
+def nonempty_taxa(cells: DataFrame) -> DataFrame:
+    """(taxon_id, n_known): taxa with a known state anywhere."""
+    return cells.groupBy("taxon_id").agg(F.sum(canonical("state").cast("int")).alias("n_known")).where("n_known > 0")
+
+
+AMBIGUITY = {"Y": "TC", "R": "AG", "M": "CA", "K": "TG", "W": "TA", "S": "CG", "B": "TCG", "D": "TAG", "H": "TCA", "V": "CAG"}
+
+
+def frequencies_by_em(cells: DataFrame, rounds: int = 20, least_change: float = 1e-8) -> list[float]:
+    """Frequencies of T, C, A and G where ambiguous states share out by the frequencies so far.
+
+    The cells are counted by Spark; what is left for the rounds is a row per letter.
+    """
+    counts = {r.state: r.n for r in cells.groupBy("state").agg(F.count("*").alias("n")).where(F.col("state").isin(*BASES, *AMBIGUITY)).collect()}
+    freqs = [0.25] * 4
+    for _ in range(rounds):
+        sums = [float(counts.get(b, 0)) for b in BASES]
+        for letter, bases in AMBIGUITY.items():
+            share = sum(freqs[BASES.index(b)] for b in bases)
+            for b in bases:
+                sums[BASES.index(b)] += counts.get(letter, 0) * freqs[BASES.index(b)] / share
+        new = [x / max(sum(sums), 1) for x in sums]
+        change, freqs = max(abs(a - b) for a, b in zip(new, freqs, strict=True)), new
+        if change < least_change:
+            break
+    return freqs

@@ -192,3 +192,100 @@ def simulate(sites: DataFrame, tree: str, length: float, kappa: float, seed: int
     tips = [n for n in nodes if not n.sons]
     cells = F.explode(F.array(*[F.struct(F.lit(int(n.name)).alias("taxon_id"), F.col(f"_s{n.node_id}").alias("state")) for n in tips]))
     return out.select("site", cells.alias("c")).select("c.taxon_id", "site", "c.state")
+
+
+def all_topologies(taxa: int) -> list[str]:
+    """Newick strings of all unrooted topologies, by adding one tip after the other to every branch."""
+    trees = [("1", "2", "3")]
+
+    def added(tree, tip):
+        if isinstance(tree, tuple):
+            for k, part in enumerate(tree):
+                for new in added(part, tip):
+                    yield (*tree[:k], new, *tree[k + 1 :])
+                yield (*tree[:k], (part, tip), *tree[k + 1 :])
+
+    for tip in range(4, taxa + 1):
+        trees = [new for tree in trees for new in added(tree, str(tip))]
+    text = lambda t: t if isinstance(t, str) else f"({','.join(map(text, t))})"
+    return [text(t) for t in trees]
+
+
+def parsimony_search(patterns: DataFrame, topologies: list[str]) -> DataFrame:
+    """(tree, score, best): the changes that each candidate needs over all patterns, scored side by side."""
+    found = None
+    for tree in topologies:
+        score = parsimony_changes(patterns, tree).agg(F.coalesce(F.sum(F.col("changes") * F.col("fpatt")), F.lit(0)).alias("score")).select(F.lit(tree).alias("tree"), "score")
+        found = score if found is None else found.unionAll(score)
+    least = found.agg(F.min("score").alias("least"))
+    return found.join(F.broadcast(least)).select("tree", "score", (F.col("score") == F.col("least")).alias("best"))
+
+
+def dating_chains(pairs: DataFrame, steps: int = 2000, burn_in: int = 500, shape: float = 2.0, rate: float = 10.0, seed: int = 1) -> DataFrame:
+    """(i, j, mean, sd, accepted): a Metropolis chain for the distance of each pair (i, j, n, differ), one group each.
+
+    The likelihood is that of JC69 for ``differ`` of ``n`` sites, the prior gamma. Chains are seeded by
+    their pair, so that a lost task gives the same again.
+    """
+
+    def chain(key, pdf):
+        i, j = key
+        n, differ = float(pdf["n"].sum()), float(pdf["differ"].sum())
+        rng = np.random.default_rng([seed, int(i), int(j)])
+
+        def ln_posterior(t: float) -> float:
+            p = 0.75 * -np.expm1(-4 * t / 3)
+            return differ * np.log(p) + (n - differ) * np.log1p(-p) + (shape - 1) * np.log(t) - rate * t
+
+        t, kept, accepted = 0.1, [], 0
+        now, width = ln_posterior(t), 0.2
+        for step in range(burn_in + steps):
+            factor = np.exp(width * (rng.random() - 0.5))
+            new = ln_posterior(t * factor)
+            if np.log(rng.random()) < new - now + np.log(factor):
+                t, now, accepted = t * factor, new, accepted + (step >= burn_in)
+            if step < burn_in and step % 50 == 49:
+                width *= 1.2 if accepted else 1.05
+            if step >= burn_in:
+                kept.append(t)
+        return pd.DataFrame({"i": [i], "j": [j], "mean": [np.mean(kept)], "sd": [np.std(kept)], "accepted": [accepted / steps]})
+
+    return pairs.groupBy("i", "j").applyInPandas(chain, "i int, j int, mean double, sd double, accepted double")
+
+
+def codon_pair_fits(pairs: DataFrame, code: str = "universal", rounds: int = 3) -> DataFrame:
+    """(i, j, lnl, t, kappa, omega): codon distances by likelihood of each pair (i, j, codon_a, codon_b, n), codons equally frequent."""
+    from cladeworks.functions.codons import CODONS, code_of
+
+    aa = code_of(code)
+    sense = [c for c in CODONS if aa[c] != "*"]
+    at = {c: k for k, c in enumerate(sense)}
+    steps = [(at[a], at[b], {a[k], b[k]} in ({"T", "C"}, {"A", "G"}), aa[a] == aa[b]) for a in sense for b in sense for k in [next((k for k in range(3) if a[k] != b[k]), 0)] if sum(x != y for x, y in zip(a, b, strict=True)) == 1]
+
+    def fit(key, pdf):
+        counts = np.zeros((len(sense), len(sense)))
+        for a, b, n in zip(pdf["codon_a"], pdf["codon_b"], pdf["n"], strict=True):
+            if a in at and b in at:
+                counts[at[a], at[b]] += n
+
+        def eigen(kappa, omega):
+            q = np.zeros_like(counts)
+            for x, y, transition, same in steps:
+                q[x, y] = (kappa if transition else 1) * (1 if same else omega)
+            np.fill_diagonal(q, -q.sum(1))
+            return np.linalg.eigh(q / -np.trace(q) * len(q))
+
+        def lnl(t, parts):
+            values, u = parts
+            p = (u * np.exp(values * t)) @ u.T / len(sense)
+            return float((counts * np.log(np.maximum(p, 1e-300))).sum())
+
+        t, kappa, omega = 0.5, 2.0, 0.5
+        for _ in range(rounds):
+            parts = eigen(kappa, omega)
+            t = golden(lambda x, parts=parts: lnl(x, parts), 1e-4, 20, 12)
+            kappa = golden(lambda x, t=t, omega=omega: lnl(t, eigen(x, omega)), 0.1, 50, 12)
+            omega = golden(lambda x, t=t, kappa=kappa: lnl(t, eigen(kappa, x)), 1e-3, 20, 12)
+        return pd.DataFrame({"i": [key[0]], "j": [key[1]], "lnl": [lnl(t, eigen(kappa, omega))], "t": [t], "kappa": [kappa], "omega": [omega]})
+
+    return pairs.groupBy("i", "j").applyInPandas(fit, "i int, j int, lnl double, t double, kappa double, omega double")

@@ -98,3 +98,29 @@ def selected_sites(posteriors: DataFrame, positive: Column) -> DataFrame:
     """(site, p, mark): sites whose classes with omega over 1 have over half; * over 0.95, ** over 0.99."""
     p = posteriors.groupBy("site").agg(F.sum(F.when(positive, F.col("posterior")).otherwise(0.0)).alias("p"))
     return p.where("p > 0.5").select("site", "p", F.when(F.col("p") > 0.99, "**").when(F.col("p") > 0.95, "*").otherwise("").alias("mark"))
+
+
+def tree_lnl(patterns_lnf: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, lnl): the sum of pattern counts times ln f; patterns that don't occur add nothing."""
+    return patterns_lnf.where("fpatt > 0").groupBy(*keys).agg(F.sum(F.col("fpatt") * F.col("lnf")).alias("lnl"))
+
+
+def power_posterior(samples: DataFrame) -> DataFrame:
+    """(model, ln_m): half the weighted sum of mean log-likelihoods over the points of a quadrature (model, point, weight, lnl)."""
+    means = samples.groupBy("model", "point").agg(F.avg("lnl").alias("mean"), F.first("weight").alias("weight"))
+    return means.groupBy("model").agg((F.sum(F.col("weight") * F.col("mean")) / 2).alias("ln_m"))
+
+
+def quadratic_lnl(rows: DataFrame, gradient: list[float], hessian: list[list[float]]) -> DataFrame:
+    """Add ``lnl``: z g + z H z / 2 for the vectors ``z``."""
+    z = [F.get("z", F.lit(k)) for k in range(len(gradient))]
+    linear = sum((x * g for x, g in zip(z, gradient, strict=True)), F.lit(0.0))
+    square = sum((z[i] * z[j] * hessian[i][j] for i in range(len(z)) for j in range(len(z))), F.lit(0.0))
+    return rows.withColumn("lnl", linear + square / 2)
+
+
+def trait_contrasts(pairs: DataFrame) -> DataFrame:
+    """(node_id, ln_density) of two sons' trait vectors x1 and x2 at distances v1 and v2."""
+    m, v = F.size("x1"), F.col("v1") + F.col("v2")
+    squares = F.aggregate(F.zip_with("x1", "x2", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    return pairs.select("node_id", (-0.5 * m * F.log(2 * F.lit(3.141592653589793) * v) - squares / (2 * v)).alias("ln_density"))

@@ -100,3 +100,29 @@ def tip_dates(names: DataFrame, unit: float) -> DataFrame:
     dated = names.withColumn("date", date)
     youngest = dated.agg(F.max("date").alias("youngest"))
     return dated.join(F.broadcast(youngest)).select("name", (F.datediff("youngest", "date") / unit).alias("age"))
+
+
+def induced_subtree(nodes: DataFrame, paths: DataFrame, tips: DataFrame) -> DataFrame:
+    """(node_id, father_id, branch_length) of the tree that is left of some tips (node_id): nodes with one son are merged away, their lengths added up.
+
+    No contraction step by step: a kept node's father is its nearest kept ancestor, and the closure has the length.
+    """
+    up = paths.join(tips.select("node_id"), "node_id", "left_semi")
+    below = up.where("steps > 0").select(F.col("ancestor_id").alias("node_id")).distinct()
+    alive = below.unionAll(tips.select("node_id")).distinct()
+    sons = nodes.join(alive, "node_id").groupBy(F.col("father_id").alias("node_id")).agg(F.count("*").alias("sons"))
+    kept = sons.where("sons > 1").select("node_id").unionAll(tips.select("node_id")).distinct()
+    chain = paths.where("steps > 0").join(kept, "node_id", "left_semi").join(kept.select(F.col("node_id").alias("ancestor_id")), "ancestor_id", "left_semi")
+    nearest = chain.groupBy("node_id").agg(F.min(F.struct("steps", "ancestor_id", "length")).alias("f"))
+    return kept.join(nearest, "node_id", "left").select("node_id", F.col("f.ancestor_id").alias("father_id"), F.col("f.length").alias("branch_length"))
+
+
+def nearest_labels(paths: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node_id, label): clade labels (node_id, label) passed down; the nearest ancestor's, or the own, wins."""
+    met = paths.join(labels.select(F.col("node_id").alias("ancestor_id"), "label"), "ancestor_id")
+    return met.groupBy("node_id").agg(F.min_by("label", "steps").alias("label"))
+
+
+def age_ranks(ages: DataFrame) -> DataFrame:
+    """(tree_id, node_id, rank): nodes numbered by falling age within their tree."""
+    return ages.select("tree_id", "node_id", F.dense_rank().over(W.partitionBy("tree_id").orderBy(F.col("age").desc())).alias("rank"))

@@ -484,3 +484,82 @@ def _(s, d):
 @query("simulated_alignment", None)
 def _(s, d):
     return fitting.simulate(ad.alignment(s, d).select("site").distinct(), TREE, 0.05, kappa=2.0)
+
+
+# Further summaries
+
+
+@query("nonempty_taxa", f"WITH {v.ALIGNMENT} SELECT taxon_id, count(*) AS n_known FROM alignment WHERE state <> '-' GROUP BY 1")
+def _(s, d):
+    return al.nonempty_taxa(ad.alignment(s, d))
+
+
+@query("induced_subtree", f"""WITH {v.PATHS}, tips AS (SELECT node_id FROM nodes WHERE is_tip AND node_id % 7 = 0), alive AS (SELECT DISTINCT ancestor_id AS node_id FROM paths WHERE node_id IN (SELECT node_id FROM tips)),
+  kept AS (SELECT father_id AS node_id FROM nodes JOIN alive USING (node_id) WHERE father_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1 UNION SELECT node_id FROM tips),
+  up AS (SELECT p.node_id, p.ancestor_id, p.length, row_number() OVER (PARTITION BY p.node_id ORDER BY steps) AS k FROM paths p JOIN kept a ON a.node_id = p.node_id JOIN kept b ON b.node_id = p.ancestor_id WHERE steps > 0)
+  SELECT kept.node_id, ancestor_id AS father_id, round(length, 6) + 0.0 AS branch_length FROM kept LEFT JOIN up ON up.node_id = kept.node_id AND k = 1""")
+def _(s, d):
+    nodes = ad.tree_nodes(s, d)
+    out = trees.induced_subtree(nodes, trees.closure(nodes), nodes.where("is_tip and node_id % 7 = 0").select("node_id"))
+    return out.withColumn("branch_length", rounded("branch_length"))
+
+
+@query("nearest_clade_label", f"WITH {v.PATHS}, labels AS (SELECT node_id, node_id % 4 AS label FROM nodes WHERE NOT is_tip AND (node_id < 100 OR node_id % 3 = 0)), m AS (SELECT p.node_id, label, row_number() OVER (PARTITION BY p.node_id ORDER BY steps) AS k FROM paths p JOIN labels l ON l.node_id = p.ancestor_id) SELECT node_id, label FROM m WHERE k = 1")
+def _(s, d):
+    nodes = ad.tree_nodes(s, d)
+    labels = nodes.where("not is_tip and (node_id < 100 or node_id % 3 = 0)").select("node_id", (F.col("node_id") % 4).alias("label"))
+    return trees.nearest_labels(trees.closure(nodes), labels)
+
+
+@query("age_ranks", "SELECT o_custkey AS tree_id, o_orderkey AS node_id, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS rank FROM orders")
+def _(s, d):
+    ages = ad.table(s, d, "orders").select(F.col("o_custkey").alias("tree_id"), F.col("o_orderkey").alias("node_id"), F.col("o_totalprice").alias("age"))
+    return trees.age_ranks(ages)
+
+
+@query("tree_lnl", "SELECT o_orderkey % 3 AS tree_id, round(sum((o_custkey % 5) * -ln(1 + o_totalprice / 1000)), 4) + 0.0 AS lnl FROM orders WHERE o_custkey % 5 > 0 GROUP BY 1")
+def _(s, d):
+    rows = ad.table(s, d, "orders").select((F.col("o_orderkey") % 3).alias("tree_id"), (F.col("o_custkey") % 5).alias("fpatt"), (-F.log1p(F.col("o_totalprice") / 1000)).alias("lnf"))
+    return samples.tree_lnl(rows, "tree_id").withColumn("lnl", rounded("lnl", 4))
+
+
+@query("power_posterior", "WITH m AS (SELECT o_orderstatus AS model, o_orderpriority AS point, avg(-o_totalprice / 1e5) AS mean FROM orders GROUP BY 1, 2) SELECT model, round(sum(CAST(substr(point, 1, 1) AS INT) / 15.0 * mean) / 2, 6) + 0.0 AS ln_m FROM m GROUP BY model")
+def _(s, d):
+    rows = ad.table(s, d, "orders").select(F.col("o_orderstatus").alias("model"), F.col("o_orderpriority").alias("point"), (F.substring("o_orderpriority", 1, 1).cast("int") / 15.0).alias("weight"), (-F.col("o_totalprice") / 1e5).alias("lnl"))
+    return samples.power_posterior(rows).withColumn("ln_m", rounded("ln_m"))
+
+
+@query("quadratic_lnl", "SELECT vec_id, round(z1 * 1.5 - z2 * 0.5 + (-2.0 * z1 * z1 + 2 * 0.25 * z1 * z2 - 1.0 * z2 * z2) / 2, 6) + 0.0 AS lnl FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS z1, CAST(embedding[2] AS DOUBLE) AS z2 FROM embeddings)")
+def _(s, d):
+    rows = ad.table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("z"))
+    return samples.quadratic_lnl(rows, [1.5, -0.5], [[-2.0, 0.25], [0.25, -1.0]]).select("vec_id", rounded("lnl").alias("lnl"))
+
+
+@query("trait_contrasts", """WITH p AS (SELECT a.vec_id // 2 AS node_id, a.embedding AS x, b.embedding AS y, 0.1 * (a.label + 1) + 0.1 * (b.label + 1) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0)
+  SELECT node_id, round(-0.5 * len(x) * ln(2 * pi() * v) - list_sum(list_transform(list_zip(x, y), lambda z: pow(CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE), 2))) / (2 * v), 5) + 0.0 AS ln_density FROM p""")
+def _(s, d):
+    rows = ad.table(s, d, "embeddings").select(F.expr("vec_id div 2").alias("node_id"), (F.col("vec_id") % 2).alias("side"), F.col("embedding").cast("array<double>").alias("x"), (0.1 * (F.col("label") + 1)).alias("v"))
+    one = lambda k: rows.where(F.col("side") == k).select("node_id", F.col("x").alias(f"x{k + 1}"), F.col("v").alias(f"v{k + 1}"))
+    return samples.trait_contrasts(one(0).join(one(1), "node_id")).withColumn("ln_density", rounded("ln_density", 5))
+
+
+@query("state_freq_em", None)
+def _(s, d):
+    freqs = al.frequencies_by_em(ad.alignment(s, d).withColumn("state", F.when(F.col("site") % 11 == 0, F.translate("state", "TA", "YR")).otherwise(F.col("state"))))
+    return s.createDataFrame(list(zip("TCAG", freqs, strict=True)), "state string, freq double")
+
+
+@query("parsimony_search", None)
+def _(s, d):
+    return fitting.parsimony_search(patterns(s, d), fitting.all_topologies(5))
+
+
+@query("dating_chains", None)
+def _(s, d):
+    pairs = pairwise.pair_counts(patterns(s, d)).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("a") != F.col("b"), F.col("n")).otherwise(0)).alias("differ"))
+    return fitting.dating_chains(pairs)
+
+
+@query("codon_pair_fits", None)
+def _(s, d):
+    return fitting.codon_pair_fits(pairwise.codon_pairs(codon_rows(s, d)))
