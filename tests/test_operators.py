@@ -217,3 +217,36 @@ def test_alignment_files(spark, tmp_path):
     assert read.count() == 16
     assert phylip_lines(read.withColumn("dataset_id", F.lit(1))).first().text == "2 8\none  TTCAGG-A\ntwo  TTTAGG-C"
     assert parse_control("seqfile = a.nuc * data\n# none\nmodel = 4\n") == {"seqfile": "a.nuc", "model": "4"}
+
+
+def test_topologies(spark):
+    assert [len(fitting.all_topologies(n)) for n in (3, 4, 5)] == [1, 3, 15]
+    patterns = spark.createDataFrame([("TTCCA", 4), ("TTTTT", 9)], "pattern string, fpatt long")
+    best = [r.tree for r in fitting.parsimony_search(patterns, fitting.all_topologies(4)).collect() if r.best]
+    assert best == ["((1,2),3,4)"] or best == ["(1,2,(3,4))"] or len(best) == 1
+
+
+def test_induced_subtree(spark):
+    rows = tree_rows(spark.createDataFrame([(1, "(((a:1,b:2):3,c:4):5,d:6);")], "tree_id int, newick string")).drop("tree_id").withColumn("branch_length", F.coalesce("branch_length", F.lit(0.0)))
+    ids = {r["name"]: r.node_id for r in rows.collect() if r["name"]}
+    tips = spark.createDataFrame([(ids[k],) for k in "acd"], "node_id int")
+    got = {r.node_id: (r.father_id, r.branch_length) for r in trees.induced_subtree(rows, trees.closure(rows), tips).collect()}
+    assert got[ids["a"]][1] == 4.0 and got[ids["c"]][1] == 4.0 and got[ids["d"]] == (0, 6.0) and got[0] == (None, None) and len(got) == 5
+
+
+def test_em_frequencies(spark):
+    rows = cells(spark, ["TTTTCCAG", "YYYYRRRR"])
+    freqs = al.frequencies_by_em(rows, rounds=200)
+    assert sum(freqs) == pytest.approx(1) and freqs[0] / freqs[1] == pytest.approx(2, abs=1e-5)
+
+
+def test_dating_chain(spark):
+    pairs = spark.createDataFrame([(2, 1, 5000, 400)], "i int, j int, n long, differ long")
+    a, b = (fitting.dating_chains(pairs).first() for _ in range(2))
+    assert a == b and a["mean"] == pytest.approx(-0.75 * log(1 - 0.08 * 4 / 3), rel=0.03) and 0.05 < a.accepted < 0.95
+
+
+def test_codon_pair_fit(spark):
+    pairs = spark.createDataFrame([(2, 1, c, c, 40) for c in ("TTT", "GGC", "AAA", "CTG")] + [(2, 1, "TTT", "TTC", 6), (2, 1, "GGC", "GGT", 5), (2, 1, "AAA", "AAC", 1)], "i int, j int, codon_a string, codon_b string, n long")
+    r = fitting.codon_pair_fits(pairs).first()
+    assert r.omega < 0.5 and r.kappa > 2 and 0 < r.t < 1
