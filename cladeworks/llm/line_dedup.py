@@ -106,12 +106,13 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     lines = lines_of(base, words)
     kept = materialize(prefixes(lines, rarity_classes(base), threshold, words), "lines")
 
-    firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"))
-    firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies"), "firsts")
+    facts = ["n", "marks0", "marks1"]
+    firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"), *[F.min(c).alias(c) for c in facts])
+    firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies", *facts), "firsts")
 
-    index = kept.select("sig", "n", "marks0", "marks1", F.posexplode("prefix").alias("at", "token"))
-    shared = materialize(index.select("token", "sig").groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
-    met = index.join(shared, "token").groupBy("token", "sig", "n", "marks0", "marks1").agg(F.min("at").alias("at"))
+    index = kept.select("sig", F.posexplode("prefix").alias("at", "token"))
+    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
+    met = index.join(shared, "token").groupBy("token", "sig").agg(F.min("at").alias("at"))
     met = materialize(met.join(firsts, "sig"), "met")
 
     place = ["first_id", "first_tie", "first_line"]
