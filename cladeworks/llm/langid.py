@@ -25,11 +25,15 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_words(docs: DataFrame, docs_per_language: int, words_per_doc: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """(label, words): at most ``docs_per_language`` rows a language, and of each so many distinct words, both by hash order."""
+    """(label, words): about ``docs_per_language`` rows a language at most, and of each so many distinct words, both by hash order."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[label_col].alias("label")).where(~held_out() & F.col("label").isNotNull() & F.col("text").isNotNull())
     rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    # hashes are even: a bound on them leaves a few times as many rows of each language, however many there are
+    sizes = docs.where(docs[label_col].isNotNull()).groupBy(docs[label_col].alias("label")).agg(F.count("*").alias("n"))
+    bound = F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.col("n")) * 2.0**64 - 2.0**63
+    few = rows.select("label", "h").join(sizes, "label").where(F.col("h").cast("double") <= bound).select("label", "h")
     # only hashes are ranked; the texts stay where they are
-    last = rows.select("label", "h").withColumn("k", F.row_number().over(W.partitionBy("label").orderBy("h"))).where(F.col("k") <= docs_per_language)
+    last = few.withColumn("k", F.row_number().over(W.partitionBy("label").orderBy("h"))).where(F.col("k") <= docs_per_language)
     last = last.groupBy("label").agg(F.max("h").alias("last"))
     words = F.transform(F.array_distinct(F.split("text", ASCII_SPACE)), lambda w: F.struct(F.xxhash64(w).alias("h"), F.substring(w, 1, 64).alias("w")))
     some = rows.join(last, "label").where("h <= last").select("label", F.slice(F.array_sort(words), 1, words_per_doc)["w"].alias("words"))
