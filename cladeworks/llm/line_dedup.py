@@ -14,7 +14,7 @@ from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, r
 RARITY_BITS = 16
 RARITY_MASK = (1 << RARITY_BITS) - 1
 #: How many of a token's most copied lines lead, beside its earliest.
-LEADERS = 3
+LEADERS = 2
 
 
 def lines_of(docs: DataFrame, words: int) -> DataFrame:
@@ -79,13 +79,17 @@ def earlier(a: str, b: str) -> Column:
     return place(a) < place(b)
 
 
+def apart() -> Column:
+    """Bits that only one of two lines has: each stands for a token that only one has."""
+    return sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("marks0", "marks1")), F.lit(0))
+
+
 def filters(threshold: float) -> Column:
-    """Length; position (counting from the first token that both have, what is left must suffice); and marks: bits that only one has stand for as many tokens that only one has."""
+    """Length; position (counting from the first token that both have, what is left must suffice); and marks."""
     n, m = F.col("x.n"), F.col("y.n")
     length = F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9
     position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - 1e-9
-    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("marks0", "marks1")), F.lit(0))
-    return length & position & (apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9)
+    return length & position & (apart() <= (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9)
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,8 +100,8 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     earlier line is itself removed. Lines with equal words are merged first and stand for each other.
     The join takes each line's rarest tokens (the prefix), and only those that several different lines
     share. Each of these tokens has leaders, its earliest and its most copied lines: comparing all with
-    the leaders settles groups of near copies in proportion to their size; only lines that no leader
-    settles are compared with all others of their tokens.
+    the nearest of their leaders settles groups of near copies in proportion to their size; only lines
+    that it does not settle are compared with all others of their tokens.
     Null ids take the smallest place; tie is a hash of the text, for rows that share an id; repeated rows
     share a place and are judged alike. Null and empty texts have no lines to compare; an empty table
     gives an empty one; other columns are ignored.
@@ -124,7 +128,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
 
     def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
         on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & filters(threshold)
-        return x.alias("x").join(y.alias("y"), on).select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct()
+        return x.alias("x").join(y.alias("y"), on).select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y"), apart().alias("apart")).distinct()
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The x of pairs whose whole token sets are similar."""
@@ -140,10 +144,12 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
         drop_materialized(needed, sets)
         return out
 
-    first_pairs = materialize(candidates(met, led), "pairs")
+    # of a line's leaders the one that its marks are nearest to
+    nearest = candidates(met, led).groupBy("x").agg(F.min(F.struct("apart", "y")).alias("best"))
+    first_pairs = materialize(nearest.select("x", F.col("best.y").alias("y")), "pairs")
     settled = similar(first_pairs)
     left = met.join(settled, met["sig"] == settled["x"], "left_anti")
-    more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
+    more_pairs = materialize(candidates(left, met).drop("apart").join(first_pairs, ["x", "y"], "left_anti"), "pairs")
     more = similar(more_pairs)
 
     later = settled.unionAll(more).distinct()
