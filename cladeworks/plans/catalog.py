@@ -215,11 +215,11 @@ def _(s, d):
     return trees.tip_sets(nodes, trees.closure(nodes))
 
 
-@query("branch_length_from_age", f"WITH {v.TREE}, ages AS (SELECT node_id, CASE WHEN is_tip THEN branch_length ELSE 10.0 - father_id * 0.01 END AS age FROM nodes WHERE father_id IS NOT NULL UNION ALL SELECT 0, 20.0) SELECT n.node_id, round((f.age - o.age) * 0.5, 6) + 0.0 AS branch_length FROM nodes n JOIN ages o ON o.node_id = n.node_id JOIN ages f ON f.node_id = n.father_id")
+@query("branch_length_from_age", f"WITH {v.TREE}, ages AS (SELECT node_id, CASE WHEN is_tip THEN branch_length ELSE 10.0 - father_id * 0.01 END AS age FROM nodes WHERE father_id IS NOT NULL UNION ALL SELECT 0, 20.0) SELECT n.node_id, round(CAST((f.age - o.age) AS DOUBLE) * 0.5, 8) + 0.0 AS branch_length FROM nodes n JOIN ages o ON o.node_id = n.node_id JOIN ages f ON f.node_id = n.father_id")
 def _(s, d):
     nodes = ad.tree_nodes(s, d)
     age = F.when(F.col("father_id").isNull(), 20.0).when(F.col("is_tip"), F.col("branch_length")).otherwise(10.0 - F.col("father_id") * 0.01)
-    return trees.branch_lengths_from_ages(nodes, nodes.select("node_id", age.alias("age")), F.lit(0.5)).withColumn("branch_length", rounded("branch_length"))
+    return trees.branch_lengths_from_ages(nodes, nodes.select("node_id", age.alias("age")), F.lit(0.5)).withColumn("branch_length", rounded("branch_length", 8))
 
 
 @query("tree_splits", f"WITH {v.SPLITS} SELECT tree_id, split FROM splits")
