@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache, reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +11,14 @@ from pyspark.sql import functions as F
 
 from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
-from cladeworks.llm.imagekernels import TURNS, multiscale, resized
+from cladeworks.llm.imagekernels import TESTS, TURNS, multiscale, resized
 
 TOGETHER = 128
+#: Hamming tables, and bits of a descriptor in the key of each.
+TABLES, SAMPLE = 16, 24
 
 
-def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 64, shades: int = 64) -> DataFrame:
+def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 96, shades: int = 64) -> DataFrame:
     """(id, height, width, pixels): each vector's values as a square grey image, smoothly enlarged.
 
     A stand-in for a media column, since the tables hold no images. Values are scaled to the vector's
@@ -62,65 +66,70 @@ def descriptors(images: DataFrame, most: int, levels: int) -> DataFrame:
     return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {kind}, y float, x float, level int, turn int, w0 long, w1 long, w2 long, w3 long")
 
 
+@lru_cache(maxsize=1)
+def samples() -> list[list[int]]:
+    """TABLES masks over the words of a descriptor, each of four signed longs with SAMPLE bits set altogether."""
+    rng, out = np.random.default_rng(41), []
+    for _ in range(TABLES):
+        bits = np.zeros(TESTS, np.uint8)
+        bits[rng.permutation(TESTS)[:SAMPLE]] = 1
+        out.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
+    return out
+
+
 def consensus(met: DataFrame, votes: int, cell: float) -> DataFrame:
     """(a, b): pairs of which ``votes`` or more corners agree on one turn, scale and shift.
 
     Each match votes for the two nearest steps of the turn and of the shift along either axis, so that
-    no border parts votes that are close.
+    no border parts votes that are close. A pair's matches are gathered once (as many as two images have
+    pairs of corners, at most), and all later groups are within the pair.
     """
-    met = materialize(met, "met")
-    enough = materialize(met.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= votes).select("a", "b"), "enough")
     two = lambda c: F.explode(F.array(F.floor(F.col(c) / cell), F.floor(F.col(c) / cell + 0.5) + 1_000_000))
-    ballots = met.join(enough, ["a", "b"]).withColumn("cell_y", two("dy")).withColumn("cell_x", two("dx"))
+    matches = met.groupBy("a", "b").agg(F.collect_list(F.struct("zoom", "turn", "corner", "dy", "dx")).alias("matches"))
+    ballots = matches.where(F.size("matches") >= votes).select("a", "b", F.inline("matches")).withColumn("cell_y", two("dy")).withColumn("cell_x", two("dx"))
     ballots = ballots.withColumn("around", F.explode(F.array("turn", F.pmod(F.col("turn") + 1, F.lit(TURNS)))))
     ballot = ["a", "b", "zoom", "around", "cell_y", "cell_x"]
     agreed = ballots.groupBy(*ballot, "corner").agg(F.lit(1)).groupBy(*ballot).agg(F.count("*").alias("n"))
-    out = materialize(agreed.where(F.col("n") >= votes).select("a", "b").distinct(), "links")
-    drop_materialized(met, enough)
-    return out
+    return materialize(agreed.where(F.col("n") >= votes).select("a", "b").distinct(), "links")
 
 
 def copy_links(found: DataFrame, bits: int, votes: int, cell: float, step: float = 1.5) -> DataFrame:
-    """(a, b): links between images that keep the groups of copies together.
+    """(a, b): all links between images, each once, a < b.
 
-    Descriptors meet in four Hamming tables, one for each 64-bit word that is equal; up to ``bits`` of
-    the 256 may differ (pairs with up to 3 meet for sure, and copies share many corners). In each bucket
-    of a table the smallest image leads. First all are held against their leaders, in proportion to the
-    bucket; then those that a leader doesn't settle are held against all others of the bucket.
+    Descriptors meet in TABLES Hamming tables, each keyed by SAMPLE bits of the 256; up to ``bits`` of
+    the 256 may differ. With evenly spread flips a pair of corners meets with probability 0.97 at 16
+    differing bits and 0.43 at 32, and a copy has many more corners than it needs. All that meet
+    are compared: a leader in place of a bucket's others would lose links.
     """
     words = ["w0", "w1", "w2", "w3"]
-    keyed = found.select("*", F.posexplode(F.array(*words)).alias("table", "key"))
-    common = keyed.groupBy("table", "key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
+    keys = [F.xxhash64(*[F.col(w).bitwiseAND(F.lit(m)) for w, m in zip(words, mask, strict=True)]) for mask in samples()]
+    keyed = found.select("*", F.posexplode(F.array(*keys)).alias("table", "key"))
+    common = keyed.groupBy("table", "key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("table", "key")
     keyed = materialize(keyed.join(common, ["table", "key"]), "keyed")
-
-    def matches(a: DataFrame, b: DataFrame) -> DataFrame:
-        a, b = a.alias("a"), b.alias("b")
-        apart = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words), F.lit(0))
-        on = (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")) & (apart <= bits)
-        flat = a.join(b, on).select(*[F.when(F.col("a.id") < F.col("b.id"), F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(f"{c}_a") for c in ("id", "y", "x", "level", "turn")],
-            *[F.when(F.col("a.id") < F.col("b.id"), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(f"{c}_b") for c in ("id", "y", "x", "level", "turn")])
-        flat = flat.distinct()  # a pair of corners may meet in several tables, and from either side
-        scale = F.pow(F.lit(step), F.col("level_a") - F.col("level_b"))
-        turn = F.pmod(F.col("turn_a") - F.col("turn_b"), F.lit(TURNS))
-        angle = turn * (2 * np.pi / TURNS)
-        dy = F.col("y_a") - scale * (F.col("y_b") * F.cos(angle) + F.col("x_b") * F.sin(angle))
-        dx = F.col("x_a") - scale * (F.col("x_b") * F.cos(angle) - F.col("y_b") * F.sin(angle))
-        return flat.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.col("level_a") - F.col("level_b")).alias("zoom"), turn.alias("turn"), F.struct("y_a", "x_a").alias("corner"), dy.alias("dy"), dx.alias("dx"))
-
-    led = consensus(matches(keyed.where("id = leader"), keyed), votes, cell)
-    settled = led.select(F.col("a").alias("leader"), F.col("b").alias("id"))
-    left = keyed.where("id <> leader").join(settled, ["leader", "id"], "left_anti")
-    more = consensus(matches(left, keyed), votes, cell)
+    a, b = keyed.alias("a"), keyed.alias("b")
+    differ = [F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}")) for w in words]
+    apart = sum((F.bit_count(d) for d in differ), F.lit(0))
+    equal = [reduce(lambda x, y: x.bitwiseOR(y), [d.bitwiseAND(F.lit(m)) for d, m in zip(differ, mask, strict=True)]) == 0 for mask in samples()]
+    # a pair of corners counts in the first table in which it meets
+    first = F.coalesce(*[F.when(e, k) for k, e in enumerate(equal)])
+    on = (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (apart <= bits) & (F.col("a.table") == first)
+    scale = F.pow(F.lit(step), F.col("a.level") - F.col("b.level"))
+    turn = F.pmod(F.col("a.turn") - F.col("b.turn"), F.lit(TURNS))
+    angle = turn * (2 * np.pi / TURNS)
+    dy = F.col("a.y") - scale * (F.col("b.y") * F.cos(angle) + F.col("b.x") * F.sin(angle))
+    dx = F.col("a.x") - scale * (F.col("b.x") * F.cos(angle) - F.col("b.y") * F.sin(angle))
+    met = a.join(b, on).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.level") - F.col("b.level")).alias("zoom"), turn.alias("turn"), F.struct("a.y", "a.x").alias("corner"), dy.alias("dy"), dx.alias("dx"))
+    links = consensus(met, votes, cell)
     drop_materialized(keyed)
-    return led.unionAll(more).distinct()
+    return links
 
 
 def image_copies(images: DataFrame, most: int = 24, levels: int = 3, bits: int = 32, votes: int = 4, cell: float = 12.0, id_col: str = "id") -> DataFrame:
-    """(id, n_others, component): groups of copies among images (id, height, width, pixels: bytes of grey values).
+    """(id, n_links, n_others, component): groups of copies among images (id, height, width, pixels: bytes of grey values).
 
-    Images of equal pixels are merged first and represented by the smallest id. The component is the
-    smallest id reachable over links between images with a geometrically consistent set of matching
-    corners; n_others counts the other different images in it. Null pixels, wrong sizes and images without
+    Images of equal pixels are merged first and represented by the smallest id. n_links counts the other
+    different images with a geometrically consistent set of matching corners; the component is the
+    smallest id reachable over such links, and n_others counts the other different images in it. Null pixels, wrong sizes and images without
     corners have no links; a null id is kept, without links; repeated rows are kept; an empty table gives
     an empty one.
     """
@@ -129,15 +138,17 @@ def image_copies(images: DataFrame, most: int = 24, levels: int = 3, bits: int =
     alike = lambda a, b: (F.col(f"{a}.digest") == F.col(f"{b}.digest")) & F.col(f"{a}.height").eqNullSafe(F.col(f"{b}.height")) & F.col(f"{a}.width").eqNullSafe(F.col(f"{b}.width"))
     leaders = rows.alias("r").join(same.alias("s"), alike("r", "s") & (F.col("r.id") == F.col("s.first"))).select("id", "r.height", "r.width", "pixels").dropDuplicates(["id"])
     found = materialize(descriptors(leaders, most, levels), "descriptors")
-    parts = materialize(connected_components(copy_links(found, bits, votes, cell)), "parts")
+    links = copy_links(found, bits, votes, cell)
+    parts = materialize(connected_components(links), "parts")
+    linked = links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     sizes = parts.groupBy("component").agg((F.count("*") - 1).alias("n_others"))
     placed = parts.join(sizes, "component").withColumnRenamed("node", "first")
-    named = materialize(same.join(placed, "first", "left").select("digest", "height", "width", F.coalesce("n_others", F.lit(0)).alias("n_others"), F.coalesce("component", "first").alias("component")), "classes")
+    named = materialize(same.join(placed, "first", "left").join(linked, "first", "left").select("digest", "height", "width", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_others", F.lit(0)).alias("n_others"), F.coalesce("component", "first").alias("component")), "classes")
     out = rows.drop("pixels").alias("r").join(named.alias("n"), alike("r", "n"), "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_others", F.lit(0)).cast("long").alias("n_others"), F.coalesce("component", "id").alias("component"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_others", F.lit(0)).cast("long").alias("n_others"), F.coalesce("component", "id").alias("component"))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The images are rendered from ``embeddings``."""
     images = vector_images(read_table(spark, sf_dir, "embeddings"))
-    return image_copies(images, id_col="vec_id").select("vec_id", "n_others", F.col("component").alias("component_id"))
+    return image_copies(images, id_col="vec_id").select("vec_id", "n_links", "n_others", F.col("component").alias("component_id"))

@@ -191,6 +191,21 @@ def test_image_copies(spark):
     assert {r.vec_id: r.pixels is None for r in vector_images(vectors).collect()} == {1: False, 2: True, 3: True, 4: False}
 
 
+def test_image_copies_under_noise(spark):
+    """Rendered images under noise that leaves no 64-bit word of a descriptor as it was; each link is counted."""
+    rng = np.random.default_rng(7)
+    vectors = spark.createDataFrame([(i, rng.normal(0, 1, 64).tolist()) for i in range(20)], "vec_id long, embedding array<double>")
+    rows = [tuple(r) for r in vector_images(vectors).collect()]
+    for i, h, w, pixels in rows[:20]:
+        for k in (1, 2):
+            noisy = np.frombuffer(pixels, np.uint8) + rng.normal(0, 6, h * w)
+            rows.append((100 * k + i, h, w, bytearray(np.rint(np.clip(noisy, 0, 255)).astype(np.uint8).tobytes())))
+    got = {r.id: r for r in image_copies(spark.createDataFrame(rows, "id long, height int, width int, pixels binary")).collect()}
+    assert sum(got[100 * k + i].component == i for k in (1, 2) for i in range(20)) >= 36
+    assert all(got[i].component == i and got[i].n_others <= 2 for i in range(20))
+    assert sum(got[i].n_links for i in got) >= 3 * 36 and max(r.n_links for r in got.values()) == 2
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 
