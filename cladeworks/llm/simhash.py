@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.common import materialize, read_table
+from cladeworks.llm.bitmaps import Bitmap
+from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
-from cladeworks.llm.textkernels import U, fingerprints
+from cladeworks.llm.textkernels import U, fingerprints, shingle_sets
 
-#: Bytes of text whose shingles are hashed together.
-TOGETHER = 1 << 20
+#: Bytes of text whose shingles are hashed together, and the most texts.
+TOGETHER, MOST_TEXTS = 1 << 20, 4096
+#: Bits of the marks of a token set.
+MARKS = 512
 # Fixed value: a generator polynomial of the binary (23, 12) Golay code.
 GENERATOR = 0xC75
 #: (first bit, bits) of the segments; each is a 23-bit word with zeros above.
@@ -132,6 +135,100 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "print").select(F.col("id").alias(id_col), "print", "component")
 
 
+def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) -> DataFrame:
+    """(id, key, sig, n, marks, tokens) of rows (id, key, text): sig stands for the set of n word shingles.
+
+    marks: MARKS bits, each the parity of the tokens that fall on it; where two sets differ in a bit,
+    at least one token is in only one of them.
+
+    tokens: the set in order of hashes, or with a ``similarity`` only so many of the smallest that two
+    sets as similar as that share one of them.
+    """
+    kind = keyed.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            some, size, begin = [], 0, 0
+            for k, text in enumerate(batch.column(2)):
+                some.append((text.as_py() or "").encode())
+                size += len(some[-1])
+                if size >= TOGETHER or len(some) == MOST_TEXTS or k == batch.num_rows - 1:
+                    sums, tokens, first = shingle_sets(some, width)
+                    n = np.diff(first)
+                    parity = np.bincount(np.repeat(np.arange(len(n)), n) * MARKS + (tokens & U(MARKS - 1)).astype(np.int64), minlength=len(n) * MARKS) & 1
+                    marks = np.packbits(parity.astype(np.uint8)).view(np.int64)
+                    if similarity is not None:
+                        need = np.minimum(n, n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
+                        tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
+                        first = np.concatenate([[0], np.cumsum(need)])
+                    lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
+                    own = batch.slice(begin, len(some))
+                    bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (MARKS // 64)), pa.array(marks))
+                    yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), bits, lists], ["id", "key", "sig", "n", "marks", "tokens"])
+                    some, size, begin = [], 0, k + 1
+
+    return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, marks array<long>, tokens array<long>")
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component): rows linked, directly or through others, by a Jaccard index of ``similarity`` or more.
+
+    A row's tokens are its word shingles (``width`` words, A-Z lower-cased; fewer words: the whole
+    sequence). The join is exact: rows with equal sets are merged, sets meet in the smallest hashes of
+    each (the prefix), and every link is verified on the whole sets. Each token has a leader, the smallest
+    sig: comparing all with the leaders comes first, and then only sets whose groups differ are compared,
+    since others can't change the groups. The component is the smallest id reachable. Null and empty
+    texts are alike; null ids take part and have themselves no smaller id than others; repeated rows are
+    kept; an empty table gives an empty one; other columns are ignored.
+    """
+    keyed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("key"), docs[text_col].cast("string").alias("text"))
+    rows = materialize(token_sets(keyed, width, similarity), "prefixes")
+    reps = materialize(rows.groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("marks").alias("marks")), "reps")
+
+    index = rows.select("sig", "n", F.posexplode("tokens").alias("at", "token"))
+    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").select("token", "leader"), "shared")
+    met = materialize(index.join(shared, "token").select("token", "sig", "leader", "n", "at").distinct(), "met")
+
+    def pairs(x: DataFrame, y: DataFrame, differ) -> DataFrame:
+        n, m = F.col("x.n"), F.col("y.n")
+        rest = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (similarity / (1 + similarity)) - 1e-9
+        close = (F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9) & rest
+        both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & close)
+        found = both.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
+        # before whole sets are joined: bits that differ stand for as many tokens that only one has
+        side = lambda c: reps.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}"))
+        apart = sum((F.bit_count(F.get("marks_a", k).bitwiseXOR(F.get("marks_b", k))) for k in map(F.lit, range(MARKS // 64))), F.lit(0))
+        alike = apart <= (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+        return found.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+
+    def verified(found: DataFrame) -> DataFrame:
+        needed = materialize(found.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(reps, "sig").select("sig", "key"), "needed")
+        some = token_sets(keyed.where(Bitmap(needed, "key").has(F.col("key"))), width)
+        sets = materialize(some.join(needed, ["sig", "key"]).select("sig", "tokens").dropDuplicates(["sig"]), "sets")
+        side = lambda c: sets.select(F.col("sig").alias(c), F.col("tokens").alias(f"tokens_{c}"))
+        common = F.size(F.array_intersect("tokens_a", "tokens_b"))
+        union = F.size("tokens_a") + F.size("tokens_b") - common
+        out = materialize(found.join(side("a"), "a").join(side("b"), "b").where(common >= union * similarity - 1e-9).select("a", "b"), "links")
+        drop_materialized(needed, sets)
+        return out
+
+    led_pairs = materialize(pairs(met, met.where("sig = leader"), F.col("x.sig") != F.col("y.sig")), "pairs")
+    led = verified(led_pairs)
+    groups = materialize(connected_components(led).withColumnRenamed("node", "sig"), "groups")
+    placed = met.join(groups, "sig", "left").withColumn("group", F.coalesce("component", "sig"))
+    mixed = placed.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("last")).where("least < last").select("token")
+    placed = materialize(placed.join(mixed, "token").select("token", "sig", "group", "n", "at"), "mixed")
+    more_pairs = materialize(pairs(placed, placed, F.col("x.group") < F.col("y.group")).join(led_pairs, ["a", "b"], "left_anti"), "pairs")
+    more = verified(more_pairs)
+
+    parts = materialize(connected_components(led.unionAll(more)).withColumnRenamed("node", "sig"), "parts")
+    named = reps.join(parts, "sig", "left").select("sig", "first", F.coalesce("component", "sig").alias("part"))
+    least = named.groupBy("part").agg(F.min("first").alias("component"))
+    named = materialize(named.join(least, "part").select("sig", "component"), "components")
+    drop_materialized(shared, met, led_pairs, placed, more_pairs)
+    return rows.join(named, "sig").select(F.col("id").alias(id_col), "component")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))

@@ -124,8 +124,8 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(texts: list[bytes], width: int = 3, seed: int = 42) -> np.ndarray:
-    """SimHash of each text over its word shingles, A-Z lower-cased; fewer words: the whole sequence."""
+def shingle_hashes(texts: list[bytes], width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): word shingles of each text, A-Z lower-cased; fewer words: the whole sequence. Those of text d are first[d]:first[d + 1]."""
     words = Words(texts, lower=True)
     counts = np.diff(words.first)
     shingles = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
@@ -133,4 +133,23 @@ def fingerprints(texts: list[bytes], width: int = 3, seed: int = 42) -> np.ndarr
     text_of = np.repeat(np.arange(len(counts)), shingles)
     head = words.first[:-1][text_of] + np.arange(len(text_of)) - first[:-1][text_of]
     tail = head + np.minimum(counts[text_of], width) - 1
-    return majority_bits(xxh64(words.data, words.start[head], words.end[tail], seed), first)
+    return xxh64(words.data, words.start[head], words.end[tail], seed), first
+
+
+def fingerprints(texts: list[bytes], width: int = 3, seed: int = 42) -> np.ndarray:
+    """SimHash of each text over its word shingles."""
+    return majority_bits(*shingle_hashes(texts, width, seed))
+
+
+def shingle_sets(texts: list[bytes], width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, tokens, first): each text's distinct shingle hashes in order, and their sum, which stands for the set."""
+    hashes, first = shingle_hashes(texts, width, seed)
+    text_of = np.repeat(np.arange(len(texts)), np.diff(first))
+    order = np.lexsort((hashes, text_of))
+    hashes, text_of = hashes[order], text_of[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (text_of[1:] != text_of[:-1])
+    tokens = hashes[new]
+    first = np.concatenate([[0], np.cumsum(np.bincount(text_of[new], minlength=len(texts)))]).astype(np.int64)
+    total = np.concatenate([np.zeros(1, U), np.cumsum(tokens, dtype=U)])
+    return total[first[1:]] - total[first[:-1]], tokens, first

@@ -106,6 +106,32 @@ def test_simhash(spark):
     assert near_duplicates(frame(spark, [(None, "a b c"), (None, "x y")])).count() == 2
 
 
+def test_near_duplicate_stage(spark):
+    """Documents of a Jaccard index of 0.8 go although their fingerprints lie more than two bits apart."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(12)
+    rows = awkward_rows()
+    for k in range(8):
+        w = sentence(rng, 120).split()
+        rows.append((7000 + 10 * k, " ".join(w)))
+        for j in range(1, 5):
+            w[(10 * j * (k + 1)) % 120] = f"new{j}"
+            rows.append((7000 + 10 * k + j, " ".join(w)))
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if (w := words_of((t or "").lower())) else set() for i, t in rows}
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+    group = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and near(a, b) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    docs = frame(spark, rows, clashing=False)
+    assert {r.doc_id for r in cp.near_duplicate_stage(spark, docs, "").collect()} == {i for i, g in group.items() if i == g}
+    assert any(near(7000 + 10 * k, 7001 + 10 * k) and (brute_print(dict(rows)[7000 + 10 * k]) ^ brute_print(dict(rows)[7001 + 10 * k])).bit_count() > 2 for k in range(8))
+    assert cp.near_duplicate_stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_golay_keys_meet():
     from cladeworks.llm.simhash import keys
 
