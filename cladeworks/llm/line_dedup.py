@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.llm.bitmaps import Bitmap, bucket_counts, literal_array
 from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, read_table
+from cladeworks.llm.components import connected_components
 
 RARITY_BITS = 16
 RARITY_MASK = (1 << RARITY_BITS) - 1
@@ -102,6 +103,16 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     share a place and are judged alike. Null and empty texts have no lines to compare; an empty table
     gives an empty one; other columns are ignored.
     """
+    return line_join(docs, threshold, words, id_col, text_col, False)[0]
+
+
+def line_join(docs: DataFrame, threshold: float, words: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(removed, links, members): ``repeated_lines``, and if ``every`` link is wanted:
+
+    links (x, y): sigs of different lines that are similar, y the earlier one, each pair once; leaders
+    settle nothing then, and all pairs that pass the filters are verified. members (id, tie, line, sig):
+    all compared lines; those of one sig have equal words.
+    """
     base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
     lines = lines_of(base, words)
     kept = materialize(prefixes(lines, rarity_classes(base), threshold, words), "lines")
@@ -116,18 +127,13 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
     met = materialize(met.join(firsts, "sig"), "met")
 
     place = ["first_id", "first_tie", "first_line"]
-    top = W.partitionBy("token").orderBy(F.col("copies").desc(), *place)
-    copied = met.select("token", "sig", "copies", *place).withColumn("k", F.row_number().over(top)).where(F.col("k") <= LEADERS).select("token", "sig")
-    earliest = met.groupBy("token").agg(F.min_by("sig", F.struct(*place)).alias("sig"))
-    leaders = materialize(copied.unionByName(earliest).distinct(), "leaders")
-    led = materialize(met.join(leaders, ["token", "sig"]), "led")
 
     def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
         on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & filters(threshold)
         return x.alias("x").join(y.alias("y"), on).select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct()
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """The x of pairs whose whole token sets are similar."""
+        """Those of the pairs whose whole token sets are similar."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(firsts, "sig"), "needed")
         in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig")
         some = lines_of(base.where(in_doc.has(F.col("tie"))), words)
@@ -136,23 +142,66 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_c
         sets = materialize(sets.alias("l").join(needed.alias("f"), same).select("l.sig", "l.set").dropDuplicates(["sig"]), "sets")
         both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
         common = F.size(F.array_intersect("set_x", "set_y"))
-        out = materialize(both.where(common >= (F.size("set_x") + F.size("set_y") - common) * threshold - 1e-9).select("x").distinct(), "settled")
+        out = materialize(both.where(common >= (F.size("set_x") + F.size("set_y") - common) * threshold - 1e-9).select("x", "y"), "settled")
         drop_materialized(needed, sets)
         return out
 
-    first_pairs = materialize(candidates(met, led), "pairs")
-    settled = similar(first_pairs)
-    left = met.join(settled, met["sig"] == settled["x"], "left_anti")
-    more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
-    more = similar(more_pairs)
+    if every:
+        all_pairs = materialize(candidates(met, met), "pairs")
+        links = similar(all_pairs)
+        later = links.select("x").distinct()
+        used = [all_pairs]
+    else:
+        links = None
+        top = W.partitionBy("token").orderBy(F.col("copies").desc(), *place)
+        copied = met.select("token", "sig", "copies", *place).withColumn("k", F.row_number().over(top)).where(F.col("k") <= LEADERS).select("token", "sig")
+        earliest = met.groupBy("token").agg(F.min_by("sig", F.struct(*place)).alias("sig"))
+        leaders = materialize(copied.unionByName(earliest).distinct(), "leaders")
+        led = materialize(met.join(leaders, ["token", "sig"]), "led")
+        first_pairs = materialize(candidates(met, led), "pairs")
+        settled = similar(first_pairs)
+        done = settled.select("x").distinct()
+        left = met.join(done, met["sig"] == done["x"], "left_anti")
+        more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
+        more = similar(more_pairs)
+        later = settled.unionAll(more).select("x").distinct()
+        used = [leaders, led, first_pairs, more_pairs, settled, more]
 
-    later = settled.unionAll(more).distinct()
     marked = firsts.join(later, firsts["sig"] == later["x"], "left").select("sig", *place, "copies", F.col("x").isNotNull().alias("later"))
     marked = materialize(marked.where("later or copies > 1"), "marked")
     again = F.col("later") | (F.struct("id", "tie", "line") > F.struct(*place))
     out = materialize(kept.select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line"), "removed")
-    drop_materialized(kept, firsts, shared, met, leaders, led, first_pairs, more_pairs, settled, more, marked)
-    return out
+    drop_materialized(firsts, shared, met, marked, *used)
+    if every:
+        return out, links, kept.select("id", "tie", "line", "sig")
+    drop_materialized(kept)
+    return out, None, None
+
+
+def document_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_removed, lines, class_id, n_links), one row for every id: the whole similarity join by document.
+
+    lines are those of ``repeated_lines``, n_removed their number. n_links counts the links of the
+    document's lines: for each different line of it, the other different lines of all documents that are
+    similar to it. class_id is the smallest id reachable over equal and similar lines (the id itself where
+    there are none). Rows that share an id are one document; the null id is smallest and gives a null
+    class_id.
+    """
+    removed, links, members = line_join(docs, threshold, words, id_col, text_col, True)
+    ids = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(SMALLEST)).alias("id")).distinct()
+    gone = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id")).agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_list("line")).alias("lines"))
+    held = materialize(members.select("id", "sig").distinct(), "held")
+
+    linked = links.select(F.explode(F.array("x", "y")).alias("sig")).groupBy("sig").agg(F.count("*").alias("n"))
+    n_links = held.join(linked, "sig").groupBy("id").agg(F.sum("n").alias("n_links"))
+    alike = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "sig")
+    placed = materialize(held.join(alike, "sig", "left").select("id", F.coalesce("component", "sig").alias("lines")), "placed")
+    least = placed.groupBy("lines").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last")
+    parts = connected_components(placed.join(least, "lines").select(F.col("id").alias("a"), "b")).withColumnRenamed("node", "id")
+
+    out = ids.join(gone, "id", "left").join(n_links, "id", "left").join(parts, "id", "left")
+    known = lambda c: F.when(c != SMALLEST, c)
+    return out.select(known(F.col("id")).alias(id_col), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("lines", F.array().cast("array<int>")).alias("lines"), known(F.coalesce("component", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,6 +217,5 @@ def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document with lines to remove: doc_id, n_removed and the line numbers."""
-    removed = repeated_lines(read_table(spark, sf_dir, "documents"))
-    return removed.groupBy("doc_id").agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_list("line")).alias("lines"))
+    """Per document: doc_id, n_removed, the numbers of the lines to remove, class_id and n_links."""
+    return document_classes(read_table(spark, sf_dir, "documents"))

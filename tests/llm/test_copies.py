@@ -13,7 +13,7 @@ from helpers import awkward_rows, frame, sentence, words_of
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.decontamination import MASKS, contaminated
 from cladeworks.llm.imagekernels import resized
-from cladeworks.llm.line_dedup import drop_repeated_lines, repeated_lines
+from cladeworks.llm.line_dedup import document_classes, drop_repeated_lines, repeated_lines
 from cladeworks.llm.media import image_copies, vector_images
 from cladeworks.llm.simhash import near_duplicates
 
@@ -65,6 +65,33 @@ def test_line_dedup(spark, seed):
         assert r.text == (None if kept is None else "\n".join(kept)) and kept != []
 
 
+def test_line_classes(spark):
+    """One row for every document; every link counts, also those of a line that an earlier one settles."""
+    rows = line_rows(3) + [(1000 + i, t) for i, t in awkward_rows()]
+    held = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            w = tuple(words_of(line.lower()))
+            held[i] |= {w} if len(w) >= 5 else set()
+    sets = {w: {w[k : k + 5] for k in range(len(w) - 4)} for ws in held.values() for w in ws}
+    near = {a: {b for b in sets if a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9} for a in sets}
+    ids = {i for i, _ in rows}
+    group = {i: i for i in ids}
+    for a in sorted(ids):
+        around = held[a].union(*(near[w] for w in held[a])) if held[a] else set()
+        for b in sorted(ids):
+            if held[b] & around and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    removed = defaultdict(list)
+    for i, k in sorted(brute_lines(rows)):
+        removed[i].append(k)
+    got = document_classes(frame(spark, list(dict(rows).items()))).collect()
+    assert {r.doc_id: (r.n_removed, r.lines, r.class_id, r.n_links) for r in got} == {i: (len(removed[i]), removed[i], group[i], sum(len(near[w]) for w in held[i])) for i in ids}
+    assert len(got) == len(ids) and max(len(x) for x in near.values()) > 1
+    assert document_classes(frame(spark, [])).count() == 0
+
+
 def test_line_dedup_edges(spark):
     assert repeated_lines(frame(spark, [])).count() == 0
     text = "a b c d e f g"
