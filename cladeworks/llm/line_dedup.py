@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cladeworks.llm.bitmaps import Bitmap, bucket_counts, literal_array
@@ -13,26 +13,32 @@ from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, r
 from cladeworks.llm.components import connected_components
 
 RARITY_BITS = 16
-RARITY_MASK = (1 << RARITY_BITS) - 1
-#: How many of a token's most copied lines lead, beside its earliest.
-LEADERS = 3
+#: Bits of a token that are of the word's hash; those above are its class of rarity.
+HASH_BITS = 56
+#: From so many lines on that share a key, their most copied one becomes a centre of near copies.
+CROWD = 16
+#: Fewer near copies than these around a centre are joined like all others.
+LEAST_STAR = 8
+SMALLEST = -(1 << 63)
+PLACE = ["first_id", "first_tie", "first_line"]
+EPSILON = 1e-9
 
 
-def lines_of(docs: DataFrame, words: int) -> DataFrame:
-    """(id, tie, line, sig, words): lines of ``words`` or more lower-cased words; ``sig`` is of the word sequence."""
-    lines = docs.select("id", "tie", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    # exploding one array is a border over which no filter is moved, so that a line is split only once
-    split = F.explode(F.array(F.array_remove(F.split(F.lower("text"), ASCII_SPACE), "")))
-    return lines.select("id", "tie", "line", split.alias("words")).where(F.size("words") >= words).withColumn("sig", F.xxhash64("words"))
+def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """id (null: the smallest) and tie (a hash of the text, for rows that share an id)."""
+    return [F.coalesce(docs[id_col].cast("long"), F.lit(SMALLEST)).alias("id"), F.xxhash64(docs[text_col]).alias("tie")]
 
 
-def shingle(start: Column, words: int) -> Column:
-    return F.xxhash64(F.slice("words", start + 1, words))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(id, tie, line, sig, text): lines that hold a word, lower-cased; ``sig`` is a hash of the line."""
+    lines = docs.select("id", "tie", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "text"))
+    return lines.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("id", "tie", "line", F.xxhash64("text").alias("sig"), "text")
 
 
-def shingles(words: int) -> Column:
-    """The set of a line's tokens: hashes of its word n-grams."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - words), lambda i: shingle(i, words)))
+def word_hashes() -> Column:
+    """The set of a line's words, as hashes."""
+    words = F.array_remove(F.split("text", ASCII_SPACE), "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def rarity_classes(docs: DataFrame) -> Column:
@@ -45,163 +51,187 @@ def rarity_classes(docs: DataFrame) -> Column:
     return literal_array([min(127, int(4 * log2(n + 1))) for n in counts], "bigint")
 
 
-def prefixes(lines: DataFrame, classes: Column, threshold: float, words: int) -> DataFrame:
-    """(id, tie, line, sig, n, marks0, marks1, prefix): a line's n tokens, 128 bits that they mark, and its rarest tokens.
+def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFrame:
+    """(sig, first place, copies, n, mark, prefix): each different line, its n tokens, and the rarest of them.
 
-    Tokens are ordered by the rarity of their first word, then by hash; the class of rarity is the top
-    byte, so that plain sorting does it.
+    A token is a word's hash below the class of its rarity, so that plain sorting orders tokens by
+    rarity. The mark holds 64 bits, each the parity of the tokens that fall on it.
     """
-    low = (1 << 56) - 1
+    low = F.lit((1 << HASH_BITS) - 1)
+    class_of = lambda h: F.get(classes, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
+    token = lambda h: F.shiftleft(class_of(h), HASH_BITS).bitwiseOR(h.bitwiseAND(low))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int"))
+    # exploding a one-element array is a border over which no expression is copied, so that the words are split only once
+    lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes"))
+    n = F.size("hashes")
+    need = n - F.ceil(n * threshold - EPSILON).cast("int") + 1
+    mark = F.aggregate("hashes", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+    kept = lines.select("id", "tie", "line", "sig", n.alias("n"), mark.alias("mark"), F.slice(F.sort_array(F.transform("hashes", token)), F.lit(1), need).alias("prefix"))
+    same = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "mark", "prefix")])
+    return same.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies", "n", "mark", "prefix")
 
-    def token(i):
-        bucket = F.xxhash64(F.get("words", i)).bitwiseAND(F.lit(RARITY_MASK)).cast("int")
-        return F.shiftleft(F.get(classes, bucket), 56).bitwiseOR(shingle(i, words).bitwiseAND(F.lit(low)))
 
-    tokens = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - words), token)))
-    # a one-element array is exploded so that the tokens are made only once
-    rows = lines.select("id", "tie", "line", "sig", F.explode(F.array(tokens)).alias("tokens"))
-    n = F.size("tokens")
-    need = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    half = lambda k: F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.when(F.getbit(t, F.lit(6)) == k, bit(t)).otherwise(F.lit(0).cast("long"))))
-    return rows.select("id", "tie", "line", "sig", n.alias("n"), half(0).alias("marks0"), half(1).alias("marks1"), F.slice("tokens", F.lit(1), need).alias("prefix"))
+def postings(firsts: DataFrame, *more: str) -> DataFrame:
+    return firsts.select("sig", "n", "mark", *more, F.posexplode("prefix").alias("at", "token"))
 
 
-SMALLEST = -(1 << 63)
-
+def filters(threshold: float) -> Column:
+    """Whether postings x and y of one token may be of similar lines, by four filters.
 
-def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    """id (null: the smallest) and tie (a hash of the text, for rows that share an id)."""
-    return [F.coalesce(docs[id_col].cast("long"), F.lit(SMALLEST)).alias("id"), F.xxhash64(docs[text_col]).alias("tie")]
+    Length; prefix (of two similar sets the smaller one has a common token within the shorter prefix
+    that fits two sets of its size); position (what is left from this token on must suffice); and marks:
+    where they differ, at least one token is in only one of the sets.
+    """
+    n, m = F.col("x.n"), F.col("y.n")
+    length = F.least(n, m) >= F.greatest(n, m) * threshold - EPSILON
+    within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + EPSILON
+    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - EPSILON
+    apart = F.bit_count(F.col("x.mark").bitwiseXOR(F.col("y.mark")))
+    return length & F.when(n < m, within("x")).when(n > m, within("y")).otherwise(within("x") | within("y")) & position & (apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + EPSILON)
 
 
-def earlier(a: str, b: str) -> Column:
-    place = lambda t: F.struct(f"{t}.first_id", f"{t}.first_tie", f"{t}.first_line")
-    return place(a) < place(b)
+class Verifier:
+    """Reads the token sets of candidate pairs again, from the documents, and measures them."""
 
+    def __init__(self, base: DataFrame, firsts: DataFrame, threshold: float):
+        self.base, self.firsts, self.threshold = base, firsts, threshold
 
-def filters(threshold: float) -> Column:
-    """Length; position (counting from the first token that both have, what is left must suffice); and marks: bits that only one has stand for as many tokens that only one has."""
-    n, m = F.col("x.n"), F.col("y.n")
-    length = F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9
-    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - 1e-9
-    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("marks0", "marks1")), F.lit(0))
-    return length & position & (apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9)
+    def similar(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
+        needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
+        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig", 22)
+        some = lines_of(self.base.where(in_doc.has(F.col("tie")))).where(wanted.has(F.col("sig")))
+        same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
+        sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])
+        sets = materialize(sets.select("sig", word_hashes().alias("set")), "sets")
+        both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
+        counted = both.select("x", "y", F.size("set_x").alias("n"), F.size("set_y").alias("m"), F.size(F.array_intersect("set_x", "set_y")).alias("common"))
+        out = counted.where(F.col("common") >= (F.col("n") + F.col("m") - F.col("common")) * self.threshold - EPSILON)
+        out = materialize(out.select("x", "y", (F.col("n") + F.col("m") - 2 * F.col("common")).alias("apart")), name)
+        drop_materialized(needed, sets)
+        return out
 
 
-def repeated_lines(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tie, line): lines for which an earlier line is similar; earlier is by id, tie, then line number.
+def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
+    """(sig, star, slack): lines that are similar to a centre, the one of several that has the most copies.
 
-    A line's tokens are its word shingles (``words`` words, lower-cased); lines with fewer words are
-    never compared. Similar: a Jaccard index of ``threshold`` or more. It does not matter whether the
-    earlier line is itself removed. Lines with equal words are merged first and stand for each other.
-    The join takes each line's rarest tokens (the prefix), and only those that several different lines
-    share. Each of these tokens has leaders, its earliest and its most copied lines: comparing all with
-    the leaders settles groups of near copies in proportion to their size; only lines that no leader
-    settles are compared with all others of their tokens.
-    Null ids take the smallest place; tie is a hash of the text, for rows that share an id; repeated rows
-    share a place and are judged alike. Null and empty texts have no lines to compare; an empty table
-    gives an empty one; other columns are ignored.
+    Tokens in only one of x and y number at most those in only one of x and the centre and of y and
+    the centre. So lines of one star whose slacks sum to zero or more are similar without a look; slack
+    is the share of a line's size that may differ, less what differs from the centre. Centres are sought
+    where many lines share the least hash of their prefixes; every line that is similar to one is found.
     """
-    return line_join(docs, threshold, words, id_col, text_col, False)[0]
+    key = F.array_min(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
+    crowds = firsts.groupBy(key.alias("key")).agg(F.count("*").alias("lines"), F.max(F.struct("copies", "sig")).alias("most"))
+    centres = crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct()
+    centres = materialize(firsts.join(centres, "sig", "left_semi"), "centres")
+    held = postings(centres, "copies")
+    near = postings(firsts).where(Bitmap(held, "token").has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
+    pairs = materialize(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct(), "pairs")
+    found = verifier.similar(pairs, "near").unionByName(centres.select(F.col("sig").alias("x"), F.col("sig").alias("y"), F.lit(0).alias("apart")))
+    found = found.join(centres.select(F.col("sig").alias("y"), "copies"), "y")
+    best = found.groupBy("x").agg(F.max(F.struct("copies", F.col("y").alias("star"), "apart")).alias("best")).select(F.col("x").alias("sig"), "best.star", "best.apart")
+    best = materialize(best, "nearest")
+    sizes = best.groupBy("star").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_STAR)
+    slack = F.round(F.col("n") * ((1 - threshold) / (1 + threshold)) - F.col("apart"), 6).alias("slack")
+    out = materialize(best.join(sizes, "star", "left_semi").join(firsts.select("sig", "n"), "sig").select("sig", "star", slack), "stars")
+    drop_materialized(pairs, best, centres)
+    return out
+
+
+def implied_links(placed: DataFrame) -> DataFrame:
+    """(sig, n_links, earliest) within stars: how many lines make up for a line's slack, and the first of them.
+
+    ``placed`` has (sig, star, slack, place). Lines are counted by star and slack first, so no pair of lines is made.
+    """
+    groups = placed.groupBy("star", "slack").agg(F.count("*").alias("lines"), F.min("place").alias("earliest"))
+    x, y = groups.alias("x"), groups.alias("y")
+    enough = x.join(y, (F.col("x.star") == F.col("y.star")) & (F.col("x.slack") + F.col("y.slack") >= -EPSILON))
+    reached = enough.groupBy("x.star", "x.slack").agg(F.sum("y.lines").alias("lines"), F.min("y.earliest").alias("earliest"))
+    own = (2 * F.col("slack") >= -EPSILON).cast("long")
+    return placed.join(reached, ["star", "slack"]).select("sig", (F.col("lines") - own).alias("n_links"), "earliest")
 
 
-def line_join(docs: DataFrame, threshold: float, words: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """(removed, links, members): ``repeated_lines``, and if ``every`` link is wanted:
+def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(removed, linked, edges): ``repeated_lines``; (sig, n_links) of all lines; and links (a, b) of sigs that connect what all links connect."""
+    base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
+    firsts = materialize(distinct_lines(base, rarity_classes(base), threshold), "firsts")
+    verifier = Verifier(base, firsts, threshold)
+    near = stars(firsts, verifier, threshold)
+
+    every = postings(firsts.join(near, "sig", "left"), "star", "slack")
+    inner = F.coalesce(F.col("slack") >= 0, F.lit(False))
+    outer, core = every.where(~inner), every.where(inner)
+    mixed = core.groupBy("token").agg(F.min("star").alias("least"), F.max("star").alias("last")).where("least < last").select("token")
+    apart = F.col("x.star").isNull() | F.col("y.star").isNull() | (F.col("x.star") != F.col("y.star")) | (F.col("x.slack") + F.col("y.slack") < -EPSILON)
+
+    def met(x: DataFrame, y: DataFrame, differ: Column) -> DataFrame:
+        both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & filters(threshold))
+        return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"))
+
+    cores = core.join(mixed, "token", "left_semi")
+    parts = [met(outer, outer, F.col("x.sig") < F.col("y.sig")), met(outer, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
+    pairs = materialize(reduce(DataFrame.unionByName, parts).distinct(), "pairs")
+    links = verifier.similar(pairs, "links")
+
+    place = F.struct(*[F.col(c).alias(k) for c, k in zip(PLACE, ("id", "tie", "line"), strict=True)])
+    both = links.select("x", "y").unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    told = both.join(firsts.select(F.col("sig").alias("y"), place.alias("earliest")), "y").groupBy(F.col("x").alias("sig")).agg(F.count("*").alias("n_links"), F.min("earliest").alias("earliest"))
+    within = implied_links(near.join(firsts.select("sig", place.alias("place")), "sig"))
+    linked = materialize(told.unionByName(within).groupBy("sig").agg(F.sum("n_links").alias("n_links"), F.min("earliest").alias("earliest")), "linked")
+
+    later = F.coalesce(F.col("earliest") < place, F.lit(False))
+    marked = firsts.select("sig", *PLACE, "copies").join(linked, "sig", "left").select("sig", place.alias("place"), "copies", later.alias("later"))
+    marked = materialize(marked.where("later or copies > 1").select("sig", "place", "later"), "marked")
+    again = F.col("later") | (F.struct("id", "tie", "line") > F.col("place"))
+    out = lines_of(base).select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line")
+    out = materialize(out, "removed")
+    edges = links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(near.select(F.col("star").alias("a"), F.col("sig").alias("b")))
+    drop_materialized(pairs, marked, firsts)
+    return out, linked.select("sig", "n_links"), edges
+
+
+def repeated_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, tie, line): lines for which an earlier line is similar; earlier is by id, tie, then line number.
 
-    links (x, y): sigs of different lines that are similar, y the earlier one, each pair once; leaders
-    settle nothing then, and all pairs that pass the filters are verified. members (id, tie, line, sig):
-    all compared lines; those of one sig have equal words.
+    A line's tokens are the set of its words (lower-cased, between white space, by their 64-bit hashes).
+    Similar: a Jaccard index of ``threshold`` or more, so a line of fewer than five words is similar to
+    those of the same words. It does not matter whether the earlier line is itself removed. Lines
+    without a word always stay.
+    Equal lines are merged first and stand for each other. The others meet in their rarest tokens
+    (``filters``), and all that pass are verified on their whole sets. Groups of near copies are held as
+    stars around a centre (``stars``), so that they cost in proportion to their size.
+    Null ids take the smallest place; tie is a hash of the text, for rows that share an id; repeated rows
+    share a place and are judged alike. Null and empty texts have no lines; very long lines and texts of
+    many lines are treated like others; an empty table gives an empty one; other columns are ignored.
     """
-    base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
-    lines = lines_of(base, words)
-    kept = materialize(prefixes(lines, rarity_classes(base), threshold, words), "lines")
-
-    facts = ["n", "marks0", "marks1"]
-    firsts = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"), *[F.min(c).alias(c) for c in facts])
-    firsts = materialize(firsts.select("sig", F.col("first.id").alias("first_id"), F.col("first.tie").alias("first_tie"), F.col("first.line").alias("first_line"), "copies", *facts), "firsts")
-
-    index = kept.select("sig", F.posexplode("prefix").alias("at", "token"))
-    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token"), "shared")
-    met = index.join(shared, "token").groupBy("token", "sig").agg(F.min("at").alias("at"))
-    met = materialize(met.join(firsts, "sig"), "met")
-
-    place = ["first_id", "first_tie", "first_line"]
-
-    def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
-        on = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & earlier("y", "x") & filters(threshold)
-        return x.alias("x").join(y.alias("y"), on).select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct()
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs whose whole token sets are similar."""
-        needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(firsts, "sig"), "needed")
-        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig")
-        some = lines_of(base.where(in_doc.has(F.col("tie"))), words)
-        sets = some.where(wanted.has(F.col("sig"))).select("id", "tie", "line", "sig", shingles(words).alias("set"))
-        same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
-        sets = materialize(sets.alias("l").join(needed.alias("f"), same).select("l.sig", "l.set").dropDuplicates(["sig"]), "sets")
-        both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
-        common = F.size(F.array_intersect("set_x", "set_y"))
-        out = materialize(both.where(common >= (F.size("set_x") + F.size("set_y") - common) * threshold - 1e-9).select("x", "y"), "settled")
-        drop_materialized(needed, sets)
-        return out
+    return line_join(docs, threshold, id_col, text_col)[0]
+
 
-    if every:
-        all_pairs = materialize(candidates(met, met), "pairs")
-        links = similar(all_pairs)
-        later = links.select("x").distinct()
-        used = [all_pairs]
-    else:
-        links = None
-        top = W.partitionBy("token").orderBy(F.col("copies").desc(), *place)
-        copied = met.select("token", "sig", "copies", *place).withColumn("k", F.row_number().over(top)).where(F.col("k") <= LEADERS).select("token", "sig")
-        earliest = met.groupBy("token").agg(F.min_by("sig", F.struct(*place)).alias("sig"))
-        leaders = materialize(copied.unionByName(earliest).distinct(), "leaders")
-        led = materialize(met.join(leaders, ["token", "sig"]), "led")
-        first_pairs = materialize(candidates(met, led), "pairs")
-        settled = similar(first_pairs)
-        done = settled.select("x").distinct()
-        left = met.join(done, met["sig"] == done["x"], "left_anti")
-        more_pairs = materialize(candidates(left, met).join(first_pairs, ["x", "y"], "left_anti"), "pairs")
-        more = similar(more_pairs)
-        later = settled.unionAll(more).select("x").distinct()
-        used = [leaders, led, first_pairs, more_pairs, settled, more]
-
-    marked = firsts.join(later, firsts["sig"] == later["x"], "left").select("sig", *place, "copies", F.col("x").isNotNull().alias("later"))
-    marked = materialize(marked.where("later or copies > 1"), "marked")
-    again = F.col("later") | (F.struct("id", "tie", "line") > F.struct(*place))
-    out = materialize(kept.select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line"), "removed")
-    drop_materialized(firsts, shared, met, marked, *used)
-    if every:
-        return out, links, kept.select("id", "tie", "line", "sig")
-    drop_materialized(kept)
-    return out, None, None
-
-
-def document_classes(docs: DataFrame, threshold: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_removed, lines, class_id, n_links), one row for every id: the whole similarity join by document.
+def document_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_removed, lines, class_id, n_links), one row for every different pair of id and text.
 
     lines are those of ``repeated_lines``, n_removed their number. n_links counts the links of the
     document's lines: for each different line of it, the other different lines of all documents that are
     similar to it. class_id is the smallest id reachable over equal and similar lines (the id itself where
-    there are none). Rows that share an id are one document; the null id is smallest and gives a null
-    class_id.
+    there are none). Repeated rows are one document, and rows that share an id one node of the classes;
+    the null id is smallest and gives a null class_id.
     """
-    removed, links, members = line_join(docs, threshold, words, id_col, text_col, True)
-    ids = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(SMALLEST)).alias("id")).distinct()
-    gone = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id")).agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_list("line")).alias("lines"))
-    held = materialize(members.select("id", "sig").distinct(), "held")
-
-    linked = links.select(F.explode(F.array("x", "y")).alias("sig")).groupBy("sig").agg(F.count("*").alias("n"))
-    n_links = held.join(linked, "sig").groupBy("id").agg(F.sum("n").alias("n_links"))
-    alike = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "sig")
-    placed = materialize(held.join(alike, "sig", "left").select("id", F.coalesce("component", "sig").alias("lines")), "placed")
+    removed, linked, edges = line_join(docs, threshold, id_col, text_col)
+    base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
+    ids = base.select("id", "tie").distinct()
+    gone = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id"), "tie").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    held = materialize(lines_of(base).select("id", "tie", "sig").distinct(), "held")
+
+    n_links = held.join(linked, "sig").groupBy("id", "tie").agg(F.sum("n_links").alias("n_links"))
+    alike = connected_components(edges).withColumnRenamed("node", "sig")
+    placed = materialize(held.join(alike, "sig", "left").select("id", F.coalesce("component", "sig").alias("lines")).distinct(), "placed")
     least = placed.groupBy("lines").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last")
     parts = connected_components(placed.join(least, "lines").select(F.col("id").alias("a"), "b")).withColumnRenamed("node", "id")
 
-    out = ids.join(gone, "id", "left").join(n_links, "id", "left").join(parts, "id", "left")
+    out = ids.join(gone, ["id", "tie"], "left").join(n_links, ["id", "tie"], "left").join(parts, "id", "left")
     known = lambda c: F.when(c != SMALLEST, c)
-    return out.select(known(F.col("id")).alias(id_col), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("lines", F.array().cast("array<int>")).alias("lines"), known(F.coalesce("component", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    lines = F.coalesce("lines", F.array().cast("array<int>"))
+    return out.select(known(F.col("id")).alias(id_col), F.size(lines).cast("long").alias("n_removed"), lines.alias("lines"), known(F.coalesce("component", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

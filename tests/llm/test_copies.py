@@ -20,14 +20,13 @@ from cladeworks.llm.simhash import near_duplicates
 xxhash = pytest.importorskip("xxhash")
 
 
-def brute_lines(rows, threshold=0.8, n=5):
+def brute_lines(rows, threshold=0.8):
     """(doc_id, line) with an earlier similar line; rows of one id have one text here."""
     lines = []
     for i, t in sorted(set(rows), key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n") if t is not None else ()):
-            w = words_of(line.lower())
-            if len(w) >= n:
-                lines.append((i, k, {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}))
+            if w := words_of(line.lower()):
+                lines.append((i, k, set(w)))
     out = set()
     for b, (i, k, s) in enumerate(lines):
         if any(len(s & o) >= threshold * len(s | o) - 1e-9 for _, _, o in lines[:b]):
@@ -37,9 +36,9 @@ def brute_lines(rows, threshold=0.8, n=5):
 
 def line_rows(seed):
     rng = random.Random(seed)
-    base = [sentence(rng, rng.randint(5, 60)) for _ in range(15)]
+    base = [sentence(rng, n) for n in [*range(1, 8), 10, 15, 20, 25, 30, 40, 50, 60]]
     rows = []
-    for i in range(40):
+    for i in range(60):
         lines = []
         for _ in range(rng.randint(0, 5)):
             w = rng.choice(base).split() if rng.random() < 0.7 else sentence(rng, rng.randint(1, 50)).split()
@@ -70,10 +69,8 @@ def test_line_classes(spark):
     rows = line_rows(3) + [(1000 + i, t) for i, t in awkward_rows()]
     held = defaultdict(set)
     for i, t in rows:
-        for line in (t or "").split("\n"):
-            w = tuple(words_of(line.lower()))
-            held[i] |= {w} if len(w) >= 5 else set()
-    sets = {w: {w[k : k + 5] for k in range(len(w) - 4)} for ws in held.values() for w in ws}
+        held[i] |= {line for line in (t or "").lower().split("\n") if words_of(line)}
+    sets = {line: set(words_of(line)) for lines in held.values() for line in lines}
     near = {a: {b for b in sets if a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9} for a in sets}
     ids = {i for i, _ in rows}
     group = {i: i for i in ids}
@@ -95,8 +92,31 @@ def test_line_classes(spark):
 def test_line_dedup_edges(spark):
     assert repeated_lines(frame(spark, [])).count() == 0
     text = "a b c d e f g"
-    got = repeated_lines(frame(spark, [(None, text), (1, text), (2, "short line"), (3, "short line")])).collect()
-    assert [(r.doc_id, r.line) for r in got] == [(1, 0)]
+    rows = [(None, text), (1, text), (2, "short line"), (3, "Line short"), (4, " "), (5, " "), (6, "twice here"), (6, "twice here"), (7, "one\nmore"), (7, "more\nthan")]
+    assert sorted((r.doc_id, r.line) for r in repeated_lines(frame(spark, rows)).collect()) in ([(1, 0), (3, 0), (7, 0)], [(1, 0), (3, 0), (7, 1)])
+    got = document_classes(frame(spark, rows)).collect()
+    assert len(got) == 9 and [(r.n_removed, r.lines) for r in got if r.doc_id == 6] == [(0, [])]
+
+
+@pytest.mark.parametrize("size", [40, 90])
+def test_line_stars(spark, size):
+    """Many near copies of a line: what is implied by their centre and what is compared make up all links."""
+    rng = random.Random(size)
+    base, rows = sentence(rng, size).split(), []
+    for i in range(150):
+        w = list(base)
+        for k in rng.sample(range(size), rng.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            w[k] = f"new{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, t) for i, t in line_rows(4)]
+    texts = {line for _, t in rows for line in t.lower().split("\n") if words_of(line)}
+    sets = {t: set(words_of(t)) for t in texts}
+    n_links = {a: sum(a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9 for b in texts) for a in texts}
+    gone = brute_lines(rows)
+    for r in document_classes(frame(spark, rows)).collect():
+        lines = dict(rows)[r.doc_id].lower().split("\n")
+        assert r.lines == [k for k in range(len(lines)) if (r.doc_id, k) in gone]
+        assert r.n_links == sum(n_links[t] for t in set(lines) & texts)
 
 
 def brute_print(t):
