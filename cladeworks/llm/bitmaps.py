@@ -35,10 +35,17 @@ class Bitmap:
         return F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def bucket_counts(df: DataFrame, hash_col: str, bits: int = 16) -> list[int]:
-    """How many rows fall into each of 2^bits buckets of a hash, over all rows."""
+def bucket_classes(df: DataFrame, hash_col: str, bits: int) -> list[int]:
+    """For each of 2^bits buckets of a hash, over all rows: four times the logarithm of how many fall into it.
+
+    A line of text for 256 buckets each comes to the driver, so it never holds 2^bits rows.
+    """
     bucket = F.col(hash_col).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    counts = df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    pair = F.concat_ws(":", "bucket", F.least(F.lit(127), F.floor(4 * F.log2(F.col("n") + 1))).cast("string"))
     out = [0] * (1 << bits)
-    for r in df.select(bucket.alias("bucket")).groupBy("bucket").count().collect():
-        out[r["bucket"]] = r["count"]
+    for r in counts.groupBy(F.shiftright("bucket", 8).alias("row")).agg(F.array_join(F.collect_list(pair), ",").alias("pairs")).collect():
+        for entry in r.pairs.split(","):
+            at, _, value = entry.partition(":")
+            out[int(at)] = int(value)
     return out

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap, bucket_counts, literal_array
+from cladeworks.llm.bitmaps import Bitmap, bucket_classes, literal_array
 from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
 
-RARITY_BITS = 16
+RARITY_BITS = 18
 #: Bits of a token that are of the word's hash; those above are its class of rarity.
 HASH_BITS = 56
 #: From so many lines on that share a key, their most copied one becomes a centre of near copies.
@@ -42,13 +41,12 @@ def word_hashes() -> Column:
 
 
 def rarity_classes(docs: DataFrame) -> Column:
-    """For each of 2^16 buckets of word hashes, the logarithm of how many words of all documents fall into it.
+    """For each of 2^18 buckets of word hashes, the logarithm of how many words of all documents fall into it.
 
     The size is fixed, whatever the data; any order that all lines share gives exact results.
     """
     words = docs.select(F.explode(F.split(F.lower("text"), ASCII_SPACE)).alias("word")).select(F.xxhash64("word").alias("h"))
-    counts = bucket_counts(words, "h", RARITY_BITS)
-    return literal_array([min(127, int(4 * log2(n + 1))) for n in counts], "bigint")
+    return literal_array(bucket_classes(words, "h", RARITY_BITS), "bigint")
 
 
 def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFrame:
@@ -87,7 +85,8 @@ def filters(threshold: float) -> Column:
     within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + EPSILON
     position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - EPSILON
     apart = F.bit_count(F.col("x.mark").bitwiseXOR(F.col("y.mark")))
-    return length & F.when(n < m, within("x")).when(n > m, within("y")).otherwise(within("x") | within("y")) & position & (apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + EPSILON)
+    marks = apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + EPSILON
+    return marks & length & position & F.when(n < m, within("x")).when(n > m, within("y")).otherwise(within("x") | within("y"))
 
 
 class Verifier:
@@ -105,7 +104,8 @@ class Verifier:
         sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])
         sets = materialize(sets.select("sig", word_hashes().alias("set")), "sets")
         both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
-        counted = both.select("x", "y", F.size("set_x").alias("n"), F.size("set_y").alias("m"), F.size(F.array_intersect("set_x", "set_y")).alias("common"))
+        # the border again, for the costly intersection
+        counted = both.select("x", "y", F.size("set_x").alias("n"), F.size("set_y").alias("m"), F.explode(F.array(F.size(F.array_intersect("set_x", "set_y")))).alias("common"))
         out = counted.where(F.col("common") >= (F.col("n") + F.col("m") - F.col("common")) * self.threshold - EPSILON)
         out = materialize(out.select("x", "y", (F.col("n") + F.col("m") - 2 * F.col("common")).alias("apart")), name)
         drop_materialized(needed, sets)
@@ -122,8 +122,8 @@ def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
     """
     key = F.array_min(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
     crowds = firsts.groupBy(key.alias("key")).agg(F.count("*").alias("lines"), F.max(F.struct("copies", "sig")).alias("most"))
-    centres = crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct()
-    centres = materialize(firsts.join(centres, "sig", "left_semi"), "centres")
+    chosen = materialize(crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct(), "chosen")
+    centres = materialize(firsts.where(Bitmap(chosen, "sig").has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
     held = postings(centres, "copies")
     near = postings(firsts).where(Bitmap(held, "token").has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
     pairs = materialize(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct(), "pairs")
@@ -134,7 +134,7 @@ def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
     sizes = best.groupBy("star").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_STAR)
     slack = F.round(F.col("n") * ((1 - threshold) / (1 + threshold)) - F.col("apart"), 6).alias("slack")
     out = materialize(best.join(sizes, "star", "left_semi").join(firsts.select("sig", "n"), "sig").select("sig", "star", slack), "stars")
-    drop_materialized(pairs, best, centres)
+    drop_materialized(pairs, best, centres, chosen)
     return out
 
 
@@ -158,7 +158,10 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
     verifier = Verifier(base, firsts, threshold)
     near = stars(firsts, verifier, threshold)
 
-    every = postings(firsts.join(near, "sig", "left"), "star", "slack")
+    # only lines that may be in a star are joined with the stars
+    some = Bitmap(near, "sig").has(F.col("sig"))
+    alone = firsts.where(~some).select("*", F.lit(None).cast("long").alias("star"), F.lit(None).cast("double").alias("slack"))
+    every = postings(alone.unionByName(firsts.where(some).join(near, "sig", "left")), "star", "slack")
     inner = F.coalesce(F.col("slack") >= 0, F.lit(False))
     outer, core = every.where(~inner), every.where(inner)
     mixed = core.groupBy("token").agg(F.min("star").alias("least"), F.max("star").alias("last")).where("least < last").select("token")
@@ -169,7 +172,8 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
         return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"))
 
     cores = core.join(mixed, "token", "left_semi")
-    parts = [met(outer, outer, F.col("x.sig") < F.col("y.sig")), met(outer, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
+    # lines outside meet among themselves, with all that they are asked for elsewhere, so that their postings are shuffled once
+    parts = [met(outer, outer, (F.col("x.sig") < F.col("y.sig")) & apart), met(outer, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
     pairs = materialize(reduce(DataFrame.unionByName, parts).distinct(), "pairs")
     links = verifier.similar(pairs, "links")
 
