@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.llm.bitmaps import Bitmap, bucket_classes, literal_array
-from cladeworks.llm.common import ASCII_SPACE, drop_materialized, materialize, read_table
+from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
 
 RARITY_BITS = 18
@@ -21,6 +21,8 @@ LEAST_STAR = 8
 SMALLEST = -(1 << 63)
 PLACE = ["first_id", "first_tie", "first_line"]
 EPSILON = 1e-9
+#: So many common tokens two lines must have in their prefixes, which are longer by one token less than that.
+HITS = 2
 
 
 def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
@@ -34,10 +36,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("id", "tie", "line", F.xxhash64("text").alias("sig"), "text")
 
 
+def words() -> Column:
+    """Between single spaces: splitting at one character is much faster than at a pattern. Some may be empty."""
+    return F.split(F.regexp_replace("text", r"[\x09-\x0D]", " "), " ")
+
+
 def word_hashes() -> Column:
     """The set of a line's words, as hashes."""
-    words = F.array_remove(F.split("text", ASCII_SPACE), "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(words(), ""), lambda w: F.xxhash64(w)))
 
 
 def rarity_classes(docs: DataFrame) -> Column:
@@ -45,8 +51,8 @@ def rarity_classes(docs: DataFrame) -> Column:
 
     The size is fixed, whatever the data; any order that all lines share gives exact results.
     """
-    words = docs.select(F.explode(F.split(F.lower("text"), ASCII_SPACE)).alias("word")).select(F.xxhash64("word").alias("h"))
-    return literal_array(bucket_classes(words, "h", RARITY_BITS), "bigint")
+    every = docs.select(F.lower("text").alias("text")).select(F.explode(words()).alias("word")).select(F.xxhash64("word").alias("h"))
+    return literal_array([c << HASH_BITS for c in bucket_classes(every, "h", RARITY_BITS)], "bigint")
 
 
 def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFrame:
@@ -57,12 +63,13 @@ def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFr
     """
     low = F.lit((1 << HASH_BITS) - 1)
     class_of = lambda h: F.get(classes, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
-    token = lambda h: F.shiftleft(class_of(h), HASH_BITS).bitwiseOR(h.bitwiseAND(low))
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int"))
+    # never null, so that the tokens are sorted as plain numbers
+    token = lambda h: F.coalesce(class_of(h), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(low))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     # exploding a one-element array is a border over which no expression is copied, so that the words are split only once
     lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes"))
     n = F.size("hashes")
-    need = n - F.ceil(n * threshold - EPSILON).cast("int") + 1
+    need = n - F.ceil(n * threshold - EPSILON).cast("int") + HITS
     mark = F.aggregate("hashes", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
     kept = lines.select("id", "tie", "line", "sig", n.alias("n"), mark.alias("mark"), F.slice(F.sort_array(F.transform("hashes", token)), F.lit(1), need).alias("prefix"))
     same = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "mark", "prefix")])
@@ -74,21 +81,26 @@ def postings(firsts: DataFrame, *more: str) -> DataFrame:
 
 
 def filters(threshold: float) -> Column:
-    """Whether postings x and y of one token may be of similar lines, by four filters.
+    """Whether postings x and y of one token may be of similar lines, and the token one of the first HITS that they share.
 
-    Length; prefix (of two similar sets the smaller one has a common token within the shorter prefix
-    that fits two sets of its size); position (what is left from this token on must suffice); and marks:
-    where they differ, at least one token is in only one of the sets.
+    Length; prefix (of two similar sets the smaller one has these tokens within the shorter prefix that
+    fits two sets of its size); position (what is left from this token on, and those before it, must
+    suffice); and marks: where they differ, at least one token is in only one of the sets.
     """
     n, m = F.col("x.n"), F.col("y.n")
     length = F.least(n, m) >= F.greatest(n, m) * threshold - EPSILON
-    within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + EPSILON
-    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - EPSILON
+    within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + (HITS - 1 + EPSILON)
+    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - (HITS - 1 + EPSILON)
     apart = F.bit_count(F.col("x.mark").bitwiseXOR(F.col("y.mark")))
     marks = apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + EPSILON
     return marks & length & position & F.when(n < m, within("x")).when(n > m, within("y")).otherwise(within("x") | within("y"))
 
 
+def candidates(met: DataFrame) -> DataFrame:
+    """(x, y) of the rows (x, y, least), one for each common token: pairs with HITS of them, or as many as the smaller set has."""
+    return met.groupBy("x", "y").agg(F.count("*").alias("hits"), F.min("least").alias("least")).where(F.col("hits") >= F.least("least", F.lit(HITS))).select("x", "y")
+
+
 class Verifier:
     """Reads the token sets of candidate pairs again, from the documents, and measures them."""
 
@@ -98,7 +110,7 @@ class Verifier:
     def similar(self, pairs: DataFrame, name: str) -> DataFrame:
         """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
-        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig", 22)
+        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig", 21)
         some = lines_of(self.base.where(in_doc.has(F.col("tie")))).where(wanted.has(F.col("sig")))
         same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])
@@ -126,7 +138,7 @@ def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
     centres = materialize(firsts.where(Bitmap(chosen, "sig").has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
     held = postings(centres, "copies")
     near = postings(firsts).where(Bitmap(held, "token").has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
-    pairs = materialize(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).distinct(), "pairs")
+    pairs = materialize(candidates(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))), "pairs")
     found = verifier.similar(pairs, "near").unionByName(centres.select(F.col("sig").alias("x"), F.col("sig").alias("y"), F.lit(0).alias("apart")))
     found = found.join(centres.select(F.col("sig").alias("y"), "copies"), "y")
     best = found.groupBy("x").agg(F.max(F.struct("copies", F.col("y").alias("star"), "apart")).alias("best")).select(F.col("x").alias("sig"), "best.star", "best.apart")
@@ -151,8 +163,8 @@ def implied_links(placed: DataFrame) -> DataFrame:
     return placed.join(reached, ["star", "slack"]).select("sig", (F.col("lines") - own).alias("n_links"), "earliest")
 
 
-def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(removed, linked, edges): ``repeated_lines``; (sig, n_links) of all lines; and links (a, b) of sigs that connect what all links connect."""
+def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(removed, members, linked, edges): ``repeated_lines``; (id, tie, line, sig) of all lines; (sig, n_links) of linked ones; and links (a, b) of sigs that connect what all links connect."""
     base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
     firsts = materialize(distinct_lines(base, rarity_classes(base), threshold), "firsts")
     verifier = Verifier(base, firsts, threshold)
@@ -169,12 +181,12 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
 
     def met(x: DataFrame, y: DataFrame, differ: Column) -> DataFrame:
         both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & filters(threshold))
-        return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"))
+        return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))
 
     cores = core.join(mixed, "token", "left_semi")
-    # lines outside meet among themselves, with all that they are asked for elsewhere, so that their postings are shuffled once
-    parts = [met(outer, outer, (F.col("x.sig") < F.col("y.sig")) & apart), met(outer, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
-    pairs = materialize(reduce(DataFrame.unionByName, parts).distinct(), "pairs")
+    some = outer.where(Bitmap(core, "token").has(F.col("token")))  # of most lines outside, no token is in a core
+    parts = [met(outer, outer, F.col("x.sig") < F.col("y.sig")), met(some, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
+    pairs = materialize(candidates(reduce(DataFrame.unionByName, parts)), "pairs")
     links = verifier.similar(pairs, "links")
 
     place = F.struct(*[F.col(c).alias(k) for c, k in zip(PLACE, ("id", "tie", "line"), strict=True)])
@@ -187,11 +199,12 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
     marked = firsts.select("sig", *PLACE, "copies").join(linked, "sig", "left").select("sig", place.alias("place"), "copies", later.alias("later"))
     marked = materialize(marked.where("later or copies > 1").select("sig", "place", "later"), "marked")
     again = F.col("later") | (F.struct("id", "tie", "line") > F.col("place"))
-    out = lines_of(base).select("id", "tie", "line", "sig").join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line")
+    members = materialize(lines_of(base).select("id", "tie", "line", "sig"), "members")
+    out = members.join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line")
     out = materialize(out, "removed")
     edges = links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(near.select(F.col("star").alias("a"), F.col("sig").alias("b")))
     drop_materialized(pairs, marked, firsts)
-    return out, linked.select("sig", "n_links"), edges
+    return out, members, linked.select("sig", "n_links"), edges
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,11 +233,10 @@ def document_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
     there are none). Repeated rows are one document, and rows that share an id one node of the classes;
     the null id is smallest and gives a null class_id.
     """
-    removed, linked, edges = line_join(docs, threshold, id_col, text_col)
-    base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
-    ids = base.select("id", "tie").distinct()
+    removed, members, linked, edges = line_join(docs, threshold, id_col, text_col)
+    ids = docs.select(*places(docs, id_col, text_col)).distinct()
     gone = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id"), "tie").agg(F.array_sort(F.collect_set("line")).alias("lines"))
-    held = materialize(lines_of(base).select("id", "tie", "sig").distinct(), "held")
+    held = materialize(members.select("id", "tie", "sig").distinct(), "held")
 
     n_links = held.join(linked, "sig").groupBy("id", "tie").agg(F.sum("n_links").alias("n_links"))
     alike = connected_components(edges).withColumnRenamed("node", "sig")
