@@ -1,4 +1,4 @@
-"""NumPy kernels for batches of grey images: corners, orientations and binary descriptors."""
+"""NumPy kernels for batches of grey images: corners, orientations, binary descriptors and their agreement."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ import numpy as np
 RADIUS, TESTS = 15, 256
 #: Orientations are normalised in so many steps of the circle.
 TURNS = 24
+#: Ratio of the sizes of two levels.
+STEP = 1.5
+#: A described corner: its place in the full image, level, orientation and bits.
+FEATURE = np.dtype([("y", "<f4"), ("x", "<f4"), ("level", "i1"), ("turn", "i1"), ("words", "<u8", (TESTS // 64,))])
 
 
 def box(image: np.ndarray, r: int) -> np.ndarray:
@@ -85,7 +89,7 @@ def describe(images: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
     return image, y, x, turn, bits.view("<u8").reshape(len(image), TESTS // 64)
 
 
-def multiscale(images: np.ndarray, most: int, levels: int, step: float = 1.5) -> list[np.ndarray]:
+def multiscale(images: np.ndarray, most: int, levels: int, step: float = STEP) -> list[np.ndarray]:
     """Columns (image, y, x, level, turn, words) over all levels; y and x are places in the full image."""
     parts, (height, width) = [], images.shape[1:]
     for level in range(levels):
@@ -95,3 +99,73 @@ def multiscale(images: np.ndarray, most: int, levels: int, step: float = 1.5) ->
         image, y, x, turn, words = describe(images if level == 0 else resized(images, h, w), most)
         parts.append((image, y * height / h, x * width / w, np.full(len(image), level), turn, words))
     return [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros((0, 4)) if k == 5 else np.zeros(0) for k in range(6)]
+
+
+def features(images: np.ndarray, most: int, levels: int) -> list[np.ndarray]:
+    """The FEATUREs of each image."""
+    image, y, x, level, turn, words = multiscale(images, most, levels)
+    out = np.zeros(len(image), FEATURE)
+    for name, values in zip(FEATURE.names, (y, x, level, turn, words), strict=True):
+        out[name] = values
+    order = np.argsort(image, kind="stable")
+    edges = np.searchsorted(image[order], np.arange(len(images) + 1))
+    return [out[order[a:b]] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def table_keys(words: np.ndarray, masks: np.ndarray, tables: slice) -> np.ndarray:
+    """One 64-bit key for each descriptor and table: a hash of the table and the bits under its mask."""
+    out = []
+    with np.errstate(over="ignore"):
+        for k in range(len(masks))[tables]:
+            h = np.full(len(words), k + 1, np.uint64)
+            for i in range(words.shape[1]):
+                h = (h ^ (words[:, i] & masks[k, i])) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(32)
+            out.append(h)
+    return np.concatenate(out).view(np.int64)
+
+
+def agree(a: np.ndarray, b: np.ndarray, bits: int, votes: int, cell: float) -> bool:
+    """Whether ``votes`` corners of a match corners of b, and agree on one turn, scale and shift.
+
+    Each match votes for two neighbouring steps of the turn and of the shift along either axis, so that no
+    border parts votes that are close. A corner counts once in a ballot.
+    """
+    apart = np.bitwise_count(a["words"][:, None, :] ^ b["words"][None, :, :]).sum(2, dtype=np.int64)
+    i, j = np.nonzero(apart <= bits)
+    if len(np.unique(i)) < votes:
+        return False
+    p, q = a[i], b[j]
+    zoom = p["level"].astype(int) - q["level"]
+    turn = (p["turn"].astype(int) - q["turn"]) % TURNS
+    angle, scale = turn * (2 * np.pi / TURNS), STEP**zoom
+    dy = p["y"] - scale * (q["y"] * np.cos(angle) + q["x"] * np.sin(angle))
+    dx = p["x"] - scale * (q["x"] * np.cos(angle) - q["y"] * np.sin(angle))
+    ballots = []
+    for more in range(2):
+        for half_y in (0, 0.5):
+            for half_x in (0, 0.5):
+                ballots.append(np.stack([zoom, (turn + more) % TURNS, np.floor(dy / cell + half_y), np.floor(dx / cell + half_x), np.full(len(i), 4 * half_y + 2 * half_x), i], 1))
+    cast = np.unique(np.concatenate(ballots).astype(np.int64), axis=0)
+    return bool(np.unique(cast[:, :5], axis=0, return_counts=True)[1].max() >= votes)
+
+
+@lru_cache(maxsize=4)
+def wave_block(block: int, size: int) -> np.ndarray:
+    """64 plane waves over a square, of random directions, phases and lengths down to eight pixels; longer ones are stronger."""
+    rng = np.random.default_rng([17, block])
+    cycles, angle, phase = rng.uniform(1.5, size / 8, 64), rng.uniform(0, 2 * np.pi, 64), rng.uniform(0, 2 * np.pi, 64)
+    y, x = np.mgrid[:size, :size] * (2 * np.pi / size)
+    at = (cycles * np.sin(angle))[:, None, None] * y + (cycles * np.cos(angle))[:, None, None] * x + phase[:, None, None]
+    return (np.cos(at) / np.sqrt(cycles)[:, None, None]).astype(np.float32).reshape(64, -1)
+
+
+def waves(vectors: np.ndarray, size: int) -> np.ndarray:
+    """Each vector (n x length) as a grey image: the sum of its values' waves, scaled to 0 to 255."""
+    grey = np.zeros((len(vectors), size * size), np.float32)
+    for at in range(0, vectors.shape[1], 64):
+        part = vectors[:, at : at + 64]
+        grey += part @ wave_block(at // 64, size)[: part.shape[1]]
+    grey -= grey.min(1, keepdims=True)
+    grey *= 255 / np.maximum(grey.max(1, keepdims=True), 1e-9)
+    return np.rint(grey).astype(np.uint8).reshape(-1, size, size)

@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks.llm.bitmaps import Bitmap
 from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
-from cladeworks.llm.imagekernels import TESTS, TURNS, multiscale, resized
+from cladeworks.llm.imagekernels import FEATURE, agree, features, table_keys, waves
 
 TOGETHER = 128
 #: Hamming tables, and bits of a descriptor in the key of each.
-TABLES, SAMPLE = 16, 24
+TABLES, SAMPLE = 12, 64
 
 
-def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 96, shades: int = 64) -> DataFrame:
-    """(id, height, width, pixels): each vector's values as a square grey image, smoothly enlarged.
+def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 96) -> DataFrame:
+    """(id, height, width, pixels): each vector as a square grey image, a sum of one wave for each of its values.
 
-    A stand-in for a media column, since the tables hold no images. Values are scaled to the vector's
-    range. Null and empty vectors give null pixels.
+    A stand-in for a media column, since the tables hold no images: waves of many lengths and directions
+    give detail at every place and scale, as photographs have, and like vectors give like images. Vectors of any
+    length are drawn whole; null and infinite values count as zero in their place. Grey values are
+    scaled to the image's own range. Null and empty vectors give null pixels.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            pixels = []
-            for v in batch.column(1).to_pylist():
-                v = np.nan_to_num(np.array([x for x in v or () if x is not None], np.float32))
-                side = int(len(v) ** 0.5)
-                if not side:
-                    pixels.append(None)
-                    continue
-                v = v[: side * side].reshape(1, side, side)
-                v = (v - v.min()) / max(float(v.max() - v.min()), 1e-12)
-                grey = resized(np.rint(v * (shades - 1)) * (255.0 / (shades - 1)), size, size)
-                pixels.append(np.rint(grey).astype(np.uint8).tobytes())
+            pixels = [None] * batch.num_rows
+            values = batch.column(1).to_pylist()
+            for length in sorted({len(v) for v in values if v}):
+                some = [k for k, v in enumerate(values) if v and len(v) == length]
+                for at in range(0, len(some), TOGETHER):
+                    part = some[at : at + TOGETHER]
+                    grey = waves(np.nan_to_num(np.array([[x or 0.0 for x in values[k]] for k in part], np.float32), posinf=0, neginf=0), size)
+                    for k, image in zip(part, grey, strict=True):
+                        pixels[k] = image.tobytes()
             side = pa.array([size] * batch.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), side, side, pa.array(pixels, pa.binary())], ["id", "height", "width", "pixels"])
 
@@ -46,109 +48,143 @@ def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     return slim.mapInArrow(run, f"id {kind}, height int, width int, pixels binary").withColumnRenamed("id", id_col)
 
 
-def descriptors(images: DataFrame, most: int, levels: int) -> DataFrame:
-    """(id, y, x, level, turn, w0..w3) of every image (id, height, width, pixels); wrong sizes and nulls have none."""
+def described(images: DataFrame, most: int, levels: int) -> DataFrame:
+    """(id, digest, corners) of images (id, height, width, pixels): corners packs the descriptors; wrong sizes and nulls have neither."""
     kind = images.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
+            digest, packed = [None] * batch.num_rows, [b""] * batch.num_rows
             rows = [(k, h, w) for k, (h, w, p) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2)), batch.column(3), strict=True)) if p.is_valid and h and w and len(p.as_buffer()) == h * w]
             for h, w in sorted({r[1:] for r in rows}):
                 same = [k for k, *shape in rows if shape == [h, w]]
                 for at in range(0, len(same), TOGETHER):
                     some = same[at : at + TOGETHER]
-                    stack = np.stack([np.frombuffer(batch.column(3)[k].as_buffer(), np.uint8).reshape(h, w) for k in some]).astype(np.float32)
-                    image, y, x, level, turn, words = multiscale(stack, most, levels)
-                    of = pa.array(np.array(some)[image.astype(int)])
-                    columns = [batch.column(0).take(of), *(pa.array(c.astype(np.float32)) for c in (y, x)), *(pa.array(c.astype(np.int32)) for c in (level, turn)), *(pa.array(words[:, i].astype(np.uint64).view(np.int64)) for i in range(4))]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "y", "x", "level", "turn", "w0", "w1", "w2", "w3"])
+                    buffers = [batch.column(3)[k].as_buffer() for k in some]
+                    stack = np.stack([np.frombuffer(b, np.uint8).reshape(h, w) for b in buffers]).astype(np.float32)
+                    for k, b, found in zip(some, buffers, features(stack, most, levels), strict=True):
+                        digest[k], packed[k] = sha256(b"%d %d " % (h, w) + b.to_pybytes()).digest(), found.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(packed, pa.binary())], ["id", "digest", "corners"])
 
-    return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {kind}, y float, x float, level int, turn int, w0 long, w1 long, w2 long, w3 long")
+    return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {kind}, digest binary, corners binary")
 
 
 @lru_cache(maxsize=1)
-def samples() -> list[list[int]]:
-    """TABLES masks over the words of a descriptor, each of four signed longs with SAMPLE bits set altogether."""
+def samples() -> np.ndarray:
+    """TABLES masks over the four words of a descriptor, each with SAMPLE bits set."""
     rng, out = np.random.default_rng(41), []
     for _ in range(TABLES):
-        bits = np.zeros(TESTS, np.uint8)
-        bits[rng.permutation(TESTS)[:SAMPLE]] = 1
-        out.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
-    return out
+        bits = np.zeros(256, np.uint8)
+        bits[rng.permutation(256)[:SAMPLE]] = 1
+        out.append(np.packbits(bits, bitorder="little").view("<u8"))
+    return np.array(out)
 
 
-def consensus(met: DataFrame, votes: int, cell: float) -> DataFrame:
-    """(a, b): pairs of which ``votes`` or more corners agree on one turn, scale and shift.
+def keyed(corners: DataFrame, tables: slice) -> DataFrame:
+    """(key, component, id): the Hamming-table keys of images (id, component, corners), each once an image."""
+    kind = corners.schema["id"].dataType.simpleString()
 
-    Each match votes for the two nearest steps of the turn and of the shift along either axis, so that
-    no border parts votes that are close. A pair's matches are gathered once (as many as two images have
-    pairs of corners, at most), and all later groups are within the pair.
-    """
-    two = lambda c: F.explode(F.array(F.floor(F.col(c) / cell), F.floor(F.col(c) / cell + 0.5) + 1_000_000))
-    matches = met.groupBy("a", "b").agg(F.collect_list(F.struct("zoom", "turn", "corner", "dy", "dx")).alias("matches"))
-    ballots = matches.where(F.size("matches") >= votes).select("a", "b", F.inline("matches")).withColumn("cell_y", two("dy")).withColumn("cell_x", two("dx"))
-    ballots = ballots.withColumn("around", F.explode(F.array("turn", F.pmod(F.col("turn") + 1, F.lit(TURNS)))))
-    ballot = ["a", "b", "zoom", "around", "cell_y", "cell_x"]
-    agreed = ballots.groupBy(*ballot, "corner").agg(F.lit(1)).groupBy(*ballot).agg(F.count("*").alias("n"))
-    return materialize(agreed.where(F.col("n") >= votes).select("a", "b").distinct(), "links")
-
-
-def copy_links(found: DataFrame, bits: int, votes: int, cell: float, step: float = 1.5) -> DataFrame:
-    """(a, b): all links between images, each once, a < b.
-
-    Descriptors meet in TABLES Hamming tables, each keyed by SAMPLE bits of the 256; up to ``bits`` of
-    the 256 may differ. With evenly spread flips a pair of corners meets with probability 0.97 at 16
-    differing bits and 0.43 at 32, and a copy has many more corners than it needs. All that meet
-    are compared: a leader in place of a bucket's others would lose links.
+    def run(batches):
+        for batch in batches:
+            found = [np.unique(table_keys(np.frombuffer(c.as_buffer(), FEATURE)["words"], samples(), tables)) for c in batch.column(2)]
+            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            keys = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([keys, batch.column(1).take(of), batch.column(0).take(of)], ["key", "component", "id"])
+
+    return corners.select("id", "component", "corners").mapInArrow(run, f"key long, component {kind}, id {kind}")
+
+
+def verified(pairs: DataFrame, corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
+    """(a, b): those of the pairs of images that ``votes`` or more matching corners agree on one turn, scale and shift."""
+    kind = corners.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            x, y = (batch.column(k) for k in (2, 3))
+            good = [agree(np.frombuffer(x[k].as_buffer(), FEATURE), np.frombuffer(y[k].as_buffer(), FEATURE), bits, votes, cell) for k in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    side = lambda c: corners.select(F.col("id").alias(c), F.col("corners").alias(f"corners_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "corners_a", "corners_b")
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def copy_links(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
+    """(a, b): links between images that connect what all links between images that share a key connect.
+
+    Only keys that several images have are kept. In each round an image is compared with the image
+    that leads most of its keys, by what it is linked to so far; so groups of copies settle in
+    proportion to their size. When a round finds nothing more, all images of a key that are still not linked are compared.
     """
-    words = ["w0", "w1", "w2", "w3"]
-    keys = [F.xxhash64(*[F.col(w).bitwiseAND(F.lit(m)) for w, m in zip(words, mask, strict=True)]) for mask in samples()]
-    keyed = found.select("*", F.posexplode(F.array(*keys)).alias("table", "key"))
-    common = keyed.groupBy("table", "key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("table", "key")
-    keyed = materialize(keyed.join(common, ["table", "key"]), "keyed")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    differ = [F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}")) for w in words]
-    apart = sum((F.bit_count(d) for d in differ), F.lit(0))
-    equal = [reduce(lambda x, y: x.bitwiseOR(y), [d.bitwiseAND(F.lit(m)) for d, m in zip(differ, mask, strict=True)]) == 0 for mask in samples()]
-    # a pair of corners counts in the first table in which it meets
-    first = F.coalesce(*[F.when(e, k) for k, e in enumerate(equal)])
-    on = (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (apart <= bits) & (F.col("a.table") == first)
-    scale = F.pow(F.lit(step), F.col("a.level") - F.col("b.level"))
-    turn = F.pmod(F.col("a.turn") - F.col("b.turn"), F.lit(TURNS))
-    angle = turn * (2 * np.pi / TURNS)
-    dy = F.col("a.y") - scale * (F.col("b.y") * F.cos(angle) + F.col("b.x") * F.sin(angle))
-    dx = F.col("a.x") - scale * (F.col("b.x") * F.cos(angle) - F.col("b.y") * F.sin(angle))
-    met = a.join(b, on).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.level") - F.col("b.level")).alias("zoom"), turn.alias("turn"), F.struct("a.y", "a.x").alias("corner"), dy.alias("dy"), dx.alias("dx"))
-    links = consensus(met, votes, cell)
-    drop_materialized(keyed)
-    return links
+    alone = corners.withColumn("component", F.col("id"))
+    counts = keyed(alone, slice(None)).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key")
+    counts = materialize(counts, "keys")
+    shared = Bitmap(counts, "key", 22)
+    links, now, made = None, alone, []
+
+    def placed(tables: slice = slice(None)) -> DataFrame:
+        """One image stands for those of one component that share a key."""
+        return keyed(now, tables).where(shared.has(F.col("key"))).groupBy("key", "component").agg(F.min("id").alias("id"))
+
+    def joined(new: DataFrame) -> bool:
+        nonlocal links, now
+        if new.isEmpty():
+            return False
+        links = new if links is None else materialize(links.unionByName(new), "links")
+        parts = materialize(connected_components(links), "parts")
+        now = corners.join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", "corners", F.coalesce("component", "id").alias("component"))
+        made.extend([new, parts])
+        return True
+
+    tables, more = slice(0, 1), True
+    while more:
+        some = placed(tables)
+        leaders = some.groupBy("key").agg(F.min(F.struct("component", "id")).alias("lead"), F.max("component").alias("last")).where("lead.component < last").select("key", "lead")
+        met = some.join(leaders, "key").where("component <> lead.component").groupBy("id", "lead.id").agg(F.count("*").alias("n")).toDF("b", "a", "n")
+        best = materialize(met.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "best")
+        more = joined(materialize(verified(best, corners, bits, votes, cell), "links")) or tables.stop is not None
+        made.append(best)
+        tables = slice(None)
+
+    rows = keyed(now, slice(None)).where(shared.has(F.col("key")))
+    mixed = materialize(rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least < last").select("key"), "mixed")
+    rows = materialize(rows.where(Bitmap(mixed, "key", 22).has(F.col("key"))).join(mixed, "key"), "rest")
+    rest = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
+    rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+    last = materialize(verified(rest, corners, bits, votes, cell), "links")
+    out = materialize(last if links is None else links.unionByName(last), "links")
+    drop_materialized(counts, mixed, rows, rest, last, *made)
+    return out
 
 
 def image_copies(images: DataFrame, most: int = 24, levels: int = 3, bits: int = 32, votes: int = 4, cell: float = 12.0, id_col: str = "id") -> DataFrame:
-    """(id, n_links, n_others, component): groups of copies among images (id, height, width, pixels: bytes of grey values).
-
-    Images of equal pixels are merged first and represented by the smallest id. n_links counts the other
-    different images with a geometrically consistent set of matching corners; the component is the
-    smallest id reachable over such links, and n_others counts the other different images in it. Null pixels, wrong sizes and images without
-    corners have no links; a null id is kept, without links; repeated rows are kept; an empty table gives
-    an empty one.
+    """(id, n_others, component): groups of copies among images (id, height, width, pixels: bytes of grey values).
+
+    Images of equal size and pixels are merged first and represented by the smallest id. Others are copies if
+    ``votes`` of their corners match, by ``bits`` or fewer differing bits of 256, and agree on turn, scale
+    and shift. Candidates share a key in one of TABLES tables, each of SAMPLE sampled bits. The component
+    is the smallest id reachable over copies (ties of places and scores never matter to it), n_others the
+    number of other different images in it. Null pixels, wrong sizes, images without corners and images
+    with a side of 36 pixels or less, which leaves a descriptor no room, are linked by equal pixels only. A
+    null id is kept, without links; repeated rows are kept; very large images are read whole; an empty table
+    gives an empty one; other columns are ignored.
     """
-    rows = materialize(images.select(images[id_col].alias("id"), "height", "width", "pixels", F.sha2("pixels", 256).alias("digest")), "images")
-    same = materialize(rows.groupBy("digest", "height", "width").agg(F.min("id").alias("first")).where("digest is not null and first is not null"), "same")
-    alike = lambda a, b: (F.col(f"{a}.digest") == F.col(f"{b}.digest")) & F.col(f"{a}.height").eqNullSafe(F.col(f"{b}.height")) & F.col(f"{a}.width").eqNullSafe(F.col(f"{b}.width"))
-    leaders = rows.alias("r").join(same.alias("s"), alike("r", "s") & (F.col("r.id") == F.col("s.first"))).select("id", "r.height", "r.width", "pixels").dropDuplicates(["id"])
-    found = materialize(descriptors(leaders, most, levels), "descriptors")
-    links = copy_links(found, bits, votes, cell)
+    slim = images.select(images[id_col].alias("id"), images["height"].alias("height"), images["width"].alias("width"), images["pixels"].alias("pixels"))
+    found = materialize(described(slim, most, levels), "images")
+    same = materialize(found.groupBy("digest").agg(F.min("id").alias("first")).where("digest is not null and first is not null"), "same")
+    firsts = found.join(same, "digest").where("id = first").select("id", "corners").dropDuplicates(["id"])
+    corners = materialize(firsts.where(F.octet_length("corners") > 0), "corners")
+    links = copy_links(corners, bits, votes, cell)
     parts = materialize(connected_components(links), "parts")
-    linked = links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     sizes = parts.groupBy("component").agg((F.count("*") - 1).alias("n_others"))
     placed = parts.join(sizes, "component").withColumnRenamed("node", "first")
-    named = materialize(same.join(placed, "first", "left").join(linked, "first", "left").select("digest", "height", "width", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_others", F.lit(0)).alias("n_others"), F.coalesce("component", "first").alias("component")), "classes")
-    out = rows.drop("pixels").alias("r").join(named.alias("n"), alike("r", "n"), "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_others", F.lit(0)).cast("long").alias("n_others"), F.coalesce("component", "id").alias("component"))
+    named = same.join(placed, "first", "left").select("digest", "n_others", F.coalesce("component", "first").alias("component"))
+    out = found.select("id", "digest").join(named, "digest", "left")
+    known = F.col("id").isNotNull()
+    return out.select(F.col("id").alias(id_col), F.coalesce(F.when(known, F.col("n_others")), F.lit(0)).cast("long").alias("n_others"), F.when(known, F.coalesce("component", "id")).alias("component"))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The images are rendered from ``embeddings``."""
+    """The images are drawn from ``embeddings``."""
     images = vector_images(read_table(spark, sf_dir, "embeddings"))
-    return image_copies(images, id_col="vec_id").select("vec_id", "n_links", "n_others", F.col("component").alias("component_id"))
+    return image_copies(images, id_col="vec_id").select("vec_id", "n_others", F.col("component").alias("component_id"))
