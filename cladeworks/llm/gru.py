@@ -12,8 +12,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def windows(word: bytes) -> list[bytes]:
-    word = b" " + word
+def windows(word: bytes, before: bytes = b" ") -> list[bytes]:
+    word = before + word
     return [word[i : i + WINDOW] for i in range(0, len(word), WINDOW)]
 
 
@@ -137,22 +137,27 @@ class ByteTagger:
                     v += 0.001 * (g * g - v)
                     p -= (now / (1 - 0.9**step) * m / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
 
-    def word_scores(self, words: list[bytes], together: int = 2048) -> np.ndarray:
-        """For each word, per class: the mean log-probability of its positions and the positions it labels so; and the positions."""
-        pieces, owner = [], []
-        for k, word in enumerate(words):
-            for piece in windows(word):
-                pieces.append(piece)
-                owner.append(k)
-        owner, n = np.array(owner), len(self.classes)
-        sums = np.zeros((len(words), 2 * n + 1))
+    def scores(self, pieces: list[bytes], together: int = 2048) -> np.ndarray:
+        """For each piece, per class: the summed log-probabilities of its positions, their summed probabilities, and the positions labelled so; and the positions."""
+        n = len(self.classes)
+        out = np.zeros((len(pieces), 3 * n + 1), np.float32)
         order = np.argsort([len(p) for p in pieces], kind="stable")
         for i in range(0, len(order), together):
             rows = order[i : i + together]
             logp, size, _ = self.positions([pieces[k] for k in rows])
             mask = (np.arange(len(logp))[:, None] < size)[:, :, None]
             labelled = (logp.argmax(2)[:, :, None] == np.arange(n)) & mask
-            found = np.concatenate([(logp * mask).sum(0), labelled.sum(0), size[:, None]], 1)
-            np.add.at(sums, owner[rows], found)
+            out[rows] = np.concatenate([(logp * mask).sum(0), (np.exp(logp) * mask).sum(0), labelled.sum(0), size[:, None]], 1)
+        return out
+
+    def word_scores(self, words: list[bytes]) -> np.ndarray:
+        """For each word as ``scores``, but with the mean log-probabilities of its positions."""
+        pieces, owner = [], []
+        for k, word in enumerate(words):
+            for piece in windows(word):
+                pieces.append(piece)
+                owner.append(k)
+        sums, n = np.zeros((len(words), 3 * len(self.classes) + 1), np.float32), len(self.classes)
+        np.add.at(sums, np.array(owner), self.scores(pieces))
         sums[:, :n] /= np.maximum(sums[:, -1:], 1)
-        return sums.astype(np.float32)
+        return sums

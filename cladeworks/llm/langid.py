@@ -3,40 +3,50 @@
 from __future__ import annotations
 
 import pickle
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cladeworks.llm.common import ASCII_SPACE, read_table
-from cladeworks.llm.gru import ByteTagger
+from cladeworks.llm.gru import ByteTagger, windows
 
 UNKNOWN = "und"
-#: Words whose scores a worker keeps; a full memo is emptied.
-MEMO_WORDS = 400_000
+#: Words whose scores a task keeps; a full memo is emptied. Longer words are scored anew each time.
+MEMO_WORDS, MEMO_CHARS = 150_000, 64
 TOGETHER = 1 << 20
+#: Marks that are read apart from a word at whose ends they stand.
+MARKS = ".,;:!?\"'()*&%$#|"
 
 
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def training_words(docs: DataFrame, docs_per_language: int, words_per_doc: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """(label, words): about ``docs_per_language`` rows a language at most, and of each so many distinct words, both by hash order."""
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[label_col].alias("label")).where(~held_out() & F.col("label").isNotNull() & F.col("text").isNotNull())
+def training_words(docs: DataFrame, docs_per_language: int, words_per_doc: int, word_chars: int = 64, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """(label, words): about ``docs_per_language`` rows a language at most, and of each so many distinct words, both by hash order; of a word its first ``word_chars`` characters.
+
+    Bounds on the rows' hashes, one a language, reach the driver and go back as literals, so that no text is shuffled.
+    """
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[label_col].cast("string").alias("label")).where(~held_out() & F.col("label").isNotNull() & F.col("text").isNotNull())
     rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+
+    def within(bounds: dict[str, int]):
+        known = F.create_map(*[F.lit(x) for label, bound in sorted(bounds.items()) for x in (label, bound)])
+        return F.col("h") <= F.element_at(known, F.col("label"))
+
     # hashes are even: a bound on them leaves a few times as many rows of each language, however many there are
-    sizes = docs.where(docs[label_col].isNotNull()).groupBy(docs[label_col].alias("label")).agg(F.count("*").alias("n"))
-    bound = F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.col("n")) * 2.0**64 - 2.0**63
-    few = rows.select("label", "h").join(sizes, "label").where(F.col("h").cast("double") <= bound).select("label", "h")
-    # only hashes are ranked; the texts stay where they are
-    last = few.withColumn("k", F.row_number().over(W.partitionBy("label").orderBy("h"))).where(F.col("k") <= docs_per_language)
-    last = last.groupBy("label").agg(F.max("h").alias("last"))
-    words = F.transform(F.array_distinct(F.split("text", ASCII_SPACE)), lambda w: F.struct(F.xxhash64(w).alias("h"), F.substring(w, 1, 64).alias("w")))
-    some = rows.join(last, "label").where("h <= last").select("label", F.slice(F.array_sort(words), 1, words_per_doc)["w"].alias("words"))
+    sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return rows.select("label", F.array("text").alias("words")).limit(0)
+    bounds = {label: min(2**64 - 1, 2**64 * 4 * docs_per_language // n) - 2**63 for label, n in sizes.items()}
+    hashes: dict[str, set[int]] = {}
+    for r in rows.where(within(bounds)).select("label", "h").distinct().collect():
+        hashes.setdefault(r.label, set()).add(r.h)
+    last = {label: sorted(some)[:docs_per_language][-1] for label, some in hashes.items()}
+    words = F.transform(F.array_distinct(F.split("text", ASCII_SPACE)), lambda w: F.struct(F.xxhash64(w).alias("h"), F.substring(w, 1, word_chars).alias("w")))
+    some = rows.where(within(last)).select("label", F.slice(F.array_sort(words), 1, words_per_doc)["w"].alias("words"))
     return some.distinct()  # equal rows share a hash
 
 
@@ -54,70 +64,106 @@ def train_language_model(docs: DataFrame, docs_per_language: int = 300, words_pe
 
 
 class Predictor:
+    """Scores of words, kept from text to text: mean log-probabilities of the core, summed probabilities and labels of all bytes, and bytes."""
+
     def __init__(self, model: bytes):
         self.model: ByteTagger = pickle.loads(model)
         self.n = len(self.model.classes)
+        self.blank = self.model.scores([b" "])[0]
         self.forget()
 
     def forget(self) -> None:
         self.at: dict[str, int] = {}
-        self.cores: dict[str, int] = {}
-        self.scores = np.zeros((0, 2 * self.n + 1), np.float32)
-
-    def learn(self, words: set[str]) -> None:
-        """Scores for words not met before; punctuation at a word's ends is left out where letters remain."""
-        core = {w: w.strip(".,;:!?\"'()*&%$#|") or w for w in words}
-        fresh = [c for c in dict.fromkeys(core.values()) if c not in self.cores]
-        self.cores.update({c: len(self.cores) + k for k, c in enumerate(fresh)})
+        self.core_at: dict[str, int] = {}
+        self.scores = np.zeros((1024, 3 * self.n + 1), np.float32)
+        self.cores = np.zeros((1024, 3 * self.n + 1), np.float32)
+        self.mark_scores: dict[str, np.ndarray] = {"": np.zeros(3 * self.n + 1, np.float32)}
+
+    def marks(self, text: str) -> np.ndarray:
+        """Of the marks at one end of a word: they count as positions, but have no part in the choice of the language."""
+        found = self.mark_scores.get(text)
+        if found is None:
+            found = self.model.scores(windows(text.encode(), b"")).sum(0)
+            found[: self.n] = 0
+            if len(text) <= MEMO_CHARS:
+                self.mark_scores[text] = found
+        return found
+
+    def parts(self, word: str) -> tuple[str, str, str]:
+        core = word.strip(MARKS)
+        if not core:
+            return "", word, ""
+        at = word.index(core)
+        return word[:at], core, word[at + len(core) :]
+
+    def learn(self, words: list[str]) -> np.ndarray:
+        """Rows of scores for words not met before; known cores are not read again."""
+        split = [self.parts(w) for w in words]
+        fresh = list(dict.fromkeys(c for _, c, _ in split if c not in self.core_at))
         if fresh:
-            self.scores = np.concatenate([self.scores, self.model.word_scores([c.encode() for c in fresh])])
-        self.at.update((w, self.cores[c]) for w, c in core.items())
+            first = len(self.core_at)
+            self.cores = grown_to(self.cores, first + len(fresh))
+            self.cores[first : first + len(fresh)] = self.model.word_scores([c.encode() for c in fresh])
+            self.core_at.update((c, first + k) for k, c in enumerate(fresh))
+        out = self.cores[np.fromiter((self.core_at[c] for _, c, _ in split), np.int64, len(split))]
+        for k, (head, _, tail) in enumerate(split):
+            if head or tail:
+                out[k] += self.marks(head) + self.marks(tail)
+        return out
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, int, float]]:
-        """(language, its probability, labelled positions, the share of positions that the language labels)."""
+        """(language, mean probability, labelled positions, the share of positions that the language labels)."""
+        n, out = self.n, []
         split = [t.split() for t in texts]
         if len(self.at) > MEMO_WORDS:
             self.forget()
-        words = set().union(*split)
-        if fresh := {w for w in words if w not in self.at}:
-            self.learn(fresh)
-        out = []
-        for text, parts in zip(texts, split, strict=True):
+        fresh = [w for w in set().union(*split) if w not in self.at]
+        for at in range(0, len(fresh), MEMO_WORDS):
+            some = fresh[at : at + MEMO_WORDS]
+            first = len(self.at)
+            self.scores = grown_to(self.scores, first + len(some))
+            self.scores[first : first + len(some)] = self.learn(some)
+            self.at.update((w, first + k) for k, w in enumerate(some))
+        for text, words in zip(texts, split, strict=True):
             if not any(map(str.isalpha, text)):
-                out.append((UNKNOWN, 0.0, 0, 0.0))
+                out.append((UNKNOWN, 0.0, len(text.encode()), 0.0))
                 continue
-            total = self.scores[np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))].sum(0, dtype=np.float64)
-            pooled = np.exp(total[: self.n] - total[: self.n].max())
-            best = int(pooled.argmax())
-            out.append((self.model.classes[best], float(pooled[best] / pooled.sum()), int(total[-1]), float(total[self.n + best] / max(total[-1], 1))))
+            total = self.scores[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(0, dtype=np.float64)
+            size = len(text.encode())
+            total[n:] += self.blank[n:] * max(size - total[-1], 0)  # white space beyond the one space before each word
+            best = int(total[:n].argmax())
+            out.append((self.model.classes[best], float(min(total[n + best] / total[-1], 1.0)), size, float(min(total[2 * n + best] / total[-1], 1.0))))
+        if any(len(w) > MEMO_CHARS for w in fresh):
+            self.forget()
         return out
 
 
-PREDICTORS: dict[bytes, Predictor] = {}
-
-
-def predictor(model: bytes) -> Predictor:
-    """One for all tasks of a worker process, so that its memo goes on."""
-    name = sha256(model).digest()
-    if name not in PREDICTORS:
-        PREDICTORS.clear()
-        PREDICTORS[name] = Predictor(model)
-    return PREDICTORS[name]
+def grown_to(rows: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(rows):
+        return rows
+    out = np.zeros((max(size, 2 * len(rows)), rows.shape[1]), rows.dtype)
+    out[: len(rows)] = rows
+    return out
 
 
 def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(*keep, id, held_out, lang_pred, score, n_positions, position_share) per row, from the text alone.
 
-    The network reads word by word, both ways, and labels every byte position of the whole text; a
-    document's probabilities pool the mean log-probabilities of its words. Null, empty and letterless
-    texts, and all texts where no model could be trained, are ``und`` with score 0. A null id counts as
-    the empty string for ``held_out``. Repeated rows are predicted alike; an empty table gives an empty one.
+    The network reads word by word, both ways, each behind one space and in windows of 24 bytes, and
+    marks at a word's ends apart from it. So every byte of the whole text is labelled, white space
+    included, and n_positions is its size. The language is the one with the largest sum of the words' mean
+    log-probabilities (ties: the first by name); score is its mean probability over all positions. Null,
+    empty and letterless texts, and all texts where no model could be trained, are ``und`` with score 0.
+    A null id counts as the empty string for ``held_out``. Very long texts and words are read whole. Repeated
+    rows are predicted alike; an empty table gives an empty one. Other columns are ignored unless kept;
+    a kept column that has the name of a result appears beside it.
     """
     sent = [*keep, *([] if id_col in keep else [id_col]), *([] if text_col in keep else [text_col])]
     at_text = sent.index(text_col)
     returned = [k for k, c in enumerate(sent) if c != text_col or c in keep]
 
     def run(batches):
+        predict = Predictor(model).predict if model else lambda some: [(UNKNOWN, 0.0, 0, 0.0)] * len(some)
         for batch in batches:
             column, found, at = batch.column(at_text), [], 0
             while at < batch.num_rows:
@@ -125,14 +171,14 @@ def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_
                 while at + len(some) < batch.num_rows and size < TOGETHER:
                     some.append(column[at + len(some)].as_py() or "")
                     size += len(some[-1])
-                found += predictor(model).predict(some) if model else [(UNKNOWN, 0.0, 0, 0.0)] * len(some)
+                found += predict(some)
                 at += len(some)
             lang, score, n, share = zip(*found, strict=True) if found else ((),) * 4
             columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(share, pa.float64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in returned), *columns], [*(f"c{k}" for k in returned), "lang_pred", "score", "n_positions", "position_share"])
 
     fields = "".join(f"c{k} {docs.schema[sent[k]].dataType.simpleString()}, " for k in returned)
-    slim = docs.select(*[docs[c].alias(f"c{k}") for k, c in enumerate(sent)])
+    slim = docs.select(*[(docs[c].cast("string") if c == text_col else docs[c]).alias(f"c{k}") for k, c in enumerate(sent)])
     out = slim.mapInArrow(run, f"{fields}lang_pred string, score double, n_positions long, position_share double")
     return out.select(*[F.col(f"c{k}").alias(sent[k]) for k in returned], held_out(f"c{sent.index(id_col)}").alias("held_out"), "lang_pred", "score", "n_positions", "position_share")
 
