@@ -29,12 +29,19 @@ ALLOWED = (
 )
 
 
-SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 MATCHES = "array<struct<start:int,end:int,match:string>>"
+#: Matches located together; blocks of them are put one behind the other.
+BLOCK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: an expression put into a lambda would be computed at each mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def located(text: Column, pattern: str, found: Column) -> Column:
     """Where the leftmost non-overlapping matches ``found`` stand: they and the gaps between them make up the text."""
+    n = F.size(found)
 
     def fold(gaps: Column) -> Column:
         def step(acc, i):
@@ -42,37 +49,46 @@ def located(text: Column, pattern: str, found: Column) -> Column:
             end = start + F.length(F.get(found, i))
             return F.struct(end.alias("at"), F.array_append(acc["spans"], F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("match"))).alias("spans"))
 
-        nothing = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("spans"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), nothing, step)["spans"]
+        def block(acc, first):
+            inside = F.aggregate(F.sequence(first, F.least(first + BLOCK, n) - 1), F.struct(acc["at"].alias("at"), F.array().cast(MATCHES).alias("spans")), step)
+            return bound(inside, lambda b: F.struct(b["at"].alias("at"), F.array_append(acc["blocks"], b["spans"]).alias("blocks")))
 
-    # the one-element array binds the split, so that it is made once
-    return F.when(F.size(found) > 0, F.get(F.transform(F.array(F.split(text, pattern, -1)), fold), F.lit(0))).otherwise(F.array().cast(MATCHES))
+        nothing = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{MATCHES}>").alias("blocks"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), n - 1, F.lit(BLOCK)), nothing, block)["blocks"])
+
+    return F.when(n > 0, bound(F.split(text, pattern, -1), fold)).otherwise(F.array().cast(MATCHES))
 
 
 def entropy_span(candidate: Column, window: int, least: Column) -> Column:
     """struct<lo, hi>: from the first to the last window of at least so many bits per character; lo is -1 if none has.
 
-    Slides one character at a time: counts per character and the sum of n log2 n change by what comes
-    in and what goes out.
+    Slides one character at a time: the sum of n log2 n over the characters of the window changes by the
+    counts, among those that it holds, of what comes in and of what goes out. The work is in proportion to length times window.
     """
     weight = literal_array([n * log2(n) if n else 0.0 for n in range(window + 1)], "double")
-    code = lambda i: F.ascii(F.substring(candidate, i, F.lit(1)))
 
-    def step(acc, i):
-        new, old = code(i), F.when(i > window, code(i - window)).otherwise(-1)
-        held = lambda k: F.when(k < 0, 0).otherwise(F.get(acc["counts"], k))
-        grown = F.get(weight, held(new) + 1) - F.get(weight, held(new))
-        shrunk = F.when(old < 0, 0.0).otherwise(F.get(weight, F.greatest(held(old) - 1, F.lit(0))) - F.get(weight, held(old)))
-        total = F.when(new == old, acc["sum"]).otherwise(acc["sum"] + grown + shrunk)
-        counts = F.transform(acc["counts"], lambda n, k: n + (k == new).cast("int") - (k == old).cast("int"))
-        enough = (i >= window) & (F.round(F.lit(log2(window)) - total / window, 9) >= least)
-        return F.struct(
-            counts.alias("counts"), total.alias("sum"),
-            F.when(enough & (acc["lo"] < 0), i - window).otherwise(acc["lo"]).alias("lo"), F.when(enough, i).otherwise(acc["hi"]).alias("hi"),
-        )
+    def slide(codes: Column) -> Column:
+        def step(acc, i):
+            moved = F.struct(
+                F.get(codes, i).alias("new"), F.when(i >= window, F.get(codes, i - window)).otherwise(-1).alias("old"),
+                F.slice(codes, F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window))).alias("held"),
+            )
+            return F.aggregate(F.array(moved), acc, lambda a, m: F.aggregate(F.array(total(a, m)), a, lambda a, t: seen(a, t, i)))
+
+        def total(acc, m):
+            count = lambda c: F.size(F.filter(m["held"], lambda x: x == c))
+            grown = bound(count(m["new"]), lambda n: F.get(weight, F.least(n + 1, F.lit(window))) - F.get(weight, n))
+            shrunk = bound(count(m["old"]), lambda n: F.get(weight, F.greatest(n - 1, F.lit(0))) - F.get(weight, n))
+            return acc["sum"] + F.when(m["new"] == m["old"], 0.0).otherwise(grown + shrunk)
+
+        def seen(acc, total, i):
+            enough = (i >= window - 1) & (F.round(F.lit(log2(window)) - total / window, 9) >= least)
+            return F.struct(total.alias("sum"), F.when(enough & (acc["lo"] < 0), i - (window - 1)).otherwise(acc["lo"]).alias("lo"), F.when(enough, i + 1).otherwise(acc["hi"]).alias("hi"))
+
+        nothing = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), nothing, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
 
-    nothing = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), nothing, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
+    return bound(F.transform(F.split(candidate, ""), lambda c: F.ascii(c)), slide)
 
 
 def joined(spans: Column) -> Column:
@@ -87,8 +103,9 @@ def find_secrets(docs: DataFrame, window: int = 20, classes: dict = CLASSES, all
     an allow-listed shape get the span of their windows of high Shannon entropy, with the bound of their
     character class, unless it overlaps a base span. Spans are kind:start:end in code points, end
     exclusive, by start and kind. One narrow stage: nothing is shuffled or leaves the JVM. Null and empty
-    texts have no spans; repeated rows are scanned each; an empty table gives an empty one; other columns
-    are ignored.
+    texts have no spans; very long texts and candidates are read whole, in proportion to their length;
+    windows that tie in entropy all count; repeated rows are scanned each; an empty table gives an empty
+    one; other columns are ignored.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).withColumn("text", text_or_empty("text"))
     patterns = {kind: pattern for kind, (pattern, _, _) in BASE.items()} | {"candidate": CANDIDATE}
@@ -106,8 +123,8 @@ def find_secrets(docs: DataFrame, window: int = 20, classes: dict = CLASSES, all
     harmless = lambda m: F.greatest(*[m["match"].rlike(p) for p in allowed], F.lit(False))
 
     def high(m):
-        bound = F.transform(F.array(kind_of(m)), lambda k: F.struct(k.alias("k"), entropy_span(m["match"], window, k["bits"]).alias("at")))
-        return F.transform(bound, lambda b: F.struct((m["start"] + b["at"]["lo"]).alias("start"), b["k"]["rank"].alias("rank"), (m["start"] + b["at"]["hi"]).alias("end"), b["k"]["kind"].alias("kind"), b["at"]["lo"].alias("lo")))
+        spans = F.transform(F.array(kind_of(m)), lambda k: F.struct(k.alias("k"), entropy_span(m["match"], window, k["bits"]).alias("at")))
+        return F.transform(spans, lambda b: F.struct((m["start"] + b["at"]["lo"]).alias("start"), b["k"]["rank"].alias("rank"), (m["start"] + b["at"]["hi"]).alias("end"), b["k"]["kind"].alias("kind"), b["at"]["lo"].alias("lo")))
 
     found = F.filter(F.flatten(F.transform(F.filter("candidate", lambda m: ~harmless(m)), high)), lambda s: s["lo"] >= 0)
     clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
