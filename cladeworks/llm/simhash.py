@@ -19,6 +19,9 @@ from cladeworks.llm.textkernels import U, fingerprints, shingle_sets
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
 #: Bits of the marks of a token set.
 MARKS = 512
+#: The most tokens that a set is looked up by. Of two sets with a Jaccard index of s, the smallest k tokens
+#: of their union are all in only one of them with probability (1 - s)^k or less: 1e-14 for 0.8.
+SKETCH = 20
 # Fixed value: a generator polynomial of the binary (23, 12) Golay code.
 GENERATOR = 0xC75
 #: (first bit, bits) of the segments; each is a 23-bit word with zeros above.
@@ -125,8 +128,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts stay where they are: only fingerprints are shuffled, and equal ones are merged before they
     are joined. The component is the smallest id reachable. Null and empty texts have fingerprint 0 and
-    are linked like any other; a null id takes part and has itself no smaller id than others; repeated
-    rows are kept; an empty table gives an empty one; other columns are ignored.
+    are linked like any other; bits set in exactly half of the shingles are 0; a null id takes part and
+    has itself no smaller id than others; repeated rows are kept; very long texts count whole; an empty
+    table gives an empty one; other columns are ignored.
     """
     prints = materialize(simhash_fingerprints(docs, id_col, text_col), "prints")
     distinct = materialize(prints.groupBy("print").agg(F.min("id").alias("node")).select("node", "print"), "distinct")
@@ -142,7 +146,7 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) ->
     at least one token is in only one of them.
 
     tokens: the set in order of hashes, or with a ``similarity`` only so many of the smallest that two
-    sets as similar as that share one of them.
+    sets as similar as that share one of them (SKETCH where that takes more).
     """
     kind = keyed.schema["id"].dataType.simpleString()
 
@@ -158,7 +162,7 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) ->
                     parity = np.bincount(np.repeat(np.arange(len(n)), n) * MARKS + (tokens & U(MARKS - 1)).astype(np.int64), minlength=len(n) * MARKS) & 1
                     marks = np.packbits(parity.astype(np.uint8)).view(np.int64)
                     if similarity is not None:
-                        need = np.minimum(n, n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
+                        need = np.minimum(np.minimum(n, SKETCH), n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
                         tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
                         first = np.concatenate([[0], np.cumsum(need)])
                     lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
@@ -171,15 +175,17 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) ->
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component): rows linked, directly or through others, by a Jaccard index of ``similarity`` or more.
+    """(id, key, part, component): rows linked, directly or through others, by a Jaccard index of ``similarity`` or more.
 
     A row's tokens are its word shingles (``width`` words, A-Z lower-cased; fewer words: the whole
-    sequence). The join is exact: rows with equal sets are merged, sets meet in the smallest hashes of
-    each (the prefix), and every link is verified on the whole sets. Each token has a leader, the smallest
+    sequence). Rows with equal sets are merged, sets meet in the smallest hashes of each (the prefix, of
+    SKETCH tokens at most; sets of up to 95 tokens at 0.8 meet for certain, larger ones up to a chance of
+    1e-14), and every link is verified on the whole sets. Each token has a leader, the smallest
     sig: comparing all with the leaders comes first, and then only sets whose groups differ are compared,
-    since others can't change the groups. The component is the smallest id reachable. Null and empty
-    texts are alike; null ids take part and have themselves no smaller id than others; repeated rows are
-    kept; an empty table gives an empty one; other columns are ignored.
+    since others can't change the groups. The component is the smallest id reachable, part a name of the
+    group, key a hash of id and text. Null and empty texts are alike; null ids take part and have
+    themselves no smaller id than others; repeated rows are kept; very long texts count whole; an empty
+    table gives an empty one; other columns are ignored.
     """
     keyed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("key"), docs[text_col].cast("string").alias("text"))
     rows = materialize(token_sets(keyed, width, similarity), "prefixes")
@@ -224,9 +230,23 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
     parts = materialize(connected_components(led.unionAll(more)).withColumnRenamed("node", "sig"), "parts")
     named = reps.join(parts, "sig", "left").select("sig", "first", F.coalesce("component", "sig").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component"))
-    named = materialize(named.join(least, "part").select("sig", "component"), "components")
-    drop_materialized(shared, met, led_pairs, placed, more_pairs)
-    return rows.join(named, "sig").select(F.col("id").alias(id_col), "component")
+    named = materialize(named.join(least, "part").select("sig", "part", "component"), "components")
+    out = materialize(rows.join(named, "sig").select(F.col("id").alias(id_col), "key", "part", "component"), "groups")
+    drop_materialized(rows, reps, shared, met, led_pairs, led, groups, placed, more_pairs, more, parts, named)
+    return out
+
+
+def one_of_each_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of ``similar_documents``: the one with the smallest id (null last, then by hash); of repeated rows any one."""
+    place = F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), "key")
+    first = groups.groupBy("part").agg(F.min(place).alias("first"))
+    told = groups.select("part", "key", place.alias("place")).join(first, "part").groupBy("key").agg(F.first(F.col("place") > F.col("first")).alias("gone"), F.count("*").alias("copies"))
+    told = materialize(told.where("gone or copies > 1"), "told")
+    # the document's own columns travel in a struct, so that none of their names can clash
+    rows = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    single = rows.join(told, "key", "left_anti").select("row")
+    copied = rows.join(told.where("not gone"), "key", "left_semi").dropDuplicates(["key"]).select("row")
+    return single.unionByName(copied).select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
