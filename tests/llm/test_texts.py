@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -59,7 +61,7 @@ def brute_repeats(rows, width):
     return out
 
 
-@pytest.mark.parametrize("width", [20, 12])
+@pytest.mark.parametrize("width", [5, 12, 20, 23])
 def test_substring_dedup(spark, width):
     rows = awkward_rows()
     got = drop_repeats(frame(spark, rows), width=width, with_text=True).collect()
@@ -67,6 +69,11 @@ def test_substring_dedup(spark, width):
     assert len(got) == len(rows)
     assert all((r.n_words, r.n_removed, r.kept_sha256, r.kept) == want[r.doc_id] for r in got)
     assert any(r.n_removed for r in got)
+    by_id = {i: words_of(t) for i, t in rows}
+    for r in got:  # the phrases are copies of earlier places, and make up what is removed
+        for f in r.factors:
+            assert by_id[r.doc_id][f.start : f.start + f.length] == by_id[f.ref_id][f.ref_at : f.ref_at + f.length] and (f.ref_id, f.ref_at) < (r.doc_id, f.start)
+        assert r.n_factors == len(r.factors) and sum(f.length for f in r.factors) == r.n_removed
     assert drop_repeats(empty(spark)).count() == 0
 
 
@@ -104,6 +111,17 @@ def test_secrets(spark):
     assert find_secrets(empty(spark)).count() == 0
 
 
+def test_secrets_of_a_megabyte(spark):
+    """One unbroken candidate of a megabyte, and thousands of matches in one text, in proportion to their length."""
+    rng = random.Random(4)
+    blob = "".join(rng.choice("ABCDEFGHIJKLNOPQRSTUVWYZabcdefghijklnopqrstuvwyz23456789") for _ in range(1_000_000))
+    began = time.time()
+    got = {r.doc_id: r for r in find_secrets(spark.createDataFrame([(1, f"x {blob} y"), (2, "token=abcdefg " * 20_000)], "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert got[1].spans == f"entropy_base64:2:{2 + len(blob)}"
+    assert got[2].n_assign == 20_000 and got[2].spans.endswith(f"assign:{14 * 19_999}:{14 * 19_999 + 13}")
+
+
 def test_languages(spark):
     rng = np.random.default_rng(2)
     parts = {"aa": "ka ro mu ndi tel va", "bb": "xi qu zha wen pfl ox", "cc": "oo li ee va ii no uu"}
@@ -194,14 +212,14 @@ def test_packing(spark):
 
 def test_sharding(spark, tmp_path):
     rows = awkward_rows() + [(None, "no id")]
-    placed = external_shuffle(frame(spark, rows), carry=("text",))
+    placed = external_shuffle(frame(spark, rows), carry=("line", "row"))
+    assert placed.columns == ["doc_id", "text", "law", "shard", "slot", "grown_shard", "line", "row"]
     got = placed.collect()
     assert len(got) == len(rows)
     slots = defaultdict(list)
     for r in got:
         slots[r["shard"]].append(r.slot)
-        t = (r.text or "").encode()
-        assert r["size"] == len(t) + 16 and r.text_crc32 == zlib.crc32(t) and r.law == "key"
+        assert r.law == "key"
         assert r.grown_shard in (r["shard"], 40) and 0 <= r["shard"] < 40
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     grown = {r.doc_id: r["shard"] for r in external_shuffle(frame(spark, rows), shards=41).collect()}
@@ -214,3 +232,20 @@ def test_sharding(spark, tmp_path):
     write_shards(placed, str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == len(rows)
     assert external_shuffle(empty(spark)).count() == 0
+
+
+def test_sharding_layout(spark):
+    """Slots depend on the rows alone: neither on settings nor on how the input is dealt; repeats of a row fall into several buckets."""
+    rows = spark.range(3000).selectExpr("id as doc_id", "repeat(cast(id as string), 5) as text").unionByName(spark.range(900).selectExpr("cast(null as long) as doc_id", "'same' as text"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    seen = set()
+    try:
+        for partitions, adaptive, dealt in ((4, "true", 3), (7, "false", 5), (31, "false", 2)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            placed = external_shuffle(rows.repartition(dealt), shards=5, bucket_bytes=4000)
+            seen.add(tuple(sorted(((r["shard"], r.slot, r.doc_id, r.text) for r in placed.collect()), key=str)))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(seen) == 1 and len(seen.pop()) == 3900
