@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` in the folder of ``spark.checkpoint.dir`` (a local one where it is unset) and read it back."""
+    """Write ``df`` in the folder of ``spark.checkpoint.dir`` and read it back.
+
+    Only a session on one machine may leave it unset: the folder must be one that all executors share.
+    """
     spark = df.sparkSession
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/cladeworks").rstrip("/")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    path = f"{(folder or 'file:///tmp/checkpoints/cladeworks').rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -180,3 +180,51 @@ def frequencies_by_em(cells: DataFrame, rounds: int = 20, least_change: float =
         if change < least_change:
             break
     return freqs
+
+
+def informative_patterns(patterns: DataFrame) -> DataFrame:
+    """(pattern, fpatt) without those that parsimony learns nothing from: at least two states occur twice or more."""
+    letters = F.filter(F.split("pattern", ""), lambda x: x.isin(*BASES))
+    often = F.filter(F.array_distinct(letters), lambda x: F.size(F.filter(letters, lambda y: y == x)) > 1)
+    return patterns.where(F.size(often) > 1).select("pattern", "fpatt")
+
+
+def f1x4(cells: DataFrame, codes: DataFrame) -> DataFrame:
+    """(codon, freq): as ``f3x4``, but with one set of base frequencies for all positions."""
+    counts = cells.where(canonical("state")).groupBy("state").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("all"))
+    freqs = counts.join(F.broadcast(total)).select("state", (F.col("n") / F.col("all")).alias("freq"))
+    sense = codes.where("aa <> '*'").select("codon", *[F.substring("codon", k, 1).alias(f"s{k}") for k in (1, 2, 3)])
+    for k in (1, 2, 3):
+        sense = sense.join(F.broadcast(freqs.select(F.col("state").alias(f"s{k}"), F.col("freq").alias(f"f{k}"))), f"s{k}")  # four rows
+    product = sense.select("codon", (F.col("f1") * F.col("f2") * F.col("f3")).alias("p"))
+    scale = product.agg(F.sum("p").alias("total"))
+    return product.join(F.broadcast(scale)).select("codon", (F.col("p") / F.col("total")).alias("freq"))
+
+
+def clean_data(cells: DataFrame, dataset: Column) -> DataFrame:
+    """(dataset_id, clean, n_unclear): whether every cell of a data set is one known state."""
+    unclear = F.sum((~canonical("state")).cast("int")).cast("long")
+    return cells.groupBy(dataset.alias("dataset_id")).agg((unclear == 0).alias("clean"), unclear.alias("n_unclear"))
+
+
+def concatenated(loci: DataFrame) -> DataFrame:
+    """(locus, taxon_id, site, state): loci (locus, taxon_id, site, state) one behind the other."""
+    sizes = loci.groupBy("locus").agg(F.max("site").alias("size"))
+    before = W.orderBy("locus").rowsBetween(W.unboundedPreceding, -1)  # one row a locus
+    offsets = sizes.select("locus", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("skip"))
+    return loci.join(offsets, "locus").select("locus", "taxon_id", (F.col("site") + F.col("skip")).cast("long").alias("site"), "state")
+
+
+def partitioned(cells: DataFrame, lengths: list[int]) -> DataFrame:
+    """Add ``partition_id``: sites fall into stretches of these lengths, and what is left into a last one."""
+    part, end = F.lit(len(lengths)), sum(lengths)
+    for k in range(len(lengths) - 1, -1, -1):
+        part = F.when(F.col("site") <= end, k).otherwise(part)
+        end -= lengths[k]
+    return cells.select("taxon_id", "site", part.alias("partition_id"), "state")
+
+
+def partition_selected(cells: DataFrame, partition_id: int) -> DataFrame:
+    """(taxon_id, site, state) of one partition, sites numbered as in the whole."""
+    return cells.where(F.col("partition_id") == partition_id).select("taxon_id", "site", "state")

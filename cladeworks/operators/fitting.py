@@ -7,6 +7,7 @@ from math import lgamma
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cladeworks.functions.substitution import Model, discrete_gamma, pattern_lnl, pruned, tips_of
@@ -42,10 +43,10 @@ def ln_bound_density(t: Column, low: float, high: float, below: float, above: fl
 
 
 def count_trees(ns: Column, rooted: bool) -> Column:
-    """Labelled topologies of so many tips."""
+    """Labelled topologies of so many tips, as a double: whole numbers outgrow 64 bits from 20 tips on."""
     last = ns.cast("int") + int(rooted)
-    product = F.aggregate(F.sequence(F.lit(4), last), F.lit(1).cast("long"), lambda acc, i: acc * (2 * i - 5))
-    return F.when(last >= 4, product).otherwise(F.lit(1).cast("long"))
+    product = F.aggregate(F.sequence(F.lit(4), last), F.lit(1.0), lambda acc, i: acc * (2 * i - 5))
+    return F.when(last >= 4, product).otherwise(F.lit(1.0))
 
 
 def variable_share_grid(patterns: DataFrame, points: int) -> DataFrame:
@@ -179,21 +180,6 @@ def fit_trees(patterns: DataFrame, trees: list[str], rounds: int = 4) -> DataFra
     return each.groupBy("partition_id", "tree_id").applyInPandas(fit, "partition_id int, tree_id int, lnl double, kappa double, tree_length double")
 
 
-def simulate(sites: DataFrame, tree: str, length: float, kappa: float, seed: int = 1) -> DataFrame:
-    """(taxon_id, site, state): sites evolved down a tree; every draw is a hash of seed, site and node, so reruns agree."""
-    nodes = parse_newick(tree)
-    draw = lambda k: F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(k), F.col("site")), 11) / float(1 << 53)
-    out = sites.select("site", F.substring(F.lit(BASES), (F.floor(draw(0) * 4) + 1).cast("int"), F.lit(1)).alias("_s0"))
-    for n in nodes[1:]:
-        same, transition, _ = pt_k80(F.lit(length if n.length is None else n.length), kappa)
-        father, u = F.col(f"_s{n.father}"), draw(n.node_id)
-        to = F.when(u < same, father).when(u < same + transition, F.translate(father, "TCAG", "CTGA")).when(u < (1 + same + transition) / 2, F.translate(father, "TCAG", "AATT")).otherwise(F.translate(father, "TCAG", "GGCC"))
-        out = out.withColumn(f"_s{n.node_id}", to)
-    tips = [n for n in nodes if not n.sons]
-    cells = F.explode(F.array(*[F.struct(F.lit(int(n.name)).alias("taxon_id"), F.col(f"_s{n.node_id}").alias("state")) for n in tips]))
-    return out.select("site", cells.alias("c")).select("c.taxon_id", "site", "c.state")
-
-
 def all_topologies(taxa: int) -> list[str]:
     """Newick strings of all unrooted topologies, by adding one tip after the other to every branch."""
     trees = [("1", "2", "3")]
@@ -212,13 +198,40 @@ def all_topologies(taxa: int) -> list[str]:
 
 
 def parsimony_search(patterns: DataFrame, topologies: list[str]) -> DataFrame:
-    """(tree, score, best): the changes that each candidate needs over all patterns, scored side by side."""
-    found = None
-    for tree in topologies:
-        score = parsimony_changes(patterns, tree).agg(F.coalesce(F.sum(F.col("changes") * F.col("fpatt")), F.lit(0)).alias("score")).select(F.lit(tree).alias("tree"), "score")
-        found = score if found is None else found.unionAll(score)
-    least = found.agg(F.min("score").alias("least"))
-    return found.join(F.broadcast(least)).select("tree", "score", (F.col("score") == F.col("least")).alias("best"))
+    """(tree, score, best): the changes that each candidate needs over all patterns.
+
+    All candidates are scored in one pass: an array of as many sums as there are trees is built up for a
+    block of patterns, and only blocks' sums are added up across tasks. A set of states is four bits, and an array runs over a block's patterns.
+    """
+
+    def run(frames):
+        parsed = [parse_newick(t) for t in topologies]
+        sums = np.zeros(len(parsed), np.int64)
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            weight = pdf["fpatt"].to_numpy()
+            rows = np.array([list(p) for p in pdf["pattern"]])
+            tips = np.full(rows.shape, 15, np.uint8)
+            for k, b in enumerate(BASES):
+                tips[rows == b] = 1 << k
+            for t, nodes in enumerate(parsed):
+                sets, costs = {}, np.zeros(len(pdf), np.int64)
+                for n in reversed(nodes):
+                    if not n.sons:
+                        sets[n.node_id] = tips[:, int(n.name) - 1]
+                        continue
+                    votes = np.stack([sum((sets[s] >> k & 1).astype(np.int64) for s in n.sons) for k in range(4)])
+                    most = votes.max(0)
+                    sets[n.node_id] = sum(((votes[k] == most).astype(np.uint8) << k for k in range(4)), np.zeros(len(pdf), np.uint8))
+                    costs += len(n.sons) - most
+                sums[t] += weight @ costs
+        yield pd.DataFrame({"place": np.arange(len(parsed)), "score": sums})
+
+    scores = patterns.select("pattern", "fpatt").mapInPandas(run, "place long, score long").groupBy("place").agg(F.sum("score").alias("score"))
+    names = patterns.sparkSession.createDataFrame(list(enumerate(topologies)), "place long, tree string")
+    found = names.join(scores, "place", "left").select("tree", F.coalesce("score", F.lit(0)).cast("long").alias("score"))
+    return found.select("tree", "score", (F.col("score") == F.min("score").over(W.partitionBy(F.lit(1)))).alias("best"))
 
 
 def dating_chains(pairs: DataFrame, steps: int = 2000, burn_in: int = 500, shape: float = 2.0, rate: float = 10.0, seed: int = 1) -> DataFrame:

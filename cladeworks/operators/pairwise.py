@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeworks.functions.distances import distance
+from cladeworks.functions.yn00 import estimate, pair_kappa, tables
 from cladeworks.operators.alignment import columns_of
 
 
@@ -58,8 +61,11 @@ def ng86(codon_table: DataFrame, pair_table: DataFrame) -> DataFrame:
     return sums.select("i", "j", "s", "n", corrected(F.col("sd") / F.col("s")).alias("ds"), corrected(F.col("nd") / F.col("n")).alias("dn"))
 
 
-def lwl85(codon_table: DataFrame, degeneracy: DataFrame) -> DataFrame:
-    """(i, j, ds, dn) from transitions and transversions by degeneracy class; sites averaged over both codons."""
+def lwl85(codon_table: DataFrame, degeneracy: DataFrame, method: str = "lwl85") -> DataFrame:
+    """(i, j, ds, dn) from transitions and transversions by degeneracy class; sites averaged over both codons.
+
+    ``lwl85`` counts a third of the twofold sites as synonymous; ``lpb93`` pools the rates of the classes instead.
+    """
     d = lambda side: F.broadcast(degeneracy.select(F.col("codon").alias(f"codon_{side}"), F.array("d1", "d2", "d3").alias(f"d_{side}")))
     met = codon_pairs(codon_table).join(d("a"), "codon_a").join(d("b"), "codon_b")
     three = F.explode(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.struct(F.substring("codon_a", k + 1, F.lit(1)).alias("a"), F.substring("codon_b", k + 1, F.lit(1)).alias("b"), F.get("d_a", k).alias("da"), F.get("d_b", k).alias("db"))))
@@ -75,6 +81,45 @@ def lwl85(codon_table: DataFrame, degeneracy: DataFrame) -> DataFrame:
 
     (a0, b0), (a2, b2), (a4, b4) = parts(0), parts(2), parts(4)
     l0, l2, l4 = F.col("l0"), F.col("l2"), F.col("l4")
+    if method == "lpb93":
+        return sums.select("i", "j", ((l2 * a2 + l4 * a4) / (l2 + l4) + b4).alias("ds"), (a0 + (l0 * b0 + l2 * b2) / (l0 + l2)).alias("dn"))
     ds = (l2 * a2 + l4 * (a4 + b4)) / (l2 / 3 + l4)
     dn = (l2 * b2 + l0 * (a0 + b0)) / (l2 * 2 / 3 + l0)
     return sums.select("i", "j", ds.alias("ds"), dn.alias("dn"))
+
+
+def count_matrix(pdf, code: str):
+    """Counts of sense codons against each other; rows with anything else are left out."""
+    found = tables(code)["at"]
+    a, b = pdf["codon_a"].map(found), pdf["codon_b"].map(found)
+    known = a.notna() & b.notna()
+    out = np.zeros((len(found), len(found)))
+    np.add.at(out, (a[known].astype(int), b[known].astype(int)), pdf["n"][known].to_numpy(float))
+    return out
+
+
+def pair_kappas(pairs: DataFrame, code: str = "universal") -> DataFrame:
+    """(i, j, kappa, codons) of every pair (i, j, codon_a, codon_b, n): a group has as many rows as there are pairs of codons, at most."""
+
+    def run(key, pdf):
+        counts = count_matrix(pdf, code)
+        return pd.DataFrame({"i": [key[0]], "j": [key[1]], "kappa": [pair_kappa(counts, code) if counts.sum() else np.nan], "codons": [int(counts.sum())]})
+
+    return pairs.groupBy("i", "j").applyInPandas(run, "i int, j int, kappa double, codons long")
+
+
+def pooled_kappa(kappas: DataFrame) -> DataFrame:
+    """(kappa): the mean over pairs with a codon in common."""
+    return kappas.where("codons > 0").agg(F.avg("kappa").alias("kappa"))
+
+
+def yn00(pairs: DataFrame, code: str = "universal", weighted: bool = False, kappa: float | None = None) -> DataFrame:
+    """(i, j, s, n, ds, dn, omega, t, kappa) of every pair: transition bias and codon frequencies are allowed for; kappa is pooled unless given."""
+    kappa = kappa or pooled_kappa(pair_kappas(pairs, code)).first()["kappa"] or 2.0
+
+    def run(key, pdf):
+        counts = count_matrix(pdf, code)
+        found = estimate(counts, kappa, code, weighted) if counts.sum() else dict.fromkeys(("s", "n", "ds", "dn", "omega", "t"), np.nan)
+        return pd.DataFrame({"i": [key[0]], "j": [key[1]], **{k: [x] for k, x in found.items()}, "kappa": [kappa]})
+
+    return pairs.groupBy("i", "j").applyInPandas(run, "i int, j int, s double, n double, ds double, dn double, omega double, t double, kappa double")

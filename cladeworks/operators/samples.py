@@ -15,8 +15,8 @@ def long_samples(wide: DataFrame, parameters: list[str]) -> DataFrame:
 
 
 def by_rank(values: DataFrame) -> DataFrame:
-    """(param, value, rank from 0 within param, n), ranked over range partitions: no parameter meets in one task."""
-    numbered = ranked(values.select("param", "value"), [F.col("param"), F.col("value")])
+    """(param, value, rank from 0 within param, n), ranked over range partitions: no parameter, and no value that many rows share, meets in one task."""
+    numbered = ranked(values.select("param", "value", F.monotonically_increasing_id().alias("_tie")), [F.col("param"), F.col("value"), F.col("_tie")]).drop("_tie")
     counts = values.groupBy("param").agg(F.count("*").alias("n"))
     before = W.orderBy("param").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))  # one row per parameter
@@ -24,7 +24,7 @@ def by_rank(values: DataFrame) -> DataFrame:
 
 
 def summaries(values: DataFrame) -> DataFrame:
-    """(param, n, mean, variance, median, least, most, q025, q975): quantiles are the values at place floor(n q)."""
+    """(param, n, mean, variance, median, least, most, q005, q025, q975, q995): quantiles are the values at place floor(n q)."""
     placed = written(by_rank(values), "placed")
     n = F.col("n")
     # the median averages the two in the middle
@@ -32,7 +32,7 @@ def summaries(values: DataFrame) -> DataFrame:
     middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
     return placed.groupBy("param", "n").agg(
         F.avg("value").alias("mean"), F.var_samp("value").alias("variance"), middle.alias("median"), F.min("value").alias("least"), F.max("value").alias("most"),
-        at(F.floor(n * 0.025)).alias("q025"), at(F.floor(n * 0.975)).alias("q975"),
+        at(F.floor(n * 0.005)).alias("q005"), at(F.floor(n * 0.025)).alias("q025"), at(F.floor(n * 0.975)).alias("q975"), at(F.floor(n * 0.995)).alias("q995"),
     )
 
 
@@ -113,10 +113,9 @@ def power_posterior(samples: DataFrame) -> DataFrame:
 
 def quadratic_lnl(rows: DataFrame, gradient: list[float], hessian: list[list[float]]) -> DataFrame:
     """Add ``lnl``: z g + z H z / 2 for the vectors ``z``."""
-    z = [F.get("z", F.lit(k)) for k in range(len(gradient))]
-    linear = sum((x * g for x, g in zip(z, gradient, strict=True)), F.lit(0.0))
-    square = sum((z[i] * z[j] * hessian[i][j] for i in range(len(z)) for j in range(len(z))), F.lit(0.0))
-    return rows.withColumn("lnl", linear + square / 2)
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    bent = F.transform(F.lit(hessian), lambda row: dot(row, F.col("z")))
+    return rows.withColumn("lnl", dot(F.col("z"), F.lit(gradient)) + dot(F.col("z"), bent) / 2)
 
 
 def trait_contrasts(pairs: DataFrame) -> DataFrame:
@@ -124,3 +123,31 @@ def trait_contrasts(pairs: DataFrame) -> DataFrame:
     m, v = F.size("x1"), F.col("v1") + F.col("v2")
     squares = F.aggregate(F.zip_with("x1", "x2", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
     return pairs.select("node_id", (-0.5 * m * F.log(2 * F.lit(3.141592653589793) * v) - squares / (2 * v)).alias("ln_density"))
+
+
+def best_class(posteriors: DataFrame) -> DataFrame:
+    """(site, class, posterior): the most probable class of each site; the first of equals."""
+    best = posteriors.groupBy("site").agg(F.min(F.struct((-F.round("posterior", 9)).alias("minus"), "class", "posterior")).alias("b"))
+    return best.select("site", "b.class", "b.posterior")
+
+
+def score_products(rows: DataFrame) -> DataFrame:
+    """(i, j, value), j <= i: the sum over patterns of fpatt g g', which stands for the Hessian of a likelihood; rows (fpatt, gradient).
+
+    Products are made and summed up within tasks before they are shuffled: as many rows as the matrix has.
+    """
+    pairs = F.flatten(F.transform("gradient", lambda x, i: F.transform(F.slice("gradient", F.lit(1), i + 1), lambda y, j: F.struct((i + 1).alias("i"), (j + 1).alias("j"), (x * y).alias("p")))))
+    return rows.select("fpatt", F.explode(pairs).alias("c")).groupBy("c.i", "c.j").agg(F.sum(F.col("fpatt") * F.col("c.p")).alias("value"))
+
+
+def autocorrelation_time(chains: DataFrame, value: str, lags: int = 50, least: float = 0.05) -> DataFrame:
+    """(chain, n, tau): 1 plus twice the sum of the autocorrelations up to the first one below ``least``; n / tau samples are worth independent ones."""
+    order = W.partitionBy("chain").orderBy("iteration")
+    mean = chains.groupBy("chain").agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
+    rows = chains.join(mean, "chain").withColumn("d", F.col(value) - F.col("mean"))
+    rows = rows.select("chain", "n", "d", *[F.lag("d", k).over(order).alias(f"d{k}") for k in range(1, lags + 1)])
+    rho = [F.coalesce(F.sum(F.col("d") * F.col(f"d{k}")), F.lit(0.0)) / F.sum(F.col("d") * F.col("d")) for k in range(1, lags + 1)]
+    found = rows.groupBy("chain", "n").agg(F.sum(F.col("d") * F.col("d")).alias("ss"), F.array(*rho).alias("rho")).where("ss > 0")
+    stop = F.array_position(F.transform("rho", lambda r: F.round(r, 9) < least), True)
+    kept = F.when(stop > 0, F.slice("rho", F.lit(1), (stop - 1).cast("int"))).otherwise(F.col("rho"))
+    return found.select("chain", "n", (1 + 2 * F.aggregate(kept, F.lit(0.0), lambda acc, r: acc + r)).alias("tau"))

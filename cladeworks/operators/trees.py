@@ -9,20 +9,20 @@ from pyspark.sql import functions as F
 from cladeworks.functions.frames import ranked, written
 
 
-def closure(nodes: DataFrame, most_levels: int = 64) -> DataFrame:
-    """(node_id, ancestor_id, steps, length): every node with itself and all ancestors.
+def closure(nodes: DataFrame) -> DataFrame:
+    """(node_id, ancestor_id, steps, length): every node with itself and all ancestors, however deep the tree.
 
-    Paths double in each round, so a tree of depth d takes log2(d) joins.
+    Paths double in each round, so a tree of depth d takes log2(d) joins. Nodes that are their own ancestors raise an error.
     """
     step = nodes.where("father_id is not null").select("node_id", F.col("father_id").alias("ancestor_id"), F.lit(1).alias("steps"), F.col("branch_length").alias("length"))
     known = nodes.select("node_id", F.col("node_id").alias("ancestor_id"), F.lit(0).alias("steps"), F.lit(0.0).alias("length"))
-    size = 1
     while True:
         longer = known.alias("k").join(step.alias("s"), F.col("k.ancestor_id") == F.col("s.node_id")).select(F.col("k.node_id"), F.col("s.ancestor_id"), (F.col("k.steps") + F.col("s.steps")).alias("steps"), (F.col("k.length") + F.col("s.length")).alias("length"))
         known = written(known.unionAll(longer), "closure")
         step = written(step.alias("a").join(step.alias("b"), F.col("a.ancestor_id") == F.col("b.node_id")).select("a.node_id", "b.ancestor_id", (F.col("a.steps") + F.col("b.steps")).alias("steps"), (F.col("a.length") + F.col("b.length")).alias("length")), "steps")
-        size *= 2
-        if size > most_levels or step.isEmpty():
+        if not step.where("node_id = ancestor_id").isEmpty():
+            raise ValueError("a node is its own ancestor")
+        if step.isEmpty():
             return known
 
 
@@ -126,3 +126,13 @@ def nearest_labels(paths: DataFrame, labels: DataFrame) -> DataFrame:
 def age_ranks(ages: DataFrame) -> DataFrame:
     """(tree_id, node_id, rank): nodes numbered by falling age within their tree."""
     return ages.select("tree_id", "node_id", F.dense_rank().over(W.partitionBy("tree_id").orderBy(F.col("age").desc())).alias("rank"))
+
+
+def resolved(names: DataFrame, tips: DataFrame) -> DataFrame:
+    """(name, node_id, known): the tip (name, node_id) of each name; names without one are kept and marked, for the caller to reject."""
+    return names.join(tips, "name", "left").select("name", "node_id", F.col("node_id").isNotNull().alias("known"))
+
+
+def main_tree_support(main: DataFrame, splits: DataFrame) -> DataFrame:
+    """(split, support): the share of trees (tree_id, split) that have each split of a main tree; 0 for those that none has."""
+    return main.join(clade_support(splits), "split", "left").select("split", F.coalesce("support", F.lit(0.0)).alias("support"))

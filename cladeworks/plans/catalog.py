@@ -17,6 +17,7 @@ from cladeworks.operators import alignment as al
 from cladeworks.operators import fitting, pairwise, placements, resampling, samples, trees
 from cladeworks.plans import views as v
 from cladeworks.sources import adapters as ad
+from cladeworks.sources.newick import parse_newick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,10 +35,13 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from cladeworks.plans import files  # noqa: F401  registers its own
+
     return QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return SQL
 
 
@@ -269,7 +273,8 @@ def values(s, d):
 
 @query("mcmc_summary", f"""WITH {v.VALUES} SELECT param, n, round(avg(value), 4) + 0.0 AS mean, round(var_samp(value), 2) + 0.0 AS variance,
   (max(CASE WHEN rank = (n - 1) // 2 THEN value END) + max(CASE WHEN rank = n // 2 THEN value END)) / 2 AS median, min(value) AS least, max(value) AS most,
-  max(CASE WHEN rank = CAST(floor(n * 0.025) AS BIGINT) THEN value END) AS q025, max(CASE WHEN rank = CAST(floor(n * 0.975) AS BIGINT) THEN value END) AS q975 FROM placed GROUP BY param, n""")
+  max(CASE WHEN rank = CAST(floor(n * 0.025) AS BIGINT) THEN value END) AS q025, max(CASE WHEN rank = CAST(floor(n * 0.975) AS BIGINT) THEN value END) AS q975,
+  max(CASE WHEN rank = CAST(floor(n * 0.005) AS BIGINT) THEN value END) AS q005, max(CASE WHEN rank = CAST(floor(n * 0.995) AS BIGINT) THEN value END) AS q995 FROM placed GROUP BY param, n""")
 def _(s, d):
     return samples.summaries(values(s, d)).withColumn("mean", rounded("mean", 4)).withColumn("variance", rounded("variance", 2))
 
@@ -405,7 +410,7 @@ def _(s, d):
     return ages.select("node_id", rounded(fitting.ln_bound_density(F.col("age"), 1.0, 3.0, 0.025, 0.025)).alias("ln_density"))
 
 
-@query("count_trees", "SELECT l_orderkey AS dataset_id, count(DISTINCT l_suppkey) AS ns, CAST(round(coalesce(product(f), 1)) AS BIGINT) AS n_trees FROM (SELECT l_orderkey, l_suppkey, CASE WHEN k >= 3 THEN 2.0 * k - 3 ELSE 1 END * CASE WHEN k = 2 THEN 1 ELSE 1 END AS f FROM (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) AS k FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem))) GROUP BY 1")
+@query("count_trees", "SELECT l_orderkey AS dataset_id, count(DISTINCT l_suppkey) AS ns, round(coalesce(product(f), 1)) AS n_trees FROM (SELECT l_orderkey, l_suppkey, CASE WHEN k >= 3 THEN 2.0 * k - 3 ELSE 1 END * CASE WHEN k = 2 THEN 1 ELSE 1 END AS f FROM (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) AS k FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem))) GROUP BY 1")
 def _(s, d):
     sizes = ad.table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("dataset_id")).agg(F.countDistinct("l_suppkey").alias("ns"))
     return sizes.withColumn("n_trees", fitting.count_trees(F.col("ns"), rooted=True))
@@ -423,9 +428,10 @@ def _(s, d):
     return ad.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[rounded(c).alias(n) for n, c in cells.items()])
 
 
-@query("all_patterns", f"WITH s(x) AS (VALUES ('T'), ('C'), ('A'), ('G')), {v.PATTERNS}, three AS (SELECT substr(pattern, 1, 3) AS pattern, CAST(sum(fpatt) AS BIGINT) AS n FROM patterns GROUP BY 1) SELECT a.x || b.x || c.x AS pattern, coalesce(n, 0) AS n FROM s a, s b, s c LEFT JOIN three ON three.pattern = a.x || b.x || c.x")
+@query("all_patterns", f"""WITH s(x) AS (VALUES ('T'), ('C'), ('A'), ('G')), {v.PATTERNS}, every AS (SELECT a.x || b.x || c.x || d.x || e.x AS pattern FROM s a, s b, s c, s d, s e)
+  SELECT pattern, CAST(coalesce(fpatt, 0) AS BIGINT) AS n FROM every LEFT JOIN patterns USING (pattern)""")
 def _(s, d):
-    return fitting.all_patterns(s, patterns(s, d), 3)
+    return fitting.all_patterns(s, patterns(s, d), 5)
 
 
 # Trees over the alignment
@@ -433,18 +439,20 @@ def _(s, d):
 TREE = "((1,2),(3,4),5)"
 
 
-@query("parsimony_score", f"""WITH RECURSIVE {v.PATTERNS}, c AS (SELECT pattern, fpatt, x FROM patterns, (VALUES ('T'), ('C'), ('A'), ('G')) AS s(x)),
+CHANGES = f"""WITH RECURSIVE {v.PATTERNS}, c AS (SELECT pattern, fpatt, x FROM patterns, (VALUES ('T'), ('C'), ('A'), ('G')) AS s(x)),
   tip AS (SELECT pattern, fpatt, x, k, CASE WHEN substr(pattern, k, 1) = x OR substr(pattern, k, 1) = '-' THEN 0 ELSE 1000 END AS cost FROM c, range(1, 6) AS r(k)),
   up AS (SELECT pattern, fpatt, x, k, least(cost, min(cost) OVER (PARTITION BY pattern, k) + 1) AS cost FROM tip),
   inner_nodes AS (SELECT pattern, fpatt, x, CASE WHEN k IN (1, 2) THEN 'a' ELSE 'b' END AS node, sum(cost) AS cost FROM up WHERE k < 5 GROUP BY ALL),
   up2 AS (SELECT pattern, fpatt, x, least(cost, min(cost) OVER (PARTITION BY pattern, node) + 1) AS cost FROM inner_nodes UNION ALL SELECT pattern, fpatt, x, cost FROM up WHERE k = 5),
-  root AS (SELECT pattern, fpatt, x, sum(cost) AS cost FROM up2 GROUP BY ALL), best AS (SELECT pattern, fpatt, min(cost) AS changes FROM root GROUP BY ALL)
-  SELECT pattern, fpatt, CAST(changes AS INT) AS changes FROM best""")
+  root AS (SELECT pattern, fpatt, x, sum(cost) AS cost FROM up2 GROUP BY ALL), best AS (SELECT pattern, fpatt, min(cost) AS changes FROM root GROUP BY ALL)"""
+
+
+@query("parsimony_score", CHANGES + " SELECT pattern, fpatt, CAST(changes AS INT) AS changes FROM best")
 def _(s, d):
     return fitting.parsimony_changes(patterns(s, d), TREE)
 
 
-@query("change_histogram", None)
+@query("change_histogram", CHANGES + " SELECT CAST(changes AS INT) AS changes, CAST(sum(fpatt) AS BIGINT) AS n_sites FROM best GROUP BY 1")
 def _(s, d):
     return fitting.change_histogram(fitting.parsimony_changes(patterns(s, d), TREE))
 
@@ -481,11 +489,6 @@ def _(s, d):
     return resampling.jackknife_variable(columns, F.col("site") % 10).withColumn("share", rounded("share"))
 
 
-@query("simulated_alignment", None)
-def _(s, d):
-    return fitting.simulate(ad.alignment(s, d).select("site").distinct(), TREE, 0.05, kappa=2.0)
-
-
 # Further summaries
 
 
@@ -529,10 +532,13 @@ def _(s, d):
     return samples.power_posterior(rows).withColumn("ln_m", rounded("ln_m"))
 
 
-@query("quadratic_lnl", "SELECT vec_id, round(z1 * 1.5 - z2 * 0.5 + (-2.0 * z1 * z1 + 2 * 0.25 * z1 * z2 - 1.0 * z2 * z2) / 2, 6) + 0.0 AS lnl FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS z1, CAST(embedding[2] AS DOUBLE) AS z2 FROM embeddings)")
+@query("quadratic_lnl", """WITH z AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings)
+  SELECT vec_id, round(list_sum(list_transform(z, lambda x, i: x * (1.5 - 0.05 * (i - 1)))) + (list_sum(list_transform(z, lambda x, i: -2.0 * x * x)) + 0.5 * list_sum(list_transform(z[2:], lambda x, i: x * z[i]))) / 2, 6) + 0.0 AS lnl FROM z""")
 def _(s, d):
     rows = ad.table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("z"))
-    return samples.quadratic_lnl(rows, [1.5, -0.5], [[-2.0, 0.25], [0.25, -1.0]]).select("vec_id", rounded("lnl").alias("lnl"))
+    size = 64
+    hessian = [[-2.0 if i == j else 0.25 if abs(i - j) == 1 else 0.0 for j in range(size)] for i in range(size)]
+    return samples.quadratic_lnl(rows, [1.5 - 0.05 * k for k in range(size)], hessian).select("vec_id", rounded("lnl").alias("lnl"))
 
 
 @query("trait_contrasts", """WITH p AS (SELECT a.vec_id // 2 AS node_id, a.embedding AS x, b.embedding AS y, 0.1 * (a.label + 1) + 0.1 * (b.label + 1) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0)
@@ -543,15 +549,40 @@ def _(s, d):
     return samples.trait_contrasts(one(0).join(one(1), "node_id")).withColumn("ln_density", rounded("ln_density", 5))
 
 
-@query("state_freq_em", None)
+@query("state_freq_em", f"""WITH RECURSIVE {v.ALIGNMENT}, c AS (SELECT CASE WHEN site % 11 = 0 THEN translate(state, 'TA', 'YR') ELSE state END AS x FROM alignment),
+  n AS (SELECT count(*) FILTER (x = 'T') AS t, count(*) FILTER (x = 'C') AS c, count(*) FILTER (x = 'A') AS a, count(*) FILTER (x = 'G') AS g, count(*) FILTER (x = 'Y') AS y, count(*) FILTER (x = 'R') AS r FROM c),
+  em AS (SELECT 0 AS k, CAST(0.25 AS DOUBLE) AS ft, CAST(0.25 AS DOUBLE) AS fc, CAST(0.25 AS DOUBLE) AS fa, CAST(0.25 AS DOUBLE) AS fg
+    UNION ALL SELECT k + 1, (t + y * ft / (ft + fc)) / (t + c + a + g + y + r), (c + y * fc / (ft + fc)) / (t + c + a + g + y + r), (a + r * fa / (fa + fg)) / (t + c + a + g + y + r), (g + r * fg / (fa + fg)) / (t + c + a + g + y + r) FROM em, n WHERE k < 20)
+  SELECT state, round(freq, 6) + 0.0 AS freq FROM (SELECT unnest(['T', 'C', 'A', 'G']) AS state, unnest([ft, fc, fa, fg]) AS freq FROM em WHERE k = 20)""")
 def _(s, d):
     freqs = al.frequencies_by_em(ad.alignment(s, d).withColumn("state", F.when(F.col("site") % 11 == 0, F.translate("state", "TA", "YR")).otherwise(F.col("state"))))
-    return s.createDataFrame(list(zip("TCAG", freqs, strict=True)), "state string, freq double")
+    return s.createDataFrame(list(zip("TCAG", freqs, strict=True)), "state string, freq double").withColumn("freq", rounded("freq"))
+
+
+def cherries(tree: str) -> list[int]:
+    """Five tips of an unrooted tree as two pairs and the tip between them."""
+    nodes = parse_newick(tree)
+    below = {}
+    for n in reversed(nodes):
+        below[n.node_id] = frozenset().union(*(below[s] for s in n.sons)) if n.sons else frozenset([int(n.name)])
+    every = below[0]
+    pairs = sorted({tuple(sorted(x)) for n in nodes for x in (below[n.node_id], every - below[n.node_id]) if len(x) == 2})
+    return [x for p in pairs for x in p] + sorted(every - {x for p in pairs for x in p})
+
+
+FIVE = fitting.all_topologies(5)
+BITS = lambda tip: f"CASE substr(pattern, {tip}, 1) WHEN 'T' THEN 1 WHEN 'C' THEN 2 WHEN 'A' THEN 4 WHEN 'G' THEN 8 ELSE 15 END"
+MET = lambda x, y: f"CASE WHEN {x} & {y} > 0 THEN {x} & {y} ELSE {x} | {y} END"
 
 
-@query("parsimony_search", None)
+@query("parsimony_search", f"""WITH {v.PATTERNS}, trees(tree, a, b, c, d, e) AS (VALUES {", ".join(f"('{t}', {', '.join(map(str, cherries(t)))})" for t in FIVE)}),
+  tips AS (SELECT tree, fpatt, {", ".join(f"{BITS(x)} AS {x}" for x in "abcde")} FROM patterns, trees),
+  pairs AS (SELECT *, {MET("a", "b")} AS p, {MET("c", "d")} AS q, CAST(a & b = 0 AS INT) + CAST(c & d = 0 AS INT) AS n FROM tips),
+  joined AS (SELECT *, {MET("p", "q")} AS r, n + CAST(p & q = 0 AS INT) AS m FROM pairs),
+  scores AS (SELECT tree, CAST(sum(fpatt * (m + CAST(r & e = 0 AS INT))) AS BIGINT) AS score FROM joined GROUP BY tree)
+  SELECT tree, score, score = (SELECT min(score) FROM scores) AS best FROM scores""")
 def _(s, d):
-    return fitting.parsimony_search(patterns(s, d), fitting.all_topologies(5))
+    return fitting.parsimony_search(patterns(s, d), FIVE)
 
 
 @query("dating_chains", None)

@@ -122,10 +122,18 @@ def test_parsimony(spark):
     assert fitting.alpha_by_moments(changes).first()["mean"] == pytest.approx(9 / 7)
 
 
-def test_simulation_and_fit(spark):
+def test_fit(spark):
+    """Exact expected pattern counts of a tree give its branch lengths and kappa back."""
+    from itertools import product
+
+    from cladeworks.functions.substitution import Model, pattern_lnl, tips_of
+
     tree = "((1:0.1,2:0.1):0.1,(3:0.1,4:0.1):0.1,5:0.2)"
-    made = fitting.simulate(spark.range(1, 3001).withColumnRenamed("id", "site"), tree, 0.1, kappa=4.0)
-    patterns = al.site_patterns(made, F.lit(0))
+    nodes, every = parse_newick(tree), ["".join(p) for p in product("TCAG", repeat=5)]
+    lengths = np.array([n.length or 0.0 for n in nodes])
+    share = np.exp(pattern_lnl(nodes, tips_of(nodes, every), Model(4.0, np.full(4, 0.25)), lengths, np.ones(1)))
+    counts = [(0, p, int(round(n))) for p, n in zip(every, share * 1e5, strict=True) if n >= 0.5]
+    patterns = spark.createDataFrame(counts, "partition_id int, pattern string, fpatt long")
     fits = {r.tree_id: r for r in fitting.fit_trees(patterns, [tree, "((1,3),(2,4),5)"], rounds=2).collect()}
     assert fits[0].lnl > fits[1].lnl and 2.5 < fits[0].kappa < 6 and 0.65 < fits[0].tree_length < 1.0
 
@@ -250,3 +258,25 @@ def test_codon_pair_fit(spark):
     pairs = spark.createDataFrame([(2, 1, c, c, 40) for c in ("TTT", "GGC", "AAA", "CTG")] + [(2, 1, "TTT", "TTC", 6), (2, 1, "GGC", "GGT", 5), (2, 1, "AAA", "AAC", 1)], "i int, j int, codon_a string, codon_b string, n long")
     r = fitting.codon_pair_fits(pairs).first()
     assert r.omega < 0.5 and r.kappa > 2 and 0 < r.t < 1
+
+
+def test_yn00(spark):
+    """With kappa 1 and even frequencies, sites and differences are those of the unweighted count; a bias of transitions is found."""
+    from cladeworks.functions import yn00 as yn
+
+    sense = yn.tables("universal")["sense"]
+    counts = np.zeros((61, 61))
+    x, y, _, transition, same = yn.tables("universal")["single"].T
+    for a, b, ts, s in zip(x, y, transition, same, strict=True):
+        counts[a, b] += (4 if ts else 1) * (3 if s else 1)
+    counts += np.diag(np.full(61, 200))
+    assert 2.5 < yn.pair_kappa(counts, "universal") < 6
+    even = yn.estimate(np.ones((61, 61)) + 40 * np.eye(61), 1.0, "universal", weighted=False)
+    by_hand = [cd.sites_of(c, cd.code_of()) for c in sense]
+    share = sum(s for s, _ in by_hand) / sum(s + n for s, n in by_hand)
+    assert even["s"] / (even["s"] + even["n"]) == pytest.approx(share, abs=0.01)
+    plain, weighed = (yn.estimate(counts, 4.0, "universal", w) for w in (False, True))
+    assert 0.1 < weighed["omega"] < 0.8 and plain["dn"] == pytest.approx(weighed["dn"], rel=0.05)
+    rows = [(2, 1, sense[a], sense[b], int(counts[a, b])) for a in range(61) for b in range(61) if counts[a, b]]
+    got = pairwise.yn00(spark.createDataFrame(rows, "i int, j int, codon_a string, codon_b string, n long"), weighted=True).first()
+    assert got.kappa == pytest.approx(yn.pair_kappa(counts, "universal")) and got.s + got.n == pytest.approx(3 * counts.sum())
