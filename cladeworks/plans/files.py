@@ -11,7 +11,7 @@ from cladeworks.operators import pairwise, reports, samples, trees
 from cladeworks.plans import views as v
 from cladeworks.plans.catalog import classes, codon_rows, patterns, query
 from cladeworks.sources import adapters as ad
-from cladeworks.sources import textfiles
+from cladeworks.sources import sequences, textfiles
 
 
 def text(*columns):
@@ -60,6 +60,21 @@ def _(s, d):
     return textfiles.calibrations(ad.table(s, d, "orders").select(F.col("o_orderkey").alias("node_id"), made.alias("annotation"))).select("node_id", "kind", "numbers")
 
 
+@query("phylip_files", f"""WITH {v.ALIGNMENT}, c AS (SELECT *, (site - 1) // 60 AS k FROM alignment WHERE site <= (SELECT max(site) // 60 * 60 FROM alignment))
+  SELECT k // 3 AS file_id, CAST(k % 3 AS INT) AS dataset_id, taxon_id, 't' || taxon_id AS taxon, CAST((site - 1) % 60 + 1 AS INT) AS site, CAST(CASE k % 3 WHEN 0 THEN (site - 1) % 3 WHEN 1 THEN CAST((site - 1) % 60 >= 20 AS INT) ELSE site % 4 END AS INT) AS partition_id, 1 AS fpatt, state FROM c""")
+def _(s, d):
+    """Three data sets a file: partitions by codon position, by lengths and by marks."""
+    cells = ad.alignment(s, d).withColumn("dataset_id", F.expr("(site - 1) div 60")).withColumn("taxon", F.concat(F.lit("t"), F.col("taxon_id").cast("string")))
+    whole = cells.groupBy("dataset_id").agg(F.max("site").alias("last")).where("last % 60 = 0").select("dataset_id")
+    marked = sequences.phylip_lines(cells.join(whole, "dataset_id"))
+    k = F.col("dataset_id")
+    marks = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: ((k * 60 + i) % 4 + 1).cast("string")), "")
+    option = F.when(k % 3 == 0, "C").when(k % 3 == 1, "G\nG 2 20 40").otherwise(F.concat(F.lit("G\nG 4\n"), marks))
+    texts = marked.select(F.expr("dataset_id div 3").alias("file_id"), F.struct("dataset_id", F.concat(F.lit("5 60 "), option, F.lit("\n"), F.substring_index("text", "\n", -5)).alias("text")).alias("x"))
+    files = texts.groupBy("file_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]), "\n").alias("text"))
+    return sequences.phylip_cells(files)
+
+
 # Reports
 
 

@@ -65,7 +65,7 @@ def tree_rows(texts: DataFrame, id_col: str = "tree_id", text_col: str = "newick
     kind = texts.schema[id_col].dataType.simpleString()
     schema = "array<struct<node_id:int,father_id:int,name:string,branch_length:double,age:double,label:double,annotation:string,is_tip:boolean>>"
 
-    @F.udf(schema)
+    @F.udf(schema, useArrow=True)
     def parsed(text):
         return [(n.node_id, n.father, n.name, n.length, n.age, n.label, n.annotation, not n.sons) for n in parse_newick(text)] if text else []
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,31 +33,99 @@ def parse_fasta(text: str) -> list[tuple[str, str]]:
     return found
 
 
-def parse_phylip(text: str) -> list[tuple[str, str]]:
-    """Sequential or (option I) interleaved; a name ends at two spaces or its line's end."""
-    head, *lines = [x.rstrip() for x in text.strip().splitlines()]
-    n, size, *options = head.split()
-    n, size = int(n), int(size)
-    letters = lambda s: re.sub(r"[\s\d]", "", s)
-    lines = [x for x in lines if letters(x)]
-    names, seqs = [], []
-    if "I" in "".join(options).upper():
-        for k, line in enumerate(lines):
-            if k < n:
-                name, _, rest = line.strip().partition("  ")
+@dataclass
+class Block:
+    """One data set of a file: names, sequences, and for each site its partition (and its count, where sites are patterns)."""
+
+    names: list[str]
+    seqs: list[str]
+    partitions: list[int]
+    counts: list[int] | None = None
+
+
+def letters(line: str) -> str:
+    return re.sub(r"[\s\d]", "", line)
+
+
+def partition_marks(lines: Iterator[str], first: str, size: int) -> list[int]:
+    """Partitions of sites from a line G and what follows: as many lengths as partitions (the last may be left out), or a digit for each site."""
+    n, *numbers = [int(x) for x in re.findall(r"\d+", first)]
+    if len(numbers) in (n, n - 1) and sum(numbers) <= size and numbers:
+        ends = [sum(numbers[: k + 1]) for k in range(len(numbers))]
+        if len(numbers) == n and ends[-1] != size:
+            raise ValueError("the partitions' lengths don't add up")
+        return [sum(site >= e for e in ends[: n - 1]) for site in range(size)]
+    marks = "".join(map(str, numbers))
+    while len(marks) < size:
+        marks += re.sub(r"\s", "", next(lines))
+    return [int(x) - 1 for x in marks]
+
+
+def phylip_blocks(text: str) -> list[Block]:
+    """All data sets of a PHYLIP file. A name ends at two spaces or its line's end.
+
+    Options after the sizes: I interleaved, S sequential; G partitions (``partition_marks``); C partitions by
+    codon position; P sites are patterns, whose counts follow the sequences.
+    """
+    lines, out = iter([x for x in (line.rstrip() for line in text.splitlines()) if x.strip()]), []
+    for head in lines:
+        found = re.match(r"\s*(\d+)\s+(\d+)\s*([A-Za-z\s]*)$", head)
+        if not found:
+            raise ValueError(f"no sizes in {head[:40]!r}")
+        n, size, options = int(found[1]), int(found[2]), found[3].upper()
+        partitions = partition_marks(lines, next(lines), size) if "G" in options else [site % 3 for site in range(size)] if "C" in options else [0] * size
+        names, seqs = [], []
+        if "I" in options:
+            while len(seqs) < n or len(letters(seqs[-1])) < size:
+                for k in range(n):
+                    line = next(lines)
+                    if len(names) < n:
+                        name, _, line = line.strip().partition("  ")
+                        names.append(name)
+                        seqs.append("")
+                    seqs[k] += letters(line)
+        else:
+            for _ in range(n):
+                name, _, seq = next(lines).strip().partition("  ")
+                while len(letters(seq)) < size:
+                    seq += next(lines)
                 names.append(name)
-                seqs.append(rest)
-            else:
-                seqs[k % n] += line
-    else:
-        at = iter(lines)
-        for _ in range(n):
-            name, _, seq = next(at).strip().partition("  ")
-            while len(letters(seq)) < size:
-                seq += next(at)
-            names.append(name)
-            seqs.append(seq)
-    return list(zip(names, seqs, strict=True))
+                seqs.append(letters(seq))
+        counts = None
+        if "P" in options:
+            counts = []
+            while len(counts) < size:
+                counts += [int(x) for x in next(lines).split()]
+        out.append(Block(names, seqs, partitions, counts))
+    return out
+
+
+def parse_phylip(text: str) -> list[tuple[str, str]]:
+    """(name, sequence) of a file's first data set."""
+    block = phylip_blocks(text)[0]
+    return list(zip(block.names, block.seqs, strict=True))
+
+
+def phylip_cells(texts: DataFrame) -> DataFrame:
+    """(file_id, dataset_id, taxon_id, taxon, site, partition_id, fpatt, state) of PHYLIP texts (file_id, text), several data sets a text.
+
+    Each text is read where its row is, in Arrow batches, and exploded in the JVM; fpatt is 1 but for patterns with counts.
+    """
+
+    @F.udf("array<struct<dataset_id:int,taxon_id:int,taxon:string,seq:string,partitions:array<int>,counts:array<int>>>", useArrow=True)
+    def parsed(text):
+        rows = []
+        for k, block in enumerate(phylip_blocks(text or "")):
+            first = None
+            for i, (name, seq) in enumerate(zip(block.names, block.seqs, strict=True)):
+                seq = normalised(name, seq, first)
+                first = first or seq
+                rows.append((k, i + 1, name, seq, block.partitions, block.counts))
+        return rows
+
+    rows = texts.select("file_id", F.explode(parsed("text")).alias("s")).select("file_id", "s.*")
+    cells = rows.select("file_id", "dataset_id", "taxon_id", "taxon", F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("at", "state"), "partitions", "counts")
+    return cells.select("file_id", "dataset_id", "taxon_id", "taxon", (F.col("at") + 1).alias("site"), F.get("partitions", F.col("at")).alias("partition_id"), F.coalesce(F.get("counts", F.col("at")), F.lit(1)).alias("fpatt"), "state")
 
 
 def parse_nexus(text: str) -> list[tuple[str, str]]:
@@ -84,7 +154,7 @@ def read_alignments(spark: SparkSession, path: str) -> DataFrame:
     """(path, taxon_id, taxon, site, state) of the files under ``path``; each file is read in one task, and exploded in the JVM."""
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
-    @F.udf("array<struct<taxon:string,seq:string>>")
+    @F.udf("array<struct<taxon:string,seq:string>>", useArrow=True)
     def parsed(text):
         return parse_alignment(text)
 

@@ -280,3 +280,17 @@ def test_yn00(spark):
     rows = [(2, 1, sense[a], sense[b], int(counts[a, b])) for a in range(61) for b in range(61) if counts[a, b]]
     got = pairwise.yn00(spark.createDataFrame(rows, "i int, j int, codon_a string, codon_b string, n long"), weighted=True).first()
     assert got.kappa == pytest.approx(yn.pair_kappa(counts, "universal")) and got.s + got.n == pytest.approx(3 * counts.sum())
+
+
+def test_phylip_options():
+    from cladeworks.sources.sequences import phylip_blocks
+
+    text = "2 6 GI\nG 2 4\na  TTC\nb  TTA\n\nAAG\nAAC\n\n2 4 P\na  TCAG\nb  TC AA\n3 1\n2 10\n1 3 C\nlonely\nTCA\n"
+    one, two, three = phylip_blocks(text)
+    assert (one.names, one.seqs, one.partitions) == (["a", "b"], ["TTCAAG", "TTAAAC"], [0, 0, 0, 0, 1, 1])
+    assert (two.seqs, two.counts) == (["TCAG", "TCAA"], [3, 1, 2, 10]) and (three.seqs, three.partitions) == (["TCA"], [0, 1, 2])
+    assert phylip_blocks("1 4 G\nG 2\n1212\na  TTTT")[0].partitions == [0, 1, 0, 1]
+    with pytest.raises(ValueError):
+        phylip_blocks("1 4 G\nG 2 1 1\na  TTTT")
+    with pytest.raises(ValueError):
+        phylip_blocks("not a file")
