@@ -16,11 +16,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Only a session on one machine (tests) may leave it unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file:///tmp/checkpoints/cladeworks"
-        spark.conf.set("spark.checkpoint.dir", found) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     return found.rstrip("/")
 
 
@@ -33,17 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
 
 
 def drop_materialized(*tables: DataFrame) -> None:
     """Delete tables that ``materialize`` wrote, once nothing reads them any more."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        conf = df.sparkSession._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str = "text"):
