@@ -9,7 +9,10 @@ WINDOW = 24
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+    out = np.tanh(x * np.float32(0.5))
+    out += 1
+    out *= np.float32(0.5)
+    return out
 
 
 def windows(word: bytes, before: bytes = b" ") -> list[bytes]:
@@ -137,7 +140,7 @@ class ByteTagger:
                     v += 0.001 * (g * g - v)
                     p -= (now / (1 - 0.9**step) * m / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
 
-    def scores(self, pieces: list[bytes], together: int = 2048) -> np.ndarray:
+    def scores(self, pieces: list[bytes], together: int = 1024) -> np.ndarray:
         """For each piece, per class: the summed log-probabilities of its positions, their summed probabilities, and the positions labelled so; and the positions."""
         n = len(self.classes)
         out = np.zeros((len(pieces), 3 * n + 1), np.float32)
@@ -152,12 +155,8 @@ class ByteTagger:
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         """For each word as ``scores``, but with the mean log-probabilities of its positions."""
-        pieces, owner = [], []
-        for k, word in enumerate(words):
-            for piece in windows(word):
-                pieces.append(piece)
-                owner.append(k)
-        sums, n = np.zeros((len(words), 3 * len(self.classes) + 1), np.float32), len(self.classes)
-        np.add.at(sums, np.array(owner), self.scores(pieces))
+        cut = [windows(word) for word in words]
+        found = self.scores([piece for pieces in cut for piece in pieces])
+        sums, n = np.add.reduceat(found, np.cumsum([0, *map(len, cut[:-1])]), axis=0), len(self.classes)
         sums[:, :n] /= np.maximum(sums[:, -1:], 1)
         return sums

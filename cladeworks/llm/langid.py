@@ -14,7 +14,7 @@ from cladeworks.llm.gru import ByteTagger, windows
 
 UNKNOWN = "und"
 #: Words whose scores a task keeps; a full memo is emptied. Longer words are scored anew each time.
-MEMO_WORDS, MEMO_CHARS = 150_000, 64
+MEMO_WORDS, MEMO_CHARS = 250_000, 64
 TOGETHER = 1 << 20
 #: Marks that are read apart from a word at whose ends they stand.
 MARKS = ".,;:!?\"'()*&%$#|"
@@ -74,42 +74,37 @@ class Predictor:
 
     def forget(self) -> None:
         self.at: dict[str, int] = {}
-        self.core_at: dict[str, int] = {}
         self.scores = np.zeros((1024, 3 * self.n + 1), np.float32)
-        self.cores = np.zeros((1024, 3 * self.n + 1), np.float32)
-        self.mark_scores: dict[str, np.ndarray] = {"": np.zeros(3 * self.n + 1, np.float32)}
-
-    def marks(self, text: str) -> np.ndarray:
-        """Of the marks at one end of a word: they count as positions, but have no part in the choice of the language."""
-        found = self.mark_scores.get(text)
-        if found is None:
-            found = self.model.scores(windows(text.encode(), b"")).sum(0)
-            found[: self.n] = 0
-            if len(text) <= MEMO_CHARS:
-                self.mark_scores[text] = found
-        return found
-
-    def parts(self, word: str) -> tuple[str, str, str]:
-        core = word.strip(MARKS)
-        if not core:
-            return "", word, ""
-        at = word.index(core)
-        return word[:at], core, word[at + len(core) :]
-
-    def learn(self, words: list[str]) -> np.ndarray:
-        """Rows of scores for words not met before; known cores are not read again."""
-        split = [self.parts(w) for w in words]
-        fresh = list(dict.fromkeys(c for _, c, _ in split if c not in self.core_at))
+
+    def marks(self, texts: list[str]) -> np.ndarray:
+        """Of the marks at one end of each word: they count as positions, but have no part in the choice of the language."""
+        kinds = {text: k for k, text in enumerate(dict.fromkeys(texts))}
+        found = np.zeros((len(kinds), 3 * self.n + 1), np.float32)
+        for text, k in kinds.items():
+            if text:
+                found[k] = self.model.scores(windows(text.encode(), b"")).sum(0)
+        found[:, : self.n] = 0
+        return found[[kinds[text] for text in texts]]
+
+    def learn(self, words: list[str]) -> None:
+        """Rows of scores for words not met before; a word with marks at its ends adds theirs to its core's, which is read once."""
+        at, marked, cores = self.at, [], []
+        for w in words:
+            core = w if w.isalnum() else w.strip(MARKS)
+            if len(core) != len(w):
+                marked.append((w, core))
+            cores.append(core)
+        fresh = [c for c in dict.fromkeys(cores) if c not in at]
+        first = len(at)
+        self.scores = grown_to(self.scores, first + len(fresh) + len(marked))
         if fresh:
-            first = len(self.core_at)
-            self.cores = grown_to(self.cores, first + len(fresh))
-            self.cores[first : first + len(fresh)] = self.model.word_scores([c.encode() for c in fresh])
-            self.core_at.update((c, first + k) for k, c in enumerate(fresh))
-        out = self.cores[np.fromiter((self.core_at[c] for _, c, _ in split), np.int64, len(split))]
-        for k, (head, _, tail) in enumerate(split):
-            if head or tail:
-                out[k] += self.marks(head) + self.marks(tail)
-        return out
+            self.scores[first : first + len(fresh)] = self.model.word_scores([c.encode() for c in fresh])
+            at.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+        if marked:
+            first, heads = len(at), [w.index(core) if core else len(w) for w, core in marked]
+            ends = self.marks([w[:h] for (w, _), h in zip(marked, heads, strict=True)]) + self.marks([w[h + len(core) :] for (w, core), h in zip(marked, heads, strict=True)])
+            self.scores[first : first + len(marked)] = self.scores[[at[core] for _, core in marked]] + ends
+            at.update((w, first + k) for k, (w, _) in enumerate(marked))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, int, float]]:
         """(language, mean probability, labelled positions, the share of positions that the language labels)."""
@@ -117,19 +112,16 @@ class Predictor:
         split = [t.split() for t in texts]
         if len(self.at) > MEMO_WORDS:
             self.forget()
-        fresh = [w for w in set().union(*split) if w not in self.at]
-        for at in range(0, len(fresh), MEMO_WORDS):
-            some = fresh[at : at + MEMO_WORDS]
-            first = len(self.at)
-            self.scores = grown_to(self.scores, first + len(some))
-            self.scores[first : first + len(some)] = self.learn(some)
-            self.at.update((w, first + k) for k, w in enumerate(some))
+        at = self.at
+        fresh = [w for w in set().union(*split) if w not in at]
+        if fresh:
+            self.learn(fresh)
         for text, words in zip(texts, split, strict=True):
+            size = len(text.encode())
             if not any(map(str.isalpha, text)):
-                out.append((UNKNOWN, 0.0, len(text.encode()), 0.0))
+                out.append((UNKNOWN, 0.0, size, 0.0))
                 continue
-            total = self.scores[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(0, dtype=np.float64)
-            size = len(text.encode())
+            total = self.scores[[at[w] for w in words]].sum(0, dtype=np.float64)
             total[n:] += self.blank[n:] * max(size - total[-1], 0)  # white space beyond the one space before each word
             best = int(total[:n].argmax())
             out.append((self.model.classes[best], float(min(total[n + best] / total[-1], 1.0)), size, float(min(total[2 * n + best] / total[-1], 1.0))))
