@@ -52,7 +52,7 @@ def rarity_classes(docs: DataFrame) -> Column:
     The size is fixed, whatever the data; any order that all lines share gives exact results.
     """
     every = docs.select(F.lower("text").alias("text")).select(F.explode(words()).alias("word")).select(F.xxhash64("word").alias("h"))
-    return literal_array([c << HASH_BITS for c in bucket_classes(every, "h", RARITY_BITS)], "bigint")
+    return literal_array(bucket_classes(every, "h", RARITY_BITS), "tinyint")
 
 
 def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFrame:
@@ -64,7 +64,7 @@ def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFr
     low = F.lit((1 << HASH_BITS) - 1)
     class_of = lambda h: F.get(classes, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
     # never null, so that the tokens are sorted as plain numbers
-    token = lambda h: F.coalesce(class_of(h), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(low))
+    token = lambda h: F.shiftleft(F.coalesce(class_of(h), F.lit(0).cast("byte")).cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(low))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     # exploding a one-element array is a border over which no expression is copied, so that the words are split only once
     lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes"))
@@ -110,7 +110,7 @@ class Verifier:
     def similar(self, pairs: DataFrame, name: str) -> DataFrame:
         """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
-        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig", 21)
+        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig")
         some = lines_of(self.base.where(in_doc.has(F.col("tie")))).where(wanted.has(F.col("sig")))
         same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])

@@ -119,7 +119,7 @@ def copy_links(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFr
     alone = corners.withColumn("component", F.col("id"))
     counts = keyed(alone, slice(None)).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key")
     counts = materialize(counts, "keys")
-    shared = Bitmap(counts, "key", 22)
+    shared = Bitmap(counts, "key")
     links, now, made = None, alone, []
 
     def placed(tables: slice = slice(None)) -> DataFrame:
@@ -148,7 +148,7 @@ def copy_links(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFr
 
     rows = keyed(now, slice(None)).where(shared.has(F.col("key")))
     mixed = materialize(rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least < last").select("key"), "mixed")
-    rows = materialize(rows.where(Bitmap(mixed, "key", 22).has(F.col("key"))).join(mixed, "key"), "rest")
+    rows = materialize(rows.where(Bitmap(mixed, "key").has(F.col("key"))).join(mixed, "key"), "rest")
     rest = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
     rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
     last = materialize(verified(rest, corners, bits, votes, cell), "links")
