@@ -15,11 +15,18 @@ from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.imagekernels import FEATURE, agree, features, table_keys, waves
 
+#: Images that are drawn, described or keyed together: what a task holds at once.
 TOGETHER = 128
 #: Hamming tables, and bits of a descriptor in the key of each.
 TABLES, SAMPLE = 12, 64
 
 
+def slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 96) -> DataFrame:
     """(id, height, width, pixels): each vector as a square grey image, a sum of one wave for each of its values.
 
@@ -31,16 +38,14 @@ def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     kind = vectors.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             pixels = [None] * batch.num_rows
             values = batch.column(1).to_pylist()
             for length in sorted({len(v) for v in values if v}):
                 some = [k for k, v in enumerate(values) if v and len(v) == length]
-                for at in range(0, len(some), TOGETHER):
-                    part = some[at : at + TOGETHER]
-                    grey = waves(np.nan_to_num(np.array([[x or 0.0 for x in values[k]] for k in part], np.float32), posinf=0, neginf=0), size)
-                    for k, image in zip(part, grey, strict=True):
-                        pixels[k] = image.tobytes()
+                grey = waves(np.nan_to_num(np.array([[x or 0.0 for x in values[k]] for k in some], np.float32), posinf=0, neginf=0), size)
+                for k, image in zip(some, grey, strict=True):
+                    pixels[k] = image.tobytes()
             side = pa.array([size] * batch.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), side, side, pa.array(pixels, pa.binary())], ["id", "height", "width", "pixels"])
 
@@ -53,17 +58,15 @@ def described(images: DataFrame, most: int, levels: int) -> DataFrame:
     kind = images.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             digest, packed = [None] * batch.num_rows, [b""] * batch.num_rows
             rows = [(k, h, w) for k, (h, w, p) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2)), batch.column(3), strict=True)) if p.is_valid and h and w and len(p.as_buffer()) == h * w]
             for h, w in sorted({r[1:] for r in rows}):
-                same = [k for k, *shape in rows if shape == [h, w]]
-                for at in range(0, len(same), TOGETHER):
-                    some = same[at : at + TOGETHER]
-                    buffers = [batch.column(3)[k].as_buffer() for k in some]
-                    stack = np.stack([np.frombuffer(b, np.uint8).reshape(h, w) for b in buffers]).astype(np.float32)
-                    for k, b, found in zip(some, buffers, features(stack, most, levels), strict=True):
-                        digest[k], packed[k] = sha256(b"%d %d " % (h, w) + b.to_pybytes()).digest(), found.tobytes()
+                some = [k for k, *shape in rows if shape == [h, w]]
+                buffers = [batch.column(3)[k].as_buffer() for k in some]
+                stack = np.stack([np.frombuffer(b, np.uint8).reshape(h, w) for b in buffers]).astype(np.float32)
+                for k, b, found in zip(some, buffers, features(stack, most, levels), strict=True):
+                    digest[k], packed[k] = sha256(b"%d %d " % (h, w) + b.to_pybytes()).digest(), found.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(packed, pa.binary())], ["id", "digest", "corners"])
 
     return images.select("id", "height", "width", "pixels").mapInArrow(run, f"id {kind}, digest binary, corners binary")
@@ -85,7 +88,7 @@ def keyed(corners: DataFrame, tables: slice) -> DataFrame:
     kind = corners.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [np.unique(table_keys(np.frombuffer(c.as_buffer(), FEATURE)["words"], samples(), tables)) for c in batch.column(2)]
             of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
             keys = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
