@@ -23,15 +23,37 @@ def rate_matrix(kappa: float, freqs: np.ndarray) -> np.ndarray:
     return q / -(freqs @ np.diag(q))
 
 
+#: Free parameters of each model of exchange between bases, and whether base frequencies are those of the data.
+MODELS = {"JC69": (0, False), "K80": (1, False), "F81": (0, True), "HKY85": (1, True), "TN93": (2, True), "REV": (5, True)}
+PAIRS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
+
+
+def exchange_matrix(name: str, parameters: np.ndarray, freqs: np.ndarray) -> np.ndarray:
+    """Rates between bases, scaled to one change a unit of time: transitions T-C and A-G have parameters, or (REV) all pairs but A-G."""
+    rates = np.ones(6)
+    if name == "REV":
+        rates[:5] = parameters
+    elif len(parameters):
+        rates[0], rates[5] = parameters[0], parameters[-1]
+    q = np.zeros((4, 4))
+    for (i, j), r in zip(PAIRS, rates, strict=True):
+        q[i, j], q[j, i] = r * freqs[j], r * freqs[i]
+    np.fill_diagonal(q, -q.sum(1))
+    return q / -(freqs @ np.diag(q))
+
+
 class Model:
-    def __init__(self, kappa: float, freqs: np.ndarray):
+    """Transition probabilities of a reversible process: kappa alone, or a rate matrix."""
+
+    def __init__(self, kappa: float, freqs: np.ndarray, rates: np.ndarray | None = None):
         self.freqs = freqs
         root = np.sqrt(freqs)
-        self.values, u = np.linalg.eigh(rate_matrix(kappa, freqs) * root[:, None] / root)
+        q = rate_matrix(kappa, freqs) if rates is None else rates
+        self.values, u = np.linalg.eigh(q * root[:, None] / root)
         self.left, self.right = u / root[:, None], (u * root[:, None]).T
 
     def p(self, t: float) -> np.ndarray:
-        return np.eye(4) + (self.left * np.expm1(self.values * t)) @ self.right
+        return np.eye(len(self.freqs)) + (self.left * np.expm1(self.values * t)) @ self.right
 
 
 def gamma_cdf(x: float, a: float) -> float:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cladeworks.functions.substitution import Model, discrete_gamma, pattern_lnl, pruned, tips_of
+from cladeworks.functions.codons import code_of
+from cladeworks.functions.statemodels import AMINO_ACIDS, SITE_MODELS, codon_models, codon_steps, partials, protein_model, site_classes
+from cladeworks.functions.substitution import MODELS, Model, discrete_gamma, exchange_matrix, pattern_lnl, pruned, tips_of
 from cladeworks.sources.newick import parse_newick
 
 EQUAL = np.full(4, 0.25)
@@ -155,29 +157,140 @@ def golden(f, low: float, high: float, steps: int = 40) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit_trees(patterns: DataFrame, trees: list[str], rounds: int = 4) -> DataFrame:
-    """(partition_id, tree_id, lnl, kappa, tree_length): a fit for each partition and tree, side by side.
+def base_frequencies(patterns: list[str], weight: np.ndarray) -> np.ndarray:
+    """Shares of known bases; none is left at zero."""
+    counts = np.array([sum(w * p.count(b) for p, w in zip(patterns, weight, strict=True)) for b in BASES], float)
+    return (counts + 1e-6) / (counts + 1e-6).sum()
 
-    Rows (partition_id, pattern, fpatt). A group is one fit's collapsed patterns; branch lengths and
-    kappa are found one after the other, in ``rounds``.
+
+def ascended(f, x: np.ndarray, low: np.ndarray, high: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, float, int]:
+    """(place, value, rounds) of a maximum: one coordinate after the other, in intervals that narrow, until a round adds less than ``tolerance``."""
+    best, width, done = f(x), 100.0, 0
+    for done in range(1, rounds + 1):
+        before = best
+        for k in range(len(x)):
+            found = x.copy()
+            found[k] = golden(lambda v, k=k, x=x: f(np.where(np.arange(len(x)) == k, v, x)), max(low[k], x[k] / width), min(high[k], x[k] * width), 18)
+            if (new := f(found)) > best:
+                x, best = found, new
+        if best - before < tolerance and width < 1.5:
+            break
+        width = max(1.2, width**0.5)
+    return x, best, done
+
+
+def fit_trees(patterns: DataFrame, trees: list[str], model: str = "K80", classes: int = 1, rounds: int = 60, tolerance: float = 1e-4) -> DataFrame:
+    """(partition_id, tree_id, lnl, parameters, alpha, tree_length, rounds, converged): a fit for each partition and tree, side by side.
+
+    Rows (partition_id, pattern, fpatt). A group is one fit's collapsed patterns. ``model`` is one of MODELS;
+    with several ``classes`` rates over sites follow a discrete gamma distribution, whose alpha is fitted
+    too. Parameters and branch lengths are found one after the other, in narrowing intervals, until a round
+    adds less than ``tolerance`` to the log-likelihood.
     """
+    free, empirical = MODELS[model]
 
     def fit(key, pdf):
         partition, tree_id = key
         nodes = parse_newick(trees[tree_id])
-        tips, weight = tips_of(nodes, list(pdf["pattern"])), pdf["fpatt"].to_numpy()
-        lengths, kappa, one = np.full(len(nodes), 0.1), 2.0, np.ones(1)
-        lnl = lambda model, ls: float(weight @ pattern_lnl(nodes, tips, model, ls, one))
-        for _ in range(rounds):
-            kappa = golden(lambda k: lnl(Model(k, EQUAL), lengths), 0.1, 50, 15)
-            model = Model(kappa, EQUAL)
-            for n in nodes[1:]:
-                with_length = lambda t, at=n.node_id: lnl(model, np.where(np.arange(len(nodes)) == at, t, lengths))
-                lengths[n.node_id] = golden(with_length, 1e-6, 5, 15)
-        return pd.DataFrame({"partition_id": [partition], "tree_id": [tree_id], "lnl": [lnl(Model(kappa, EQUAL), lengths)], "kappa": [kappa], "tree_length": [lengths[1:].sum()]})
+        rows, weight = list(pdf["pattern"]), pdf["fpatt"].to_numpy()
+        tips, freqs = tips_of(nodes, rows), base_frequencies(rows, weight) if empirical else EQUAL
+        x = np.concatenate([np.full(free, 2.0 if model != "REV" else 1.0), [0.5] * (classes > 1), np.full(len(nodes) - 1, 0.1)])
+        low = np.concatenate([np.full(free, 0.01), [0.02] * (classes > 1), np.full(len(nodes) - 1, 1e-6)])
+        high = np.concatenate([np.full(free, 100.0), [50.0] * (classes > 1), np.full(len(nodes) - 1, 20.0)])
+
+        def lnl(x: np.ndarray) -> float:
+            rates = discrete_gamma(x[free], classes) if classes > 1 else np.ones(1)
+            made = Model(0, freqs, exchange_matrix(model, x[:free], freqs))
+            return float(weight @ pattern_lnl(nodes, tips, made, np.concatenate([[0.0], x[free + (classes > 1) :]]), rates))
+
+        x, best, done = ascended(lnl, x, low, high, rounds, tolerance)
+        return pd.DataFrame({"partition_id": [partition], "tree_id": [tree_id], "lnl": [best], "parameters": [x[:free].tolist()], "alpha": [x[free] if classes > 1 else None], "tree_length": [x[free + (classes > 1) :].sum()], "rounds": [done], "converged": [done < rounds]})
+
+    each = patterns.withColumn("tree_id", F.explode(F.array(*[F.lit(k) for k in range(len(trees))])))
+    return each.groupBy("partition_id", "tree_id").applyInPandas(fit, "partition_id int, tree_id int, lnl double, parameters array<double>, alpha double, tree_length double, rounds int, converged boolean")
+
+
+def class_lnl(nodes, tips: dict[int, np.ndarray], models: list, lengths: np.ndarray) -> np.ndarray:
+    """ln of each pattern's probability in each class (patterns x classes)."""
+    one = np.ones(1)
+    return np.stack([pattern_lnl(nodes, tips, m, lengths, one) for _, m in models], 1)
+
+
+def mixed(lnf: np.ndarray, models: list) -> np.ndarray:
+    top = lnf.max(1)
+    return top + np.log(np.exp(lnf - top[:, None]) @ np.array([share for share, _ in models]))
+
+
+def fit_codons(patterns: DataFrame, tree: str, models: list[str], code: str = "universal", rounds: int = 40, tolerance: float = 0.01) -> DataFrame:
+    """(model, lnl, kappa, shares, omegas, tree_length, rounds, converged, branch_lengths): models of site classes over codon patterns, one fit a group.
+
+    Rows (pattern, fpatt): three characters a taxon. Codon frequencies are those of bases at the three positions.
+    Branch lengths are in changes a codon.
+    """
+
+    def fit(key, pdf):
+        name, nodes = key[0], parse_newick(tree)
+        alphabet, _ = codon_steps(code)
+        states = [[p[k : k + 3] for k in range(0, len(p), 3)] for p in pdf["pattern"]]
+        parts, weight = partials(states, alphabet), pdf["fpatt"].to_numpy()
+        tips = {n.node_id: parts[int(n.name) - 1] for n in nodes if not n.sons}
+        place = np.full((3, 4), 1e-6)
+        for row, w in zip(states, weight, strict=True):
+            for codon in row:
+                if codon in alphabet:
+                    for k in range(3):
+                        place[k, BASES.index(codon[k])] += w
+        place /= place.sum(1, keepdims=True)
+        freqs = np.array([np.prod([place[k, BASES.index(c[k])] for k in range(3)]) for c in alphabet])
+        freqs /= freqs.sum()
+        bounds = np.array([*SITE_MODELS[name], *[(1e-6, 50.0)] * (len(nodes) - 1)])
+        free = len(SITE_MODELS[name])
+        start = {"M0": [2, 0.4], "M1a": [2, 0.7, 0.1], "M2a": [2, 0.7, 0.7, 0.1, 2.5], "M3": [2, 0.5, 0.6, 0.1, 0.6, 2.0]}[name]
+        lengths = lambda x: np.concatenate([[0.0], x[free:]])
+
+        def lnl(x):
+            made = codon_models(name, x, freqs, code)
+            return float(weight @ mixed(class_lnl(nodes, tips, made, lengths(x)), made))
+
+        x, best, done = ascended(lnl, np.array([*start, *[0.2] * (len(nodes) - 1)]), bounds[:, 0], bounds[:, 1], rounds, tolerance)
+        shares, omegas = zip(*site_classes(name, x), strict=True)
+        return pd.DataFrame({"model": [name], "lnl": [best], "kappa": [x[0]], "shares": [list(shares)], "omegas": [list(omegas)], "tree_length": [x[free:].sum()], "rounds": [done], "converged": [done < rounds], "branch_lengths": [lengths(x).tolist()]})
+
+    each = patterns.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+    return each.groupBy("model").applyInPandas(fit, "model string, lnl double, kappa double, shares array<double>, omegas array<double>, tree_length double, rounds int, converged boolean, branch_lengths array<double>")
+
+
+def protein_patterns(codon_patterns: DataFrame, code: str = "universal") -> DataFrame:
+    """(pattern, fpatt): codon patterns translated, an X for what is no sense codon, and collapsed again."""
+    aa = F.create_map(*[F.lit(x) for c, a in code_of(code).items() if a != "*" for x in (c, a)])
+    places = F.sequence(F.lit(1), F.length("pattern") - 2, F.lit(3))
+    text = F.array_join(F.transform(places, lambda k: F.coalesce(aa[F.substring("pattern", k, F.lit(3))], F.lit("X"))), "")
+    return codon_patterns.select(text.alias("pattern"), "fpatt").groupBy("pattern").agg(F.sum("fpatt").alias("fpatt"))
+
+
+def fit_proteins(patterns: DataFrame, trees: list[str], exchange: list[list[float]] | None = None, classes: int = 1, rounds: int = 40, tolerance: float = 0.001) -> DataFrame:
+    """(tree_id, lnl, alpha, tree_length, rounds, converged) of amino-acid patterns (pattern, fpatt), frequencies as in the data.
+
+    ``exchange`` is a symmetric matrix of rates in the order of AMINO_ACIDS, as ``sources.textfiles.triangle_file`` reads it; without it all are alike.
+    """
+
+    def fit(key, pdf):
+        nodes, weight = parse_newick(trees[key[0]]), pdf["fpatt"].to_numpy()
+        parts = partials([list(p) for p in pdf["pattern"]], list(AMINO_ACIDS))
+        tips = {n.node_id: parts[int(n.name) - 1] for n in nodes if not n.sons}
+        counts = np.array([sum(w * p.count(a) for p, w in zip(pdf["pattern"], weight, strict=True)) for a in AMINO_ACIDS]) + 1e-6
+        made, gamma = protein_model(None if exchange is None else np.array(exchange), counts / counts.sum()), int(classes > 1)
+
+        def lnl(x):
+            rates = discrete_gamma(x[0], classes) if gamma else np.ones(1)
+            return float(weight @ pattern_lnl(nodes, tips, made, np.concatenate([[0.0], x[gamma:]]), rates))
+
+        size = gamma + len(nodes) - 1
+        x, best, done = ascended(lnl, np.array([0.5] * gamma + [0.2] * (size - gamma)), np.array([0.02] * gamma + [1e-6] * (size - gamma)), np.array([50.0] * gamma + [20.0] * (size - gamma)), rounds, tolerance)
+        return pd.DataFrame({"tree_id": [key[0]], "lnl": [best], "alpha": [x[0] if gamma else None], "tree_length": [x[gamma:].sum()], "rounds": [done], "converged": [done < rounds]})
 
     each = patterns.withColumn("tree_id", F.explode(F.array(*[F.lit(k) for k in range(len(trees))])))
-    return each.groupBy("partition_id", "tree_id").applyInPandas(fit, "partition_id int, tree_id int, lnl double, kappa double, tree_length double")
+    return each.groupBy("tree_id").applyInPandas(fit, "tree_id int, lnl double, alpha double, tree_length double, rounds int, converged boolean")
 
 
 def all_topologies(taxa: int) -> list[str]:
@@ -268,7 +381,7 @@ def dating_chains(pairs: DataFrame, steps: int = 2000, burn_in: int = 500, shape
 
 def codon_pair_fits(pairs: DataFrame, code: str = "universal", rounds: int = 3) -> DataFrame:
     """(i, j, lnl, t, kappa, omega): codon distances by likelihood of each pair (i, j, codon_a, codon_b, n), codons equally frequent."""
-    from cladeworks.functions.codons import CODONS, code_of
+    from cladeworks.functions.codons import CODONS
 
     aa = code_of(code)
     sense = [c for c in CODONS if aa[c] != "*"]

@@ -36,10 +36,15 @@ def distances(patterns: DataFrame, model: str, alpha: float | None = None, legac
     return pair_matrices(patterns).select("i", "j", distance(model, alpha, legacy).alias("distance"))
 
 
+def codon_patterns(codon_table: DataFrame) -> DataFrame:
+    """(pattern, fpatt): collapsed codon columns, three characters a taxon."""
+    columns = codon_table.select("taxon_id", F.col("codon_site").alias("site"), F.col("codon").alias("state"))
+    return columns_of(columns, "site").groupBy("pattern").agg(F.count("*").alias("fpatt"))
+
+
 def codon_pairs(codon_table: DataFrame) -> DataFrame:
     """(i, j, codon_a, codon_b, n): collapsed codon columns, then pairs within rows."""
-    columns = codon_table.select("taxon_id", F.col("codon_site").alias("site"), F.col("codon").alias("state"))
-    patterns = columns_of(columns, "site").groupBy("pattern").agg(F.count("*").alias("fpatt"))
+    patterns = codon_patterns(codon_table)
     n = F.expr("length(pattern) div 3")
     at = lambda k: F.substring("pattern", k * 3 - 2, F.lit(3))
     ordered = F.flatten(F.transform(F.sequence(F.lit(2), n.cast("int")), lambda i: F.transform(F.sequence(F.lit(1), i - 1), lambda j: F.struct(i.alias("i"), j.alias("j"), at(i).alias("codon_a"), at(j).alias("codon_b")))))

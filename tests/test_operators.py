@@ -122,20 +122,21 @@ def test_parsimony(spark):
     assert fitting.alpha_by_moments(changes).first()["mean"] == pytest.approx(9 / 7)
 
 
-def test_fit(spark):
-    """Exact expected pattern counts of a tree give its branch lengths and kappa back."""
-    from itertools import product
-
-    from cladeworks.functions.substitution import Model, pattern_lnl, tips_of
-
-    tree = "((1:0.1,2:0.1):0.1,(3:0.1,4:0.1):0.1,5:0.2)"
-    nodes, every = parse_newick(tree), ["".join(p) for p in product("TCAG", repeat=5)]
-    lengths = np.array([n.length or 0.0 for n in nodes])
-    share = np.exp(pattern_lnl(nodes, tips_of(nodes, every), Model(4.0, np.full(4, 0.25)), lengths, np.ones(1)))
-    counts = [(0, p, int(round(n))) for p, n in zip(every, share * 1e5, strict=True) if n >= 0.5]
-    patterns = spark.createDataFrame(counts, "partition_id int, pattern string, fpatt long")
-    fits = {r.tree_id: r for r in fitting.fit_trees(patterns, [tree, "((1,3),(2,4),5)"], rounds=2).collect()}
-    assert fits[0].lnl > fits[1].lnl and 2.5 < fits[0].kappa < 6 and 0.65 < fits[0].tree_length < 1.0
+@pytest.mark.parametrize("model, parameters, even", [("K80", [4.0], True), ("HKY85", [3.0], False), ("TN93", [2.0, 5.0], False), ("REV", [3.0, 0.5, 0.8, 0.6, 1.5], False)])
+def test_fit(spark, model, parameters, even):
+    """Exact expected pattern counts of a tree give its branch lengths and parameters back."""
+    from cladeworks.functions.substitution import exchange_matrix
+
+    tree = "((1:0.1,2:0.15):0.1,3:0.3,4:0.2)"
+    nodes, every = parse_newick(tree), ["".join(p) for p in product("TCAG", repeat=4)]
+    lengths, freqs = np.array([n.length or 0.0 for n in nodes]), np.full(4, 0.25) if even else np.array([0.3, 0.2, 0.4, 0.1])
+    made = Model(0, freqs, exchange_matrix(model, np.array(parameters), freqs))
+    share = np.exp(pattern_lnl(nodes, tips_of(nodes, every), made, lengths, np.ones(1)))
+    counts = [(0, p, int(round(n))) for p, n in zip(every, share * 1e7, strict=True)]
+    assert share.sum() == pytest.approx(1)
+    fits = {r.tree_id: r for r in fitting.fit_trees(spark.createDataFrame(counts, "partition_id int, pattern string, fpatt long"), [tree, "((1,3),2,4)"][: 2 if even else 1], model=model, tolerance=1e-3).collect()}
+    assert fits[0].converged and fits[0].parameters == pytest.approx(parameters, rel=0.02) and fits[0].tree_length == pytest.approx(0.85, rel=0.01)
+    assert not even or fits[0].lnl > fits[1].lnl
 
 
 def test_count_trees(spark):
@@ -294,3 +295,41 @@ def test_phylip_options():
         phylip_blocks("1 4 G\nG 2 1 1\na  TTTT")
     with pytest.raises(ValueError):
         phylip_blocks("not a file")
+
+
+def expected_counts(nodes, models, lengths, alphabet, total, drawn=False):
+    """Expected (or drawn) counts of all patterns of three taxa under a mixture of processes."""
+    from cladeworks.functions.statemodels import partials
+
+    every = [list(p) for p in product(alphabet, repeat=3)]
+    tips = {n.node_id: partials(every, list(alphabet))[int(n.name) - 1] for n in nodes if not n.sons}
+    share = np.exp(fitting.mixed(fitting.class_lnl(nodes, tips, models, lengths), models))
+    assert share.sum() == pytest.approx(1)
+    counts = np.random.default_rng(1).multinomial(total, share / share.sum()) if drawn else np.rint(share * total)
+    return [("".join(p), int(x)) for p, x in zip(every, counts, strict=True) if x > 0]
+
+
+def test_codon_site_fits(spark):
+    """Sites drawn from two classes: both models find kappa, and the one of two classes finds them and fits better."""
+    from cladeworks.functions.statemodels import codon_models, codon_steps
+
+    sense, _ = codon_steps("universal")
+    nodes, x = parse_newick("(1:0.6,2:0.5,3:0.7)"), np.array([3.0, 0.7, 0.05])
+    models = codon_models("M1a", x, np.full(61, 1 / 61), "universal")
+    counts = expected_counts(nodes, models, np.array([n.length or 0.0 for n in nodes]), sense, 3000, drawn=True)
+    fits = {r.model: r for r in fitting.fit_codons(spark.createDataFrame(counts, "pattern string, fpatt long"), "(1,2,3)", ["M0", "M1a"], rounds=8, tolerance=0.5).collect()}
+    assert fits["M1a"].lnl > fits["M0"].lnl + 20 and 2 < fits["M1a"].kappa < 4.5 and fits["M1a"].omegas[0] < 0.2 and fits["M1a"].shares[0] == pytest.approx(0.7, abs=0.15)
+
+
+def test_protein_fits(spark):
+    from cladeworks.functions.statemodels import AMINO_ACIDS, protein_model
+
+    nodes = parse_newick("(1:0.3,2:0.2,3:0.4)")
+    counts = expected_counts(nodes, [(1.0, protein_model(None, np.full(20, 0.05)))], np.array([n.length or 0.0 for n in nodes]), AMINO_ACIDS, 1e6)
+    fit = fitting.fit_proteins(spark.createDataFrame(counts, "pattern string, fpatt long"), ["(1,2,3)"]).first()
+    assert fit.converged and fit.tree_length == pytest.approx(0.9, rel=0.02)
+    exchange = [[1.0 + (i + j) % 3 for j in range(20)] for i in range(20)]
+    other = fitting.fit_proteins(spark.createDataFrame(counts[:500], "pattern string, fpatt long"), ["(1,2,3)"], exchange=exchange, classes=4, rounds=2).first()
+    assert other.alpha > 0
+    got = fitting.protein_patterns(spark.createDataFrame([("TTTTAA---", 2), ("TTCTGA---", 3)], "pattern string, fpatt long")).collect()
+    assert [(r.pattern, r.fpatt) for r in got] == [("FXX", 5)]
