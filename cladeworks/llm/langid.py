@@ -157,17 +157,17 @@ def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_
     def run(batches):
         predict = Predictor(model).predict if model else lambda some: [(UNKNOWN, 0.0, 0, 0.0)] * len(some)
         for batch in batches:
-            column, found, at = batch.column(at_text), [], 0
+            column, at = batch.column(at_text), 0
             while at < batch.num_rows:
                 some, size = [], 0
                 while at + len(some) < batch.num_rows and size < TOGETHER:
                     some.append(column[at + len(some)].as_py() or "")
                     size += len(some[-1])
-                found += predict(some)
+                lang, score, n, share = zip(*predict(some), strict=True)
+                columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(share, pa.float64())]
+                own = batch.slice(at, len(some))  # small batches go back
+                yield pa.RecordBatch.from_arrays([*(own.column(k) for k in returned), *columns], [*(f"c{k}" for k in returned), "lang_pred", "score", "n_positions", "position_share"])
                 at += len(some)
-            lang, score, n, share = zip(*found, strict=True) if found else ((),) * 4
-            columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(share, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in returned), *columns], [*(f"c{k}" for k in returned), "lang_pred", "score", "n_positions", "position_share"])
 
     fields = "".join(f"c{k} {docs.schema[sent[k]].dataType.simpleString()}, " for k in returned)
     slim = docs.select(*[(docs[c].cast("string") if c == text_col else docs[c]).alias(f"c{k}") for k, c in enumerate(sent)])
