@@ -136,3 +136,11 @@ def resolved(names: DataFrame, tips: DataFrame) -> DataFrame:
 def main_tree_support(main: DataFrame, splits: DataFrame) -> DataFrame:
     """(split, support): the share of trees (tree_id, split) that have each split of a main tree; 0 for those that none has."""
     return main.join(clade_support(splits), "split", "left").select("split", F.coalesce("support", F.lit(0.0)).alias("support"))
+
+
+def credible_trees(splits: DataFrame, level: float = 0.95) -> DataFrame:
+    """(topology, n_trees, rank): the most frequent topologies, until they make up ``level`` of the trees; the last one crosses it."""
+    placed = credible_set(splits)
+    total = splits.agg(F.countDistinct("tree_id").alias("total"))
+    before = F.col("cumulative") - F.col("n_trees") / F.col("total")
+    return placed.join(F.broadcast(total)).where(F.round(before, 9) < level).select("topology", "n_trees", "rank")

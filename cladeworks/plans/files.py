@@ -9,7 +9,7 @@ from cladeworks.functions.frames import rounded
 from cladeworks.operators import alignment as al
 from cladeworks.operators import fitting, pairwise, reports, samples, trees
 from cladeworks.plans import views as v
-from cladeworks.plans.catalog import TREE, classes, codon_rows, patterns, query
+from cladeworks.plans.catalog import TOPOLOGIES, TREE, classes, codon_rows, patterns, query
 from cladeworks.sources import adapters as ad
 from cladeworks.sources import sequences, textfiles
 
@@ -225,3 +225,16 @@ def _(s, d):
 @query("protein_patterns", f"""WITH {v.CODONS}, {v.CODES}, t AS (SELECT codon_site, taxon_id, CASE WHEN aa IS NULL OR aa = '*' THEN 'X' ELSE aa END AS aa FROM codon_rows LEFT JOIN codes USING (codon)), p AS (SELECT codon_site, string_agg(aa, '' ORDER BY taxon_id) AS pattern FROM t GROUP BY 1) SELECT pattern, count(*) AS fpatt FROM p GROUP BY 1""")
 def _(s, d):
     return fitting.protein_patterns(pairwise.codon_patterns(codon_rows(s, d)))
+
+
+@query("credible_trees", f"WITH {TOPOLOGIES}, r AS (SELECT topology, n_trees, row_number() OVER w AS rank, sum(n_trees) OVER w AS up_to, (SELECT sum(n_trees) FROM topologies) AS total FROM topologies WINDOW w AS (ORDER BY n_trees DESC, topology ROWS UNBOUNDED PRECEDING)) SELECT topology, n_trees, rank FROM r WHERE round((up_to - n_trees) / total, 9) < 0.5")
+def _(s, d):
+    return trees.credible_trees(ad.sampled_splits(s, d), 0.5)
+
+
+@query("phylip_text", f"""WITH {v.ALIGNMENT}, c AS (SELECT CAST((site - 1) % 3 AS INT) AS part, (site - 1) // 300 AS block, taxon_id, site, state FROM alignment), s AS (SELECT block * 3 + part AS dataset_id, taxon_id, string_agg(state, '' ORDER BY site) AS seq FROM c GROUP BY 1, 2)
+  SELECT dataset_id, count(*) || ' ' || any_value(length(seq)) || chr(10) || string_agg('t' || taxon_id || '  ' || seq, chr(10) ORDER BY taxon_id) AS text FROM s GROUP BY 1""")
+def _(s, d):
+    """A file's text for each partition by codon position of each stretch of 300 sites."""
+    cells = ad.alignment(s, d).withColumn("dataset_id", F.expr("(site - 1) div 300 * 3 + (site - 1) % 3")).withColumn("taxon", F.concat(F.lit("t"), F.col("taxon_id").cast("string")))
+    return sequences.phylip_lines(cells)
