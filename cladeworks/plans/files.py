@@ -99,13 +99,13 @@ def _(s, d):
     return reports.fasta_lines(cells)
 
 
-@query("newick_subtrees", f"""WITH {v.TREE}, t AS (SELECT *, printf('%.3f', branch_length) AS l FROM nodes),
+@query("newick_subtrees", f"""WITH {v.TREE}, t AS (SELECT *, printf('%.6f', branch_length) AS l FROM nodes),
   low AS (SELECT father_id AS node_id, '(' || string_agg(node_id || ':' || l, ',' ORDER BY node_id) || ')' AS newick FROM t WHERE is_tip GROUP BY 1),
   middle AS (SELECT t.father_id AS node_id, '(' || string_agg(newick || ':' || l, ',' ORDER BY t.node_id) || ')' AS newick FROM t JOIN low USING (node_id) GROUP BY 1),
   top AS (SELECT t.father_id AS node_id, '(' || string_agg(newick || ':' || l, ',' ORDER BY t.node_id) || ')' AS newick FROM t JOIN middle USING (node_id) GROUP BY 1)
   SELECT * FROM low UNION ALL SELECT * FROM middle UNION ALL SELECT * FROM top""")
 def _(s, d):
-    return reports.newick_text(ad.tree_nodes(s, d), F.col("node_id").cast("string"), digits=3)
+    return reports.newick_text(ad.tree_nodes(s, d), F.col("node_id").cast("string"), digits=6)
 
 
 # Further operators
