@@ -80,12 +80,12 @@ class PairMerger:
 class Memo(dict):
     """A bounded memo in two generations: a full one becomes the old one, whose entries come back when used."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, entries // 2, {}
 
     def put(self, key: str, value) -> None:
-        if len(self) >= MEMO_ENTRIES // 2:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +50,12 @@ def drop_materialized(*tables: DataFrame) -> None:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def give_back_memory() -> None:
+    """Return what a task has freed to the system: its worker lives on beside the next stages."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

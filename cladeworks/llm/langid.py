@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.common import ASCII_SPACE, read_table
+from cladeworks.llm.common import ASCII_SPACE, give_back_memory, read_table
 from cladeworks.llm.gru import ByteTagger, windows
 
 UNKNOWN = "und"
@@ -168,6 +168,8 @@ def identify_languages(docs: DataFrame, model: bytes | None, id_col: str = "doc_
                 own = batch.slice(at, len(some))  # small batches go back
                 yield pa.RecordBatch.from_arrays([*(own.column(k) for k in returned), *columns], [*(f"c{k}" for k in returned), "lang_pred", "score", "n_positions", "position_share"])
                 at += len(some)
+        del predict
+        give_back_memory()
 
     fields = "".join(f"c{k} {docs.schema[sent[k]].dataType.simpleString()}, " for k in returned)
     slim = docs.select(*[(docs[c].cast("string") if c == text_col else docs[c]).alias(f"c{k}") for k, c in enumerate(sent)])

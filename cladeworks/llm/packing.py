@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeworks.llm.bpe import Memo, irregular
+from cladeworks.llm.bpe import MEMO_ENTRIES, Memo, irregular
 from cladeworks.llm.common import read_table
 
 #: Texts handled together, in characters: bounds the chunks that are waiting for their identifiers.
@@ -22,14 +22,14 @@ TOGETHER = 1 << 20
 class IdEncoder:
     """Texts to identifiers as little-endian 32-bit bytes, with the library doing every chunk once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo = Memo(lambda chunk: None if irregular(chunk) else self.whole([" " + chunk])[0])
-        self.pieces = Memo(lambda piece: self.whole([" " + piece])[0])
+        self.memo = Memo(lambda chunk: None if irregular(chunk) else self.whole([" " + chunk])[0], entries)
+        self.pieces = Memo(lambda piece: self.whole([" " + piece])[0], entries)
         self.marks = {mark: self.whole([mark])[0] for mark in ".,"}
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -70,8 +70,8 @@ class IdEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> IdEncoder:
-    return IdEncoder(path)
+def encoder(path: str, entries: int) -> IdEncoder:
+    return IdEncoder(path, entries)
 
 
 class HarmonicPacker:
@@ -131,12 +131,13 @@ class HarmonicPacker:
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False, memo_entries: int = MEMO_ENTRIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
     One narrow stage without a shuffle; every task packs its own rows, so a lost task is packed again
     alone. Null and empty texts are the end id alone; repeated rows are packed each; an empty table
-    gives an empty one; other columns are ignored. A task leaves at most one sequence of its run of
+    gives an empty one; very long texts are cut as they are, and ties of length change nothing; other
+    columns are ignored. ``memo_entries`` bounds what a worker remembers of chunks: fewer cost time. A task leaves at most one sequence of its run of
     left-over pieces short of capacity, besides the loss of the classes under a sixteenth.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -155,7 +156,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
 
     def run(batches):
         packer, id_type = HarmonicPacker(capacity, TaskContext.get().partitionId()), None
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, memo_entries).encode
         for batch in batches:
             id_type = batch.column(0).type
             docs_of, texts = batch.column(0).to_pylist(), batch.column(1)
