@@ -188,7 +188,7 @@ KAPPAS = f"""WITH {v.CODON_PAIRS}{v.MUTANTS}, free AS (SELECT codon, k, sum(CASE
   sums AS (SELECT i, j, kind, sum(n) AS s, {", ".join(f"sum(CASE WHEN a = '{x}' THEN n ELSE 0 END) / sum(n) AS p{x}" for x in "TCAG")}, sum(CASE WHEN a || b IN ('TC', 'CT', 'AG', 'GA') THEN n ELSE 0 END) / sum(n) AS p, sum(CASE WHEN a <> b AND a || b NOT IN ('TC', 'CT', 'AG', 'GA') THEN n ELSE 0 END) / sum(n) AS q FROM twice GROUP BY ALL),
   terms AS (SELECT *, pT + pC AS y, pA + pG AS r, pT * pC AS tc, pA * pG AS ag FROM sums),
   logs AS (SELECT *, 1 - q / (2 * y * r) AS w, (2 * (tc + ag) + 2 * (tc * r / y + ag * y / r) * (1 - q / (2 * y * r)) - p) / (2 * (tc / y + ag / r)) AS u FROM terms),
-  found AS (SELECT i, j, s, CASE WHEN u > 0 AND w > 0 AND w < 1 THEN least(1 + (tc / y + ag / r) / (tc + ag) * (ln(u) / ln(w) - 1), 999)
+  found AS (SELECT i, j, s, CASE WHEN p + q > 1 THEN 1.0 WHEN q < least(1e-10, 0.1 / s) THEN NULL WHEN y > 0 AND r > 0 AND tc + ag > 0 AND u > 0 AND w > 0 AND w < 1 THEN least(1 + (tc / y + ag / r) / (tc + ag) * (ln(u) / ln(w) - 1), 999)
     WHEN 1 - 2 * p - q > 0 AND 1 - 2 * q > 0 THEN least((-0.5 * ln(1 - 2 * p - q) + 0.25 * ln(1 - 2 * q)) / (-0.25 * ln(1 - 2 * q)), 999) END AS kappa FROM logs)"""
 
 
