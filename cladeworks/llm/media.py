@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.llm.bitmaps import Bitmap
-from cladeworks.llm.common import drop_materialized, materialize, read_table
+from cladeworks.llm.common import drop_materialized, give_back_memory, materialize, read_table
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.imagekernels import FEATURE, agree, features, table_keys, waves
 
 #: Images that are drawn, described or keyed together: what a task holds at once.
-TOGETHER = 128
+TOGETHER = 32
 #: Hamming tables, and bits of a descriptor in the key of each.
 TABLES, SAMPLE = 12, 64
 
@@ -25,6 +25,7 @@ def slices(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, TOGETHER):
             yield batch.slice(at, TOGETHER)
+    give_back_memory()
 
 
 def vector_images(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 96) -> DataFrame:
