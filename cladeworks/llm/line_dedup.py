@@ -253,8 +253,8 @@ def document_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
 def drop_repeated_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines in ``removed``; a document whose every line is removed goes with them."""
     by_doc = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id"), "tie").agg(F.collect_set("line").alias("lines"))
-    # the document's own columns travel in a struct, so that none of their names can clash
-    rows = docs.select(*places(docs, id_col, text_col), F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"))
+    # the document's other columns travel in a struct, so that none of their names can clash
+    rows = docs.select(*places(docs, id_col, text_col), F.struct(F.lit(0), *[docs[c] for c in docs.columns if c != text_col]).alias("row"), docs[text_col].alias("text"))
     joined = rows.join(by_doc, ["id", "tie"], "left")
     kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("lines", k))
     changed = joined.select("row", "text", F.when(F.col("lines").isNotNull(), kept).alias("kept")).where("kept is null or size(kept) > 0")
