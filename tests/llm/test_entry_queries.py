@@ -35,13 +35,14 @@ def tables(spark, tmp_path_factory):
     vectors = [(k, [rng.gauss(0, 1) for _ in range(64)]) for k in range(8)]
     vectors += [(100, vectors[0][1]), (101, [x + rng.gauss(0, 0.02) for x in vectors[1][1]]), (102, None), (103, [])]
     spark.createDataFrame(vectors, "vec_id long, embedding array<double>").write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(1, 0, "user", "Hello."), (1, 1, None, None)], "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     return folder, rows, items
 
 
 @pytest.fixture(scope="module")
 def empty_tables(spark, tmp_path_factory, tables):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "benchmark", "embeddings"):
+    for name in ("documents", "benchmark", "embeddings", "conversations"):
         spark.read.parquet(f"{tables[0]}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
