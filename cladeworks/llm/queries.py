@@ -16,6 +16,7 @@ OPERATORS = {
     "op8_media": "media",
     "op9_simhash": "simhash",
     "op10_decontamination": "decontamination",
+    "op11_ngram_join": "ngram_join",
     "op12_spelling": "spelling",
     "op13_conversation_repair": "conversation_repair",
 }
