@@ -17,8 +17,12 @@ from cladeworks.llm.textkernels import U, shingle_sets
 WIDTH, PERCENT = 5, 80
 #: Bytes of text whose n-grams are hashed together, and the most texts.
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
-#: N-grams fall into 2^CLASS_BITS buckets, whose counts give the order of the matrix's columns; SLOT buckets travel in a row.
-CLASS_BITS, SLOT = 18, 256
+#: N-grams fall into buckets whose counts give the order of the matrix's columns: one for about LOAD n-grams, within 2^LEAST and 2^MOST.
+LOAD, LEAST, MOST = 32, 16, 24
+#: Buckets that travel in a row, and the most tasks that count.
+SLOT, COUNTERS = 4096, 4096
+#: Bits for each n-gram in the parities by which rows are compared before they are read whole, and the most of them.
+PARITY, MOST_PARITY = 4, 1 << 16
 #: The most partners of a row that are multiplied with it in one block.
 BLOCK = 256
 #: Up to so many keys a bitmap of at most four bits a key picks the texts that are hashed again; beyond, a join does.
@@ -37,42 +41,62 @@ def chunks(batch: pa.RecordBatch, column: int):
 
 
 def rarity_classes(docs: DataFrame, width: int) -> np.ndarray:
-    """For each bucket of n-gram hashes four times the logarithm of its count, over all rows (a column ``text``).
+    """For each bucket of n-gram hashes eight times the logarithm of its count, over all rows (a column ``text``).
 
-    Tasks count into arrays of fixed size, whose sums reach the driver: 2^CLASS_BITS bytes, whatever the data. Any classes give
-    right results; these put what many documents share last.
+    Tasks count into arrays, of which sums reach the driver: a byte a bucket, 16 MB at most; how many there are follows from the size
+    of the texts. Any classes give right results; these put what many documents share last.
     """
+    letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(MOST, max(LEAST, (letters // (6 * LOAD)).bit_length()))
+    slot = min(SLOT, 1 << bits)
 
     def count(batches):
-        held = np.zeros(1 << CLASS_BITS, np.int64)
+        held = np.zeros(1 << bits, np.int32)
         for batch in batches:
             for _, texts in chunks(batch, 0):
                 _, tokens, _ = shingle_sets(texts, width)
-                held += np.bincount((tokens & U(len(held) - 1)).astype(np.int64), minlength=len(held))
-        rows = held.reshape(-1, SLOT)
+                held += np.bincount((tokens & U(len(held) - 1)).astype(np.int64), minlength=len(held)).astype(np.int32)
+        rows = held.reshape(-1, slot)
         full = np.flatnonzero(rows.any(1))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * SLOT), pa.array(rows[full].ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), lists], ["slot", "counts"])
+        for a in range(0, len(full), 64):
+            some = full[a : a + 64]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * slot), pa.array(rows[some].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), lists], ["slot", "counts"])
+        give_back_memory()
 
     def add(table: pa.Table) -> pa.Table:
-        total = table["counts"].combine_chunks().flatten().to_numpy().reshape(-1, SLOT).sum(0)
-        classes = np.minimum(255, 4 * np.log2(total + 1)).astype(np.uint8)
+        total = sum(chunk.flatten().to_numpy().reshape(-1, slot).sum(0, dtype=np.int64) for chunk in table["counts"].chunks)
+        classes = np.minimum(255, 8 * np.log2(total + 1)).astype(np.uint8)
         return pa.table({"slot": table["slot"][:1], "classes": pa.array([classes.tobytes()])})
 
-    sums = docs.select("text").mapInArrow(count, "slot int, counts array<long>").groupBy("slot").applyInArrow(add, "slot int, classes binary")
-    out = np.zeros((1 << CLASS_BITS) // SLOT * SLOT, np.uint8)
+    sums = docs.select("text").coalesce(COUNTERS).mapInArrow(count, "slot int, counts array<int>").groupBy("slot").applyInArrow(add, "slot int, classes binary")
+    out = np.zeros(1 << bits, np.uint8)
     for r in sums.collect():
-        out[r.slot * SLOT : (r.slot + 1) * SLOT] = np.frombuffer(r.classes, np.uint8)
+        out[r.slot * slot : (r.slot + 1) * slot] = np.frombuffer(r.classes, np.uint8)
     return out
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Bits that tell how many tokens fall on each, odd or even; as many as the set is large, so that folded ones of two sets can be compared."""
+    bits = min(MOST_PARITY, 1 << max(6, (PARITY * len(tokens) - 1).bit_length()))
+    return np.packbits((np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart_at_least(x: bytes, y: bytes) -> int:
+    """How many tokens are in only one of two sets, at least: where folded parities differ, one is."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a, b = b, a
+    return int(np.bitwise_count(np.bitwise_xor.reduce(b.reshape(-1, len(a))) ^ a).sum())
+
+
 def least_overlap(total, percent: int):
     """The overlap that sets of ``total`` n-grams together need: overlap / (total - overlap) >= percent / 100."""
     return -(-percent * total // (100 + percent))
 
 
 def prefixes(keyed: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(id, key, sig, n, heads) of rows (id, key, text): a row of the matrix with so many of its rarest columns that two linked rows share one."""
+    """(id, key, sig, n, marks, heads) of rows (id, key, text): a row of the matrix with its parities and so many of its rarest columns that two linked rows share one."""
     kind = keyed.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -81,6 +105,7 @@ def prefixes(keyed: DataFrame, classes: np.ndarray, width: int, percent: int) ->
                 sums, tokens, first = shingle_sets(texts, width)
                 n = np.diff(first)
                 text_of = np.repeat(np.arange(len(n)), n)
+                marks = [parities(tokens[a:b]) for a, b in zip(first, first[1:], strict=False)]
                 # tokens come in order of hashes; a stable sort by class keeps that within a class
                 order = np.argsort(text_of * 256 + classes[(tokens & U(len(classes) - 1)).astype(np.int64)], kind="stable")
                 tokens = tokens[order]
@@ -88,10 +113,10 @@ def prefixes(keyed: DataFrame, classes: np.ndarray, width: int, percent: int) ->
                 tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(need)]).astype(np.int32)), pa.array(tokens.view(np.int64)))
                 own = batch.slice(begin, len(texts))
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), lists], ["id", "key", "sig", "n", "heads"])
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(marks, pa.binary()), lists], ["id", "key", "sig", "n", "marks", "heads"])
         give_back_memory()
 
-    return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, heads array<long>")
+    return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, marks binary, heads array<long>")
 
 
 def shared_columns(rows: DataFrame) -> DataFrame:
@@ -195,17 +220,34 @@ def whole_rows(keyed: DataFrame, pairs: DataFrame, rows: DataFrame, width: int)
     return sets
 
 
+def unlike_dropped(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (hub, other) whose parities allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            n, m, x, y = (batch.column(k) for k in range(2, 6))
+            total = (n.to_numpy().astype(np.int64) + m.to_numpy()) * (100 - percent) // (100 + percent)
+            keep = np.array([apart_at_least(a.as_py(), b.as_py()) for a, b in zip(x, y, strict=True)], np.int64) <= total
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    side = lambda c: rows.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}"))
+    both = pairs.join(side("hub"), "hub").join(side("other"), "other")
+    return both.select("hub", "other", "n_hub", "n_other", "marks_hub", "marks_other").mapInArrow(run, "hub long, other long")
+
+
 def linked(keyed: DataFrame, pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): those of the pairs (hub, other) that link."""
+    pairs = materialize(unlike_dropped(pairs, rows, percent), "pairs")
     sets = whole_rows(keyed, pairs, rows, width)
     out = materialize(overlaps(pairs, sets, percent), "links")
-    drop_materialized(sets)
+    drop_materialized(pairs, sets)
     return out
 
 
 def pairs_with_leaders(shared: DataFrame, percent: int) -> DataFrame:
     """(hub, other): rows with the leader of a column that both are in, where sizes and places allow a link."""
     can = possible(F.col("n"), F.col("at"), F.col("lead_n"), F.col("lead_at"), percent)
-    return shared.where((F.col("sig") != F.col("lead")) & can).groupBy(F.col("lead").alias("hub"), F.col("sig").alias("other")).agg(F.count("*").alias("met")).select("hub", "other")
+    return shared.where((F.col("sig") != F.col("lead")) & can).select(F.col("lead").alias("hub"), F.col("sig").alias("other")).distinct()
 
 
 def pairs_across(placed: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +275,7 @@ def ngram_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_
     """(id, n, component): rows whose sets of word n-grams overlap by ``percent`` or more of their union, directly or through others.
 
     The incidence matrix has a row for each distinct set and a column for each n-gram hash. Blocks of columns, rarest first and only as
-    many of each row as its size demands, give the pairs that can link; sizes and places discard most. Those left are
+    many of each row as its size demands, give the pairs that can link; sizes, places and parities of the rows' columns discard most. Those left are
     multiplied in blocks of rows, over all columns, and their overlap is compared with the bound of their sizes. Pairs with the leader of
     each column come first; what is then in one group isn't compared again, since that can't change the groups, so copies never meet
     pair by pair. Links between different groups are all found.
@@ -246,18 +288,24 @@ def ngram_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_
     keyed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("key"), docs[text_col].cast("string").alias("text"))
     classes = rarity_classes(keyed, width)
     every = materialize(prefixes(keyed, classes, width, percent), "prefixes")
-    rows = materialize(every.where("n > 0").groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.min("n").alias("n"), F.first("heads").alias("heads")), "rows")
+    rows = materialize(every.where("n > 0").groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.min("n").alias("n"), F.first("marks").alias("marks"), F.first("heads").alias("heads")), "rows")
     shared = materialize(shared_columns(rows), "shared")
 
-    led = linked(keyed, materialize(pairs_with_leaders(shared, percent), "pairs"), rows, width, percent)
-    groups = materialize(connected_components(led).withColumnRenamed("node", "sig"), "groups")
-    placed = shared.join(groups, "sig", "left").withColumn("group", F.coalesce("component", "sig")).select("token", "sig", "n", "at", "lead", "group")
+
+    led = linked(keyed, pairs_with_leaders(shared, percent), rows, width, percent)
+    groups = connected_components(led).select(F.col("node").alias("sig"), F.col("component").alias("group"))
+    groups = materialize(groups, "groups")
+    placed = shared.join(groups, "sig", "left").select("token", "sig", "n", "at", "lead", F.coalesce("group", "sig").alias("group"))
     mixed = placed.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a < b").select("token")
     placed = materialize(placed.join(mixed, "token"), "mixed")
-    more = linked(keyed, materialize(pairs_across(placed, percent), "pairs"), rows, width, percent)
-
-    parts = materialize(connected_components(led.unionAll(more)).withColumnRenamed("node", "sig"), "parts")
-    named = rows.select("sig", "first").join(parts, "sig", "left").select("sig", "first", F.coalesce("component", "sig").alias("part"))
+    more = linked(keyed, pairs_across(placed, percent), rows, width, percent)
+
+    # links across groups join whole groups
+    of = lambda c: groups.select(F.col("sig").alias(c), F.col("group").alias(f"group_{c}"))
+    across = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("group_a", "a").alias("a"), F.coalesce("group_b", "b").alias("b"))
+    parts = materialize(connected_components(across).select(F.col("node").alias("group"), F.col("component").alias("part")), "parts")
+    whole = rows.select("sig", "first").join(groups, "sig", "left").select("sig", "first", F.coalesce("group", "sig").alias("group"))
+    named = whole.join(parts, "group", "left").select("sig", "first", F.coalesce("part", "group").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component"))
     named = materialize(named.join(least, "part").select("sig", "component"), "components")
     full = every.where("n > 0").select("id", "sig", "n").join(named, "sig").select("id", "n", "component")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from helpers import awkward_rows, frame, sentence, words_of
 
@@ -30,8 +31,9 @@ def plain_links(rows, width=5, percent=80):
 
 def edited(rng, words, n):
     words = list(words)
-    for _ in range(n if words else 0):
-        k = rng.randrange(len(words) or 1)
+    for _ in range(n):
+        words = words or ["x"]
+        k = rng.randrange(len(words))
         words[k : k + 1] = rng.choice([[], [words[k], "more"], ["else" + str(rng.randrange(50))]])
     return words
 
@@ -59,13 +61,24 @@ def check(spark, rows, **options):
     assert {r.doc_id: (r.n, r.component) for r in got} == plain_links(rows, **options)
 
 
+def test_parities():
+    """Never more than the tokens that only one set has, and near that for sets of different sizes."""
+    rng = random.Random(7)
+    for size in (1, 5, 100, 3000):
+        x = {rng.getrandbits(64) for _ in range(size)}
+        y = {t for t in x if rng.random() < 0.9} | {rng.getrandbits(64) for _ in range(size // 2)}
+        made = [ngram_join.parities(np.array(sorted(s), np.uint64)) for s in (x, y)]
+        assert ngram_join.apart_at_least(*made) == ngram_join.apart_at_least(*made[::-1]) <= len(x ^ y)
+        assert ngram_join.apart_at_least(*made) >= 0.6 * len(x ^ y) and ngram_join.apart_at_least(made[0], made[0]) == 0
+
+
 def test_edited_copies(spark):
     check(spark, copies(1))
 
 
 def test_blocks_of_columns_and_rows(spark, monkeypatch):
     """Tiny batches, blocks and classes, and no bitmap."""
-    for name, value in (("BLOCK", 3), ("CLASS_BITS", 8), ("MOST_KEYS", 0)):
+    for name, value in (("BLOCK", 3), ("MOST", 8), ("LEAST", 8), ("MOST_KEYS", 0), ("MOST_PARITY", 64)):
         monkeypatch.setattr(ngram_join, name, value)
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
