@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 BITS = 20
 
 
+#: The largest that is sized by the number of keys: 1 MB.
+MOST_BITS = 23
+
+
+def bits_for(table: DataFrame) -> int:
+    """Bits for eight to sixteen times as many places as a written table has rows, up to MOST_BITS: beyond a million rows ever more others pass."""
+    return min(MOST_BITS, max(10, (8 * table.count()).bit_length()))
+
+
 def literal_array(values: list[int], kind: str) -> Column:
     """An array literal; folded once when the plan is made."""
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")

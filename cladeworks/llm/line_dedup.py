@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap, bucket_classes, literal_array
+from cladeworks.llm.bitmaps import Bitmap, bits_for, bucket_classes, literal_array
 from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
 
@@ -21,8 +21,9 @@ LEAST_STAR = 8
 SMALLEST = -(1 << 63)
 PLACE = ["first_id", "first_tie", "first_line"]
 EPSILON = 1e-9
-#: So many common tokens two lines must have in their prefixes, which are longer by one token less than that.
-HITS = 2
+#: So many common tokens two lines must have in their prefixes, which are longer by one token less than that; lines of
+#: fewer than SHORT tokens ask for one, so that a word that many of them share isn't among those they meet in.
+HITS, SHORT = 2, 10
 
 
 def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
@@ -36,6 +37,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("id", "tie", "line", F.xxhash64("text").alias("sig"), "text")
 
 
+def hits_of(n: Column) -> Column:
+    """The common tokens that a line of n tokens asks for."""
+    return F.when(n < SHORT, 1).otherwise(HITS)
+
+
 def words() -> Column:
     """Between single spaces: splitting at one character is much faster than at a pattern. Some may be empty."""
     return F.split(F.regexp_replace("text", r"[\x09-\x0D]", " "), " ")
@@ -69,7 +75,7 @@ def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFr
     # exploding a one-element array is a border over which no expression is copied, so that the words are split only once
     lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes"))
     n = F.size("hashes")
-    need = n - F.ceil(n * threshold - EPSILON).cast("int") + HITS
+    need = n - F.ceil(n * threshold - EPSILON).cast("int") + hits_of(n)
     mark = F.aggregate("hashes", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
     kept = lines.select("id", "tie", "line", "sig", n.alias("n"), mark.alias("mark"), F.slice(F.sort_array(F.transform("hashes", token)), F.lit(1), need).alias("prefix"))
     same = kept.groupBy("sig").agg(F.min(F.struct("id", "tie", "line")).alias("first"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "mark", "prefix")])
@@ -97,8 +103,8 @@ def filters(threshold: float) -> Column:
 
 
 def candidates(met: DataFrame) -> DataFrame:
-    """(x, y) of the rows (x, y, least), one for each common token: pairs with HITS of them, or as many as the smaller set has."""
-    return met.groupBy("x", "y").agg(F.count("*").alias("hits"), F.min("least").alias("least")).where(F.col("hits") >= F.least("least", F.lit(HITS))).select("x", "y")
+    """(x, y) of the rows (x, y, least), one for each common token: pairs with as many of them as the smaller set asks for, or has."""
+    return met.groupBy("x", "y").agg(F.count("*").alias("hits"), F.min("least").alias("least")).where(F.col("hits") >= F.least("least", hits_of(F.col("least")))).select("x", "y")
 
 
 class Verifier:
@@ -110,7 +116,8 @@ class Verifier:
     def similar(self, pairs: DataFrame, name: str) -> DataFrame:
         """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
-        in_doc, wanted = Bitmap(needed, "first_tie"), Bitmap(needed, "sig")
+        bits = bits_for(needed)
+        in_doc, wanted = Bitmap(needed, "first_tie", bits), Bitmap(needed, "sig", bits)
         some = lines_of(self.base.where(in_doc.has(F.col("tie")))).where(wanted.has(F.col("sig")))
         same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])
@@ -135,7 +142,7 @@ def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
     key = F.array_min(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
     crowds = firsts.groupBy(key.alias("key")).agg(F.count("*").alias("lines"), F.max(F.struct("copies", "sig")).alias("most"))
     chosen = materialize(crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct(), "chosen")
-    centres = materialize(firsts.where(Bitmap(chosen, "sig").has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
+    centres = materialize(firsts.where(Bitmap(chosen, "sig", bits_for(chosen)).has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
     held = postings(centres, "copies")
     near = postings(firsts).where(Bitmap(held, "token").has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
     pairs = materialize(candidates(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))), "pairs")
@@ -171,7 +178,7 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
     near = stars(firsts, verifier, threshold)
 
     # only lines that may be in a star are joined with the stars
-    some = Bitmap(near, "sig").has(F.col("sig"))
+    some = Bitmap(near, "sig", bits_for(near)).has(F.col("sig"))
     alone = firsts.where(~some).select("*", F.lit(None).cast("long").alias("star"), F.lit(None).cast("double").alias("slack"))
     every = postings(alone.unionByName(firsts.where(some).join(near, "sig", "left")), "star", "slack")
     inner = F.coalesce(F.col("slack") >= 0, F.lit(False))

@@ -89,6 +89,22 @@ def test_line_classes(spark):
     assert document_classes(frame(spark, [])).count() == 0
 
 
+def test_numbered_lines(spark):
+    """Short lines that share their words but for a number meet nowhere: no pair of them is compared."""
+    from cladeworks.llm import line_dedup
+
+    rows = [(i, f"Page {i}\nsee note {i} below\nfigure {i} of chapter two") for i in range(3000)] + [(9000, "page 7\nPage 8 \nbelow see note 9\nsee note 9 below again")]
+    docs = frame(spark, rows)
+    seen = []
+    plain = line_dedup.candidates
+    line_dedup.candidates = lambda met: (seen.append(met.count()), plain(met))[1]
+    try:
+        got = {(r.doc_id, r.line) for r in repeated_lines(docs).collect()}
+    finally:
+        line_dedup.candidates = plain
+    assert got == {(9000, k) for k in range(4)} and sum(seen) < 20_000
+
+
 def test_line_dedup_edges(spark):
     assert repeated_lines(frame(spark, [])).count() == 0
     text = "a b c d e f g"
