@@ -24,22 +24,22 @@ def flatten(candidates: DataFrame, names: DataFrame) -> DataFrame:
     return candidates.join(names, "placement_id")
 
 
-def parse_jplace(texts: DataFrame) -> DataFrame:
-    """(placement_id, candidate_rank, field, value) from whole jplace documents (column ``value``)."""
+def parse_jplace(texts: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, placement_id, candidate_rank, field, value) from whole jplace documents (column ``value``); placements count from 1 in each document."""
     schema = "struct<fields: array<string>, placements: array<struct<p: array<array<double>>, nm: array<array<string>>, n: array<string>>>>"
-    read = texts.select(F.from_json("value", schema).alias("j"))
-    placed = read.select("j.fields", F.posexplode("j.placements").alias("placement_id", "placement"))
-    candidates = placed.select("placement_id", "fields", F.posexplode("placement.p").alias("candidate_rank", "values"))
-    cells = candidates.select("placement_id", "candidate_rank", F.explode(F.arrays_zip("fields", "values")).alias("cell"))
-    return cells.select((F.col("placement_id") + 1).alias("placement_id"), (F.col("candidate_rank") + 1).alias("candidate_rank"), F.col("cell.fields").alias("field"), F.col("cell.values").alias("value"))
+    read = texts.select(*keys, F.from_json("value", schema).alias("j"))
+    placed = read.select(*keys, "j.fields", F.posexplode("j.placements").alias("placement_id", "placement"))
+    candidates = placed.select(*keys, "placement_id", "fields", F.posexplode("placement.p").alias("candidate_rank", "values"))
+    cells = candidates.select(*keys, "placement_id", "candidate_rank", F.explode(F.arrays_zip("fields", "values")).alias("cell"))
+    return cells.select(*keys, (F.col("placement_id") + 1).alias("placement_id"), (F.col("candidate_rank") + 1).alias("candidate_rank"), F.col("cell.fields").alias("field"), F.col("cell.values").alias("value"))
 
 
-def jplace_names(texts: DataFrame) -> DataFrame:
-    """(placement_id, name_rank, name, multiplicity)."""
-    read = texts.select(F.from_json("value", "struct<placements: array<struct<nm: array<array<string>>, n: array<string>>>>").alias("j"))
-    placed = read.select(F.posexplode("j.placements").alias("placement_id", "p"))
+def jplace_names(texts: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, placement_id, name_rank, name, multiplicity)."""
+    read = texts.select(*keys, F.from_json("value", "struct<placements: array<struct<nm: array<array<string>>, n: array<string>>>>").alias("j"))
+    placed = read.select(*keys, F.posexplode("j.placements").alias("placement_id", "p"))
     named = F.coalesce("p.nm", F.transform("p.n", lambda n: F.array(n, F.lit("1"))))
-    return placed.select("placement_id", F.posexplode(named).alias("name_rank", "nm")).select((F.col("placement_id") + 1).alias("placement_id"), (F.col("name_rank") + 1).alias("name_rank"), F.get("nm", F.lit(0)).alias("name"), F.get("nm", F.lit(1)).cast("double").cast("int").alias("multiplicity"))
+    return placed.select(*keys, "placement_id", F.posexplode(named).alias("name_rank", "nm")).select(*keys, (F.col("placement_id") + 1).alias("placement_id"), (F.col("name_rank") + 1).alias("name_rank"), F.get("nm", F.lit(0)).alias("name"), F.get("nm", F.lit(1)).cast("double").cast("int").alias("multiplicity"))
 
 
 def pivot_regions(long: DataFrame, regions: list[str]) -> DataFrame:

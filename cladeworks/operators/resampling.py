@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -12,17 +15,36 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / float(1 << 53)
 
 
-def bootstrap_patterns(patterns: DataFrame, replicates: int, seed: int = 1) -> DataFrame:
-    """(replicate, partition_id, pattern, fpatt): sites drawn with replacement within each partition (partition_id, pattern, fpatt)."""
-    before = W.partitionBy("partition_id").orderBy("pattern").rowsBetween(W.unboundedPreceding, -1)
-    ranges = patterns.withColumn("start", F.coalesce(F.sum("fpatt").over(before), F.lit(0)))
-    sites = ranges.select("partition_id", "pattern", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("fpatt") - 1)).alias("index"))
-    sizes = patterns.groupBy("partition_id").agg(F.sum("fpatt").alias("n"))
-    every = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
-    places = sites.select("partition_id", F.col("index").alias("place"), every).join(sizes, "partition_id")
-    drawn = places.select("partition_id", "replicate", F.floor(uniform(F.lit(seed), F.col("replicate"), F.col("partition_id"), F.col("place")) * F.col("n")).alias("index"))
-    drawn = drawn.groupBy("partition_id", "replicate", "index").agg(F.count("*").alias("times"))
-    return drawn.join(sites, ["partition_id", "index"]).groupBy("replicate", "partition_id", "pattern").agg(F.sum("times").alias("fpatt"))
+def bootstrap_patterns(patterns: DataFrame, replicates: int, seed: int = 1, blocks: int = 64) -> DataFrame:
+    """(replicate, partition_id, pattern, fpatt): as many sites as a partition (partition_id, pattern, fpatt) has, drawn with replacement; patterns that aren't drawn are left out.
+
+    Counts are exactly multinomial, whatever the counts of sites: for each partition the totals of its blocks of patterns are drawn first, then
+    within each block its patterns' counts, given its total. Draws are seeded by partition and block, so a lost task gives the same again.
+    """
+    kind = patterns.schema["partition_id"].dataType.simpleString()
+    each = patterns.groupBy("partition_id", "pattern").agg(F.sum("fpatt").cast("long").alias("fpatt")).where("fpatt > 0")
+    placed = each.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int"))
+
+    def rng_of(*parts):
+        return np.random.default_rng([seed, *(zlib.crc32(str(x).encode()) for x in parts)])
+
+    def totals(key, pdf):
+        pdf = pdf.sort_values("block")
+        n = pdf["n"].to_numpy()
+        counts = rng_of(key[0]).multinomial(n.sum(), n / n.sum(), replicates)
+        return pd.DataFrame({"partition_id": key[0], "block": pdf["block"], "totals": list(counts.T)})
+
+    def counts(key, pdf):
+        pdf = pdf.sort_values("pattern")
+        n = pdf["fpatt"].to_numpy()
+        drawn = rng_of(*key).multinomial(np.array(pdf["totals"].iloc[0]), n / n.sum())
+        replicate, at = np.nonzero(drawn)
+        return pd.DataFrame({"replicate": replicate + 1, "partition_id": key[0], "pattern": pdf["pattern"].to_numpy()[at], "fpatt": drawn[replicate, at]})
+
+    sums = placed.groupBy("partition_id", "block").agg(F.sum("fpatt").alias("n"))
+    of_blocks = sums.groupBy("partition_id").applyInPandas(totals, f"partition_id {kind}, block int, totals array<long>")
+    both = placed.join(of_blocks, ["partition_id", "block"])
+    return both.groupBy("partition_id", "block").applyInPandas(counts, f"replicate int, partition_id {kind}, pattern string, fpatt long")
 
 
 def poisson_one(u: Column) -> Column:

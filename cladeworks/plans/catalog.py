@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from cladeworks.plans import files  # noqa: F401  registers its own
+    from cladeworks.plans import files, models  # noqa: F401  register their own
 
     return QUERIES
 
@@ -469,7 +469,13 @@ def _(s, d):
 
 @query("ml_fits", None)
 def _(s, d):
-    return fitting.fit_trees(al.site_patterns(ad.alignment(s, d), ((F.col("site") - 1) % 3).cast("int")), [TREE, "((1,3),(2,4),5)", "((1,4),(2,3),5)"])
+    """Each partition on each tree: all partitions share the jobs of a tree."""
+    from cladeworks.functions.scores import Spec
+    from cladeworks.operators import likelihood
+
+    blocks = likelihood.spread(al.site_patterns(ad.alignment(s, d), ((F.col("site") - 1) % 3).cast("int")).withColumnRenamed("partition_id", "locus"))
+    fits = [likelihood.fit_blocks(blocks, t, Spec("bases", "K80"), tolerance=0.001).select(F.col("locus").alias("partition_id"), F.lit(k).alias("tree_id"), rounded("lnl", 2).alias("lnl"), rounded("tree_length", 2).alias("tree_length"), "converged") for k, t in enumerate([TREE, "((1,3),(2,4),5)", "((1,4),(2,3),5)"])]
+    return fits[0].unionAll(fits[1]).unionAll(fits[2])
 
 
 @query("bootstrap_sites", None)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cladeworks.functions.codons import code_table, degeneracy_table
 from cladeworks.functions.frames import rounded
+from cladeworks.functions.scores import Spec
 from cladeworks.operators import alignment as al
-from cladeworks.operators import fitting, pairwise, reports, samples, trees
+from cladeworks.operators import fitting, likelihood, pairwise, reports, samples, trees
 from cladeworks.plans import views as v
 from cladeworks.plans.catalog import TOPOLOGIES, TREE, classes, codon_rows, patterns, query
 from cladeworks.sources import adapters as ad
@@ -202,24 +203,34 @@ def _(s, d):
     return pairwise.yn00(pairwise.codon_pairs(codon_rows(s, d)), weighted=True)
 
 
-# Fits: iterative, so without SQL
+# Fits: iterative, so without SQL; each round is a job over blocks of patterns
+
+
+def told(fits):
+    """What two runs agree on: sums over tasks differ in their last digits."""
+    return fits.select("locus", "model", rounded("lnl", 2).alias("lnl"), F.transform("parameters", lambda x: F.round(x, 2)).alias("parameters"), rounded("tree_length", 2).alias("tree_length"), "converged")
 
 
 @query("nucleotide_model_fits", None)
 def _(s, d):
-    whole = patterns(s, d).withColumn("partition_id", F.lit(0))
-    fits = [fitting.fit_trees(whole, [TREE], model=m, tolerance=0.01).withColumn("model", F.lit(m)) for m in ("JC69", "HKY85", "TN93")]
-    return fits[0].unionByName(fits[1]).unionByName(fits[2])
+    blocks = likelihood.spread(patterns(s, d))
+    fits = [told(likelihood.fit_blocks(blocks, TREE, Spec("bases", m), tolerance=0.001)) for m in ("JC69", "HKY85", "TN93")]
+    return fits[0].unionAll(fits[1]).unionAll(fits[2])
 
 
 @query("protein_fits", None)
 def _(s, d):
-    return fitting.fit_proteins(fitting.protein_patterns(pairwise.codon_patterns(codon_rows(s, d))), [TREE, "((1,3),(2,4),5)"], tolerance=0.01)
+    blocks = likelihood.spread(fitting.protein_patterns(pairwise.codon_patterns(codon_rows(s, d))))
+    trees_ = [TREE, "((1,3),(2,4),5)"]
+    fits = [told(likelihood.fit_blocks(blocks, t, Spec("proteins", "equal"), tolerance=0.001)).withColumn("tree", F.lit(t)) for t in trees_]
+    return fits[0].unionAll(fits[1])
 
 
 @query("codon_site_fits", None)
 def _(s, d):
-    return fitting.fit_codons(pairwise.codon_patterns(codon_rows(s, d)), TREE, ["M0", "M1a"], tolerance=0.1)
+    blocks = likelihood.spread(pairwise.codon_patterns(codon_rows(s, d)))
+    fits = [told(likelihood.fit_blocks(blocks, TREE, Spec("codons", m), tolerance=0.02)).drop("parameters") for m in ("M0", "M1a")]
+    return fits[0].unionAll(fits[1])
 
 
 @query("protein_patterns", f"""WITH {v.CODONS}, {v.CODES}, t AS (SELECT codon_site, taxon_id, CASE WHEN aa IS NULL OR aa = '*' THEN 'X' ELSE aa END AS aa FROM codon_rows LEFT JOIN codes USING (codon)), p AS (SELECT codon_site, string_agg(aa, '' ORDER BY taxon_id) AS pattern FROM t GROUP BY 1) SELECT pattern, count(*) AS fpatt FROM p GROUP BY 1""")

@@ -61,42 +61,78 @@ def partition_marks(lines: Iterator[str], first: str, size: int) -> list[int]:
     return [int(x) - 1 for x in marks]
 
 
-def phylip_blocks(text: str) -> list[Block]:
-    """All data sets of a PHYLIP file. A name ends at two spaces or its line's end.
-
-    Options after the sizes: I interleaved, S sequential; G partitions (``partition_marks``); C partitions by
-    codon position; P sites are patterns, whose counts follow the sequences.
+#: The longest name where no two spaces end it.
+LONGEST_NAME = 30
+HEADER = re.compile(r"\s*(\d+)\s+(\d+)\s*([GCSIPgcsip\s]*)$")
+
+
+def named(line: str) -> tuple[str, str]:
+    """(name, what follows) of a sequence's first line."""
+    name, _, rest = line.strip().partition("  ")
+    return name[:LONGEST_NAME].strip(), name[LONGEST_NAME:] + rest
+
+
+def phylip_block(lines: Iterator[str], head: re.Match) -> Block:
+    """The data set behind its line of sizes; StopIteration where lines end before it does."""
+    n, size, options = int(head[1]), int(head[2]), head[3].upper()
+    if "C" in options:
+        partitions = [site % 3 for site in range(size)]
+    else:
+        partitions = partition_marks(lines, next(lines), size) if "G" in options else [0] * size
+    names, seqs = [], []
+    if "I" in options:
+        rows = (line for line in lines if letters(line))  # others only number the sites
+        for _ in range(n):
+            name, seq = named(next(lines))
+            names.append(name)
+            seqs.append(letters(seq))
+        while any(len(s) < size for s in seqs):
+            for k in range(n):
+                seqs[k] += letters(next(rows))
+    else:
+        for _ in range(n):
+            name, seq = named(next(lines))
+            parts, held = [letters(seq)], len(letters(seq))
+            while held < size:
+                parts.append(letters(next(lines)))
+                held += len(parts[-1])
+            names.append(name)
+            seqs.append("".join(parts))
+    if wrong := [name for name, s in zip(names, seqs, strict=True) if len(s) != size]:
+        raise ValueError(f"{wrong[0]}: more than {size} characters")
+    counts = None
+    if "P" in options:
+        counts = []
+        while len(counts) < size:
+            counts += [int(x) for x in next(lines).split()]
+    return Block(names, seqs, partitions, counts)
+
+
+def phylip_blocks(text: str, sets: int | None = None) -> list[Block]:
+    """The data sets of a PHYLIP file: the first ``sets``, or as many as follow one another; what stands behind them is a note.
+
+    A name ends at two spaces or its line's end, after LONGEST_NAME characters at most; its sequence may begin in the next line.
+    Options after the sizes: I interleaved (lines without letters, which number sites, are passed over), S sequential; G partitions
+    (``partition_marks``); C partitions by codon position, with or without G, and no line of its own; P sites are
+    patterns, whose counts follow the sequences.
     """
     lines, out = iter([x for x in (line.rstrip() for line in text.splitlines()) if x.strip()]), []
-    for head in lines:
-        found = re.match(r"\s*(\d+)\s+(\d+)\s*([A-Za-z\s]*)$", head)
-        if not found:
-            raise ValueError(f"no sizes in {head[:40]!r}")
-        n, size, options = int(found[1]), int(found[2]), found[3].upper()
-        partitions = partition_marks(lines, next(lines), size) if "G" in options else [site % 3 for site in range(size)] if "C" in options else [0] * size
-        names, seqs = [], []
-        if "I" in options:
-            while len(seqs) < n or len(letters(seqs[-1])) < size:
-                for k in range(n):
-                    line = next(lines)
-                    if len(names) < n:
-                        name, _, line = line.strip().partition("  ")
-                        names.append(name)
-                        seqs.append("")
-                    seqs[k] += letters(line)
-        else:
-            for _ in range(n):
-                name, _, seq = next(lines).strip().partition("  ")
-                while len(letters(seq)) < size:
-                    seq += next(lines)
-                names.append(name)
-                seqs.append(letters(seq))
-        counts = None
-        if "P" in options:
-            counts = []
-            while len(counts) < size:
-                counts += [int(x) for x in next(lines).split()]
-        out.append(Block(names, seqs, partitions, counts))
+    for line in lines:
+        if len(out) == sets:
+            break
+        head = HEADER.match(line)
+        if not head:
+            if sets is None and out:
+                break
+            raise ValueError(f"no sizes in {line[:40]!r}")
+        try:
+            out.append(phylip_block(lines, head))
+        except (StopIteration, ValueError) as e:
+            if sets is None and out:  # sizes within a note
+                break
+            raise ValueError(f"data set {len(out) + 1} is cut short or miscounted: {e}") from None
+    if sets is not None and len(out) < sets:
+        raise ValueError(f"{len(out)} data sets in place of {sets}")
     return out
 
 
@@ -106,7 +142,7 @@ def parse_phylip(text: str) -> list[tuple[str, str]]:
     return list(zip(block.names, block.seqs, strict=True))
 
 
-def phylip_cells(texts: DataFrame) -> DataFrame:
+def phylip_cells(texts: DataFrame, sets: int | None = None) -> DataFrame:
     """(file_id, dataset_id, taxon_id, taxon, site, partition_id, fpatt, state) of PHYLIP texts (file_id, text), several data sets a text.
 
     Each text is read where its row is, in Arrow batches, and exploded in the JVM; fpatt is 1 but for patterns with counts.
@@ -115,7 +151,7 @@ def phylip_cells(texts: DataFrame) -> DataFrame:
     @F.udf("array<struct<dataset_id:int,taxon_id:int,taxon:string,seq:string,partitions:array<int>,counts:array<int>>>", useArrow=True)
     def parsed(text):
         rows = []
-        for k, block in enumerate(phylip_blocks(text or "")):
+        for k, block in enumerate(phylip_blocks(text or "", sets)):
             first = None
             for i, (name, seq) in enumerate(zip(block.names, block.seqs, strict=True)):
                 seq = normalised(name, seq, first)
@@ -133,9 +169,9 @@ def parse_nexus(text: str) -> list[tuple[str, str]]:
     body = re.search(r"(?is)\bmatrix\b(.*?);", text)
     seqs: dict[str, str] = {}
     for line in body[1].strip().splitlines() if body else ():
-        if line.strip():
-            name, _, rest = line.strip().partition(" ")
-            seqs[name] = seqs.get(name, "") + rest
+        if found := re.match(r"\s*(?:'([^']*)'|\"([^\"]*)\"|(\S+))\s*(.*)", line):
+            name = found[1] or found[2] or found[3]
+            seqs[name] = seqs.get(name, "") + found[4]
     return list(seqs.items())
 
 
@@ -172,11 +208,19 @@ def phylip_lines(cells: DataFrame) -> DataFrame:
     return files.select("dataset_id", F.concat(head, F.lit("\n"), F.array_join(F.transform("s", lambda x: x["line"]), "\n")).alias("text"))
 
 
-def parse_control(text: str) -> dict[str, str]:
-    """key = value lines; * and # begin remarks."""
+def parse_control(text: str, known: tuple[str, ...] | None = None) -> dict[str, str]:
+    """key = value lines; * and # begin remarks.
+
+    With ``known`` names, a key is the one whose first eight characters are the same, and a key that is none of them is an error.
+    """
     out = {}
     for line in text.splitlines():
         key, sign, value = re.split(r"[*#]", line, maxsplit=1)[0].partition("=")
-        if sign and key.strip():
-            out[key.strip()] = value.strip()
+        if sign and (key := key.strip()):
+            if known is not None:
+                same = [name for name in known if name[:8] == key[:8]]
+                if not same:
+                    raise ValueError(f"unknown option {key}")
+                key = same[0]
+            out[key] = value.strip()
     return out

@@ -51,6 +51,28 @@ def triangle_file(lines: DataFrame) -> DataFrame:
     return cells.unionByName(cells.select("file_id", F.col("j").alias("i"), F.col("i").alias("j"), "value"))
 
 
+def matrix_numbers(lines: DataFrame, size: int) -> DataFrame:
+    """(file_id, numbers): the lower triangle and the frequencies of a matrix of so many states, however they are broken into lines; notes behind them are left out."""
+    rows = lines.where("trim(line) <> ''").groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
+    cells = F.flatten(F.transform("rows", lambda r: fields(r["line"])))
+    return rows.select("file_id", F.transform(F.slice(cells, 1, size * (size + 1) // 2), lambda x: x.try_cast("double")).alias("numbers"))
+
+
+def exchange_file(lines: DataFrame, size: int = 20) -> DataFrame:
+    """(file_id, i, j, rate): exchange rates of a model's file, such as those of amino acids, in both halves. A file is small and read as one row."""
+    cells = matrix_numbers(lines, size).select("file_id", F.posexplode(F.slice("numbers", 1, size * (size - 1) // 2)).alias("at", "rate"))
+    i = F.floor((F.sqrt(8 * F.col("at") + 1) + 1) / 2).cast("int")
+    half = cells.select("file_id", (i + 1).alias("i"), (F.col("at") - (i * (i - 1) / 2).cast("int") + 1).alias("j"), "rate")
+    return half.unionByName(half.select("file_id", F.col("j").alias("i"), F.col("i").alias("j"), "rate"))
+
+
+def frequency_file(lines: DataFrame, size: int = 20) -> DataFrame:
+    """(file_id, i, freq): the frequencies behind the triangle, scaled to add up to one; none where the file ends before them."""
+    numbers = matrix_numbers(lines, size).select("file_id", F.slice("numbers", size * (size - 1) // 2 + 1, size).alias("f")).where(F.size("f") == size)
+    total = F.aggregate("f", F.lit(0.0), lambda acc, x: acc + x)
+    return numbers.select("file_id", F.posexplode(F.transform("f", lambda x: x / total)).alias("at", "freq")).select("file_id", (F.col("at") + 1).alias("i"), "freq")
+
+
 def calibrations(nodes: DataFrame, text: str = "annotation") -> DataFrame:
     """Add ``kind`` and ``numbers`` from a calibration's text.
 

@@ -212,6 +212,10 @@ def test_bootstrap(spark):
     patterns = spark.createDataFrame([(0, "TT", 30), (0, "TC", 10), (1, "AA", 5)], "partition_id int, pattern string, fpatt long")
     got = resampling.bootstrap_patterns(patterns, 50).groupBy("replicate", "partition_id").agg(F.sum("fpatt").alias("n")).collect()
     assert {(r.partition_id, r.n) for r in got} == {(0, 40), (1, 5)} and len(got) == 100
+    large = spark.createDataFrame([(0, "TT", 3 * 10**9), (0, "TC", 10**9), (0, "CC", 0)], "partition_id int, pattern string, fpatt long")
+    rows = resampling.bootstrap_patterns(large, 200).collect()
+    counts = [r.fpatt for r in rows if r.pattern == "TC"]
+    assert {r.pattern for r in rows} == {"TT", "TC"} and len(rows) == 400 and abs(np.mean(counts) - 1e9) < 1e4 and 0.8 < np.std(counts) / np.sqrt(0.75e9) < 1.2
 
 
 def test_alignment_files(spark, tmp_path):
