@@ -18,9 +18,9 @@ WIDTH, PERCENT = 5, 80
 #: Bytes of text whose n-grams are hashed together, and the most texts.
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
 #: N-grams fall into buckets whose counts give the order of the matrix's columns: one for about LOAD n-grams, within 2^LEAST and 2^MOST.
-LOAD, LEAST, MOST = 32, 16, 24
-#: Buckets that travel in a row, and the most tasks that count.
-SLOT, COUNTERS = 4096, 4096
+LOAD, LEAST, MOST = 64, 16, 24
+#: Buckets that travel in a row, the most tasks that count, and n-grams that are counted at once.
+SLOT, COUNTERS, AT_ONCE = 4096, 4096, 1 << 22
 #: Bits for each n-gram in the parities by which rows are compared before they are read whole, and the most of them.
 PARITY, MOST_PARITY = 4, 1 << 16
 #: The most partners of a row that are multiplied with it in one block.
@@ -43,33 +43,38 @@ def chunks(batch: pa.RecordBatch, column: int):
 def rarity_classes(docs: DataFrame, width: int) -> np.ndarray:
     """For each bucket of n-gram hashes eight times the logarithm of its count, over all rows (a column ``text``).
 
-    Tasks count into arrays, of which sums reach the driver: a byte a bucket, 16 MB at most; how many there are follows from the size
-    of the texts. Any classes give right results; these put what many documents share last.
+    Tasks count up to 255 into a byte a bucket, and sums of those reach the driver as a byte each, 16 MB at most; how many there are
+    follows from the size of the texts. Any classes give right results; these put what many documents share last.
     """
     letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(MOST, max(LEAST, (letters // (6 * LOAD)).bit_length()))
     slot = min(SLOT, 1 << bits)
 
     def count(batches):
-        held = np.zeros(1 << bits, np.int32)
+        held, waiting, n = np.zeros(1 << bits, np.uint8), [], 0
+
+        def counted():
+            return np.minimum(held + np.bincount(np.concatenate(waiting), minlength=len(held)), 255).astype(np.uint8)
+
         for batch in batches:
             for _, texts in chunks(batch, 0):
                 _, tokens, _ = shingle_sets(texts, width)
-                held += np.bincount((tokens & U(len(held) - 1)).astype(np.int64), minlength=len(held)).astype(np.int32)
+                waiting.append((tokens & U(len(held) - 1)).astype(np.int32))
+                n += len(tokens)
+                if n >= AT_ONCE:
+                    held, waiting, n = counted(), [], 0
+        held = counted() if waiting else held
         rows = held.reshape(-1, slot)
         full = np.flatnonzero(rows.any(1))
-        for a in range(0, len(full), 64):
-            some = full[a : a + 64]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * slot), pa.array(rows[some].ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), lists], ["slot", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([rows[k].tobytes() for k in full], pa.binary())], ["slot", "counts"])
         give_back_memory()
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(chunk.flatten().to_numpy().reshape(-1, slot).sum(0, dtype=np.int64) for chunk in table["counts"].chunks)
+        total = sum(np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in table["counts"])
         classes = np.minimum(255, 8 * np.log2(total + 1)).astype(np.uint8)
         return pa.table({"slot": table["slot"][:1], "classes": pa.array([classes.tobytes()])})
 
-    sums = docs.select("text").coalesce(COUNTERS).mapInArrow(count, "slot int, counts array<int>").groupBy("slot").applyInArrow(add, "slot int, classes binary")
+    sums = docs.select("text").coalesce(COUNTERS).mapInArrow(count, "slot int, counts binary").groupBy("slot").applyInArrow(add, "slot int, classes binary")
     out = np.zeros(1 << bits, np.uint8)
     for r in sums.collect():
         out[r.slot * slot : (r.slot + 1) * slot] = np.frombuffer(r.classes, np.uint8)
