@@ -59,38 +59,106 @@ def located(text: Column, pattern: str, found: Column) -> Column:
     return F.when(n > 0, bound(F.split(text, pattern, -1), fold)).otherwise(F.array().cast(MATCHES))
 
 
+#: The least and the most code of a candidate's characters.
+FIRST_CODE, LAST_CODE = ord("+"), ord("z")
+
+
+class Counts:
+    """How often each character is in the window, as small numbers side by side in a few longs."""
+
+    def __init__(self, window: int):
+        self.bits = (window + 1).bit_length()
+        self.per = 63 // self.bits
+        self.lanes = (LAST_CODE - FIRST_CODE) // self.per + 1
+
+    def none(self) -> Column:
+        return F.array_repeat(F.lit(0).cast("long"), self.lanes)
+
+    def lane(self, code: Column) -> Column:
+        return F.floor((code - FIRST_CODE) / self.per).cast("int")
+
+    def one(self, code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), ((code - FIRST_CODE) % self.per * self.bits).cast("int"))
+
+    def of(self, counts: Column, code: Column) -> Column:
+        shifted = F.call_function("shiftright", F.get(counts, self.lane(code)), ((code - FIRST_CODE) % self.per * self.bits).cast("int"))
+        return shifted.bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
+
+    def moved(self, counts: Column, new: Column, old: Column) -> Column:
+        """With a character more, and one less where ``old`` isn't null."""
+        def each(v, k):
+            out = F.when(k == self.lane(old), self.one(old)).otherwise(F.lit(0).cast("long"))
+            return v + F.when(k == self.lane(new), self.one(new)).otherwise(F.lit(0).cast("long")) - F.coalesce(out, F.lit(0).cast("long"))
+
+        return F.transform(counts, each)
+
+
 def entropy_span(candidate: Column, window: int, least: Column) -> Column:
     """struct<lo, hi>: from the first to the last window of at least so many bits per character; lo is -1 if none has.
 
-    Slides one character at a time: the sum of n log2 n over the characters of the window changes by the
-    counts, among those that it holds, of what comes in and of what goes out. The work is in proportion to length times window.
+    Slides one character at a time and keeps the counts of the window's characters: the one that comes in and the one that goes
+    out change two of them, and the sum of n log2 n by what that makes. The work is in proportion to the length.
     """
-    weight = literal_array([n * log2(n) if n else 0.0 for n in range(window + 1)], "double")
+    weight, kept = literal_array([n * log2(n) if n else 0.0 for n in range(window + 2)], "double"), Counts(window)
 
     def slide(codes: Column) -> Column:
         def step(acc, i):
-            moved = F.struct(
-                F.get(codes, i).alias("new"), F.when(i >= window, F.get(codes, i - window)).otherwise(-1).alias("old"),
-                F.slice(codes, F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window))).alias("held"),
+            new, old = F.get(codes, i), F.when(i >= window, F.get(codes, i - window))
+            changed = F.struct(
+                kept.of(acc["counts"], new).alias("come"),
+                # the count of what goes out, with what came in already among it
+                (kept.of(acc["counts"], old) + (old == new).cast("int")).alias("gone"),
+                kept.moved(acc["counts"], new, old).alias("counts"),
             )
-            return F.aggregate(F.array(moved), acc, lambda a, m: F.aggregate(F.array(total(a, m)), a, lambda a, t: seen(a, t, i)))
+            return bound(changed, lambda m: bound(total(acc, m), lambda t: seen(acc, m, t, i)))
 
         def total(acc, m):
-            count = lambda c: F.size(F.filter(m["held"], lambda x: x == c))
-            grown = bound(count(m["new"]), lambda n: F.get(weight, F.least(n + 1, F.lit(window))) - F.get(weight, n))
-            shrunk = bound(count(m["old"]), lambda n: F.get(weight, F.greatest(n - 1, F.lit(0))) - F.get(weight, n))
-            return acc["sum"] + F.when(m["new"] == m["old"], 0.0).otherwise(grown + shrunk)
+            grown = F.get(weight, m["come"] + 1) - F.get(weight, m["come"])
+            shrunk = F.get(weight, m["gone"] - 1) - F.get(weight, m["gone"])
+            return acc["sum"] + grown + F.coalesce(shrunk, F.lit(0.0))
 
-        def seen(acc, total, i):
+        def seen(acc, m, total, i):
             enough = (i >= window - 1) & (F.round(F.lit(log2(window)) - total / window, 9) >= least)
-            return F.struct(total.alias("sum"), F.when(enough & (acc["lo"] < 0), i - (window - 1)).otherwise(acc["lo"]).alias("lo"), F.when(enough, i + 1).otherwise(acc["hi"]).alias("hi"))
+            return F.struct(m["counts"].alias("counts"), total.alias("sum"), F.when(enough & (acc["lo"] < 0), i - (window - 1)).otherwise(acc["lo"]).alias("lo"), F.when(enough, i + 1).otherwise(acc["hi"]).alias("hi"))
 
-        nothing = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
+        nothing = F.struct(kept.none().alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), nothing, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
 
     return bound(F.transform(F.split(candidate, ""), lambda c: F.ascii(c)), slide)
 
 
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
+
+
+def clear_of(found: Column, base: Column) -> Column:
+    """Those of the spans ``found`` that overlap none of ``base``: all are put in order once and read once.
+
+    A found span is judged where it ends: what begins before then and ends behind its start overlaps it.
+    """
+    event = lambda at, order: lambda s: F.struct(at(s).alias("at"), F.lit(order).alias("order"), s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind"))
+    events = F.array_sort(F.concat(F.transform(found, event(lambda s: s["end"], 0)), F.transform(base, event(lambda s: s["start"], 1))))
+
+    def fold(rows: Column) -> Column:
+        n = F.size(rows)
+
+        def step(acc, i):
+            e = F.get(rows, i)
+            free = (e["order"] == 0) & (acc["reach"] <= e["start"])
+            reach = F.when(e["order"] == 1, F.greatest(acc["reach"], e["end"])).otherwise(acc["reach"])
+            span = F.struct(e["start"].alias("start"), e["rank"].alias("rank"), e["end"].alias("end"), e["kind"].alias("kind"))
+            return F.struct(reach.alias("reach"), F.when(free, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+        def block(acc, first):
+            start = F.struct(acc["reach"].alias("reach"), F.array().cast(SPANS).alias("spans"))
+            inside = F.aggregate(F.sequence(first, F.least(first + BLOCK, n) - 1), start, step)
+            return bound(inside, lambda b: F.struct(b["reach"].alias("reach"), F.array_append(acc["blocks"], b["spans"]).alias("blocks")))
+
+        nothing = F.struct(F.lit(-1).alias("reach"), F.array().cast(f"array<{SPANS}>").alias("blocks"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), n - 1, F.lit(BLOCK)), nothing, block)["blocks"])
+
+    return F.when(F.size(found) > 0, bound(events, fold)).otherwise(F.array().cast(SPANS))
+
+
 def joined(spans: Column) -> Column:
     text = F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(text, ",")
@@ -127,12 +195,10 @@ def find_secrets(docs: DataFrame, window: int = 20, classes: dict = CLASSES, all
         return F.transform(spans, lambda b: F.struct((m["start"] + b["at"]["lo"]).alias("start"), b["k"]["rank"].alias("rank"), (m["start"] + b["at"]["hi"]).alias("end"), b["k"]["kind"].alias("kind"), b["at"]["lo"].alias("lo")))
 
     found = F.filter(F.flatten(F.transform(F.filter("candidate", lambda m: ~harmless(m)), high)), lambda s: s["lo"] >= 0)
-    clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    rows = rows.withColumn("found", F.filter(found, clear))
-    more = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    rows = rows.withColumn("found", found).withColumn("found", clear_of(F.col("found"), F.col("base")))
     return rows.select(
         F.col("id").alias(id_col), *[f"n_{k}" for k in BASE], F.size("found").cast("long").alias("n_entropy"),
-        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", more)).alias("spans"),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "found")).alias("spans"),
     )
 
 

@@ -122,6 +122,19 @@ def test_secrets_of_a_megabyte(spark):
     assert got[2].n_assign == 20_000 and got[2].spans.endswith(f"assign:{14 * 19_999}:{14 * 19_999 + 13}")
 
 
+def test_many_secrets_in_a_text(spark):
+    """Base spans and runs of high entropy side by side, one after another, in proportion to their number."""
+    rng = random.Random(5)
+    key = lambda: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnopqrstuvwxyz23456789") for _ in range(32))
+    n = 25_000
+    text = "\n".join(f"token={key()} {key()}" for _ in range(n))
+    began = time.time()
+    r = find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.time() - began < 60 and r.n_assign == n and 0.9 * n < r.n_entropy <= n
+    spans = [x.split(":") for x in r.spans.split(",")]
+    assert all(int(e) <= int(s) for (_, _, e), (_, s, _) in zip(spans, spans[1:], strict=False))
+
+
 def test_languages(spark):
     rng = np.random.default_rng(2)
     parts = {"aa": "ka ro mu ndi tel va", "bb": "xi qu zha wen pfl ox", "cc": "oo li ee va ii no uu"}
