@@ -87,7 +87,7 @@ def postings(firsts: DataFrame, *more: str) -> DataFrame:
 
 
 def filters(threshold: float) -> Column:
-    """Whether postings x and y of one token may be of similar lines, and the token one of the first HITS that they share.
+    """Whether postings x and y of one token may be of similar lines, and the token one of the first that they share, as many as the smaller set asks for.
 
     Length; prefix (of two similar sets the smaller one has these tokens within the shorter prefix that
     fits two sets of its size); position (what is left from this token on, and those before it, must
@@ -95,8 +95,9 @@ def filters(threshold: float) -> Column:
     """
     n, m = F.col("x.n"), F.col("y.n")
     length = F.least(n, m) >= F.greatest(n, m) * threshold - EPSILON
-    within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + (HITS - 1 + EPSILON)
-    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - (HITS - 1 + EPSILON)
+    before = hits_of(F.least(n, m)) - 1 + F.lit(EPSILON)
+    within = lambda t: F.col(f"{t}.at") <= F.col(f"{t}.n") * (1 - 2 * threshold / (1 + threshold)) + before
+    position = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (threshold / (1 + threshold)) - before
     apart = F.bit_count(F.col("x.mark").bitwiseXOR(F.col("y.mark")))
     marks = apart <= (n + m) * ((1 - threshold) / (1 + threshold)) + EPSILON
     return marks & length & position & F.when(n < m, within("x")).when(n > m, within("y")).otherwise(within("x") | within("y"))

@@ -19,8 +19,8 @@ from cladeworks.llm.textkernels import U, fingerprints, shingle_sets
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
 #: Bits of the marks of a token set.
 MARKS = 512
-#: The most tokens that a set is looked up by. Of two sets with a Jaccard index of s, the smallest k tokens
-#: of their union are all in only one of them with probability (1 - s)^k or less: 1e-14 for 0.8.
+#: The most tokens that a set is looked up by, unless all that may be needed are asked for. Of two sets with a Jaccard index
+#: of s, the smallest k tokens of their union are all in only one of them with probability (1 - s)^k or less: 1e-14 for 0.8.
 SKETCH = 20
 # Fixed value: a generator polynomial of the binary (23, 12) Golay code.
 GENERATOR = 0xC75
@@ -139,14 +139,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "print").select(F.col("id").alias(id_col), "print", "component")
 
 
-def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) -> DataFrame:
+def token_sets(keyed: DataFrame, width: int, similarity: float | None = None, sketch: int | None = SKETCH) -> DataFrame:
     """(id, key, sig, n, marks, tokens) of rows (id, key, text): sig stands for the set of n word shingles.
 
     marks: MARKS bits, each the parity of the tokens that fall on it; where two sets differ in a bit,
     at least one token is in only one of them.
 
     tokens: the set in order of hashes, or with a ``similarity`` only so many of the smallest that two
-    sets as similar as that share one of them (SKETCH where that takes more).
+    sets as similar as that share one of them (``sketch`` where that takes more; None: no bound).
     """
     kind = keyed.schema["id"].dataType.simpleString()
 
@@ -162,7 +162,8 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) ->
                     parity = np.bincount(np.repeat(np.arange(len(n)), n) * MARKS + (tokens & U(MARKS - 1)).astype(np.int64), minlength=len(n) * MARKS) & 1
                     marks = np.packbits(parity.astype(np.uint8)).view(np.int64)
                     if similarity is not None:
-                        need = np.minimum(np.minimum(n, SKETCH), n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
+                        need = np.minimum(n, n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
+                        need = need if sketch is None else np.minimum(need, sketch)
                         tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
                         first = np.concatenate([[0], np.cumsum(need)])
                     lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
@@ -174,13 +175,13 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None) ->
     return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, marks array<long>, tokens array<long>")
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, sketch: int | None = SKETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, part, component): rows linked, directly or through others, by a Jaccard index of ``similarity`` or more.
 
     A row's tokens are its word shingles (``width`` words, A-Z lower-cased; fewer words: the whole
     sequence). Rows with equal sets are merged, sets meet in the smallest hashes of each (the prefix, of
-    SKETCH tokens at most; sets of up to 95 tokens at 0.8 meet for certain, larger ones up to a chance of
-    1e-14), and every link is verified on the whole sets. Each token has a leader, the smallest
+    ``sketch`` tokens at most; with 20, sets of up to 95 tokens at 0.8 meet for certain and larger ones up to a
+    chance of 1e-14; None takes the whole prefix, by which all meet for certain), and every link is verified on the whole sets. Each token has a leader, the smallest
     sig: comparing all with the leaders comes first, and then only sets whose groups differ are compared,
     since others can't change the groups. The component is the smallest id reachable, part a name of the
     group, key a hash of id and text. Null and empty texts are alike; null ids take part and have
@@ -188,7 +189,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
     table gives an empty one; other columns are ignored.
     """
     keyed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("key"), docs[text_col].cast("string").alias("text"))
-    rows = materialize(token_sets(keyed, width, similarity), "prefixes")
+    rows = materialize(token_sets(keyed, width, similarity, sketch), "prefixes")
     reps = materialize(rows.groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("marks").alias("marks")), "reps")
 
     index = rows.select("sig", "n", F.posexplode("tokens").alias("at", "token"))

@@ -10,13 +10,14 @@ from itertools import combinations
 import numpy as np
 import pytest
 from helpers import awkward_rows, frame, sentence, words_of
+from test_ngram_join import copies, plain_links
 
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.decontamination import MASKS, always_hit, contaminated, whole_masks
 from cladeworks.llm.imagekernels import agree, resized
 from cladeworks.llm.line_dedup import document_classes, drop_repeated_lines, repeated_lines
 from cladeworks.llm.media import image_copies, vector_images
-from cladeworks.llm.simhash import near_duplicates
+from cladeworks.llm.simhash import near_duplicates, similar_documents
 
 xxhash = pytest.importorskip("xxhash")
 
@@ -355,14 +356,7 @@ def test_pipeline(spark, sf_dir):
             want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in before if any((i, n) not in gone for n in range(len(t.split("\n"))))}
             assert {r.doc_id: r.text for r in after.collect()} == want
         if name == "SimHash near-dedup":
-            prints = {i: brute_print(t) for i, t in before}
-            groups = {i: i for i in prints}
-            for a in sorted(prints):
-                for b in sorted(prints):
-                    if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
-                        old, new = groups[b], groups[a]
-                        groups = {x: (min(old, new) if g in (old, new) else g) for x, g in groups.items()}
-            assert ids == {i for i, g in groups.items() if i == g}
+            assert ids == {i for i, (_, g) in plain_links(before).items() if i == g}
         if name == "benchmark decontamination":
             assert ids == {i for i, _ in before} - {i for i, _ in {k: 0 for k in brute_contaminated_fast(before, benchmark)}}
         docs = after
@@ -370,6 +364,25 @@ def test_pipeline(spark, sf_dir):
     assert cp.run(spark, sf_dir).count() > 0
 
 
+def test_similar_documents(spark):
+    """The pipeline's near duplicates, by the bounded and by the whole prefix."""
+    rows = [(i, t) for i, t in copies(5) if t]
+    want = {i: g for i, (_, g) in plain_links(rows).items()}
+    for sketch in (20, None):
+        assert {r.doc_id: r.component for r in similar_documents(frame(spark, rows), sketch=sketch).collect()} == want
+
+
+def test_decontamination_of_odd_ids(spark, tmp_path):
+    """A text with a passage goes with a null id too, and one without stays though it shares an id with one that goes."""
+    import corpus_pipeline as cp
+
+    passage = " ".join(f"word{k}" for k in range(25))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"begin {passage} end"), (1, f"other {passage}"), (1, "a clean text"), (None, "clean without id"), (2, None), (2, None)]
+    kept = cp.decontamination_stage(spark, frame(spark, rows), str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, "a clean text"), (None, "clean without id"), (2, None), (2, None)], key=str)
+
+
 def brute_contaminated_fast(rows, items, window=20, share=0.8):
     """As brute_contaminated, with aligned windows counted by array."""
     tokens = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
