@@ -6,7 +6,6 @@ import random
 from itertools import combinations
 
 import numpy as np
-import pytest
 from helpers import awkward_rows, frame, sentence, words_of
 
 from cladeworks.llm import ngram_join
@@ -88,9 +87,8 @@ def test_blocks_of_columns_and_rows(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-@pytest.mark.parametrize(("width", "percent"), [(1, 50), (2, 95)])
-def test_other_bounds(spark, width, percent):
-    check(spark, copies(3)[:120], width=width, percent=percent)
+def test_other_bounds(spark):
+    check(spark, copies(3)[:120], width=1, percent=50)
 
 
 def test_awkward_query(spark, tmp_path):
