@@ -23,7 +23,7 @@ PLACE = ["first_id", "first_tie", "first_line"]
 EPSILON = 1e-9
 #: So many common tokens two lines must have in their prefixes, which are longer by one token less than that; lines of
 #: fewer than SHORT tokens ask for one, so that a word that many of them share isn't among those they meet in.
-HITS, SHORT = 2, 10
+HITS, SHORT = 2, 5
 
 
 def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
