@@ -136,6 +136,137 @@ def mixture(nodes, tips, labels, lengths, classes: list[SiteClass], derive: bool
     return lnf, d, dd, by_class
 
 
+@dataclass
+class Shared:
+    """A block of patterns by what they have in common: for each node the distinct parts of patterns below it.
+
+    ``rows``: an inner node's parts as places in its sons' tables (parts x sons). ``states``: a tip's table, what each part allows
+    (parts x states). ``place``: the whole patterns' places in the root's table.
+    """
+
+    nodes: list[Node]
+    rows: list[np.ndarray | None]
+    states: list[np.ndarray | None]
+    place: np.ndarray
+
+
+def shared_parts(nodes: list[Node], patterns: list[str], alphabet: list[str]) -> Shared:
+    """The parts of ``patterns`` at each node; states as ``tip_vectors`` has them."""
+    width, at = len(alphabet[0]), {s: k for k, s in enumerate(alphabet)}
+    letters = np.array(patterns, dtype=str).reshape(-1, 1).view("U1").reshape(len(patterns), -1)
+    rows, states, place = [None] * len(nodes), [None] * len(nodes), [None] * len(nodes)
+    for n in reversed(nodes):
+        k = n.node_id
+        if not n.sons:
+            first = (int(n.name) - 1) * width
+            codes = letters[:, first : first + width].copy().view(f"U{width}")[:, 0]
+            found, back = np.unique(codes, return_inverse=True)
+            allowed = [[at[s]] if s in at else [at[b] for b in AMBIGUOUS.get(s, "")] if alphabet == list(BASES) else [] for s in map(str, found)]
+            table = np.array([np.isin(np.arange(len(at)), a) if a else np.ones(len(at), bool) for a in allowed])
+            # what allows the same is the same part
+            table, merged = np.unique(table, axis=0, return_inverse=True)
+            states[k], place[k] = table.astype(float), merged.ravel()[back.ravel()]
+            continue
+        joined = place[n.sons[0]].astype(np.int64)
+        for s in n.sons[1:]:  # no product outgrows 64 bits: parts are numbered anew behind each son
+            joined = np.unique(joined * (place[s].max() + 1) + place[s], return_inverse=True)[1].ravel()
+        _, first, back = np.unique(joined, return_index=True, return_inverse=True)
+        rows[k], place[k] = np.stack([place[s][first] for s in n.sons], 1), back.ravel()
+    return Shared(nodes, rows, states, place[0])
+
+
+#: Cells of a table (parts x states) that are multiplied at once.
+CELLS = 1 << 16
+
+
+def shared_class(b: Shared, labels: list[int], lengths: np.ndarray, c: SiteClass, seed=None):
+    """(lnf of the root's parts, None), or with ``seed`` (lnf -> weight of each part) also the weighted sum of lnf's derivatives by each branch.
+
+    A part that many patterns have is moved along its branch once. Derivatives are handed down from the root to parts, where those of all
+    patterns with a part are added up before they are moved on.
+    """
+    nodes, size = b.nodes, len(c.processes[0].freqs)
+    moves = [None] + [c.processes[labels[k]].p(lengths[k] * c.rate) for k in range(1, len(nodes))]
+    freqs = c.processes[0].freqs if c.root is None else c.root
+    step = max(1, CELLS // size)
+    below, carried, logs, tops = [None] * len(nodes), [None] * len(nodes), [None] * len(nodes), [None] * len(nodes)
+    total = np.empty(len(b.rows[0]))
+    for node in reversed(nodes):
+        k = node.node_id
+        if node.sons:
+            rows = b.rows[k]
+            tops[k] = np.empty(len(rows))
+            if k:
+                below[k] = np.empty((len(rows), size))
+            for a in range(0, len(rows), step):
+                part = product([carried[s] for s in node.sons], rows[a : a + step])
+                top = np.maximum(part.max(1), 1e-300)
+                tops[k][a : a + step] = top
+                if k:
+                    below[k][a : a + step] = part / top[:, None]
+                else:
+                    total[a : a + step] = part @ freqs / top
+            logs[k] = np.log(tops[k]) + sum(logs[s][rows[:, j]] for j, s in enumerate(node.sons) if logs[s] is not None)
+        else:
+            below[k] = b.states[k]
+        if k:
+            carried[k] = below[k] @ moves[k].T
+    lnf = np.log(np.maximum(total, 1e-300)) + logs[0]
+    if seed is None:
+        return lnf, None
+    weight = seed(lnf) / np.maximum(total, 1e-300)
+    inner, slopes = [None] * len(nodes), np.zeros(len(nodes) - 1)
+    for node in nodes:
+        if not node.sons:
+            continue
+        k, rows = node.node_id, b.rows[node.node_id]
+        for j, s in enumerate(node.sons):
+            order = np.argsort(rows[:, j], kind="stable")
+            handed = np.zeros_like(carried[s])
+            for a in range(0, len(rows), step):
+                some = order[a : a + step]
+                own = weight[some, None] * freqs if k == 0 else inner[k][some]
+                own = own / tops[k][some, None]
+                for i, o in enumerate(node.sons):
+                    if i != j:
+                        own = own * carried[o][rows[some, i]]
+                at = rows[some, j]
+                begin = np.flatnonzero(np.diff(at, prepend=-1))
+                handed[at[begin]] += np.add.reduceat(own, begin, axis=0)
+            m = c.processes[labels[s]]
+            decay = m.values * c.rate
+            slope = np.real((m.left * (decay * np.exp(decay * lengths[s]))) @ m.right)
+            slopes[s - 1] = (handed * (below[s] @ slope.T)).sum()
+            if nodes[s].sons:
+                inner[s] = handed @ moves[s]
+        inner[k] = None
+    return lnf, slopes
+
+
+def product(tables: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    out = tables[0][rows[:, 0]]
+    for j, t in enumerate(tables[1:], 1):
+        out = out * t[rows[:, j]]
+    return out
+
+
+def shared_lnf(b: Shared, labels: list[int], lengths: np.ndarray, classes: list[SiteClass]) -> np.ndarray:
+    """ln of the probability of each of the root's parts; ``place`` leads from patterns to parts."""
+    return mixed_lnf(np.stack([shared_class(b, labels, lengths, c)[0] for c in classes], 1), classes)
+
+
+def mixed_lnf(by_class: np.ndarray, classes: list[SiteClass]) -> np.ndarray:
+    top = by_class.max(1)
+    return top + np.log(np.maximum(np.exp(by_class - top[:, None]) @ np.array([c.share for c in classes]), 1e-300))
+
+
+def shared_slopes(b: Shared, labels: list[int], lengths: np.ndarray, classes: list[SiteClass], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ln f of the root's parts, the sum of their ``weight`` times its derivatives by each branch length)."""
+    lnf = shared_lnf(b, labels, lengths, classes)
+    slopes = [shared_class(b, labels, lengths, c, lambda own, c=c: weight * c.share * np.exp(own - lnf))[1] for c in classes]
+    return lnf, sum(slopes)
+
+
 def codon_rates(kappa: float, omega: float, freqs: np.ndarray, code: str) -> np.ndarray:
     _, (i, j, transition, synonymous) = codon_steps(code)[0], codon_steps(code)[1].T
     q = np.zeros((len(freqs), len(freqs)))

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeworks.functions.frames import written
-from cladeworks.functions.scores import Spec, alphabet_of, mixture, read_tree, tip_vectors
+from cladeworks.functions.scores import Spec, alphabet_of, mixture, read_tree, shared_lnf, shared_parts, shared_slopes, tip_vectors
 
-#: Patterns that are pruned together.
+#: Patterns whose own scores are made together.
 TOGETHER = 2048
+#: Cells (patterns x states x nodes) of a block whose scores are only added up, and the most patterns of it.
+BLOCK_CELLS, MOST_PATTERNS = 1 << 23, 1 << 16
 #: Branch lengths that are fitted lie between these.
 SHORTEST, LONGEST = 1e-6, 50.0
 
@@ -75,25 +77,66 @@ def block_scores(spec: Spec, points: dict[int, Point], outer: bool, shared: bool
     """A function for mapInPandas: (locus, at, value) with the sums of a task's patterns. ``shared``: every point is evaluated on all rows.
 
     at -1: the log-likelihood; 0 to m - 1: its gradient by parameters and branch lengths; from m on, if asked for, the m x m sums of
-    products of scores. Only sums leave a task.
+    products of scores. Only sums leave a task. Products need each pattern's scores; without them blocks are large, and what patterns
+    have in common is worked out once.
     """
 
+    def sums_of(locus, part: pd.DataFrame) -> np.ndarray:
+        if not outer:
+            return slopes_of(spec, points[locus], part)
+        lnf, scores, weight = scores_of(spec, points[locus], part)
+        return np.concatenate([[weight @ lnf], weight @ scores, ((scores * weight[:, None]).T @ scores).ravel()])
+
     def run(frames):
         sums: dict[int, np.ndarray] = {}
-        for pdf in frames:
+        size = {k: TOGETHER if outer else block_size(spec, p) for k, p in points.items()}
+        for pdf in gathered(frames, max(size.values(), default=1)):
             for locus, part in ((k, pdf) for k in points) if shared else pdf.groupby("locus"):
-                for a in range(0, len(part), TOGETHER):
-                    lnf, scores, weight = scores_of(spec, points[locus], part.iloc[a : a + TOGETHER])
-                    found = [[weight @ lnf], weight @ scores]
-                    if outer:
-                        found.append(((scores * weight[:, None]).T @ scores).ravel())
-                    sums[locus] = sums.get(locus, 0) + np.concatenate(found)
+                for a in range(0, len(part), size[locus]):
+                    sums[locus] = sums.get(locus, 0) + sums_of(locus, part.iloc[a : a + size[locus]])
         for locus, values in sums.items():
             yield pd.DataFrame({"locus": locus, "at": np.arange(-1, len(values) - 1), "value": values})
 
     return run
 
 
+def block_size(spec: Spec, p: Point) -> int:
+    cells = len(alphabet_of(spec.kind, spec.code)) * (len(p.lengths) + 1)
+    return int(np.clip(BLOCK_CELLS // cells, 256, MOST_PATTERNS))
+
+
+def gathered(frames, rows: int):
+    """Frames of at least so many rows, but for the last."""
+    some, n = [], 0
+    for pdf in frames:
+        some.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            yield pd.concat(some)
+            some, n = [], 0
+    if n:
+        yield pd.concat(some)
+
+
+def slopes_of(spec: Spec, p: Point, part: pd.DataFrame) -> np.ndarray:
+    """The log-likelihood of some patterns and its gradient, as ``scores_of`` would sum up."""
+    nodes, labels = read_tree(p.tree)
+    count, lengths = max(labels) + 1, np.concatenate([[0.0], p.lengths])
+    block = shared_parts(nodes, list(part["pattern"]), alphabet_of(spec.kind, spec.code))
+    weight = np.bincount(block.place, part["fpatt"].to_numpy(float))
+    lnf, by_length = shared_slopes(block, labels, lengths, spec.classes(p.parameters, p.freqs, count), weight)
+    by_parameter = [weight @ d for d in differences(spec, p, count, lambda classes: shared_lnf(block, labels, lengths, classes))]
+    return np.concatenate([[weight @ lnf], by_parameter, by_length])
+
+
+def differences(spec: Spec, p: Point, labels: int, lnf):
+    """Central differences by each parameter of what ``lnf`` makes of classes."""
+    for k, x in enumerate(p.parameters):
+        h = 1e-5 * max(abs(x), 1e-2)
+        high, low = (lnf(spec.classes(np.where(np.arange(len(p.parameters)) == k, x + s * h, p.parameters), p.freqs, labels)) for s in (1, -1))
+        yield (high - low) / (2 * h)
+
+
 def scores_of(spec: Spec, p: Point, part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ln f, its derivatives by parameters and branch lengths, counts) of some patterns; by parameters as central differences."""
     nodes, labels = read_tree(p.tree)
@@ -101,11 +144,8 @@ def scores_of(spec: Spec, p: Point, part: pd.DataFrame) -> tuple[np.ndarray, np.
     tips = tip_vectors(list(part["pattern"]), taxa, alphabet_of(spec.kind, spec.code))
     lengths = np.concatenate([[0.0], p.lengths])
     lnf, by_length, _, _ = mixture(nodes, tips, labels, lengths, spec.classes(p.parameters, p.freqs, count))
-    columns = []
-    for k, x in enumerate(p.parameters):
-        h = 1e-5 * max(abs(x), 1e-2)
-        sides = [mixture(nodes, tips, labels, lengths, spec.classes(np.where(np.arange(len(p.parameters)) == k, x + s * h, p.parameters), p.freqs, count), derive=False)[0] for s in (1, -1)]
-        columns.append((sides[0] - sides[1]) / (2 * h))
+    block = shared_parts(nodes, list(part["pattern"]), alphabet_of(spec.kind, spec.code))
+    columns = [d[block.place] for d in differences(spec, p, count, lambda classes: shared_lnf(block, labels, lengths, classes))]
     scores = np.column_stack([*columns, by_length]) if columns else by_length
     return lnf, scores, part["fpatt"].to_numpy(float)
 

@@ -6,7 +6,9 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cladeworks.functions import scores as sc
 from cladeworks.operators import empirical_bayes as eb
@@ -228,3 +230,21 @@ def test_site_classes_of_a_fit(spark):
     patterns = spark.createDataFrame([("".join(x), 1) for x in product("TC", repeat=3)], "pattern string, fpatt long")
     rows = lk.site_class_lnf(patterns, "(1:0.1,2:0.2,3:0.3);", sc.Spec("bases", "JC69", 4), [0.5], [0.25] * 4, [0.1, 0.2, 0.3]).collect()
     assert len(rows) == 8 and all(len(r.lnf) == 4 and np.allclose(r.shares, 0.25) for r in rows)
+
+
+@pytest.mark.parametrize(("spec", "tree"), [(sc.Spec("codons", "A"), "((1,2)#1,(3,4),5);"), (sc.Spec("bases", "HKY85", 4), "((1,2)#1,((3,4),5));"), (sc.Spec("bases", "NH"), "(((1,2)$1,(3,4)),5);")])
+def test_sums_over_parts_are_those_over_patterns(spec, tree):
+    """Parts that patterns share are moved once; log-likelihood and gradient are those of whole patterns, unknown characters too."""
+    rng = np.random.default_rng(3)
+    nodes, labels = sc.read_tree(tree)
+    alphabet = sc.alphabet_of(spec.kind)
+    some = [*alphabet[:6], len(alphabet[0]) * "-"] if spec.kind == "codons" else [*alphabet, "-", "Y"]
+    part = pd.DataFrame({"pattern": ["".join(rng.choice(some, 5)) for _ in range(300)], "fpatt": rng.integers(1, 5, 300)})
+    point = lk.Point(tree, rng.dirichlet(np.ones(len(alphabet)) * 5), spec.parameters(max(labels) + 1)[1], rng.random(len(nodes) - 1) + 0.05)
+    lnf, scores, weight = lk.scores_of(spec, point, part)
+    tips = sc.tip_vectors(list(part["pattern"]), 5, alphabet)
+    whole = sc.mixture(nodes, tips, labels, np.concatenate([[0.0], point.lengths]), spec.classes(point.parameters, point.freqs, max(labels) + 1))
+    assert np.allclose(lnf, whole[0])
+    assert np.allclose(lk.slopes_of(spec, point, part), np.concatenate([[weight @ lnf], weight @ scores]), rtol=1e-6, atol=1e-5)
+    assert np.allclose(weight @ whole[1], (weight @ scores)[len(point.parameters) :])
+    assert max(len(r) for r in sc.shared_parts(nodes, list(part["pattern"]), alphabet).rows[1:] if r is not None) < 300
