@@ -172,10 +172,14 @@ def evaluated(patterns: DataFrame, spec: Spec, points: dict[int, Point], outer:
 
 
 def spread(patterns: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Patterns (locus, pattern, fpatt), collapsed and dealt out evenly over tasks, as a written table that each evaluation reads."""
+    """Patterns (locus, pattern, fpatt), collapsed and dealt out evenly over tasks, as a written table that each evaluation reads.
+
+    So many tasks as the cluster runs at once, if not given: patterns are few bytes but much work, and adaptive execution would put them in one.
+    """
+    tasks = tasks or patterns.sparkSession.sparkContext.defaultParallelism
     locus = F.col("locus") if "locus" in patterns.columns else F.lit(0)
     each = patterns.select(locus.cast("int").alias("locus"), "pattern", "fpatt").groupBy("locus", "pattern").agg(F.sum("fpatt").alias("fpatt"))
-    return written(each.repartition(tasks) if tasks else each.repartition("locus", "pattern"), "blocks")
+    return written(each.repartition(tasks, "locus", "pattern"), "blocks")
 
 
 def climbed(patterns: DataFrame, spec: Spec, starts: dict[int, Point], rounds: int, tolerance: float, shared: bool = False) -> dict[int, Climb]:

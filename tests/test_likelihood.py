@@ -248,3 +248,10 @@ def test_sums_over_parts_are_those_over_patterns(spec, tree):
     assert np.allclose(lk.slopes_of(spec, point, part), np.concatenate([[weight @ lnf], weight @ scores]), rtol=1e-6, atol=1e-5)
     assert np.allclose(weight @ whole[1], (weight @ scores)[len(point.parameters) :])
     assert max(len(r) for r in sc.shared_parts(nodes, list(part["pattern"]), alphabet).rows[1:] if r is not None) < 300
+
+
+def test_patterns_are_dealt_over_all_cores(spark):
+    """Few bytes but much work: adaptive execution doesn't put them in one task."""
+    patterns = spark.range(400).select(F.concat(F.lit("TTTCCC"), F.lpad(F.conv(F.col("id").cast("string"), 10, 4), 6, "0")).alias("pattern"), F.lit(1).cast("long").alias("fpatt"))
+    sizes = [r["count"] for r in lk.spread(patterns).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 200
