@@ -23,14 +23,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ranked(df: DataFrame, order: list[Column], total_of: Column | None = None) -> DataFrame:
+#: Rows that a task sorts, where their number is known beforehand.
+ROWS_A_TASK = 1 << 20
+
+
+def tasks_for(df: DataFrame) -> int:
+    """As many tasks as there are, or more, so that none sorts more than ROWS_A_TASK rows. Counts ``df``, which should be a table or a selection of one."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+
+
+def ranked(df: DataFrame, order: list[Column], total_of: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Add ``rank`` (from 1, over all rows, in ``order``) and, if asked for, ``running`` (the sum of ``total_of`` so far).
 
     Rows are range-partitioned and sorted where they are; only one row per partition is summed up
-    across partitions. ``order`` must tell all rows apart for a unique result.
+    across partitions. ``order`` must tell all rows apart for a unique result. ``tasks``: how many partitions; as Spark is set, if not given.
     """
     value = F.lit(0) if total_of is None else total_of
-    sorted_rows = df.withColumn("_value", value).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = [tasks, *order] if tasks else order
+    sorted_rows = df.withColumn("_value", value).repartitionByRange(*dealt).sortWithinPartitions(*order)
     placed = written(sorted_rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ranked")
     parts = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("_value").alias("_sum"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -38,7 +48,9 @@ def ranked(df: DataFrame, order: list[Column], total_of: Column | None = None) -
     within = W.partitionBy("_part").orderBy("_at")
     # monotonically_increasing_id counts from 0 in each partition's lower 33 bits
     rank = F.col("_rows") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    out = placed.join(offsets, "_part").withColumn("rank", rank)
+    if tasks and total_of is not None:
+        placed = placed.repartition(tasks, "_part")
+    out = placed.join(F.broadcast(offsets), "_part").withColumn("rank", rank)  # one row per partition
     if total_of is not None:
         out = out.withColumn("running", F.col("_base") + F.sum("_value").over(within.rowsBetween(W.unboundedPreceding, 0)))
     return out.drop("_part", "_at", "_value", "_rows", "_base")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cladeworks.functions.frames import ranked, written
+from cladeworks.functions.frames import ranked, tasks_for, written
 
 
 def long_samples(wide: DataFrame, parameters: list[str]) -> DataFrame:
@@ -16,7 +16,7 @@ def long_samples(wide: DataFrame, parameters: list[str]) -> DataFrame:
 
 def by_rank(values: DataFrame) -> DataFrame:
     """(param, value, rank from 0 within param, n), ranked over range partitions: no parameter, and no value that many rows share, meets in one task."""
-    numbered = ranked(values.select("param", "value", F.monotonically_increasing_id().alias("_tie")), [F.col("param"), F.col("value"), F.col("_tie")]).drop("_tie")
+    numbered = ranked(values.select("param", "value", F.monotonically_increasing_id().alias("_tie")), [F.col("param"), F.col("value"), F.col("_tie")], tasks=tasks_for(values)).drop("_tie")
     counts = values.groupBy("param").agg(F.count("*").alias("n"))
     before = W.orderBy("param").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))  # one row per parameter
@@ -25,15 +25,20 @@ def by_rank(values: DataFrame) -> DataFrame:
 
 def summaries(values: DataFrame) -> DataFrame:
     """(param, n, mean, variance, median, least, most, q005, q025, q975, q995): quantiles are the values at place floor(n q)."""
-    placed = written(by_rank(values), "placed")
+    # equal values are counted where they are, and only different ones are sorted
+    counts = written(values.groupBy("param", "value").agg(F.count("*").alias("times")), "counted")
+    placed = ranked(counts, [F.col("param"), F.col("value")], F.col("times"), tasks_for(counts))
+    plain = values.groupBy("param").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"), F.min("value").alias("least"), F.max("value").alias("most"))
+    plain = written(plain, "plain")  # one row per parameter
+    before = W.orderBy("param").rowsBetween(W.unboundedPreceding, -1)
+    totals = plain.select("param", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
+    end = F.col("running") - F.col("skip")
     n = F.col("n")
+    at = lambda place: F.max(F.when((place < end) & (place >= end - F.col("times")), F.col("value")))
     # the median averages the two in the middle
-    at = lambda place: F.max(F.when(F.col("rank") == place, F.col("value")))
     middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
-    return placed.groupBy("param", "n").agg(
-        F.avg("value").alias("mean"), F.var_samp("value").alias("variance"), middle.alias("median"), F.min("value").alias("least"), F.max("value").alias("most"),
-        at(F.floor(n * 0.005)).alias("q005"), at(F.floor(n * 0.025)).alias("q025"), at(F.floor(n * 0.975)).alias("q975"), at(F.floor(n * 0.995)).alias("q995"),
-    )
+    quantiles = placed.join(F.broadcast(totals), "param").groupBy("param").agg(middle.alias("median"), *[at(F.floor(n * q)).alias(c) for c, q in (("q005", 0.005), ("q025", 0.025), ("q975", 0.975), ("q995", 0.995))])
+    return plain.join(quantiles, "param").select("param", "n", "mean", "variance", "median", "least", "most", "q005", "q025", "q975", "q995")
 
 
 def hpd(values: DataFrame, mass: float = 0.95) -> DataFrame:

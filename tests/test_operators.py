@@ -165,6 +165,22 @@ def test_tree_tables(spark):
     assert {r.n_tips for r in trees.tip_sets(rows, paths).collect()} == {2, 4}
 
 
+def test_tasks_sort_few_rows(spark, monkeypatch):
+    """More rows, more tasks: what one task sorts doesn't grow with the input; equal values are one row."""
+    from cladeworks.functions import frames
+
+    monkeypatch.setattr(frames, "ROWS_A_TASK", 50)
+    rows = [(f"p{k % 2}", None if k == 7 else float(k * 7 % 20)) for k in range(1000)]
+    values, sizes, plain = spark.createDataFrame(rows, "param string, value double"), {}, frames.written
+    monkeypatch.setattr(frames, "written", lambda df, name: (sizes.__setitem__(name, (out := plain(df, name)).count()), out)[1])
+    for r in samples.summaries(values).collect():
+        some = sorted((v for p, v in rows if p == r.param), key=lambda v: (v is not None, v))
+        known = [v for v in some if v is not None]
+        assert (r.n, r.least, r.most, r.q025, r.q995) == (500, min(known), max(known), some[12], some[497]) and abs(r.mean - sum(known) / len(known)) < 1e-9
+        assert r.median == (some[249] + some[250]) / 2
+    assert sizes["ranked"] == 21
+
+
 def test_pairs_move_one_row_each(spark, monkeypatch):
     """Deep leaves and inner nodes, a node with itself, its ancestor or its son, repeated pairs: ancestors meet once for each pair of fathers, not for each pair."""
     length = lambda k: float(k % 5 + 1)
