@@ -53,11 +53,18 @@ def hpd(values: DataFrame, mass: float = 0.95) -> DataFrame:
 
 def lag_one(chains: DataFrame, value: str) -> DataFrame:
     """(chain, n, rho): the correlation of each value with the one before it, around the chain's mean."""
+    rows = centred(chains, value, 1)
+    return rows.groupBy("chain", "n").agg((F.sum(F.col("d") * F.col("d1")) / F.sum(F.col("d") * F.col("d"))).alias("rho")).where("rho is not null")
+
+
+def centred(chains: DataFrame, value: str, lags: int) -> DataFrame:
+    """(chain, n, d, d1, d2, ...): each value less its chain's mean, and those before it. One sort: means come from the same window, not from a join."""
+    each = chains.where("chain is not null").select("chain", "iteration", F.col(value).alias("x"))
     order = W.partitionBy("chain").orderBy("iteration")
-    mean = chains.groupBy("chain").agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
-    rows = chains.join(mean, "chain").withColumn("d", F.col(value) - F.col("mean"))
-    rows = rows.withColumn("before", F.lag("d").over(order))
-    return rows.groupBy("chain", "n").agg((F.sum(F.col("d") * F.col("before")) / F.sum(F.col("d") * F.col("d"))).alias("rho")).where("rho is not null")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    before = [F.lag("x", k).over(order).alias(f"x{k}") for k in range(1, lags + 1)]
+    rows = each.repartition(tasks_for(each), "chain").select("chain", "x", F.count("*").over(whole).alias("n"), F.avg("x").over(whole).alias("mean"), *before)
+    return rows.select("chain", "n", (F.col("x") - F.col("mean")).alias("d"), *[(F.col(f"x{k}") - F.col("mean")).alias(f"d{k}") for k in range(1, lags + 1)])
 
 
 def best_runs(runs: DataFrame) -> DataFrame:
@@ -147,10 +154,7 @@ def score_products(rows: DataFrame) -> DataFrame:
 
 def autocorrelation_time(chains: DataFrame, value: str, lags: int = 50, least: float = 0.05) -> DataFrame:
     """(chain, n, tau): 1 plus twice the sum of the autocorrelations up to the first one below ``least``; n / tau samples are worth independent ones."""
-    order = W.partitionBy("chain").orderBy("iteration")
-    mean = chains.groupBy("chain").agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
-    rows = chains.join(mean, "chain").withColumn("d", F.col(value) - F.col("mean"))
-    rows = rows.select("chain", "n", "d", *[F.lag("d", k).over(order).alias(f"d{k}") for k in range(1, lags + 1)])
+    rows = centred(chains, value, lags)
     rho = [F.coalesce(F.sum(F.col("d") * F.col(f"d{k}")), F.lit(0.0)) / F.sum(F.col("d") * F.col("d")) for k in range(1, lags + 1)]
     found = rows.groupBy("chain", "n").agg(F.sum(F.col("d") * F.col("d")).alias("ss"), F.array(*rho).alias("rho")).where("ss > 0")
     stop = F.array_position(F.transform("rho", lambda r: F.round(r, 9) < least), True)

@@ -179,6 +179,12 @@ def test_tasks_sort_few_rows(spark, monkeypatch):
         assert (r.n, r.least, r.most, r.q025, r.q995) == (500, min(known), max(known), some[12], some[497]) and abs(r.mean - sum(known) / len(known)) < 1e-9
         assert r.median == (some[249] + some[250]) / 2
     assert sizes["ranked"] == 21
+    chains = spark.createDataFrame([(k % 40, k, float(k * k % 17)) for k in range(1200)], "chain int, iteration int, x double")
+    got = samples.centred(chains, "x", 1)
+    assert got.rdd.getNumPartitions() == 24 and got.count() == 1200
+    chain = [float(k * k % 17) for k in range(1200) if k % 40 == 3]
+    d = [x - sum(chain) / len(chain) for x in chain]
+    assert abs({r.chain: r.rho for r in samples.lag_one(chains, "x").collect()}[3] - sum(a * b for a, b in zip(d, d[1:])) / sum(a * a for a in d)) < 1e-9
 
 
 def test_pairs_move_one_row_each(spark, monkeypatch):
