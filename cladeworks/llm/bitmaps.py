@@ -1,10 +1,11 @@
-"""Fixed-size sketches as literals in a plan: their size is a parameter, whatever the data."""
+"""Fixed-size sketches in a plan: their size is a parameter, whatever the data."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A bitmap of 2^20 bits takes 128 KB at most.
@@ -21,14 +22,26 @@ def bits_for(table: DataFrame) -> int:
 
 
 def literal_array(values: list[int], kind: str) -> Column:
-    """An array literal; folded once when the plan is made."""
+    """An array literal; folded once when the plan is made. Its values are written out wherever a plan is described."""
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
+def held_array(spark: SparkSession, values: list[int], kind: str) -> Column:
+    """An array as the value of a subquery over one row: descriptions of a plan, which the driver keeps, hold only its name.
+
+    It may not stand inside a lambda: there a column of that name is to stand for it.
+    """
+    at = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, {"tinyint": pa.int8(), "bigint": pa.int64()}[kind]))
+    return spark.createDataFrame(pa.Table.from_arrays([at], ["held"])).scalar()
+
+
 class Bitmap:
-    """Which hashes occur: no false negatives; a full bitmap lets all pass, and what follows stays exact."""
+    """Which hashes occur: no false negatives; a full bitmap lets all pass, and what follows stays exact.
+
+    ``held``: as a ``held_array``, so ``has`` may not stand inside a lambda.
+    """
 
-    def __init__(self, df: DataFrame, hash_col: str, bits: int = BITS):
+    def __init__(self, df: DataFrame, hash_col: str, bits: int = BITS, held: bool = False):
         self.mask = (1 << bits) - 1
         at = F.col(hash_col).bitwiseAND(F.lit(self.mask))
         word, bit = F.shiftright(at, 6), F.expr("shiftleft(1L, cast(at & 63 as int))")
@@ -36,7 +49,7 @@ class Bitmap:
         words = [0] * (1 << (bits - 6))
         for r in rows:
             words[r.word] = r.bits
-        self.words = literal_array(words, "bigint")
+        self.words = held_array(df.sparkSession, words, "bigint") if held else literal_array(words, "bigint")
 
     def has(self, hashed: Column) -> Column:
         at = hashed.bitwiseAND(F.lit(self.mask))

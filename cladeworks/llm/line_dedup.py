@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap, bits_for, bucket_classes, literal_array
+from cladeworks.llm.bitmaps import Bitmap, bits_for, bucket_classes, held_array
 from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
 
@@ -58,7 +58,7 @@ def rarity_classes(docs: DataFrame) -> Column:
     The size is fixed, whatever the data; any order that all lines share gives exact results.
     """
     every = docs.select(F.lower("text").alias("text")).select(F.explode(words()).alias("word")).select(F.xxhash64("word").alias("h"))
-    return literal_array(bucket_classes(every, "h", RARITY_BITS), "tinyint")
+    return held_array(docs.sparkSession, bucket_classes(every, "h", RARITY_BITS), "tinyint")
 
 
 def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFrame:
@@ -68,12 +68,12 @@ def distinct_lines(base: DataFrame, classes: Column, threshold: float) -> DataFr
     rarity. The mark holds 64 bits, each the parity of the tokens that fall on it.
     """
     low = F.lit((1 << HASH_BITS) - 1)
-    class_of = lambda h: F.get(classes, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
+    class_of = lambda h: F.get("classes", h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
     # never null, so that the tokens are sorted as plain numbers
     token = lambda h: F.shiftleft(F.coalesce(class_of(h), F.lit(0).cast("byte")).cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(low))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     # exploding a one-element array is a border over which no expression is copied, so that the words are split only once
-    lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes"))
+    lines = lines_of(base).select("id", "tie", "line", "sig", F.explode(F.array(word_hashes())).alias("hashes")).select("*", classes.alias("classes"))
     n = F.size("hashes")
     need = n - F.ceil(n * threshold - EPSILON).cast("int") + hits_of(n)
     mark = F.aggregate("hashes", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
@@ -118,7 +118,7 @@ class Verifier:
         """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
         bits = bits_for(needed)
-        in_doc, wanted = Bitmap(needed, "first_tie", bits), Bitmap(needed, "sig", bits)
+        in_doc, wanted = Bitmap(needed, "first_tie", bits, held=True), Bitmap(needed, "sig", bits, held=True)
         some = lines_of(self.base.where(in_doc.has(F.col("tie")))).where(wanted.has(F.col("sig")))
         same = (F.col("l.sig") == F.col("f.sig")) & (F.col("l.id") == F.col("f.first_id")) & (F.col("l.tie") == F.col("f.first_tie")) & (F.col("l.line") == F.col("f.first_line"))
         sets = some.alias("l").join(needed.alias("f"), same).select("l.sig", F.col("l.text").alias("text")).dropDuplicates(["sig"])
@@ -143,9 +143,9 @@ def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
     key = F.array_min(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
     crowds = firsts.groupBy(key.alias("key")).agg(F.count("*").alias("lines"), F.max(F.struct("copies", "sig")).alias("most"))
     chosen = materialize(crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct(), "chosen")
-    centres = materialize(firsts.where(Bitmap(chosen, "sig", bits_for(chosen)).has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
+    centres = materialize(firsts.where(Bitmap(chosen, "sig", bits_for(chosen), held=True).has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
     held = postings(centres, "copies")
-    near = postings(firsts).where(Bitmap(held, "token").has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
+    near = postings(firsts).where(Bitmap(held, "token", held=True).has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
     pairs = materialize(candidates(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))), "pairs")
     found = verifier.similar(pairs, "near").unionByName(centres.select(F.col("sig").alias("x"), F.col("sig").alias("y"), F.lit(0).alias("apart")))
     found = found.join(centres.select(F.col("sig").alias("y"), "copies"), "y")
@@ -179,7 +179,7 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
     near = stars(firsts, verifier, threshold)
 
     # only lines that may be in a star are joined with the stars
-    some = Bitmap(near, "sig", bits_for(near)).has(F.col("sig"))
+    some = Bitmap(near, "sig", bits_for(near), held=True).has(F.col("sig"))
     alone = firsts.where(~some).select("*", F.lit(None).cast("long").alias("star"), F.lit(None).cast("double").alias("slack"))
     every = postings(alone.unionByName(firsts.where(some).join(near, "sig", "left")), "star", "slack")
     inner = F.coalesce(F.col("slack") >= 0, F.lit(False))
@@ -192,7 +192,7 @@ def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) ->
         return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))
 
     cores = core.join(mixed, "token", "left_semi")
-    some = outer.where(Bitmap(core, "token").has(F.col("token")))  # of most lines outside, no token is in a core
+    some = outer.where(Bitmap(core, "token", held=True).has(F.col("token")))  # of most lines outside, no token is in a core
     parts = [met(outer, outer, F.col("x.sig") < F.col("y.sig")), met(some, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
     pairs = materialize(candidates(reduce(DataFrame.unionByName, parts)), "pairs")
     links = verifier.similar(pairs, "links")

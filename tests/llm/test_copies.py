@@ -106,6 +106,21 @@ def test_numbered_lines(spark):
     assert got == {(9000, k) for k in range(4)} and sum(seen) < 20_000
 
 
+def test_line_plans_are_short(spark):
+    """Descriptions of plans, which the driver keeps, don't write out the classes of 2^18 buckets or the bits of a bitmap."""
+    from pyspark.sql import functions as F
+
+    from cladeworks.llm.bitmaps import Bitmap
+    from cladeworks.llm.line_dedup import distinct_lines, places, rarity_classes
+
+    docs = frame(spark, awkward_rows())
+    base = docs.select(*places(docs, "doc_id", "text"), "text")
+    firsts = distinct_lines(base, rarity_classes(base), 0.8)
+    kept = firsts.where(Bitmap(firsts, "sig", 16, held=True).has(F.col("sig")))
+    assert kept.count() == firsts.count() > 10
+    assert len(kept._jdf.queryExecution().toString()) < 100_000
+
+
 def test_line_dedup_edges(spark):
     assert repeated_lines(frame(spark, [])).count() == 0
     text = "a b c d e f g"
