@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap
+from cladeworks.llm.bitmaps import Bitmap, bits_for
 from cladeworks.llm.common import drop_materialized, materialize, read_table
 from cladeworks.llm.components import connected_components
-from cladeworks.llm.textkernels import U, fingerprints, shingle_sets
+from cladeworks.llm.textkernels import U, fingerprints, majority_bits, shingle_sets
 
 #: Bytes of text whose shingles are hashed together, and the most texts.
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
-#: Bits of the marks of a token set.
-MARKS = 512
+#: The fewest counters in the marks of a token set.
+MARKS = 64
 #: The most tokens that a set is looked up by, unless all that may be needed are asked for. Of two sets with a Jaccard index
 #: of s, the smallest k tokens of their union are all in only one of them with probability (1 - s)^k or less: 1e-14 for 0.8.
 SKETCH = 20
@@ -139,14 +139,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "print").select(F.col("id").alias(id_col), "print", "component")
 
 
+def counted_marks(tokens: np.ndarray, first: np.ndarray) -> pa.Array:
+    """For each set first[d]:first[d + 1] of tokens, a byte for each bucket of their hashes: how many fall into it.
+
+    There are a power of two of them, a quarter to half of the set's size and MARKS at least. Sets in which a
+    byte doesn't hold the number have none.
+    """
+    n = np.diff(first)
+    size = np.maximum(MARKS, 1 << (np.frexp(np.maximum(n, 1))[1] - 2).clip(0)).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(size)])
+    own = np.repeat(np.arange(len(n)), n)
+    counts = np.bincount(at[own] + (tokens & (size[own] - 1).astype(U)).astype(np.int64), minlength=at[-1])
+    data = np.minimum(counts, 255).astype(np.uint8)
+    return pa.array([b"" if c.size and c.max() == 255 else c.tobytes() for c in np.split(data, at[1:-1])], pa.binary())
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """So many tokens at least are in only one of two sets with these marks."""
+    if not x or not y:
+        return 0
+    a, b = (np.frombuffer(m, np.uint8).astype(np.int32) for m in (x, y))
+    size = min(len(a), len(b))
+    return int(np.abs(a.reshape(-1, size).sum(0) - b.reshape(-1, size).sum(0)).sum())
+
+
 def token_sets(keyed: DataFrame, width: int, similarity: float | None = None, sketch: int | None = SKETCH) -> DataFrame:
-    """(id, key, sig, n, marks, tokens) of rows (id, key, text): sig stands for the set of n word shingles.
+    """(id, key, sig, n, print, marks, tokens) of rows (id, key, text): sig stands for the set of n word shingles, print is its SimHash.
 
-    marks: MARKS bits, each the parity of the tokens that fall on it; where two sets differ in a bit,
-    at least one token is in only one of them.
+    marks: ``counted_marks``, by which many sets that aren't similar are told apart without a look at them.
 
     tokens: the set in order of hashes, or with a ``similarity`` only so many of the smallest that two
-    sets as similar as that share one of them (``sketch`` where that takes more; None: no bound).
+    sets as similar as that share one of them (``sketch`` where that takes more; None: no bound). Whole sets
+    come without print and marks.
     """
     kind = keyed.schema["id"].dataType.simpleString()
 
@@ -159,81 +183,111 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None, sk
                 if size >= TOGETHER or len(some) == MOST_TEXTS or k == batch.num_rows - 1:
                     sums, tokens, first = shingle_sets(some, width)
                     n = np.diff(first)
-                    parity = np.bincount(np.repeat(np.arange(len(n)), n) * MARKS + (tokens & U(MARKS - 1)).astype(np.int64), minlength=len(n) * MARKS) & 1
-                    marks = np.packbits(parity.astype(np.uint8)).view(np.int64)
+                    prints, marks = pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())
                     if similarity is not None:
+                        prints, marks = pa.array(majority_bits(tokens, first).view(np.int64)), counted_marks(tokens, first)
                         need = np.minimum(n, n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
                         need = need if sketch is None else np.minimum(need, sketch)
                         tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
                         first = np.concatenate([[0], np.cumsum(need)])
                     lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
                     own = batch.slice(begin, len(some))
-                    bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (MARKS // 64)), pa.array(marks))
-                    yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), bits, lists], ["id", "key", "sig", "n", "marks", "tokens"])
+                    yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), prints, marks, lists], ["id", "key", "sig", "n", "print", "marks", "tokens"])
                     some, size, begin = [], 0, k + 1
 
-    return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, marks array<long>, tokens array<long>")
+    return keyed.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, sig long, n int, print long, marks binary, tokens array<long>")
+
+
+def maybe_similar(found: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of sets whose sizes and marks don't rule out that they are similar."""
+    sigs = found.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    some = reps.where(Bitmap(sigs, "sig", bits_for(sigs), held=True).has(F.col("sig")))
+    side = lambda c: some.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}"))
+
+    def run(batches):
+        for batch in batches:
+            a, b, n, m, x, y = (batch.column(k) for k in range(6))
+            most = (n.to_numpy() + m.to_numpy()) * ((1 - similarity) / (1 + similarity)) + 1e-9
+            close = [least_apart(x[k].as_py(), y[k].as_py()) <= most[k] for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+    both = found.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9)
+    return both.select("a", "b", "n_a", "n_b", "marks_a", "marks_b").mapInArrow(run, "a long, b long")
+
+
+def fingerprint_pairs(reps: DataFrame) -> DataFrame:
+    """(a, b): sets whose fingerprints are linked by ``links``, directly or through others: each one with the smallest of them."""
+    distinct = materialize(reps.groupBy("print").agg(F.min("sig").alias("node")).select("node", "print"), "distinct")
+    parts = connected_components(links(distinct))
+    heads = materialize(distinct.join(parts, "node", "left").select("print", F.coalesce("component", "node").alias("head")), "heads")
+    drop_materialized(distinct)
+    return reps.select("sig", "print").join(heads, "print").where("sig <> head").select(F.least("sig", "head").alias("a"), F.greatest("sig", "head").alias("b"))
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, sketch: int | None = SKETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, part, component): rows linked, directly or through others, by a Jaccard index of ``similarity`` or more.
 
     A row's tokens are its word shingles (``width`` words, A-Z lower-cased; fewer words: the whole
-    sequence). Rows with equal sets are merged, sets meet in the smallest hashes of each (the prefix, of
+    sequence). Rows with equal sets are merged. SimHash comes first: fingerprints of the sets within two bits
+    meet in their Golay keys (``links``), and each set is held against the first of its group. Similar sets whose
+    fingerprints lie further apart, which are most of those near the bound, are sought among what is still in
+    different groups: these meet in the smallest hashes of each set (the prefix, of
     ``sketch`` tokens at most; with 20, sets of up to 95 tokens at 0.8 meet for certain and larger ones up to a
-    chance of 1e-14; None takes the whole prefix, by which all meet for certain), and every link is verified on the whole sets. Each token has a leader, the smallest
-    sig: comparing all with the leaders comes first, and then only sets whose groups differ are compared,
-    since others can't change the groups. The component is the smallest id reachable, part a name of the
+    chance of 1e-14; None takes the whole prefix, by which all meet for certain). Each token has a leader, the smallest
+    sig: comparing all with the leaders comes before comparing all whose groups still differ, since others
+    can't change the groups. Every link is verified on the whole sets. The component is the smallest id reachable, part a name of the
     group, key a hash of id and text. Null and empty texts are alike; null ids take part and have
     themselves no smaller id than others; repeated rows are kept; very long texts count whole; an empty
     table gives an empty one; other columns are ignored.
     """
     keyed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("key"), docs[text_col].cast("string").alias("text"))
     rows = materialize(token_sets(keyed, width, similarity, sketch), "prefixes")
-    reps = materialize(rows.groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("marks").alias("marks")), "reps")
-
-    index = rows.select("sig", "n", F.posexplode("tokens").alias("at", "token"))
-    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").select("token", "leader"), "shared")
-    met = materialize(index.join(shared, "token").select("token", "sig", "leader", "n", "at").distinct(), "met")
+    reps = materialize(rows.groupBy("sig").agg(F.min("id").alias("first"), F.min("key").alias("key"), *[F.min(c).alias(c) for c in ("n", "print", "marks")]), "reps")
 
     def pairs(x: DataFrame, y: DataFrame, differ) -> DataFrame:
         n, m = F.col("x.n"), F.col("y.n")
         rest = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (similarity / (1 + similarity)) - 1e-9
         close = (F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9) & rest
         both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & close)
-        found = both.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
-        # before whole sets are joined: bits that differ stand for as many tokens that only one has
-        side = lambda c: reps.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}"))
-        apart = sum((F.bit_count(F.get("marks_a", k).bitwiseXOR(F.get("marks_b", k))) for k in map(F.lit, range(MARKS // 64))), F.lit(0))
-        alike = apart <= (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + 1e-9
-        return found.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
-
-    def verified(found: DataFrame) -> DataFrame:
+        return both.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
+
+    def verified(met: DataFrame) -> DataFrame:
+        met = materialize(met, "candidates")
+        found = materialize(maybe_similar(met, reps, similarity), "pairs")
         needed = materialize(found.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(reps, "sig").select("sig", "key"), "needed")
-        some = token_sets(keyed.where(Bitmap(needed, "key").has(F.col("key"))), width)
+        some = token_sets(keyed.where(Bitmap(needed, "key", bits_for(needed), held=True).has(F.col("key"))), width)
         sets = materialize(some.join(needed, ["sig", "key"]).select("sig", "tokens").dropDuplicates(["sig"]), "sets")
         side = lambda c: sets.select(F.col("sig").alias(c), F.col("tokens").alias(f"tokens_{c}"))
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
         union = F.size("tokens_a") + F.size("tokens_b") - common
         out = materialize(found.join(side("a"), "a").join(side("b"), "b").where(common >= union * similarity - 1e-9).select("a", "b"), "links")
-        drop_materialized(needed, sets)
+        drop_materialized(met, found, needed, sets)
+        return out
+
+    def placed(links_so_far: DataFrame) -> DataFrame:
+        """The postings of tokens that sets of different groups share."""
+        groups = materialize(connected_components(links_so_far).withColumnRenamed("node", "sig"), "groups")
+        every = postings.join(groups, "sig", "left").withColumn("group", F.coalesce("component", "sig"))
+        mixed = every.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("last")).where("least < last").select("token")
+        out = materialize(every.join(mixed, "token").select("token", "sig", "leader", "group", "n", "at"), "mixed")
+        drop_materialized(groups)
         return out
 
-    led_pairs = materialize(pairs(met, met.where("sig = leader"), F.col("x.sig") != F.col("y.sig")), "pairs")
-    led = verified(led_pairs)
-    groups = materialize(connected_components(led).withColumnRenamed("node", "sig"), "groups")
-    placed = met.join(groups, "sig", "left").withColumn("group", F.coalesce("component", "sig"))
-    mixed = placed.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("last")).where("least < last").select("token")
-    placed = materialize(placed.join(mixed, "token").select("token", "sig", "group", "n", "at"), "mixed")
-    more_pairs = materialize(pairs(placed, placed, F.col("x.group") < F.col("y.group")).join(led_pairs, ["a", "b"], "left_anti"), "pairs")
-    more = verified(more_pairs)
+    near = verified(fingerprint_pairs(reps))
+    index = rows.select("sig", "n", F.posexplode("tokens").alias("at", "token"))
+    shared = materialize(index.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").select("token", "leader"), "shared")
+    postings = materialize(index.join(shared, "token").select("token", "sig", "leader", "n", "at").distinct(), "met")
+    first = placed(near)
+    led = verified(pairs(first, first.where("sig = leader"), F.col("x.group") != F.col("y.group")))
+    second = placed(near.unionAll(led))
+    more = verified(pairs(second, second, F.col("x.group") < F.col("y.group")))
 
-    parts = materialize(connected_components(led.unionAll(more)).withColumnRenamed("node", "sig"), "parts")
+    parts = materialize(connected_components(near.unionAll(led).unionAll(more)).withColumnRenamed("node", "sig"), "parts")
     named = reps.join(parts, "sig", "left").select("sig", "first", F.coalesce("component", "sig").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component"))
     named = materialize(named.join(least, "part").select("sig", "part", "component"), "components")
     out = materialize(rows.join(named, "sig").select(F.col("id").alias(id_col), "key", "part", "component"), "groups")
-    drop_materialized(rows, reps, shared, met, led_pairs, led, groups, placed, more_pairs, more, parts, named)
+    drop_materialized(rows, reps, shared, postings, near, first, led, second, more, parts, named)
     return out
 
 

@@ -210,6 +210,58 @@ def test_near_duplicate_stage(spark):
     assert cp.near_duplicate_stage(spark, docs.limit(0), "").count() == 0
 
 
+def test_near_duplicate_stage_looks_up_fingerprints(spark, monkeypatch):
+    """SimHash proposes pairs in the pipeline's stage: long texts with a word changed meet by their Golay keys, and go."""
+    import corpus_pipeline as cp
+    from cladeworks.llm import simhash
+
+    rng, rows = random.Random(14), []
+    for k in range(6):
+        w = sentence(rng, 3000).split()
+        rows.append((10 * k, " ".join(w)))
+        w[1500] = "changed"
+        rows.append((10 * k + 1, " ".join(w)))
+    seen, plain = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a: (seen.append(plain(*a).count()), plain(*a))[1])
+    assert {r.doc_id for r in cp.near_duplicate_stage(spark, frame(spark, rows, clashing=False), "").collect()} == {10 * k for k in range(6)}
+    assert len(seen) == 1 and seen[0] >= 3
+
+
+def test_long_unlike_sets_are_not_read_again(spark, monkeypatch):
+    """Texts that share half of their words meet, but their marks tell them apart: no whole set is moved."""
+    from cladeworks.llm import simhash
+
+    rng = random.Random(15)
+    common = sentence(rng, 1500)
+    rows = [(k, f"{common} {sentence(rng, 1500)}") for k in range(12)]
+    made, plain = defaultdict(int), simhash.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    assert {r.doc_id: r.component for r in similar_documents(frame(spark, rows)).collect()} == {k: k for k in range(12)}
+    assert made["met"] > 0 and made["pairs"] == 0 == made["sets"]
+
+
+def test_marks_of_sets():
+    """Never more than what is in only one of two sets; sets of which a byte can't hold a count rule out nothing."""
+    from cladeworks.llm.simhash import counted_marks, least_apart
+
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 63, 64, 65, 300, 1023, 1024, 5000):
+        for m in (n, n + n // 9, n // 2):
+            x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            y = np.unique(np.concatenate([x[: m // 2], rng.integers(0, 1 << 63, m - m // 2, dtype=np.uint64)]))
+            marks = counted_marks(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)])).to_pylist()
+            assert least_apart(*marks) <= len(np.setxor1d(x, y)) and least_apart(marks[0], marks[0]) == 0
+            assert least_apart(*marks) >= abs(len(x) - len(y))
+    same = np.arange(1000, dtype=np.uint64) << np.uint64(20)
+    assert counted_marks(same, np.array([0, 1000])).to_pylist() == [b""] and least_apart(b"", b"\1" * 64) == 0
+
+
 def test_golay_keys_meet():
     from cladeworks.llm.simhash import keys
 
