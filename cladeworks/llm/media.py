@@ -99,65 +99,99 @@ def keyed(corners: DataFrame, tables: slice) -> DataFrame:
 
 
 def verified(pairs: DataFrame, corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
-    """(a, b): those of the pairs of images that ``votes`` or more matching corners agree on one turn, scale and shift."""
-    kind = corners.schema["id"].dataType.simpleString()
+    """Those of the pairs of images (a, b, and other columns) that ``votes`` or more matching corners agree on one turn, scale and shift."""
+    kept = pairs.columns
 
     def run(batches):
         for batch in batches:
-            x, y = (batch.column(k) for k in (2, 3))
+            x, y = (batch.column(k) for k in (-2, -1))
             good = [agree(np.frombuffer(x[k].as_buffer(), FEATURE), np.frombuffer(y[k].as_buffer(), FEATURE), bits, votes, cell) for k in range(batch.num_rows)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(kept).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: corners.select(F.col("id").alias(c), F.col("corners").alias(f"corners_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "corners_a", "corners_b")
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select(*kept, "corners_a", "corners_b")
+    return both.mapInArrow(run, pairs.schema)
+
+
+def followed(hooks: DataFrame) -> DataFrame:
+    """(component, root): where the path from each component ends, of hooks (component, root) that each lead to a smaller one.
 
+    There is one hook a component and so no circle; paths double their length in each round.
+    """
+    on = hooks.select(F.col("component").alias("root"), F.col("root").alias("next"))
+    step = materialize(hooks.join(on, "root", "left").select("component", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "hooks")
+    out = step.select("component", "root")
+    if not step.where("moved").isEmpty():
+        out = followed(out)
+        drop_materialized(step)
+        return out
+    out.materialized_at = step.materialized_at
+    return out
 
-def copy_links(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
-    """(a, b): links between images that connect what all links between images that share a key connect.
+
+def relabelled(labels: DataFrame | None, hooks: DataFrame) -> DataFrame:
+    """(id, component) of the images whose component isn't their own id, after components are hooked to others (component, root)."""
+    fresh = hooks.select(F.col("component").alias("id"), F.col("root").alias("component"))
+    if labels is None:
+        return fresh
+    return labels.join(hooks, "component", "left").select("id", F.coalesce("root", "component").alias("component")).unionByName(fresh)
+
+
+def copy_groups(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
+    """(id, component): the smallest image that each image reaches by links between images that share a key, where that is another.
 
     Only keys that several images have are kept. In each round an image is compared with the image
-    that leads most of its keys, by what it is linked to so far; so groups of copies settle in
-    proportion to their size. When a round finds nothing more, all images of a key that are still not linked are compared.
+    that leads most of its keys, by what it is linked to so far, and a component is hooked to the smallest
+    that one of its images is linked to. So groups of copies settle in proportion to their size, without a pass over
+    all links. When a round finds nothing more, all images of a key that are still not in one component are compared,
+    so a link that a component did not follow is met again; links that this finds join components last.
     """
     alone = corners.withColumn("component", F.col("id"))
     counts = keyed(alone, slice(None)).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key")
     counts = materialize(counts, "keys")
     shared = Bitmap(counts, "key")
-    links, now, made = None, alone, []
+    labels, now, made = None, alone, []
 
     def placed(tables: slice = slice(None)) -> DataFrame:
         """One image stands for those of one component that share a key."""
         return keyed(now, tables).where(shared.has(F.col("key"))).groupBy("key", "component").agg(F.min("id").alias("id"))
 
-    def joined(new: DataFrame) -> bool:
-        nonlocal links, now
-        if new.isEmpty():
-            return False
-        links = new if links is None else materialize(links.unionByName(new), "links")
-        parts = materialize(connected_components(links), "parts")
-        now = corners.join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", "corners", F.coalesce("component", "id").alias("component"))
-        made.extend([new, parts])
-        return True
-
     tables, more = slice(0, 1), True
     while more:
         some = placed(tables)
         leaders = some.groupBy("key").agg(F.min(F.struct("component", "id")).alias("lead"), F.max("component").alias("last")).where("lead.component < last").select("key", "lead")
-        met = some.join(leaders, "key").where("component <> lead.component").groupBy("id", "lead.id").agg(F.count("*").alias("n")).toDF("b", "a", "n")
-        best = materialize(met.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "best")
-        more = joined(materialize(verified(best, corners, bits, votes, cell), "links")) or tables.stop is not None
-        made.append(best)
+        met = some.join(leaders, "key").where("component <> lead.component").groupBy("id", "component", "lead").agg(F.count("*").alias("n"))
+        best = met.groupBy("id", "component").agg(F.max(F.struct("n", "lead.id", "lead.component")).alias("best"))
+        best = materialize(best.select(F.col("best.id").alias("a"), F.col("id").alias("b"), F.col("best.component").alias("root"), "component"), "best")
+        new = materialize(verified(best, corners, bits, votes, cell), "links")
+        made += [best, new]
+        more = tables.stop is not None
         tables = slice(None)
+        if not new.isEmpty():
+            hooks = followed(new.groupBy("component").agg(F.min("root").alias("root")))
+            labels = materialize(relabelled(labels, hooks), "labels")
+            now = corners.join(labels, "id", "left").select("id", "corners", F.coalesce("component", "id").alias("component"))
+            made += [hooks, labels]
+            more = True
 
     rows = keyed(now, slice(None)).where(shared.has(F.col("key")))
     mixed = materialize(rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least < last").select("key"), "mixed")
-    rows = materialize(rows.where(Bitmap(mixed, "key").has(F.col("key"))).join(mixed, "key"), "rest")
-    rest = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
-    rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
-    last = materialize(verified(rest, corners, bits, votes, cell), "links")
-    out = materialize(last if links is None else links.unionByName(last), "links")
-    drop_materialized(counts, mixed, rows, rest, last, *made)
+    made += [counts, mixed]
+    if not mixed.isEmpty():
+        rows = materialize(rows.where(Bitmap(mixed, "key").has(F.col("key"))).join(mixed, "key"), "rest")
+        rest = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
+        rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.col("x.component").alias("root"), F.col("y.component").alias("component")).distinct(), "pairs")
+        last = materialize(verified(rest, corners, bits, votes, cell), "links")
+        made += [rows, rest, last]
+        if not last.isEmpty():
+            parts = connected_components(last.select(F.col("root").alias("a"), F.col("component").alias("b")).distinct())
+            hooks = materialize(parts.where("node <> component").select(F.col("node").alias("component"), F.col("component").alias("root")), "hooks")
+            labels = relabelled(labels, hooks)
+            made.append(hooks)
+    if labels is None:
+        labels = corners.select("id", F.col("id").alias("component")).limit(0)
+    out = materialize(labels, "parts")
+    drop_materialized(*made)
     return out
 
 
@@ -178,11 +212,10 @@ def image_copies(images: DataFrame, most: int = 24, levels: int = 3, bits: int =
     same = materialize(found.groupBy("digest").agg(F.min("id").alias("first")).where("digest is not null and first is not null"), "same")
     firsts = found.join(same, "digest").where("id = first").select("id", "corners").dropDuplicates(["id"])
     corners = materialize(firsts.where(F.octet_length("corners") > 0), "corners")
-    links = copy_links(corners, bits, votes, cell)
-    parts = materialize(connected_components(links), "parts")
-    sizes = parts.groupBy("component").agg((F.count("*") - 1).alias("n_others"))
-    placed = parts.join(sizes, "component").withColumnRenamed("node", "first")
-    named = same.join(placed, "first", "left").select("digest", "n_others", F.coalesce("component", "first").alias("component"))
+    labels = copy_groups(corners, bits, votes, cell)
+    sizes = labels.groupBy("component").agg(F.count("*").alias("n_others"))
+    placed = same.join(labels.withColumnRenamed("id", "first"), "first", "left").select("digest", F.coalesce("component", "first").alias("component"))
+    named = placed.join(sizes, "component", "left").select("digest", "n_others", "component")
     out = found.select("id", "digest").join(named, "digest", "left")
     known = F.col("id").isNotNull()
     return out.select(F.col("id").alias(id_col), F.coalesce(F.when(known, F.col("n_others")), F.lit(0)).cast("long").alias("n_others"), F.when(known, F.coalesce("component", "id")).alias("component"))

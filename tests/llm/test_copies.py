@@ -407,6 +407,35 @@ def test_image_copies_under_edits(spark):
     assert linked >= 100 and sum(got[i].component == group[i] for i in found) >= 0.98 * len(found)
 
 
+def test_image_groups_settle_without_a_pass_over_all_links(spark, monkeypatch):
+    """Rounds hook components to others, so only links that no round followed are left to the search for components."""
+    from cladeworks.llm import media
+
+    passed = []
+    monkeypatch.setattr(media, "connected_components", lambda edges: passed.append(edges.count()) or connected_components(edges))
+    rng = np.random.default_rng(11)
+    vectors = spark.createDataFrame([(i, rng.normal(0, 1, 64).tolist()) for i in range(3)], "vec_id long, embedding array<double>")
+    rows = []
+    for i, h, w, pixels in map(tuple, vector_images(vectors).collect()):
+        g = np.frombuffer(pixels, np.uint8).reshape(h, w).astype(float)
+        near = [g, *(np.clip(g * 0.95 + 5 + rng.normal(0, 2, g.shape), 0, 255) for _ in range(9))]
+        rows += [(10 * i + k, h, w, bytearray(np.rint(x).astype(np.uint8).tobytes())) for k, x in enumerate(near)]
+    got = {r.id: (r.n_others, r.component) for r in image_copies(spark.createDataFrame(rows, "id long, height int, width int, pixels binary")).collect()}
+    assert got == {10 * i + k: (9, 10 * i) for i in range(3) for k in range(10)}
+    assert sum(passed) <= 3
+
+
+def test_component_hooks_are_followed_to_their_ends(spark):
+    from cladeworks.llm.media import followed, relabelled
+
+    hooks = spark.createDataFrame([(k + 1, k) for k in range(9)] + [(20, 15), (30, 20)], "component long, root long")
+    ends = {r.component: r.root for r in followed(hooks).collect()}
+    assert ends == {**{k + 1: 0 for k in range(9)}, 20: 15, 30: 15}
+    labels = relabelled(None, spark.createDataFrame([(7, 5), (9, 5)], "component long, root long"))
+    moved = relabelled(labels, spark.createDataFrame([(5, 2)], "component long, root long"))
+    assert {r.id: r.component for r in moved.collect()} == {7: 2, 9: 2, 5: 2}
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 
