@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,7 @@ def text_or_empty(column: str = "text"):
 def give_back_memory() -> None:
     """Return what a task has freed to the system: its worker lives on beside the next stages."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

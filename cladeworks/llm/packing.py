@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from cladeworks.llm.bpe import MEMO_ENTRIES, Memo, irregular
-from cladeworks.llm.common import read_table
+from cladeworks.llm.common import give_back_memory, read_table
 
 #: Texts handled together, in characters: bounds the chunks that are waiting for their identifiers.
 TOGETHER = 1 << 20
@@ -131,13 +131,15 @@ class HarmonicPacker:
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False, memo_entries: int = MEMO_ENTRIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False, memo_entries: int = MEMO_ENTRIES, id_col: str = "doc_id", text_col: str = "text", keep_encoder: bool = True) -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
     One narrow stage without a shuffle; every task packs its own rows, so a lost task is packed again
     alone. Null and empty texts are the end id alone; repeated rows are packed each; an empty table
     gives an empty one; very long texts are cut as they are, and ties of length change nothing; other
-    columns are ignored. ``memo_entries`` bounds what a worker remembers of chunks: fewer cost time. A task leaves at most one sequence of its run of
+    columns are ignored. ``memo_entries`` bounds what a worker remembers of chunks: fewer cost time.
+    Without ``keep_encoder`` each task has an encoder of its own and frees it, so that workers hold nothing beside the stages
+    that follow; that costs each task a load of the vocabulary. A task leaves at most one sequence of its run of
     left-over pieces short of capacity, besides the loss of the classes under a sixteenth.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -156,7 +158,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
 
     def run(batches):
         packer, id_type = HarmonicPacker(capacity, TaskContext.get().partitionId()), None
-        encode = encoder(tokenizer, memo_entries).encode
+        encode = (encoder if keep_encoder else IdEncoder)(tokenizer, memo_entries).encode
         for batch in batches:
             id_type = batch.column(0).type
             docs_of, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -171,6 +173,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
                 yield table(rows, id_type)
         if id_type is not None:
             yield table(packer.close(), id_type)
+        if not keep_encoder:
+            del encode
+            give_back_memory()
 
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids

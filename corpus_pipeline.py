@@ -32,7 +32,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs
     # renamed, so that no column clashes with those of the result
     plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
-    found = identify_languages(plain, model, id_col=f"c{docs.columns.index('doc_id')}", text_col=f"c{docs.columns.index('text')}", keep=tuple(plain.columns))
+    found = identify_languages(plain, model, id_col=f"c{docs.columns.index('doc_id')}", text_col=f"c{docs.columns.index('text')}", keep=tuple(plain.columns), memo_words=120_000)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(plain.columns).toDF(*docs.columns)
 
 
@@ -60,8 +60,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Operator 6: token sequences of the documents that are left."""
     import public_tokenizers
 
-    # workers that come from earlier stages keep to a small memo
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), memo_entries=300_000)
+    # workers that come from earlier stages keep to a small memo, and none of it when a task is over
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), memo_entries=200_000, keep_encoder=False)
 
 
 STAGES = [

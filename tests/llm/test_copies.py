@@ -436,6 +436,27 @@ def test_component_hooks_are_followed_to_their_ends(spark):
     assert {r.id: r.component for r in moved.collect()} == {7: 2, 9: 2, 5: 2}
 
 
+def test_packing_stage_leaves_no_encoder_in_workers(spark, sf_dir):
+    """Workers live on beside later stages and runs: what a task of the stage remembers goes with it."""
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert cp.packing_stage(spark, docs.repartition(4), sf_dir).count() > 0
+
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+
+        from cladeworks.llm.packing import MEMO_ENTRIES, IdEncoder
+
+        for _ in batches:
+            own = [x for x in gc.get_objects() if type(x) is IdEncoder and x.memo.most < MEMO_ENTRIES // 2]
+            yield pa.RecordBatch.from_arrays([pa.array([len(own)], pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(400).repartition(16).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 

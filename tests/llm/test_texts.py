@@ -220,6 +220,9 @@ def test_packing(spark):
         assert at <= 256
         total += at
     assert total > 0.9 * 256 * len(sequences) - 3 * 256
+    own = pack(frame(spark, rows).repartition(3), PATH, capacity=256, with_ids=True, memo_entries=50, keep_encoder=False).collect()
+    texts = lambda some: sorted((r.doc_id is None, r.doc_id or 0, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in some)
+    assert texts(own) == texts(got)
     assert pack(empty(spark), PATH).count() == 0
 
 
