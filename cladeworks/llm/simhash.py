@@ -19,9 +19,12 @@ from cladeworks.llm.textkernels import U, fingerprints, majority_bits, shingle_s
 TOGETHER, MOST_TEXTS = 1 << 20, 4096
 #: The fewest counters in the marks of a token set.
 MARKS = 64
-#: The most tokens that a set is looked up by, unless all that may be needed are asked for. Of two sets with a Jaccard index
-#: of s, the smallest k tokens of their union are all in only one of them with probability (1 - s)^k or less: 1e-14 for 0.8.
-SKETCH = 20
+#: The most keys that a set is looked up by, unless all are asked for. A key stands for two tokens that are neighbours in the set's
+#: order. Of two sets with a Jaccard index of 0.8 no two neighbours among the smallest 49 tokens of the union are in both
+#: with probability 1e-14 or less (a root of x^2 = 0.2 x + 0.16, 0.512, to the power of 49, times 1.6).
+SKETCH = 48
+#: An odd number that keys are mixed by.
+MIX = 0x9E3779B97F4A7C15
 # Fixed value: a generator polynomial of the binary (23, 12) Golay code.
 GENERATOR = 0xC75
 #: (first bit, bits) of the segments; each is a 23-bit word with zeros above.
@@ -163,14 +166,29 @@ def least_apart(x: bytes, y: bytes) -> int:
     return int(np.abs(a.reshape(-1, size).sum(0) - b.reshape(-1, size).sum(0)).sum())
 
 
+def neighbour_keys(tokens: np.ndarray, first: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, first): for each set first[d]:first[d + 1] of sorted tokens, a key for each two neighbours, at most so many; a single token is its own.
+
+    Two sets share the key of two neighbours in their union that are in both; if at least four fifths of the union are, there are such.
+    One token that many sets share makes none of them meet.
+    """
+    n = np.diff(first)
+    need = np.where(n > 1, n - 1, n)
+    need = need if most is None else np.minimum(need, most)
+    keys = tokens * U(MIX) ^ np.roll(tokens, -1)
+    single = np.asarray(first[:-1])[n == 1]
+    keys[single] = tokens[single]
+    kept = np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)
+    return keys[kept], np.concatenate([[0], np.cumsum(need)])
+
+
 def token_sets(keyed: DataFrame, width: int, similarity: float | None = None, sketch: int | None = SKETCH) -> DataFrame:
     """(id, key, sig, n, print, marks, tokens) of rows (id, key, text): sig stands for the set of n word shingles, print is its SimHash.
 
     marks: ``counted_marks``, by which many sets that aren't similar are told apart without a look at them.
 
-    tokens: the set in order of hashes, or with a ``similarity`` only so many of the smallest that two
-    sets as similar as that share one of them (``sketch`` where that takes more; None: no bound). Whole sets
-    come without print and marks.
+    tokens: the set in order of hashes, or with a ``similarity`` the keys of neighbours in it (``neighbour_keys``), the first
+    ``sketch`` of them (None: all). Whole sets come without print and marks.
     """
     kind = keyed.schema["id"].dataType.simpleString()
 
@@ -186,10 +204,7 @@ def token_sets(keyed: DataFrame, width: int, similarity: float | None = None, sk
                     prints, marks = pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())
                     if similarity is not None:
                         prints, marks = pa.array(majority_bits(tokens, first).view(np.int64)), counted_marks(tokens, first)
-                        need = np.minimum(n, n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
-                        need = need if sketch is None else np.minimum(need, sketch)
-                        tokens = tokens[np.arange(len(tokens)) - np.repeat(first[:-1], n) < np.repeat(need, n)]
-                        first = np.concatenate([[0], np.cumsum(need)])
+                        tokens, first = neighbour_keys(tokens, first, sketch)
                     lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
                     own = batch.slice(begin, len(some))
                     yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sums.view(np.int64)), pa.array(n.astype(np.int32)), prints, marks, lists], ["id", "key", "sig", "n", "print", "marks", "tokens"])
@@ -231,9 +246,9 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
     sequence). Rows with equal sets are merged. SimHash comes first: fingerprints of the sets within two bits
     meet in their Golay keys (``links``), and each set is held against the first of its group. Similar sets whose
     fingerprints lie further apart, which are most of those near the bound, are sought among what is still in
-    different groups: these meet in the smallest hashes of each set (the prefix, of
-    ``sketch`` tokens at most; with 20, sets of up to 95 tokens at 0.8 meet for certain and larger ones up to a
-    chance of 1e-14; None takes the whole prefix, by which all meet for certain). Each token has a leader, the smallest
+    different groups: these meet in keys of two neighbours in a set's order of hashes (the first
+    ``sketch`` at most; with 48, sets of up to 49 tokens at 0.8 or more meet for certain and larger ones up to a
+    chance of 1e-14; None takes all, by which all meet for certain). Each key has a leader, the smallest
     sig: comparing all with the leaders comes before comparing all whose groups still differ, since others
     can't change the groups. Every link is verified on the whole sets. The component is the smallest id reachable, part a name of the
     group, key a hash of id and text. Null and empty texts are alike; null ids take part and have
@@ -246,13 +261,15 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
 
     def pairs(x: DataFrame, y: DataFrame, differ) -> DataFrame:
         n, m = F.col("x.n"), F.col("y.n")
-        rest = F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (similarity / (1 + similarity)) - 1e-9
+        rest = F.least("x.at", "y.at") + F.least(n - F.col("x.at"), m - F.col("y.at")) >= (n + m) * (similarity / (1 + similarity)) - 1e-9
         close = (F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9) & rest
         both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & close)
         return both.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
 
     def verified(met: DataFrame) -> DataFrame:
         met = materialize(met, "candidates")
+        if met.isEmpty():
+            return met
         found = materialize(maybe_similar(met, reps, similarity), "pairs")
         needed = materialize(found.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(reps, "sig").select("sig", "key"), "needed")
         some = token_sets(keyed.where(Bitmap(needed, "key", bits_for(needed), held=True).has(F.col("key"))), width)

@@ -246,6 +246,37 @@ def test_long_unlike_sets_are_not_read_again(spark, monkeypatch):
     assert made["met"] > 0 and made["pairs"] == 0 == made["sets"]
 
 
+def test_common_shingles_make_no_pairs(spark, monkeypatch):
+    """Texts that share a passage and are else unlike don't meet in each of its shingles: pairs don't grow with the square of their number."""
+    from cladeworks.llm import simhash
+
+    rng = random.Random(16)
+    passage = sentence(rng, 6)
+    rows = [(k, f"{sentence(rng, 10)} {passage} {sentence(rng, 10)}") for k in range(120)]
+    made, plain = defaultdict(int), simhash.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    assert {r.doc_id: r.component for r in similar_documents(frame(spark, rows)).collect()} == {k: k for k in range(120)}
+    assert made["candidates"] < 1000  # with single shingles as keys about 7,000
+
+
+def test_neighbour_keys():
+    """Keys of two neighbours, a single token by itself, no key of an empty set; at most so many."""
+    from cladeworks.llm.simhash import neighbour_keys
+
+    sets = [[], [3], [1, 2, 5, 9], [2, 5], [4]]
+    first = np.cumsum([0, *map(len, sets)])
+    keys, at = neighbour_keys(np.array(sum(sets, []), np.uint64), first, None)
+    assert np.diff(at).tolist() == [0, 1, 3, 1, 1] and keys[2] == keys[4] and keys[0] == 3 and keys[5] == 4
+    keys, at = neighbour_keys(np.array(sum(sets, []), np.uint64), first, 2)
+    assert np.diff(at).tolist() == [0, 1, 2, 1, 1] and len(keys) == 5
+
+
 def test_marks_of_sets():
     """Never more than what is in only one of two sets; sets of which a byte can't hold a count rule out nothing."""
     from cladeworks.llm.simhash import counted_marks, least_apart
