@@ -49,6 +49,12 @@ def drop_materialized(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished queries stay on disk until the driver collects its garbage: let it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap, bits_for, bucket_classes, held_array
-from cladeworks.llm.common import drop_materialized, materialize, read_table
+from cladeworks.llm.bitmaps import MOST_BITS, Bitmap, bits_for, bucket_classes, held_array
+from cladeworks.llm.common import drop_materialized, free_shuffles, materialize, read_table
 from cladeworks.llm.components import connected_components
 
 RARITY_BITS = 18
@@ -34,7 +34,7 @@ def places(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 def lines_of(docs: DataFrame) -> DataFrame:
     """(id, tie, line, sig, text): lines that hold a word, lower-cased; ``sig`` is a hash of the line."""
     lines = docs.select("id", "tie", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "text"))
-    return lines.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("id", "tie", "line", F.xxhash64("text").alias("sig"), "text")
+    return lines.where(F.trim("text", F.lit(" \t\n\x0b\x0c\r")) != "").select("id", "tie", "line", F.xxhash64("text").alias("sig"), "text")
 
 
 def hits_of(n: Column) -> Column:
@@ -43,13 +43,14 @@ def hits_of(n: Column) -> Column:
 
 
 def words() -> Column:
-    """Between single spaces: splitting at one character is much faster than at a pattern. Some may be empty."""
-    return F.split(F.regexp_replace("text", r"[\x09-\x0D]", " "), " ")
+    """Between single spaces: splitting at one character is much faster than at a pattern, and few lines hold other white space. Some may be empty."""
+    odd = reduce(Column.__or__, [F.contains("text", F.lit(c)) for c in "\t\n\x0b\x0c\r"])
+    return F.split(F.when(odd, F.regexp_replace("text", r"[\x09-\x0D]", " ")).otherwise(F.col("text")), " ")
 
 
 def word_hashes() -> Column:
     """The set of a line's words, as hashes."""
-    return F.array_distinct(F.transform(F.array_remove(words(), ""), lambda w: F.xxhash64(w)))
+    return F.array_remove(F.array_distinct(F.transform(words(), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def rarity_classes(docs: DataFrame) -> Column:
@@ -57,7 +58,7 @@ def rarity_classes(docs: DataFrame) -> Column:
 
     The size is fixed, whatever the data; any order that all lines share gives exact results.
     """
-    every = docs.select(F.lower("text").alias("text")).select(F.explode(words()).alias("word")).select(F.xxhash64("word").alias("h"))
+    every = docs.select(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")).alias("text")).select(F.explode(words()).alias("word")).select(F.xxhash64("word").alias("h"))
     return held_array(docs.sparkSession, bucket_classes(every, "h", RARITY_BITS), "tinyint")
 
 
@@ -114,8 +115,8 @@ class Verifier:
     def __init__(self, base: DataFrame, firsts: DataFrame, threshold: float):
         self.base, self.firsts, self.threshold = base, firsts, threshold
 
-    def similar(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(x, y, apart): those of the pairs (x, y) whose whole sets are similar, and how many tokens are in only one."""
+    def similar(self, pairs: DataFrame, name: str, with_edits: bool = False) -> DataFrame:
+        """(x, y, edits): those of the pairs (x, y) whose whole sets are similar, and the tokens that are in only one (those of y alone with all bits turned)."""
         needed = materialize(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct().join(self.firsts.select("sig", *PLACE), "sig"), "needed")
         bits = bits_for(needed)
         in_doc, wanted = Bitmap(needed, "first_tie", bits, held=True), Bitmap(needed, "sig", bits, held=True)
@@ -125,35 +126,41 @@ class Verifier:
         sets = materialize(sets.select("sig", word_hashes().alias("set")), "sets")
         both = pairs.join(sets.select(F.col("sig").alias("x"), F.col("set").alias("set_x")), "x").join(sets.select(F.col("sig").alias("y"), F.col("set").alias("set_y")), "y")
         # the border again, for the costly intersection
-        counted = both.select("x", "y", F.size("set_x").alias("n"), F.size("set_y").alias("m"), F.explode(F.array(F.size(F.array_intersect("set_x", "set_y")))).alias("common"))
+        counted = both.select("x", "y", F.size("set_x").alias("n"), F.size("set_y").alias("m"), F.explode(F.array(F.size(F.array_intersect("set_x", "set_y")))).alias("common"), "set_x", "set_y")
         out = counted.where(F.col("common") >= (F.col("n") + F.col("m") - F.col("common")) * self.threshold - EPSILON)
-        out = materialize(out.select("x", "y", (F.col("n") + F.col("m") - 2 * F.col("common")).alias("apart")), name)
+        edits = F.concat(F.array_except("set_x", "set_y"), F.transform(F.array_except("set_y", "set_x"), F.bitwise_not))
+        out = materialize(out.select("x", "y", *[edits.alias("edits")] * with_edits), name)
         drop_materialized(needed, sets)
         return out
 
 
+def token_bits(lines: DataFrame) -> int:
+    """Bits of a bitmap for the prefixes of a written table's lines: eight times as many as for the lines."""
+    return min(MOST_BITS, bits_for(lines) + 3)
+
+
 def stars(firsts: DataFrame, verifier: Verifier, threshold: float) -> DataFrame:
-    """(sig, star, slack): lines that are similar to a centre, the one of several that has the most copies.
+    """(sig, star, slack, edits): lines that are similar to a centre, the one of several that has the most copies.
 
     Tokens in only one of x and y number at most those in only one of x and the centre and of y and
     the centre. So lines of one star whose slacks sum to zero or more are similar without a look; slack
-    is the share of a line's size that may differ, less what differs from the centre. Centres are sought
-    where many lines share the least hash of their prefixes; every line that is similar to one is found.
+    is the share of a line's size that may differ, less what differs from the centre (edits). Centres are sought
+    where many lines share the two least hashes of their prefixes; every line that is similar to one is found.
     """
-    key = F.array_min(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
+    key = F.xxhash64(F.slice(F.sort_array(F.transform("prefix", lambda t: t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))), 1, 2))
     crowds = firsts.groupBy(key.alias("key")).agg(F.count("*").alias("lines"), F.max(F.struct("copies", "sig")).alias("most"))
     chosen = materialize(crowds.where(F.col("lines") >= CROWD).select(F.col("most.sig").alias("sig")).distinct(), "chosen")
     centres = materialize(firsts.where(Bitmap(chosen, "sig", bits_for(chosen), held=True).has(F.col("sig"))).join(chosen, "sig", "left_semi"), "centres")
     held = postings(centres, "copies")
-    near = postings(firsts).where(Bitmap(held, "token", held=True).has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
+    near = postings(firsts).where(Bitmap(held, "token", token_bits(centres), held=True).has(F.col("token"))).alias("x").join(held.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & filters(threshold))
     pairs = materialize(candidates(near.select(F.col("x.sig").alias("x"), F.col("y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))), "pairs")
-    found = verifier.similar(pairs, "near").unionByName(centres.select(F.col("sig").alias("x"), F.col("sig").alias("y"), F.lit(0).alias("apart")))
+    found = verifier.similar(pairs, "near", with_edits=True).unionByName(centres.select(F.col("sig").alias("x"), F.col("sig").alias("y"), F.array().cast("array<long>").alias("edits")))
     found = found.join(centres.select(F.col("sig").alias("y"), "copies"), "y")
-    best = found.groupBy("x").agg(F.max(F.struct("copies", F.col("y").alias("star"), "apart")).alias("best")).select(F.col("x").alias("sig"), "best.star", "best.apart")
+    best = found.groupBy("x").agg(F.max(F.struct("copies", F.col("y").alias("star"), "edits")).alias("best")).select(F.col("x").alias("sig"), "best.star", "best.edits")
     best = materialize(best, "nearest")
     sizes = best.groupBy("star").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_STAR)
-    slack = F.round(F.col("n") * ((1 - threshold) / (1 + threshold)) - F.col("apart"), 6).alias("slack")
-    out = materialize(best.join(sizes, "star", "left_semi").join(firsts.select("sig", "n"), "sig").select("sig", "star", slack), "stars")
+    slack = F.round(F.col("n") * ((1 - threshold) / (1 + threshold)) - F.size("edits"), 6).alias("slack")
+    out = materialize(best.join(sizes, "star", "left_semi").join(firsts.select("sig", "n"), "sig").select("sig", "star", slack, "edits"), "stars")
     drop_materialized(pairs, best, centres, chosen)
     return out
 
@@ -171,48 +178,69 @@ def implied_links(placed: DataFrame) -> DataFrame:
     return placed.join(reached, ["star", "slack"]).select("sig", (F.col("lines") - own).alias("n_links"), "earliest")
 
 
-def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(removed, members, linked, edges): ``repeated_lines``; (id, tie, line, sig) of all lines; (sig, n_links) of linked ones; and links (a, b) of sigs that connect what all links connect."""
+def compared_links(near: DataFrame) -> DataFrame:
+    """(x, y): links within stars whose slacks sum to less than zero.
+
+    Each edit that two lines of a star share, be it a word that both lack or one that both have beside the centre's,
+    brings them nearer by two. So they are similar if those make up for the sum, and need not meet in what all lines of the star have.
+    """
+    each = near.select("sig", "star", "slack", F.explode("edits").alias("edit"))
+    x, y = each.where("slack < 0").alias("x"), each.alias("y")
+    once = (F.col("y.slack") >= 0) | (F.col("x.sig") < F.col("y.sig"))
+    lack = F.col("x.slack") + F.col("y.slack")
+    both = x.join(y, (F.col("x.star") == F.col("y.star")) & (F.col("x.edit") == F.col("y.edit")) & (F.col("x.sig") != F.col("y.sig")) & once & (lack < -EPSILON))
+    met = both.groupBy(F.col("x.sig").alias("x"), F.col("y.sig").alias("y")).agg(F.count("*").alias("shared"), F.min(lack).alias("lack"))
+    return met.where(F.col("lack") + 2 * F.col("shared") >= -1e-5).select("x", "y")
+
+
+def line_join(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(removed, members, edges): ``repeated_lines``; (id, tie, line, sig, gone, n_links) of all lines that occur again or are linked; and links (a, b) of sigs that connect what all links connect."""
     base = docs.select(*places(docs, id_col, text_col), docs[text_col].cast("string").alias("text"))
     firsts = materialize(distinct_lines(base, rarity_classes(base), threshold), "firsts")
+    free_shuffles(docs.sparkSession)
     verifier = Verifier(base, firsts, threshold)
     near = stars(firsts, verifier, threshold)
+    free_shuffles(docs.sparkSession)
 
     # only lines that may be in a star are joined with the stars
     some = Bitmap(near, "sig", bits_for(near), held=True).has(F.col("sig"))
     alone = firsts.where(~some).select("*", F.lit(None).cast("long").alias("star"), F.lit(None).cast("double").alias("slack"))
-    every = postings(alone.unionByName(firsts.where(some).join(near, "sig", "left")), "star", "slack")
+    every = postings(alone.unionByName(firsts.where(some).join(near.drop("edits"), "sig", "left")), "star", "slack")
     inner = F.coalesce(F.col("slack") >= 0, F.lit(False))
     outer, core = every.where(~inner), every.where(inner)
     mixed = core.groupBy("token").agg(F.min("star").alias("least"), F.max("star").alias("last")).where("least < last").select("token")
-    apart = F.col("x.star").isNull() | F.col("y.star").isNull() | (F.col("x.star") != F.col("y.star")) | (F.col("x.slack") + F.col("y.slack") < -EPSILON)
+    apart = F.col("x.star").isNull() | F.col("y.star").isNull() | (F.col("x.star") != F.col("y.star"))
 
     def met(x: DataFrame, y: DataFrame, differ: Column) -> DataFrame:
         both = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & differ & filters(threshold))
         return both.select(F.least("x.sig", "y.sig").alias("x"), F.greatest("x.sig", "y.sig").alias("y"), F.least("x.n", "y.n").alias("least"))
 
     cores = core.join(mixed, "token", "left_semi")
-    some = outer.where(Bitmap(core, "token", held=True).has(F.col("token")))  # of most lines outside, no token is in a core
-    parts = [met(outer, outer, F.col("x.sig") < F.col("y.sig")), met(some, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
+    some = outer.where(Bitmap(core, "token", token_bits(near), held=True).has(F.col("token")))  # of most lines outside, no token is in a core
+    parts = [met(outer, outer, (F.col("x.sig") < F.col("y.sig")) & apart), met(some, core, apart), met(cores, cores, F.col("x.star") < F.col("y.star"))]
     pairs = materialize(candidates(reduce(DataFrame.unionByName, parts)), "pairs")
+    free_shuffles(docs.sparkSession)
     links = verifier.similar(pairs, "links")
+    within = materialize(compared_links(near), "within")
 
     place = F.struct(*[F.col(c).alias(k) for c, k in zip(PLACE, ("id", "tie", "line"), strict=True)])
-    both = links.select("x", "y").unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    links = links.unionAll(within)
+    both = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
     told = both.join(firsts.select(F.col("sig").alias("y"), place.alias("earliest")), "y").groupBy(F.col("x").alias("sig")).agg(F.count("*").alias("n_links"), F.min("earliest").alias("earliest"))
-    within = implied_links(near.join(firsts.select("sig", place.alias("place")), "sig"))
-    linked = materialize(told.unionByName(within).groupBy("sig").agg(F.sum("n_links").alias("n_links"), F.min("earliest").alias("earliest")), "linked")
+    implied = implied_links(near.drop("edits").join(firsts.select("sig", place.alias("place")), "sig"))
+    linked = materialize(told.unionByName(implied).groupBy("sig").agg(F.sum("n_links").alias("n_links"), F.min("earliest").alias("earliest")), "linked")
 
     later = F.coalesce(F.col("earliest") < place, F.lit(False))
-    marked = firsts.select("sig", *PLACE, "copies").join(linked, "sig", "left").select("sig", place.alias("place"), "copies", later.alias("later"))
-    marked = materialize(marked.where("later or copies > 1").select("sig", "place", "later"), "marked")
+    marked = firsts.select("sig", *PLACE, "copies").join(linked, "sig", "left").where("n_links is not null or copies > 1")
+    marked = materialize(marked.select("sig", place.alias("place"), later.alias("later"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "marked")
     again = F.col("later") | (F.struct("id", "tie", "line") > F.col("place"))
-    members = materialize(lines_of(base).select("id", "tie", "line", "sig"), "members")
-    out = members.join(marked, "sig").where(again).select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line")
-    out = materialize(out, "removed")
+    some = lines_of(base).select("id", "tie", "line", "sig").where(Bitmap(marked, "sig", bits_for(marked), held=True).has(F.col("sig")))
+    members = materialize(some.join(marked, "sig").select("id", "tie", "line", "sig", again.alias("gone"), "n_links"), "members")
+    out = members.where("gone").select(F.when(F.col("id") != SMALLEST, F.col("id")).alias(id_col), "tie", "line")
     edges = links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(near.select(F.col("star").alias("a"), F.col("sig").alias("b")))
-    drop_materialized(pairs, marked, firsts)
-    return out, members, linked.select("sig", "n_links"), edges
+    drop_materialized(pairs, marked, linked, firsts)
+    free_shuffles(docs.sparkSession)
+    return out, members, edges
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,12 +269,13 @@ def document_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
     there are none). Repeated rows are one document, and rows that share an id one node of the classes;
     the null id is smallest and gives a null class_id.
     """
-    removed, members, linked, edges = line_join(docs, threshold, id_col, text_col)
+    removed, members, edges = line_join(docs, threshold, id_col, text_col)
     ids = docs.select(*places(docs, id_col, text_col)).distinct()
     gone = removed.groupBy(F.coalesce(id_col, F.lit(SMALLEST)).alias("id"), "tie").agg(F.array_sort(F.collect_set("line")).alias("lines"))
-    held = materialize(members.select("id", "tie", "sig").distinct(), "held")
+    held = materialize(members.select("id", "tie", "sig", "n_links").distinct(), "held")
 
-    n_links = held.join(linked, "sig").groupBy("id", "tie").agg(F.sum("n_links").alias("n_links"))
+    # lines that occur once and are linked with none neither count nor connect
+    n_links = held.where("n_links > 0").groupBy("id", "tie").agg(F.sum("n_links").alias("n_links"))
     alike = connected_components(edges).withColumnRenamed("node", "sig")
     placed = materialize(held.join(alike, "sig", "left").select("id", F.coalesce("component", "sig").alias("lines")).distinct(), "placed")
     least = placed.groupBy("lines").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").drop("last")

@@ -150,6 +150,27 @@ def test_line_stars(spark, size=60):
         assert r.n_links == sum(n_links[t] for t in set(lines) & texts)
 
 
+def test_far_lines_of_a_star_meet_in_their_edits(spark, monkeypatch):
+    """Lines of one star are compared where they share an edit, not in the words that all of them have; every link is counted."""
+    from cladeworks.llm import line_dedup
+
+    rng = random.Random(18)
+    base, rows = sentence(rng, 60).split(), []
+    for i in range(200):
+        w = list(base)
+        for k in rng.sample(range(60), 1 if i < 60 else 3):
+            w[k] = f"new{rng.randrange(400)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, " ".join(base)) for i in range(3)]
+    sets = {t: set(words_of(t)) for t in {t for _, t in rows}}
+    n_links = {a: sum(a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9 for b in sets) for a in sets}
+    seen, plain = [], line_dedup.candidates
+    monkeypatch.setattr(line_dedup, "candidates", lambda met: (seen.append(met.count()), plain(met))[1])
+    got = {r.doc_id: r.n_links for r in document_classes(frame(spark, rows)).collect()}
+    assert got == {i: n_links[t] for i, t in rows}
+    assert seen[-1] == 0  # of the last of them, which joins what is not settled by stars
+
+
 def brute_print(t):
     t = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     w = words_of(t)
