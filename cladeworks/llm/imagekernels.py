@@ -19,14 +19,14 @@ FEATURE = np.dtype([("y", "<f4"), ("x", "<f4"), ("level", "i1"), ("turn", "i1"),
 def box(image: np.ndarray, r: int) -> np.ndarray:
     """Means over (2r + 1)-squares, edges repeated."""
     for axis in (1, 2):
-        pad = [(0, 0)] * 3
-        pad[axis] = (r + 1, r)
-        total = np.cumsum(np.pad(image, pad, "edge"), axis=axis, dtype=np.float32)
-        a = [slice(None)] * 3
-        b = [slice(None)] * 3
-        a[axis], b[axis] = slice(2 * r + 1, None), slice(None, -(2 * r + 1))
-        image = (total[tuple(a)] - total[tuple(b)]) / (2 * r + 1)
-    return image
+        # rows along the axis come first, so that running sums are additions of whole rows
+        rows = np.moveaxis(image, axis, 0)
+        total = np.empty((len(rows) + 2 * r + 1, *rows.shape[1:]), np.float32)
+        total[: r + 1], total[r + 1 : r + 1 + len(rows)], total[r + 1 + len(rows) :] = rows[0], rows, rows[-1]
+        for k in range(1, len(total)):
+            total[k] += total[k - 1]
+        image = np.moveaxis((total[2 * r + 1 :] - total[: -(2 * r + 1)]) / (2 * r + 1), 0, axis)
+    return np.ascontiguousarray(image)
 
 
 def resized(images: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -79,13 +79,14 @@ def describe(images: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
     image, y, x = corners(images, most)
     smooth = box(images, 1)
     disc, tests = patterns()
-    patch = images[image[:, None], y[:, None] + disc[:, 0], x[:, None] + disc[:, 1]]
+    at, width = np.ravel_multi_index((image, y, x), images.shape)[:, None], images.shape[2]
+    patch = images.ravel().take(at + (disc[:, 0] * width + disc[:, 1]))
     patch = patch - patch.mean(1, keepdims=True)
     angle = np.arctan2(patch @ disc[:, 0].astype(np.float32), patch @ disc[:, 1].astype(np.float32))
     turn = np.rint(angle * TURNS / (2 * np.pi)).astype(int) % TURNS
-    at = tests[turn]
-    value = smooth[image[:, None, None], y[:, None, None] + at[..., 0], x[:, None, None] + at[..., 1]]
-    bits = np.packbits(value[..., 0] < value[..., 1], axis=1, bitorder="little")
+    steps = (tests[..., 0] * width + tests[..., 1])[turn]
+    first, second = (smooth.ravel().take(at + steps[..., k]) for k in range(2))
+    bits = np.packbits(first < second, axis=1, bitorder="little")
     return image, y, x, turn, bits.view("<u8").reshape(len(image), TESTS // 64)
 
 
@@ -125,6 +126,19 @@ def table_keys(words: np.ndarray, masks: np.ndarray, tables: slice) -> np.ndarra
     return np.concatenate(out).view(np.int64)
 
 
+def folded(words: np.ndarray) -> np.ndarray:
+    """Descriptors in three words: the bits of the last two are added modulo two, so two descriptors come no further apart."""
+    return np.column_stack([words[:, :2], words[:, 2] ^ words[:, 3]])
+
+
+def enough(many: np.ndarray, starts: np.ndarray, one: np.ndarray, bits: int, votes: int) -> np.ndarray:
+    """Whether ``votes`` descriptors of each of many images match some of one; many holds those of all images, end to end."""
+    apart = np.zeros((len(one), len(many)), np.uint16)
+    for k in range(one.shape[1]):
+        apart += np.bitwise_count(one[:, k, None] ^ many[:, k])
+    return np.add.reduceat((apart <= bits).any(0), starts, dtype=np.int64) >= votes
+
+
 def agree(a: np.ndarray, b: np.ndarray, bits: int, votes: int, cell: float) -> bool:
     """Whether ``votes`` corners of a match corners of b, and agree on one turn, scale and shift.
 

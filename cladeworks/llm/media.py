@@ -10,15 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.bitmaps import Bitmap
 from cladeworks.llm.common import drop_materialized, give_back_memory, materialize, read_table
 from cladeworks.llm.components import connected_components
-from cladeworks.llm.imagekernels import FEATURE, agree, features, table_keys, waves
+from cladeworks.llm.imagekernels import FEATURE, agree, enough, features, folded, table_keys, waves
 
 #: Images that are drawn, described or keyed together: what a task holds at once.
 TOGETHER = 32
 #: Hamming tables, and bits of a descriptor in the key of each.
 TABLES, SAMPLE = 12, 64
+#: Keys of so few images don't call for a round: pairs that share one such key only are left to the comparison in full.
+FEW = 4
 
 
 def slices(batches):
@@ -84,18 +85,101 @@ def samples() -> np.ndarray:
     return np.array(out)
 
 
-def keyed(corners: DataFrame, tables: slice) -> DataFrame:
-    """(key, component, id): the Hamming-table keys of images (id, component, corners), each once an image."""
+def packed(column: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values that a binary column packs, end to end, and the place where each row's begin; the last place is their end."""
+    if not len(column):
+        return np.zeros(0, dtype), np.zeros(1, np.int64)
+    column = column.cast(pa.large_binary())
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], dtype, (edges[-1] - edges[0]) // dtype.itemsize, edges[0])
+    return values, (edges - edges[0]) // dtype.itemsize
+
+
+def keyed(corners: DataFrame) -> DataFrame:
+    """(key, id): the Hamming-table keys of images (id, corners), each once an image."""
     kind = corners.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in slices(batches):
-            found = [np.unique(table_keys(np.frombuffer(c.as_buffer(), FEATURE)["words"], samples(), tables)) for c in batch.column(2)]
-            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            keys = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([keys, batch.column(1).take(of), batch.column(0).take(of)], ["key", "component", "id"])
+            found, edges = packed(batch.column(1), FEATURE)
+            keys = table_keys(found["words"], samples(), slice(None))
+            of = np.tile(np.repeat(np.arange(batch.num_rows), np.diff(edges)), TABLES)
+            order = np.lexsort((keys, of))
+            keys, of = keys[order], of[order]
+            once = np.ones(len(keys), bool)
+            once[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[once]), batch.column(0).take(pa.array(of[once]))], ["key", "id"])
+
+    return corners.select("id", "corners").mapInArrow(run, f"key long, id {kind}")
+
+
+def recurring(keys: DataFrame) -> DataFrame:
+    """Those of the rows (key, id) whose key other rows have too: rows are sorted by key, and each is held against its neighbours."""
+
+    def run(batches):
+        last, key, kept = None, None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = batch.column(0).to_numpy()
+            same = found[1:] == found[:-1]
+            on = last is not None and bool(found[0] == key)
+            if kept or on:
+                yield last
+            keep = np.r_[on, same] | np.r_[same, False]
+            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep[:-1]))
+            last, key, kept = batch.slice(batch.num_rows - 1), found[-1], bool(keep[-1])
+        if kept:
+            yield last
+
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, keys.schema)
+
+
+def enough_corners(second: pa.Array, x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], bits: int, votes: int) -> np.ndarray:
+    """For each pair of a batch, whether ``votes`` corners of its first image match some of its second: ``packed`` descriptors of either.
+
+    Pairs of one second image that follow each other are worked on together.
+    """
+    (x, edges_x), (y, edges_y) = x, y
+    ids = second.to_numpy(zero_copy_only=False)
+    good = np.zeros(len(ids), bool)
+    runs = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1], True][: len(ids) + 1])
+    for start, stop in zip(runs[:-1], runs[1:], strict=True):
+        one = y[edges_y[start] : edges_y[start + 1]]
+        for at in range(start, stop, TOGETHER):
+            to = min(at + TOGETHER, stop)
+            edges = edges_x[at : to + 1]
+            good[at:to] = enough(x[edges[0] : edges[-1]], edges[:-1] - edges[0], one, bits, votes)
+    return good
+
+
+def with_both(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """Pairs of images (a, b, and other columns), then what ``described`` (id, of) holds of a and of b."""
+    side = lambda c: described.select(F.col("id").alias(c), F.col("of").alias(f"of_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select(*pairs.columns, "of_a", "of_b")
+
+
+def likely(pairs: DataFrame, corners: DataFrame, bits: int, votes: int) -> DataFrame:
+    """The pairs of images (a, b) without most of those that ``verified`` would discard, and with all that it would keep.
+
+    Descriptors are folded, which brings none further apart, and go without places, so that fewer bytes are moved.
+    """
+    kind = corners.schema["id"].dataType.simpleString()
+    three = np.dtype(("<u8", (3,)))
+
+    def fold(batches):
+        for batch in batches:
+            found, edges = packed(batch.column(1), FEATURE)
+            short = folded(found["words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([short[x:y].tobytes() for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], ["id", "of"])
+
+    def run(batches):
+        for batch in batches:
+            good = enough_corners(batch.column(1), packed(batch.column(2), three), packed(batch.column(3), three), bits, votes)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    return corners.select("id", "component", "corners").mapInArrow(run, f"key long, component {kind}, id {kind}")
+    short = corners.select("id", "corners").mapInArrow(fold, f"id {kind}, of binary")
+    return with_both(pairs, short).mapInArrow(run, pairs.schema)
 
 
 def verified(pairs: DataFrame, corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
@@ -104,13 +188,13 @@ def verified(pairs: DataFrame, corners: DataFrame, bits: int, votes: int, cell:
 
     def run(batches):
         for batch in batches:
-            x, y = (batch.column(k) for k in (-2, -1))
-            good = [agree(np.frombuffer(x[k].as_buffer(), FEATURE), np.frombuffer(y[k].as_buffer(), FEATURE), bits, votes, cell) for k in range(batch.num_rows)]
-            yield batch.select(kept).filter(pa.array(good, pa.bool_()))
+            (x, edges_x), (y, edges_y) = (packed(batch.column(k), FEATURE) for k in (-2, -1))
+            good = enough_corners(batch.column("b"), (x["words"], edges_x), (y["words"], edges_y), bits, votes)
+            for k in np.flatnonzero(good):
+                good[k] = agree(x[edges_x[k] : edges_x[k + 1]], y[edges_y[k] : edges_y[k + 1]], bits, votes, cell)
+            yield batch.select(kept).filter(pa.array(good))
 
-    side = lambda c: corners.select(F.col("id").alias(c), F.col("corners").alias(f"corners_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select(*kept, "corners_a", "corners_b")
-    return both.mapInArrow(run, pairs.schema)
+    return with_both(pairs, corners.select("id", F.col("corners").alias("of"))).mapInArrow(run, pairs.schema)
 
 
 def followed(hooks: DataFrame) -> DataFrame:
@@ -140,54 +224,55 @@ def relabelled(labels: DataFrame | None, hooks: DataFrame) -> DataFrame:
 def copy_groups(corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
     """(id, component): the smallest image that each image reaches by links between images that share a key, where that is another.
 
-    Only keys that several images have are kept. In each round an image is compared with the image
+    Only keys that several images have are written, once. In each round an image is compared with the image
     that leads most of its keys, by what it is linked to so far, and a component is hooked to the smallest
     that one of its images is linked to. So groups of copies settle in proportion to their size, without a pass over
     all links. When a round finds nothing more, all images of a key that are still not in one component are compared,
-    so a link that a component did not follow is met again; links that this finds join components last.
+    so a link that a component did not follow is met again; links that this finds join components last. Most of
+    these pairs are unlike images that share one key by chance, and their number grows with the square of the images: rounds
+    leave them out, and ``likely`` discards them at a small cost.
     """
-    alone = corners.withColumn("component", F.col("id"))
-    counts = keyed(alone, slice(None)).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last").select("key")
-    counts = materialize(counts, "keys")
-    shared = Bitmap(counts, "key")
-    labels, now, made = None, alone, []
-
-    def placed(tables: slice = slice(None)) -> DataFrame:
-        """One image stands for those of one component that share a key."""
-        return keyed(now, tables).where(shared.has(F.col("key"))).groupBy("key", "component").agg(F.min("id").alias("id"))
-
-    tables, more = slice(0, 1), True
-    while more:
-        some = placed(tables)
-        leaders = some.groupBy("key").agg(F.min(F.struct("component", "id")).alias("lead"), F.max("component").alias("last")).where("lead.component < last").select("key", "lead")
-        met = some.join(leaders, "key").where("component <> lead.component").groupBy("id", "component", "lead").agg(F.count("*").alias("n"))
-        best = met.groupBy("id", "component").agg(F.max(F.struct("n", "lead.id", "lead.component")).alias("best"))
+    shared = materialize(recurring(keyed(corners)), "keys")
+    labels, made = None, [shared]
+
+    def named() -> DataFrame:
+        if labels is None:
+            return shared.select("key", F.col("id").alias("component"), "id")
+        return shared.join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"), "id")
+
+    while True:
+        # one image stands for those of one component that share a key
+        some = named().withColumn("size", F.lit(1))
+        if labels is not None:
+            some = materialize(some.groupBy("key", "component").agg(F.min("id").alias("id"), F.count("*").alias("size")), "placed")
+            made.append(some)
+        leaders = some.groupBy("key").agg(F.min(F.struct("component", "id")).alias("lead"), F.max("component").alias("last"), F.sum("size").alias("images")).where("lead.component < last").select("key", "lead", "images")
+        met = some.join(leaders, "key").where("component <> lead.component").groupBy("id", "component", "lead").agg(F.count("*").alias("n"), F.max("images").alias("images"))
+        best = met.where((F.col("n") > 1) | (F.col("images") > FEW)).groupBy("id", "component").agg(F.max(F.struct("n", "lead.id", "lead.component")).alias("best"))
         best = materialize(best.select(F.col("best.id").alias("a"), F.col("id").alias("b"), F.col("best.component").alias("root"), "component"), "best")
         new = materialize(verified(best, corners, bits, votes, cell), "links")
         made += [best, new]
-        more = tables.stop is not None
-        tables = slice(None)
-        if not new.isEmpty():
-            hooks = followed(new.groupBy("component").agg(F.min("root").alias("root")))
-            labels = materialize(relabelled(labels, hooks), "labels")
-            now = corners.join(labels, "id", "left").select("id", "corners", F.coalesce("component", "id").alias("component"))
-            made += [hooks, labels]
-            more = True
-
-    rows = keyed(now, slice(None)).where(shared.has(F.col("key")))
-    mixed = materialize(rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least < last").select("key"), "mixed")
-    made += [counts, mixed]
-    if not mixed.isEmpty():
-        rows = materialize(rows.where(Bitmap(mixed, "key").has(F.col("key"))).join(mixed, "key"), "rest")
-        rest = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
-        rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.col("x.component").alias("root"), F.col("y.component").alias("component")).distinct(), "pairs")
-        last = materialize(verified(rest, corners, bits, votes, cell), "links")
-        made += [rows, rest, last]
-        if not last.isEmpty():
-            parts = connected_components(last.select(F.col("root").alias("a"), F.col("component").alias("b")).distinct())
-            hooks = materialize(parts.where("node <> component").select(F.col("node").alias("component"), F.col("component").alias("root")), "hooks")
-            labels = relabelled(labels, hooks)
-            made.append(hooks)
+        if new.isEmpty():
+            break
+        hooks = followed(new.groupBy("component").agg(F.min("root").alias("root")))
+        labels = materialize(relabelled(labels, hooks), "labels")
+        made += [hooks, labels]
+
+    rows = materialize(named(), "rows")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least < last").select("key")
+    mixed = materialize(rows.join(mixed, "key"), "mixed")
+    rest = mixed.alias("x").join(mixed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
+    rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+    near = materialize(likely(rest, corners, bits, votes), "likely")
+    last = materialize(verified(near, corners, bits, votes, cell), "links")
+    made += [rows, mixed, rest, near, last]
+    if not last.isEmpty():
+        for c in ("a", "b") if labels is not None else ():
+            last = last.join(labels.select(F.col("id").alias(c), F.col("component").alias("of")), c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
+        parts = connected_components(last)
+        hooks = materialize(parts.where("node <> component").select(F.col("node").alias("component"), F.col("component").alias("root")), "hooks")
+        labels = relabelled(labels, hooks)
+        made.append(hooks)
     if labels is None:
         labels = corners.select("id", F.col("id").alias("component")).limit(0)
     out = materialize(labels, "parts")

@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from helpers import awkward_rows, frame, sentence, words_of
+from pyspark.sql import functions as F
 from test_ngram_join import copies, plain_links
 
 from cladeworks.llm.components import connected_components
@@ -568,3 +569,84 @@ def brute_contaminated_fast(rows, items, window=20, share=0.8):
                     out.add((i, k))
                     break
     return out
+
+
+def test_image_keys_are_made_once_and_only_shared_ones_written(spark, monkeypatch):
+    """Rounds read the keys that images share; before, each made all keys again, and a full bitmap let all of them pass."""
+    from cladeworks.llm import media
+
+    made, written = [], {}
+    keyed, materialize = media.keyed, media.materialize
+    monkeypatch.setattr(media, "keyed", lambda *args: made.append(keyed(*args)) or made[-1])
+
+    def counted(df, name):
+        out = materialize(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(media, "materialize", counted)
+    rng = np.random.default_rng(13)
+    vectors = spark.createDataFrame([(i, rng.normal(0, 1, 64).tolist()) for i in range(12)], "vec_id long, embedding array<double>")
+    rows = [tuple(r) for r in vector_images(vectors).collect()]
+    i, h, w, pixels = rows[0]
+    rows.append((50, h, w, bytearray(np.clip(np.frombuffer(pixels, np.uint8) * 0.95 + 5, 0, 255).astype(np.uint8).tobytes())))
+    got = {r.id: (r.n_others, r.component) for r in image_copies(spark.createDataFrame(rows, "id long, height int, width int, pixels binary")).collect()}
+    assert got == {i: (1, 0) if i in (0, 50) else (0, i) for i in [*range(12), 50]}
+    assert len(made) == 1
+    (shared,) = written["keys"]
+    assert 0 < shared < made[0].count() / 3
+
+
+def test_recurring_keys_over_batches(spark):
+    from cladeworks.llm.media import recurring
+
+    rng = np.random.default_rng(2)
+    rows = [(int(k), i) for i, k in enumerate(rng.integers(0, 300, 400))] + [(1000, 1000 + i) for i in range(30)]
+    keys = spark.createDataFrame(rows, "key long, id long")
+    counts = {k: sum(x == k for x, _ in rows) for k, _ in rows}
+    for size in (1, 2, 7, 10000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert sorted(map(tuple, recurring(keys).collect())) == sorted(r for r in rows if counts[r[0]] > 1)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert recurring(keys.limit(0)).count() == 0
+
+
+def test_pairs_that_may_be_copies_are_not_discarded_early(spark):
+    """What ``likely`` lets pass holds every pair that agrees, and hardly any of unlike images."""
+    from cladeworks.llm.imagekernels import features, waves
+    from cladeworks.llm.media import likely, verified
+
+    rng = np.random.default_rng(3)
+    grey = waves(rng.normal(0, 1, (40, 64)).astype(np.float32), 96).astype(np.float32)
+    stack = np.concatenate([grey, *(np.clip(grey[:20] + rng.normal(0, noise, grey[:20].shape), 0, 255) for noise in (8, 16, 24, 32))])
+    found = features(stack.astype(np.float32), 24, 3)
+    corners = spark.createDataFrame([(i, bytearray(f.tobytes())) for i, f in enumerate(found)], "id long, corners binary")
+    every = [(a, b) for a in range(len(found)) for b in range(a + 1, len(found))]
+    pairs = spark.createDataFrame(every, "a long, b long")
+    good = {p for p in every if agree(found[p[0]], found[p[1]], 32, 4, 12.0)}
+    assert len(good) > 30
+    maybe = {tuple(r) for r in likely(pairs, corners, 32, 4).collect()}
+    assert good <= maybe and len(maybe - good) < len(every) / 20
+    assert {tuple(r) for r in verified(pairs, corners, 32, 4, 12.0).collect()} == good
+
+
+def test_copies_that_share_a_single_key_are_linked(spark, monkeypatch):
+    """Rounds leave out pairs with one key that few images have; the comparison in full still links them."""
+    from cladeworks.llm import media
+
+    keyed = media.keyed
+
+    def one_key(corners, *args):
+        keys = keyed(corners, *args)
+        return keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").agg(F.min("key").alias("key")), "key")
+
+    rng = np.random.default_rng(17)
+    vectors = spark.createDataFrame([(i, rng.normal(0, 1, 64).tolist()) for i in range(3)], "vec_id long, embedding array<double>")
+    rows = [tuple(r) for r in vector_images(vectors).collect()]
+    i, h, w, pixels = rows[1]
+    rows.append((7, h, w, bytearray(np.clip(np.frombuffer(pixels, np.uint8) * 0.9 + 10, 0, 255).astype(np.uint8).tobytes())))
+    images = spark.createDataFrame(rows, "id long, height int, width int, pixels binary")
+    monkeypatch.setattr(media, "keyed", one_key)
+    assert {r.id: (r.n_others, r.component) for r in image_copies(images).collect()} == {0: (0, 0), 1: (1, 1), 2: (0, 2), 7: (1, 1)}
