@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import sha256
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.llm.common import drop_materialized, give_back_memory, materialize, read_table
+from cladeworks.llm.common import drop_materialized, free_shuffles, give_back_memory, materialize, read_table
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.imagekernels import FEATURE, agree, enough, features, folded, table_keys, waves
 
@@ -20,6 +20,8 @@ TOGETHER = 32
 TABLES, SAMPLE = 12, 64
 #: Keys of so few images don't call for a round: pairs that share one such key only are left to the comparison in full.
 FEW = 4
+#: So many pairs are compared in one go, about 4 GB of descriptors that are moved; what they took is freed before the next go.
+PAIRS = 4_000_000
 
 
 def slices(batches):
@@ -159,8 +161,8 @@ def with_both(pairs: DataFrame, described: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select(*pairs.columns, "of_a", "of_b")
 
 
-def likely(pairs: DataFrame, corners: DataFrame, bits: int, votes: int) -> DataFrame:
-    """The pairs of images (a, b) without most of those that ``verified`` would discard, and with all that it would keep.
+def likely(pairs: DataFrame, corners: DataFrame, bits: int, votes: int) -> list[DataFrame]:
+    """The written pairs of images (a, b), in tables of up to about PAIRS candidates each, without most of those that ``verified`` would discard, and with all that it would keep.
 
     Descriptors are folded, which brings none further apart, and go without places, so that fewer bytes are moved.
     """
@@ -178,8 +180,13 @@ def likely(pairs: DataFrame, corners: DataFrame, bits: int, votes: int) -> DataF
             good = enough_corners(batch.column(1), packed(batch.column(2), three), packed(batch.column(3), three), bits, votes)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    short = corners.select("id", "corners").mapInArrow(fold, f"id {kind}, of binary")
-    return with_both(pairs, short).mapInArrow(run, pairs.schema)
+    short, found = corners.select("id", "corners").mapInArrow(fold, f"id {kind}, of binary"), []
+    goes = -(-pairs.count() // PAIRS) or 1
+    for go in range(goes):
+        some = pairs.where(F.pmod(F.xxhash64("b"), F.lit(goes)) == go)
+        found.append(materialize(with_both(some, short).mapInArrow(run, pairs.schema), "likely"))
+        free_shuffles(pairs.sparkSession)
+    return found
 
 
 def verified(pairs: DataFrame, corners: DataFrame, bits: int, votes: int, cell: float) -> DataFrame:
@@ -233,6 +240,7 @@ def copy_groups(corners: DataFrame, bits: int, votes: int, cell: float) -> DataF
     leave them out, and ``likely`` discards them at a small cost.
     """
     shared = materialize(recurring(keyed(corners)), "keys")
+    free_shuffles(corners.sparkSession)
     labels, made = None, [shared]
 
     def named() -> DataFrame:
@@ -263,9 +271,9 @@ def copy_groups(corners: DataFrame, bits: int, votes: int, cell: float) -> DataF
     mixed = materialize(rows.join(mixed, "key"), "mixed")
     rest = mixed.alias("x").join(mixed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
     rest = materialize(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
-    near = materialize(likely(rest, corners, bits, votes), "likely")
-    last = materialize(verified(near, corners, bits, votes, cell), "links")
-    made += [rows, mixed, rest, near, last]
+    near = likely(rest, corners, bits, votes)
+    last = materialize(verified(reduce(DataFrame.unionByName, near), corners, bits, votes, cell), "links")
+    made += [rows, mixed, rest, *near, last]
     if not last.isEmpty():
         for c in ("a", "b") if labels is not None else ():
             last = last.join(labels.select(F.col("id").alias(c), F.col("component").alias("of")), c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
